@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from ..functions import jsonops
 from ..operators import aggregates, chunking, prompts, retrieval
 from ..plans import requests as request_flow
-from ..session import load, scratch_path
+from ..session import load, scratch_path, spread
 from .registry import query, sha_int
 
 
@@ -106,7 +106,7 @@ _HASH_INDEX = r"""WITH w AS (SELECT doc_id, unnest(string_split_regex(lower(text
 def retrieval_augmented_answers(spark, sf):
     documents, benchmark = load(spark, sf, "documents", "benchmark")
     embed = retrieval.hashing_embedder()
-    index = retrieval.build_index(documents, scratch_path(spark, "index"), "text", "doc_id", ["lang"], embed)
+    index = retrieval.build_index(spread(documents), scratch_path(spark, "index"), "text", "doc_id", ["lang"], embed)
     contexts = request_flow.search(benchmark, "item_id", "text", index, "doc_id", ["lang"], embed, k=5)
     asked = prompts.with_context(benchmark, contexts, "item_id")
     prompt = prompts.render("{{text}}\nSources: {{context}}", {"text": "text", "context": "context"})
@@ -123,12 +123,12 @@ _STRIDE = r"""WITH c AS (SELECT doc_id, text, unnest(range(0, greatest(CAST(ceil
 @query("PM7", sql=_STRIDE + f""", p AS (SELECT doc_id, string_agg({answer_sql("'Summarise: ' || chunk")}, chr(10) ORDER BY k) AS partial FROM s GROUP BY 1)
     SELECT doc_id, {answer_sql("'Summarise: ' || partial")} AS summary FROM p""")
 def chunked_summaries(spark, sf):
-    chunks = chunking.fixed_chunks(load(spark, sf, "documents").select("doc_id", "text"), "text")
+    chunks = chunking.fixed_chunks(spread(load(spark, sf, "documents")).select("doc_id", "text"), "text")
 
     def summarise(df, column):
         return prompts.complete(df, F.concat(F.lit("Summarise: "), column)).withColumn(column, F.col("llm_output")).drop(*prompts.OUTPUT_COLUMNS)
 
-    partial = aggregates.concat_groups(summarise(chunks, "chunk"), "doc_id", "chunk", "chunk_id", "\n", "summary")
+    partial = aggregates.concat_groups(summarise(chunks, "chunk"), "doc_id", "chunk", "chunk_id", "\n", "summary", bounded=True)
     return summarise(partial, "summary").select("doc_id", "summary")
 
 
@@ -173,7 +173,7 @@ def answered_requests(spark, sf):
         F.when(F.col("role") == "system", F.lit(" ")).otherwise(F.col("text")).alias("description"),
         F.lit('{"search_docs":[1],"search_nc":[2]}').alias("sources"))
     embed = retrieval.hashing_embedder()
-    index = retrieval.embed_texts(load(spark, sf, "documents").select("doc_id", "lang", "text"), "text", embed)
+    index = retrieval.embed_texts(spread(load(spark, sf, "documents")).select("doc_id", "lang", "text"), "text", embed)
     templates = {"query": "{{role}}: {{user_message}} {{description}}", "propose": "{{role}} {{user_message}} {{description}} {{search_docs}} {{search_nc}}"}
     out = request_flow.answer_requests(requests, "rid", {"search_docs": (index, "doc_id", ["lang"]), "search_nc": (index, "doc_id", ["lang"])},
                                        embed, templates, k=5, sources="sources")
@@ -186,7 +186,7 @@ def searched_requests(spark, sf):
     turns, documents = load(spark, sf, "conversations", "documents")
     embed = retrieval.hashing_embedder()
     requests = turns.select((F.col("conv_id") * 1000 + F.col("turn")).alias("rid"), "role", F.lit("Help").alias("user_message"), F.col("text").alias("description"))
-    docs = retrieval.build_index(documents, scratch_path(spark, "docs"), "text", "doc_id", ["lang"], embed)
+    docs = retrieval.build_index(spread(documents), scratch_path(spark, "docs"), "text", "doc_id", ["lang"], embed)
     bank = requests.select(F.col("rid").alias("turn_id"), "description", "role")
     tickets = retrieval.build_index(bank, scratch_path(spark, "tickets"), "description", "turn_id", ["role"], embed)
     asked = request_flow.normalise_requests(requests)

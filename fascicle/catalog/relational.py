@@ -9,7 +9,7 @@ from ..functions import text as X
 from ..functions.scalars import add, col, is_blank
 from ..operators import aggregates, columns, generate, joins, predicates, quality, sampling, windows
 from ..plans.tickets import ACTION_DAYS, STATUS_STEPS
-from ..session import load
+from ..session import load, spread
 from .registry import query, sha_int
 
 # --- columns -----------------------------------------------------------------------------
@@ -146,7 +146,7 @@ def string_predicates(spark, sf):
     (SELECT doc_id, unnest(string_split_regex(text, '\s+')) AS w FROM documents)
     WHERE w <> '' AND NOT regexp_matches(w, '[0-9]') GROUP BY ALL""")
 def words_without_digits(spark, sf):
-    words = load(spark, sf, "documents").select("doc_id", F.explode(X.words("text")).alias("word"))
+    words = spread(load(spark, sf, "documents")).select("doc_id", F.explode(X.words("text")).alias("word"))
     return words.filter(~X.has_digit("word")).groupBy("doc_id", "word").agg(F.count("*").alias("n"))
 
 
@@ -205,7 +205,7 @@ def lookup_copy_columns(spark, sf):
 def vocabulary_semi_join(spark, sf):
     documents, benchmark = load(spark, sf, "documents", "benchmark")
     vocabulary = benchmark.select(F.explode(X.words("text")).alias("entry"))
-    return joins.vocabulary_counts(aggregates.term_counts(documents, "doc_id", X.words("text")), vocabulary)
+    return joins.vocabulary_counts(aggregates.term_counts(spread(documents), "doc_id", X.words("text")), vocabulary)
 
 
 @query("JN5", sql="SELECT doc_id, lang FROM documents WHERE doc_id NOT IN (SELECT doc_id FROM labels)")
@@ -247,7 +247,7 @@ _SIDE = ", ".join(
     b || '__with_img_desc.json' AS json_img, {_SIDE}
     FROM (SELECT *, 'd' || CAST(doc_id AS VARCHAR) || '_page_0001' AS b FROM documents)""")
 def assemble_page_files(spark, sf):
-    return joins.assemble_pages(_page_files(load(spark, sf, "documents")))
+    return joins.assemble_pages(_page_files(spread(load(spark, sf, "documents"))))
 
 
 @query("JN7", sql="""SELECT c_custkey, first_n AS search_nc, last_n AS search_docs FROM customer
@@ -279,14 +279,14 @@ _NORMAL = r"string_split_regex(lower(translate(text, '" + _PUNCT + r"', '')), '\
 @query("AG2", "SC15", "SC16", sql=f"""SELECT doc_id AS document_id, s AS string, count(*) AS frequency FROM
     (SELECT doc_id, unnest({_NORMAL}) AS s FROM documents) WHERE s <> '' GROUP BY ALL""")
 def words_per_document(spark, sf):
-    docs = load(spark, sf, "documents").withColumnRenamed("doc_id", "document_id")
+    docs = spread(load(spark, sf, "documents")).withColumnRenamed("doc_id", "document_id")
     return aggregates.term_counts(docs, "document_id", X.normalised_words("text"), "string", "frequency")
 
 
 @query("AG3", sql=f"""SELECT s AS string, count(*) AS frequency FROM
     (SELECT unnest({_NORMAL}) AS s FROM documents) WHERE s <> '' GROUP BY ALL""")
 def corpus_word_counts(spark, sf):
-    return aggregates.corpus_counts(load(spark, sf, "documents"), X.normalised_words("text"))
+    return aggregates.corpus_counts(spread(load(spark, sf, "documents")), X.normalised_words("text"))
 
 
 @query("AG4", sql="""SELECT source, n, round(n / sum(n) OVER (), 9) AS share FROM
@@ -299,7 +299,7 @@ def relative_share(spark, sf):
 @query("AG5", "SC18", sql=r"""SELECT doc_id, term, count(*) AS "count" FROM
     (SELECT doc_id, unnest(regexp_extract_all(lower(text), '[\p{L}\p{N}_]{2,}')) AS term FROM documents) GROUP BY ALL""")
 def document_term_matrix(spark, sf):
-    return aggregates.term_counts(load(spark, sf, "documents"), "doc_id", X.pattern_tokens("text"))
+    return aggregates.term_counts(spread(load(spark, sf, "documents")), "doc_id", X.pattern_tokens("text"))
 
 
 @query("AG6", sql=r"""SELECT term, url, count(*) AS "count" FROM
@@ -312,14 +312,14 @@ def term_document_matrix(spark, sf):
     (SELECT doc_id, unnest(regexp_extract_all(lower(text), '[\p{L}\p{N}_]+')) AS term FROM documents)
     WHERE regexp_full_match(term, '[a-z]+') GROUP BY ALL""")
 def letter_term_matrix(spark, sf):
-    return aggregates.term_counts(load(spark, sf, "documents"), "doc_id", X.letter_tokens("text"))
+    return aggregates.term_counts(spread(load(spark, sf, "documents")), "doc_id", X.letter_tokens("text"))
 
 
 @query("AG7", sql=r"""WITH t AS (SELECT lang, unnest(regexp_extract_all(lower(text), '[\p{L}\p{N}_]+')) AS term FROM documents)
     SELECT term, count(*) FILTER (lang = 'de') AS de, count(*) FILTER (lang = 'en') AS en, count(*) FILTER (lang = 'es') AS es,
     count(*) FILTER (lang = 'fr') AS fr FROM t WHERE regexp_full_match(term, '[a-z]+') GROUP BY term""")
 def term_by_language_matrix(spark, sf):
-    counts = aggregates.term_counts(load(spark, sf, "documents"), "lang", X.letter_tokens("text"))
+    counts = aggregates.term_counts(spread(load(spark, sf, "documents")), "lang", X.letter_tokens("text"))
     return aggregates.widen(counts, "term", "lang", "count", ["de", "en", "es", "fr"])
 
 
@@ -497,7 +497,7 @@ def multiply_rows(spark, sf):
 
 def ticket_history(spark, sf):
     """Step history of one ticket per order."""
-    orders = load(spark, sf, "orders")
+    orders = spread(load(spark, sf, "orders"))
     complexity = (F.col("o_custkey") % 3 + 1)
     actions = (F.col("o_custkey") % 5 + 1)
     return generate.expand_steps(orders, "o_orderkey", "o_orderdate", STATUS_STEPS, complexity, actions, 1337, ACTION_DAYS)
@@ -557,11 +557,11 @@ def join_within_days(spark, sf):
 
 
 @query("options", sql="""WITH l AS (SELECT DISTINCT p_type AS k FROM part), r AS (SELECT DISTINCT upper(replace(p_type, 'M', 'N')) AS e FROM part),
-    m AS (SELECT k, e FROM l JOIN r ON substr(k, 1, 1) = substr(e, 1, 1) AND levenshtein(k, e) <= 1
+    m AS (SELECT k, e FROM l JOIN r ON levenshtein(k, e) <= 1
           QUALIFY row_number() OVER (PARTITION BY k ORDER BY levenshtein(k, e), e) = 1)
     SELECT p_partkey, m.e AS near FROM part LEFT JOIN m ON p_type = m.k""")
 def closest_key_lookup(spark, sf):
     part = load(spark, sf, "part").select("p_partkey", "p_type")
     side = part.select(F.upper(F.replace("p_type", F.lit("M"), F.lit("N"))).alias("e")).distinct().withColumn("near", F.col("e"))
-    out = joins.closest_lookup(part, side, "p_type", "e", ["near"], F.substring("p_type", 1, 1), F.substring("e", 1, 1))
+    out = joins.closest_lookup(part, side, "p_type", "e", ["near"])
     return out.select("p_partkey", "near")

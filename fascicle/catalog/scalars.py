@@ -192,8 +192,8 @@ def clamp_parsed_integer(spark, sf):
     CAST(length(regexp_replace(html, '[^.,;:!?]', '', 'g')) AS BIGINT) AS n_punct FROM pages""")
 def character_class_counts(spark, sf):
     return load(spark, sf, "pages").select(
-        "page_id", X.count_matches("html", r"\p{Lu}").alias("n_upper"), X.count_matches("html", r"\p{Ll}").alias("n_lower"),
-        X.count_matches("html", "[0-9]").alias("n_digit"), X.count_matches("html", "[.,;:!?]").alias("n_punct"))
+        "page_id", X.count_chars("html", r"\p{Lu}").alias("n_upper"), X.count_chars("html", r"\p{Ll}").alias("n_lower"),
+        X.count_chars("html", "0-9").alias("n_digit"), X.count_chars("html", ".,;:!?").alias("n_punct"))
 
 
 @query("SC35", sql="""SELECT o_orderkey, strftime(o_orderdate, '%Y-%m-%d') AS day,

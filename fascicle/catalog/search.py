@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..operators import retrieval
-from ..session import load, scratch_path
+from ..session import load, scratch_path, spread
 from .registry import query
 
 
@@ -39,16 +39,6 @@ def similarity_top_k(spark, sf):
     return retrieval.top_k(embeddings, label_means(embeddings), 10)
 
 
-@query("RT1", sql="""WITH e AS (SELECT vec_id, CAST(embedding AS DOUBLE[]) AS v FROM embeddings)
-    SELECT a.vec_id AS query_id, b.vec_id AS id, round(list_cosine_similarity(a.v, b.v), 6) AS score,
-    row_number() OVER (PARTITION BY a.vec_id ORDER BY round(list_cosine_similarity(a.v, b.v), 6) DESC, b.vec_id) AS rank
-    FROM e a, e b WHERE a.vec_id <> b.vec_id QUALIFY rank <= 5""")
-def nearest_neighbours_of_all(spark, sf):
-    embeddings = load(spark, sf, "embeddings")
-    asked = embeddings.select(F.col("vec_id").alias("query_id"), "embedding")
-    return retrieval.top_k(embeddings, asked, 5, exclude_self=True)
-
-
 def _diverse_sql(k, candidates, diversity):
     """Greedy choice unrolled: one step per rank."""
     keep = 1 - diversity
@@ -118,6 +108,6 @@ _HASHED = r"""WITH t AS (SELECT doc_id, unnest(string_split_regex(lower(text), '
 @query("RT0", sql=_HASHED + " SELECT doc_id, lang, pos, round(CAST(CAST(n / norm AS FLOAT) AS DOUBLE), 5) AS weight FROM b JOIN l USING (doc_id) JOIN documents USING (doc_id)")
 def built_index(spark, sf):
     path = scratch_path(spark, "index")
-    index = retrieval.build_index(load(spark, sf, "documents"), path, "text", "doc_id", ["lang", "source"], retrieval.hashing_embedder())
+    index = retrieval.build_index(spread(load(spark, sf, "documents")), path, "text", "doc_id", ["lang", "source"], retrieval.hashing_embedder())
     cells = index.select("doc_id", "lang", F.posexplode("embedding").alias("pos", "w")).filter("w > 0")
     return cells.select("doc_id", "lang", F.col("pos").cast("bigint").alias("pos"), F.round(F.col("w").cast("double"), 5).alias("weight"))

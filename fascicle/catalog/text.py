@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from ..functions import text as X
 from ..functions.scalars import strip
 from ..operators import chunking, corpus
-from ..session import load
+from ..session import load, spread
 from .registry import query
 from .relational import _NORMAL, _PARETO, _rounded
 
@@ -20,7 +20,11 @@ _PROFILE = rf"""WITH d AS (SELECT doc_id, text, {_WORDS} AS w FROM documents),
     c AS (SELECT doc_id, x, count(*) AS n, min(p) AS f FROM t GROUP BY ALL),
     b AS (SELECT doc_id, first(x ORDER BY n DESC, f) AS common, count(*) AS uniq FROM c GROUP BY 1),
     e AS (SELECT doc_id, first(x ORDER BY length(x) DESC, p) AS lon, first(x ORDER BY length(x), p) AS sho, sum(length(x)) AS letters FROM t GROUP BY 1),
-    m AS (SELECT doc_id, text, {_MEASURES}, CAST(len(regexp_extract_all(lower(text), '{X.SYLLABLE}')) AS BIGINT) AS syl FROM d)"""
+    m AS (SELECT doc_id, text, {_MEASURES}, CAST(len(regexp_extract_all(lower(text), '[{X.VOWELS}]+')) AS BIGINT) AS syl FROM d)"""
+
+
+def _documents(spark, sf):
+    return spread(load(spark, sf, "documents"))
 
 
 @query("TX1", "AG8", "SC34", sql=_PROFILE + r""" SELECT m.doc_id, num_chars, num_words, num_sentences, num_paragraphs,
@@ -33,7 +37,7 @@ _PROFILE = rf"""WITH d AS (SELECT doc_id, text, {_WORDS} AS w FROM documents),
     coalesce(uniq, 0) AS num_unique_words, coalesce(lon, '') AS longest_word, coalesce(sho, '') AS shortest_word,
     coalesce(common, '') AS most_common_word FROM m LEFT JOIN b USING (doc_id) LEFT JOIN e USING (doc_id)""")
 def document_profile(spark, sf):
-    out = corpus.document_profile(load(spark, sf, "documents"), "doc_id", "text")
+    out = corpus.document_profile(_documents(spark, sf), "doc_id", "text")
     return out.withColumns({c: F.round(c, 6) for c in ("avg_word_length", "lexical_diversity", "readability")})
 
 
@@ -41,14 +45,14 @@ def document_profile(spark, sf):
     coalesce(round(letters / num_words, 6), 0) AS avg_word_length, coalesce(uniq, 0) AS num_unique_words
     FROM m LEFT JOIN b USING (doc_id) LEFT JOIN e USING (doc_id)""")
 def document_counts(spark, sf):
-    out = corpus.document_counts(load(spark, sf, "documents"), "doc_id", "text")
+    out = corpus.document_counts(_documents(spark, sf), "doc_id", "text")
     return out.withColumn("avg_word_length", F.round("avg_word_length", 6))
 
 
 @query("TX2", "WN2", "WN3", "WN4", "FL8", sql=_PARETO.format(term="string", source=f"""SELECT s AS string, count(*) AS frequency FROM
     (SELECT unnest({_NORMAL}) AS s FROM documents) WHERE s <> '' AND NOT regexp_matches(s, '[0-9]') GROUP BY 1"""))
 def corpus_pareto(spark, sf):
-    return _rounded(corpus.pareto_table(load(spark, sf, "documents"), "text"))
+    return _rounded(corpus.pareto_table(_documents(spark, sf), "text"))
 
 
 @query("TX3", "JN4", "WN1", sql=r"""WITH t AS (SELECT doc_id, unnest(string_split_regex(text, '\s+')) AS entry FROM documents),
@@ -74,14 +78,14 @@ _ENTRIES = r"""p AS (SELECT doc_id, list_filter(list_transform(string_split_rege
       '\b(fr)\s+fr /', '[[[\1]]] /', 'g'), '\b(de)\s+de /', '[[[\1]]] /', 'g'), '\b(es)\s+es /', '[[[\1]]] /', 'g'), '\b(src)\s+src /', '[[[\1]]] /', 'g') AS marked FROM j), """ + _ENTRIES)
 def repeated_headword_dictionary(spark, sf):
     body = F.concat(F.lit("Preface \n"), "lang", F.lit(" "), "lang", F.lit(" / "), "text", F.lit("\nthen  \nsrc  src / hyphen-\nated "), "source")
-    return corpus.repeated_headword_entries(load(spark, sf, "documents").select("doc_id", body.alias("t")), "doc_id", "t")
+    return corpus.repeated_headword_entries(_documents(spark, sf).select("doc_id", body.alias("t")), "doc_id", "t")
 
 
 @query("TX5", "SC20", sql=r"""WITH d AS (SELECT doc_id, 'Preface' || chr(10) || lang || ' ' || chr(10) || text || chr(10) || source || ' ' || chr(10) || 'the source' AS t FROM documents),
     m AS (SELECT doc_id, regexp_replace(t, '\n([\p{L}\p{N}_]+)\s\n', '[[[\1]]] /', 'g') AS marked FROM d), """ + _ENTRIES)
 def line_headword_dictionary(spark, sf):
     body = F.concat(F.lit("Preface\n"), "lang", F.lit(" \n"), "text", F.lit("\n"), "source", F.lit(" \nthe source"))
-    return corpus.line_headword_entries(load(spark, sf, "documents").select("doc_id", body.alias("t")), "doc_id", "t")
+    return corpus.line_headword_entries(_documents(spark, sf).select("doc_id", body.alias("t")), "doc_id", "t")
 
 
 @query("TX6", "FL7", "FL9", sql=r"""WITH u AS (SELECT regexp_replace(replace(replace(replace(replace(text, chr(10) || chr(10), '\pp'), chr(10), ' '),
@@ -90,7 +94,7 @@ def line_headword_dictionary(spark, sf):
     SELECT DISTINCT regexp_replace(x, '^\s+|\s+$', '', 'g') AS sentence FROM s
     WHERE regexp_matches(regexp_replace(x, '^\s+|\s+$', '', 'g'), '[.!?]$')""")
 def sentence_table(spark, sf):
-    return corpus.sentence_table(load(spark, sf, "documents"), "text")
+    return corpus.sentence_table(_documents(spark, sf), "text")
 
 
 _NOUNS = r"""WITH a AS (SELECT DISTINCT doc_id, word, 'NN' AS tag, lower(word) AS string FROM
@@ -100,13 +104,13 @@ _NOUNS = r"""WITH a AS (SELECT DISTINCT doc_id, word, 'NN' AS tag, lower(word) A
 
 @query("TX7", "JN2", "UD3", "SG1", "SC15", sql=_NOUNS + " SELECT doc_id, string, word, tag, 'NN' AS lower_tag, 'NN' AS upper_tag FROM a")
 def stable_nouns(spark, sf):
-    return corpus.stable_nouns(load(spark, sf, "documents"), "doc_id", "text")
+    return corpus.stable_nouns(_documents(spark, sf), "doc_id", "text")
 
 
 @query("TX7", "FL5", "FL6", sql=_NOUNS + ", n AS (" + _PARETO.format(
     term="string", source="SELECT string, count(*) AS frequency FROM a GROUP BY 1 HAVING count(*) > 1") + ") SELECT * FROM n WHERE pareto < 80")
 def noun_pareto(spark, sf):
-    nouns = corpus.stable_nouns(load(spark, sf, "documents"), "doc_id", "text")
+    nouns = corpus.stable_nouns(_documents(spark, sf), "doc_id", "text")
     return corpus.below_share(_rounded(corpus.noun_frequencies(nouns)))
 
 
@@ -116,12 +120,12 @@ def noun_pareto(spark, sf):
     WHERE regexp_full_match(x, '[A-Z]{2,}')""")
 def entity_table(spark, sf):
     rules = [("NUMBER", "[0-9]+"), ("EMAIL", r"[\w.+-]+@[\w-]+\.[\w.]+"), ("CODE", r"(?U)\b[A-Z]{2,}\b")]
-    return corpus.entities(load(spark, sf, "documents"), "doc_id", "text", rules)
+    return corpus.entities(_documents(spark, sf), "doc_id", "text", rules)
 
 
 @query("TX9", sql=r"""SELECT doc_id, array_to_string(regexp_extract_all(text, '\p{Lu}\p{L}*(?: \p{Lu}\p{L}*)+'), '|') AS phrases FROM documents""")
 def phrase_lists(spark, sf):
-    return corpus.phrase_lists(load(spark, sf, "documents"), "doc_id", "text").withColumn("phrases", F.array_join("phrases", "|"))
+    return corpus.phrase_lists(_documents(spark, sf), "doc_id", "text").withColumn("phrases", F.array_join("phrases", "|"))
 
 
 @query("TX10", "SG4", "SL7", sql="""SELECT unnest([p_brand, p_type, p_name]) AS parts FROM part""")
@@ -139,19 +143,19 @@ def sorted_array(spark, sf):
 @query("TX11", sql=r"""WITH c AS (SELECT doc_id, text, unnest(range(0, greatest(CAST(ceil((length(text) - 120) / 2880.0) AS BIGINT), 1))) AS chunk_id FROM documents)
     SELECT doc_id, chunk_id, substr(text, chunk_id * 2880 + 1, 3000) AS chunk FROM c""")
 def fixed_stride_chunks(spark, sf):
-    return chunking.fixed_chunks(load(spark, sf, "documents").select("doc_id", "text"), "text")
+    return chunking.fixed_chunks(_documents(spark, sf).select("doc_id", "text"), "text")
 
 
 @query("TX11", "UD3")
 def recursive_chunks(spark, sf):
-    return chunking.recursive_chunks(load(spark, sf, "documents").select("doc_id", "text"), "text")
+    return chunking.recursive_chunks(_documents(spark, sf).select("doc_id", "text"), "text")
 
 
 @query("TX11", sql=r"""SELECT doc_id, CAST(length(regexp_replace(text, '\s', '', 'g')) AS BIGINT) AS covered, TRUE AS sized, TRUE AS verbatim FROM documents""")
 def recursive_chunk_coverage(spark, sf):
     """Chunks are verbatim, within size, and together hold every non-blank character once the
     overlaps are taken off."""
-    docs = load(spark, sf, "documents").select("doc_id", "text", F.col("text").alias("whole"))
+    docs = _documents(spark, sf).select("doc_id", "text", F.col("text").alias("whole"))
     chunks = chunking.recursive_chunks(docs, "text", span=True)
     before = F.coalesce(F.col("previous"), F.lit(0))
     from pyspark.sql import Window as W
@@ -174,7 +178,7 @@ _STRIDE = r"""WITH c AS (SELECT doc_id, lang, source, text, unnest(range(0, grea
 
 @query("TX12", "SC1", "SC11", "SC23", "SC24", sql=_STRIDE)
 def finished_chunks(spark, sf):
-    docs = load(spark, sf, "documents").select(
+    docs = _documents(spark, sf).select(
         F.concat(F.lit("/d"), F.col("doc_id").cast("string"), F.lit(".pdf")).alias("doc"),
         F.when(F.col("lang") == "en", "None").otherwise(F.col("lang")).alias("ATA"), F.col("source").alias("parts"), "text")
     return chunking.finish_chunks(chunking.fixed_chunks(docs, "text"), boilerplate="Heron")

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .scalars import ColumnOrName, col
+from .scalars import ColumnOrName, bound, col
 
 
 def parse(c: ColumnOrName) -> Column:
@@ -44,14 +44,16 @@ def result_or_text(c: ColumnOrName) -> Column:
 def task_array(c: ColumnOrName, element: T.DataType) -> Column:
     """Stage output as an array of ``element``: an object that holds ``tasks`` gives that list,
     an array stays, a single object is wrapped."""
-    text = col(c)
-    listed = T.StructType([T.StructField("tasks", T.ArrayType(element))])
-    kind = F.schema_of_variant(parse(text))
-    return (
-        F.when(field(text, "tasks").isNotNull(), F.from_json(text, listed)["tasks"])
-        .when(kind.startswith("ARRAY"), F.from_json(text, T.ArrayType(element)))
-        .when(kind.startswith("OBJECT"), F.array(F.from_json(text, element)))
-    )
+    one = element.simpleString()
+
+    def read(v: Column) -> Column:
+        single = F.try_variant_get(v, "$", one)
+        return F.coalesce(
+            F.try_variant_get(v, "$.tasks", f"array<{one}>"), F.try_variant_get(v, "$", f"array<{one}>"),
+            F.when(single.isNotNull(), F.array(single)),
+        )
+
+    return bound(parse(c), read)
 
 
 def discover_schema(df: DataFrame, column: str) -> T.DataType:
@@ -139,14 +141,12 @@ def flatten(
     return df.withColumns(new)
 
 
-def with_image_descriptions(pages: ColumnOrName, descriptions: ColumnOrName, markdown_alt: Column | None = None) -> Column:
+def with_image_descriptions(pages: ColumnOrName, descriptions: ColumnOrName) -> Column:
     """Rewrite an array of page structs: ``description`` on every image, ``markdown_alt`` on
     every page, all other fields kept. ``descriptions`` maps image id to text."""
     from .text import alt_text, describe_images
 
-    texts = col(descriptions)
-
-    def page(p: Column) -> Column:
+    def page(p: Column, texts: Column) -> Column:
         images = F.transform(
             p["images"], lambda im: im.withField("description", F.element_at(texts, im["id"]))
         )
@@ -156,7 +156,7 @@ def with_image_descriptions(pages: ColumnOrName, descriptions: ColumnOrName, mar
         )
         return p.withField("images", images).withField("markdown_alt", describe_images(p["markdown"], known))
 
-    return F.transform(col(pages), page)
+    return bound(col(descriptions), lambda texts: F.transform(col(pages), lambda p: page(p, texts)))
 
 
 def binding_rows(df: DataFrame, column: str, names: list[str]) -> DataFrame:

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Sequence
+from collections.abc import Callable, Iterable, Sequence
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -15,6 +15,12 @@ def col(c: ColumnOrName) -> Column:
     return c if isinstance(c, Column) else F.col("`" + c.replace("`", "``") + "`")
 
 
+def bound(value: Column, use: Callable[[Column], Column]) -> Column:
+    """``use(value)`` with ``value`` computed once, however often ``use`` mentions it. Matters
+    inside higher-order functions, where a repeated expression runs again per element."""
+    return F.get(F.transform(F.array(value), lambda v: use(v)), 0)
+
+
 def is_blank(c: ColumnOrName) -> Column:
     """NULL, empty or whitespace only: delimited files cannot tell these apart."""
     c = col(c)

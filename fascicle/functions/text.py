@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from .scalars import ColumnOrName, col, replace_all
+from .scalars import ColumnOrName, bound, col, replace_all
 
 # The 32 ASCII punctuation marks.
 PUNCTUATION = "!\"#$%&'()*+,-./:;<=>?@[\\]^_`{|}~"
@@ -124,12 +124,24 @@ def pages_text(pages: ColumnOrName, enriched: bool = False) -> Column:
 
 # Sentence and syllable counts follow the two rules below; they stand in for the
 # readability library, so those counts are rule-based approximations.
-SENTENCE_END = r"[.!?]+"
-SYLLABLE = r"[aeiouyàâäéèêëîïôöùûü]+"
+SENTENCE_MARKS = ".!?"
+VOWELS = "aeiouyàâäéèêëîïôöùûü"
 
 
-def count_matches(text: ColumnOrName, pattern: str) -> Column:
-    return F.regexp_count(col(text), F.lit(pattern)).cast("bigint")
+def count_chars(text: ColumnOrName, members: str) -> Column:
+    """Characters of a class, given as the inside of a bracket expression. What is not in the
+    class is removed run by run, which builds no array of matches."""
+    return F.length(F.regexp_replace(col(text), f"[^{members}]+", "")).cast("bigint")
+
+
+def count_runs(text: ColumnOrName, members: str) -> Column:
+    """Maximal runs of characters of a class."""
+    return F.regexp_count(col(text), F.lit(f"[{members}]+")).cast("bigint")
+
+
+def count_lines(text: ColumnOrName) -> Column:
+    """Line breaks plus one."""
+    return (F.length(col(text)) - F.length(F.replace(col(text), F.lit("\n"), F.lit(""))) + 1).cast("bigint")
 
 
 def grade_level(n_words: Column, n_sentences: Column, n_syllables: Column) -> Column:
@@ -149,27 +161,22 @@ def first_by(tokens: ColumnOrName, longest: bool) -> Column:
 
 
 def most_common(tokens: ColumnOrName) -> Column:
-    """The most frequent token of an array, first-seen wins ties.
+    """The most frequent token of an array, first-seen wins ties; tokens hold no line break.
 
-    Sorting (token, position) pairs puts equal tokens next to each other, so one fold over
-    the sorted array keeps the best run. Stays inside the row: no explode and no shuffle.
+    Sorting puts equal tokens next to each other, one pattern takes the runs out, and the
+    first token of the text that belongs to a longest run is the answer. Stays inside the row:
+    no explode and no shuffle.
     """
-    pairs = F.array_sort(F.transform(col(tokens), lambda w, i: F.struct(w.alias("w"), i.alias("p"))))
-    start = F.struct(
-        F.lit("").alias("w"), F.lit(-1).alias("p"), F.lit(0).alias("n"),
-        F.lit("").alias("bw"), F.lit(-1).alias("bp"), F.lit(0).alias("bn"),
-    )
-
-    def step(acc: Column, x: Column) -> Column:
-        same = (acc["w"] == x["w"]) & (acc["n"] > 0)
-        n = F.when(same, acc["n"] + 1).otherwise(F.lit(1))
-        first = F.when(same, acc["p"]).otherwise(x["p"])
-        better = (n > acc["bn"]) | ((n == acc["bn"]) & (first < acc["bp"]))
-        return F.struct(
-            x["w"].alias("w"), first.alias("p"), n.alias("n"),
-            F.when(better, x["w"]).otherwise(acc["bw"]).alias("bw"),
-            F.when(better, first).otherwise(acc["bp"]).alias("bp"),
-            F.when(better, n).otherwise(acc["bn"]).alias("bn"),
-        )
-
-    return F.aggregate(pairs, start, step, lambda acc: acc["bw"])
+    words_ = col(tokens)
+    sorted_lines = F.concat(F.array_join(F.sort_array(words_), "\n"), F.lit("\n"))
+    runs = F.regexp_extract_all(sorted_lines, F.lit(r"([^\n]+\n)\1*"), F.lit(0))
+    sized = F.transform(runs, lambda r: F.struct(
+        (F.length(r) / F.instr(r, "\n")).alias("n"), F.substring_index(r, "\n", 1).alias("w")))
+
+    def first_of_longest(table: Column, longest: Column) -> Column:
+        tied = F.filter(table, lambda t: t["n"] == longest)
+        return F.get(F.array_intersect(words_, F.transform(tied, lambda t: t["w"])), 0)
+
+    found = bound(sized, lambda table: bound(
+        F.array_max(F.transform(table, lambda t: t["n"])), lambda longest: first_of_longest(table, longest)))
+    return F.coalesce(found, F.lit(""))

@@ -16,25 +16,29 @@ MAX_CELL = 64 * 1024 * 1024
 
 
 def concat_groups(df: DataFrame, key: str, text: str, order: str, sep: str = "\n\n",
-                  output: str = "chunk_concat", max_chars: int = MAX_CELL) -> DataFrame:
+                  output: str = "chunk_concat", max_chars: int = MAX_CELL, bounded: bool = False) -> DataFrame:
     """Text of each group joined in order, one row per (key, part).
 
     A group up to ``max_chars`` is one row, part 0. One cell cannot hold a group of any size,
     so a longer group is given as consecutive parts, whole and in order. Lengths are summed
     first, with partial sums before the shuffle, to find the long groups; only those take the
     range-partitioned path, and no task ever collects more than one part.
+
+    ``bounded`` skips that pass over the input. Use it only where a group is known to fit a
+    cell, as when all its rows were cut from one document row.
     """
     rows = df.select(col(key).alias(key), col(order).alias("_order"), col(text).alias("_text"))
     size = (F.coalesce(F.length("_text"), F.lit(0)) + len(sep)).cast("bigint")
+    whole = rows.withColumn("part", F.lit(0).cast("bigint"))
     long_keys = rows.groupBy(col(key)).agg(F.sum(size).alias("_size")).filter(F.col("_size") > max_chars + len(sep)).select(col(key))
 
     def joined(part: DataFrame) -> DataFrame:
         ordered = F.expr(f"listagg(_text, {_sql_text(sep)}) WITHIN GROUP (ORDER BY _order)")
         return part.groupBy(col(key), F.col("part")).agg(ordered.alias(output))
 
-    if long_keys.isEmpty():
-        return joined(rows.withColumn("part", F.lit(0).cast("bigint")))
-    short = rows.join(long_keys, key, "left_anti").withColumn("part", F.lit(0).cast("bigint"))
+    if bounded or long_keys.isEmpty():
+        return joined(whole)
+    short = whole.join(long_keys, key, "left_anti")
     laid = running_totals(rows.join(long_keys, key, "left_semi"), order=[F.col("_order")], sums={"_end": size}, keys=[key])
     cut = laid.withColumn("part", F.floor((F.col("_end") - size) / F.lit(max_chars)).cast("bigint")).drop("_end")
     return joined(short.unionByName(cut))

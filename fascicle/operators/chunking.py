@@ -117,5 +117,6 @@ def finish_chunks(df: DataFrame, boilerplate: str | None = None, topic: str = "A
     parts_note = F.when(is_blank("parts"), F.lit("")).otherwise(F.concat(F.lit("\n\n*Parts* (llm annotation): "), F.col("parts"), F.lit("\n")))
     body = join_text("chunk", topic_note, parts_note)
     if boilerplate:
-        body = replace_all(body, [(f".*{boilerplate}.*", None)], pattern=True)
+        # anchored per line: an open start would retry the rest of the line at every character
+        body = replace_all(body, [(f"(?m)^.*{boilerplate}.*$", None)], pattern=True)
     return out.withColumn("chunk", body).withColumn("length", F.length("chunk").cast("bigint"))

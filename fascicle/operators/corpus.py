@@ -21,25 +21,31 @@ def document_profile(df: DataFrame, doc: str, text: str) -> DataFrame:
     approximations; the rest is exact.
     """
     t, w = col(text), F.col("_words")
-    base = df.select(col(doc), t, X.words(t).alias("_words"))
-    n_words = F.size(w).cast("bigint")
-    n_unique = F.size(F.array_distinct(w)).cast("bigint")
-    # total word length is the text without whitespace
-    letters = F.length(F.regexp_replace(t, r"\s+", "")).cast("bigint")
-    sentences = X.count_matches(t, X.SENTENCE_END)
-    mean = F.when(n_words > 0, letters / n_words).otherwise(F.lit(0.0))
-    diversity = F.when(n_words > 0, n_unique / n_words).otherwise(F.lit(0.0))
-    return base.select(
+    split = df.select(col(doc), t, X.words(t).alias("_words"))
+    counted = split.select(
         col(doc),
-        F.length(t).cast("bigint").alias("num_chars"), n_words.alias("num_words"), sentences.alias("num_sentences"),
-        (X.count_matches(t, "\n") + 1).alias("num_paragraphs"),
-        X.count_matches(t, r"\p{Lu}").alias("num_uppercase"), X.count_matches(t, r"\p{Ll}").alias("num_lowercase"),
-        X.count_matches(t, r"\p{Nd}").alias("num_digits"), X.count_matches(t, "[.,;:!?]").alias("num_punctuation"),
-        mean.alias("avg_word_length"), diversity.alias("lexical_diversity"),
-        X.grade_level(n_words, sentences, X.count_matches(F.lower(t), X.SYLLABLE)).alias("readability"),
-        n_unique.alias("num_unique_words"), X.first_by(w, True).alias("longest_word"),
+        F.length(t).cast("bigint").alias("num_chars"), F.size(w).cast("bigint").alias("num_words"),
+        X.count_runs(t, X.SENTENCE_MARKS).alias("num_sentences"), X.count_lines(t).alias("num_paragraphs"),
+        X.count_chars(t, r"\p{Lu}").alias("num_uppercase"), X.count_chars(t, r"\p{Ll}").alias("num_lowercase"),
+        X.count_chars(t, r"\p{Nd}").alias("num_digits"), X.count_chars(t, ".,;:!?").alias("num_punctuation"),
+        # total word length is the text without whitespace
+        F.length(F.regexp_replace(t, r"\s+", "")).alias("_letters"),
+        X.count_runs(F.lower(t), X.VOWELS).alias("_syllables"),
+        F.size(F.array_distinct(w)).cast("bigint").alias("num_unique_words"), X.first_by(w, True).alias("longest_word"),
         X.first_by(w, False).alias("shortest_word"), X.most_common(w).alias("most_common_word"),
     )
+    n_words = F.col("num_words")
+
+    def per_word(total: str) -> Column:
+        return F.when(n_words > 0, F.col(total) / n_words).otherwise(F.lit(0.0))
+
+    return counted.select(
+        col(doc), "num_chars", "num_words", "num_sentences", "num_paragraphs",
+        "num_uppercase", "num_lowercase", "num_digits", "num_punctuation",
+        per_word("_letters").alias("avg_word_length"), per_word("num_unique_words").alias("lexical_diversity"),
+        X.grade_level(n_words, F.col("num_sentences"), F.col("_syllables")).alias("readability"),
+        "num_unique_words", "longest_word", "shortest_word", "most_common_word",
+    )
 
 
 def document_counts(df: DataFrame, doc: str, text: str) -> DataFrame:
@@ -49,7 +55,7 @@ def document_counts(df: DataFrame, doc: str, text: str) -> DataFrame:
     mean = F.when(n_words > 0, F.length(F.regexp_replace(t, r"\s+", "")) / n_words).otherwise(F.lit(0.0))
     return df.select(col(doc), t, X.words(t).alias("_words")).select(
         col(doc), F.length(t).cast("bigint").alias("num_chars"), n_words.alias("num_words"),
-        X.count_matches(t, X.SENTENCE_END).alias("num_sentences"), (X.count_matches(t, "\n") + 1).alias("num_paragraphs"),
+        X.count_runs(t, X.SENTENCE_MARKS).alias("num_sentences"), X.count_lines(t).alias("num_paragraphs"),
         mean.alias("avg_word_length"), F.size(F.array_distinct(w)).cast("bigint").alias("num_unique_words"),
     )
 

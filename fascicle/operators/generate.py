@@ -23,12 +23,18 @@ def concat_arrays(df: DataFrame, output: str, names: Sequence[str]) -> DataFrame
 
 
 def fold_array(df: DataFrame, column: str, element: str = "string") -> DataFrame:
-    """One row per element of an array, given as an array or as JSON text."""
+    """One row per element of an array, given as an array or as JSON text.
+
+    The outer explode with its own filter stands for a plain one on purpose: for that the
+    optimizer adds a size filter and computes an expensive array column a second time.
+    """
     value = col(column)
     if df.schema[column].dataType.typeName() == "string":
         value = F.from_json(value, f"array<{element}>")
     others = [col(c) for c in df.columns if c != column]
-    return df.select(*others, F.explode(value).alias(column)).select(*map(col, df.columns))
+    wrapped = F.transform(value, lambda x: F.struct(x.alias("v")))
+    rows = df.select(*others, F.explode_outer(wrapped).alias("_e")).filter(F.col("_e").isNotNull())
+    return rows.select(*[F.col("_e.v").alias(c) if c == column else col(c) for c in df.columns])
 
 
 def split_fold(df: DataFrame, column: str, sep: str = ",") -> DataFrame:

@@ -7,9 +7,10 @@ partitions otherwise, so a lookup table that grows cannot exhaust executor memor
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from ..functions import paths
@@ -38,29 +39,43 @@ def copy_columns(left: DataFrame, right: DataFrame, left_key: str, right_key: st
     return left.join(side, col(left_key) == F.col("_key"), "left").drop("_key")
 
 
-def closest_lookup(left: DataFrame, right: DataFrame, left_key: str, right_key: str, columns: Sequence[str],
-                   block: Column, right_block: Column, max_distance: int = 1, max_matches: int = 1,
-                   normalise: bool = False, prefix: str = "") -> DataFrame:
-    """Lookup that accepts keys within an edit distance.
+def _deletions(key: Column, distance: int) -> Column:
+    """The key and every text left after deleting up to ``distance`` characters."""
+    found = F.array(key)
+    for _ in range(distance):
+        shorter = F.transform(found, lambda k: F.transform(
+            F.sequence(F.lit(1), F.greatest(F.length(k), F.lit(1))),
+            lambda i: F.concat(F.substring(k, F.lit(1), i - 1), F.substring(k, i + 1, F.length(k)))))
+        found = F.array_distinct(F.concat(found, F.flatten(shorter)))
+    return found
+
 
-    Candidates meet on an equal block key only, so it stays an equi-join; the nearest
-    ``max_matches`` per distinct left key are kept, ties by right key. Distinct left keys are
-    matched once and joined back, so a frequent key costs no more than a rare one.
+def closest_lookup(left: DataFrame, right: DataFrame, left_key: str, right_key: str, columns: Sequence[str],
+                   max_distance: int = 1, max_matches: int = 1, normalise: bool = False, prefix: str = "") -> DataFrame:
+    """Lookup that accepts keys within an edit distance; meant for distances of 1 or 2.
+
+    Two texts within distance n share a text reached by at most n deletions from each, so the
+    candidates come from an equi-join on those and are then measured: exact, and never all
+    pairs. The nearest ``max_matches`` per distinct left key are kept, ties by right key.
+    Distinct left keys are matched once and joined back, so a frequent key costs no more than
+    a rare one.
     """
     clean = (lambda c: F.lower(F.trim(c))) if normalise else (lambda c: c)
-    keys = left.select(col(left_key).alias("_lk"), block.alias("_b")).distinct()
-    side = right.select(col(right_key).alias("_rk"), right_block.alias("_b"), *[col(c).alias(prefix + c) for c in columns])
-    from pyspark.sql import Window as W
 
+    def variants(df: DataFrame, key: str, name: str) -> DataFrame:
+        keys = df.select(col(key).alias(name)).filter(F.col(name).isNotNull()).distinct()
+        return keys.select(name, F.explode(_deletions(clean(F.col(name)), max_distance)).alias("_v"))
+
+    distance = F.levenshtein(clean(F.col("_lk")), clean(F.col("_rk")))
+    pairs = variants(left, left_key, "_lk").join(variants(right, right_key, "_rk"), "_v").select("_lk", "_rk").distinct()
+    nearest = W.partitionBy("_lk").orderBy("_d", "_rk")
     near = (
-        keys.join(side, "_b")
-        .withColumn("_d", F.levenshtein(clean(F.col("_lk")), clean(F.col("_rk"))))
-        .filter(F.col("_d") <= max_distance)
-        .withColumn("_r", F.row_number().over(W.partitionBy("_lk").orderBy("_d", "_rk")))
-        .filter(F.col("_r") <= max_matches)
-        .drop("_b", "_d", "_r", "_rk")
+        pairs.withColumn("_d", distance).filter(F.col("_d") <= max_distance)
+        .withColumn("_r", F.row_number().over(nearest)).filter(F.col("_r") <= max_matches).select("_lk", "_rk")
     )
-    return left.join(near, col(left_key) == F.col("_lk"), "left").drop("_lk")
+    side = right.select(col(right_key).alias("_rk"), *[col(c).alias(prefix + c) for c in columns])
+    found = near.join(side, "_rk").drop("_rk")
+    return left.join(found, col(left_key) == F.col("_lk"), "left").drop("_lk")
 
 
 def within_days(left_time: Column, right_time: Column, back: int, ahead: int) -> Column:

@@ -15,8 +15,9 @@ from ..functions.scalars import col
 
 # Query vectors held by every executor at once; larger query sets are matched block by block.
 MAX_SHARED_QUERIES = 4096
-# Rows of one block of the block-by-block form.
+# Rows of one block of the block-by-block form, and index rows scored at a time.
 BLOCK_ROWS = 8192
+SLICE_ROWS = 1024
 # Scores are compared after rounding, so that equal vectors tie whatever the summing order.
 SCORE_DIGITS = 6
 
@@ -47,15 +48,23 @@ class _Running:
 
     def __init__(self, n: int, k: int):
         self.k, self.ids, self.scores = k, [np.array([])] * n, [np.array([])] * n
+        self.floor = np.full(n, -np.inf)  # score a new row must reach to matter
 
     def add(self, queries: np.ndarray, ids: np.ndarray, vectors: np.ndarray) -> None:
+        for at in range(0, len(ids), SLICE_ROWS):
+            self._add(queries, ids[at:at + SLICE_ROWS], vectors[at:at + SLICE_ROWS])
+
+    def _add(self, queries: np.ndarray, ids: np.ndarray, vectors: np.ndarray) -> None:
         block = np.round(queries @ vectors.T, SCORE_DIGITS) + 0.0
-        for q in range(len(queries)):
-            top = _best(ids, block[q], self.k)
-            all_ids = np.concatenate([self.ids[q], ids[top]]) if len(self.ids[q]) else ids[top]
-            all_scores = np.concatenate([self.scores[q], block[q][top]])
+        hits = block >= self.floor[:, None]
+        for q in np.flatnonzero(hits.any(axis=1)):
+            new = np.flatnonzero(hits[q])
+            all_ids = np.concatenate([self.ids[q], ids[new]]) if len(self.ids[q]) else ids[new]
+            all_scores = np.concatenate([self.scores[q], block[q][new]])
             keep = _best(all_ids, all_scores, self.k)
             self.ids[q], self.scores[q] = all_ids[keep], all_scores[keep]
+            if len(keep) == self.k:
+                self.floor[q] = self.scores[q][-1]
 
     def rows(self, query_ids: Sequence) -> pd.DataFrame:
         counts = [len(i) for i in self.ids]

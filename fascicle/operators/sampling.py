@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from ..functions.scalars import col, seeded_order
+from ..functions.scalars import col, seeded_integer, seeded_order
+from ..session import materialise
 
 
 def by_count(df: DataFrame, count: str, term: str) -> DataFrame:
@@ -22,12 +24,21 @@ def head(df: DataFrame, n: int, *order: str) -> DataFrame:
 
 
 def exact_sample(df: DataFrame, n: int, seed: object, *keys: str) -> DataFrame:
-    """Exactly ``min(n, rows)`` rows, the same ones on every run.
+    """Exactly ``min(n, rows)`` rows, the same ones on every run: those with the smallest hash
+    of seed and key.
 
-    Rows are ordered by a hash of seed and key; ordering with a limit keeps ``n`` rows per
-    task and merges, so nothing is fully sorted.
+    On a large table a hash limit first keeps slightly more than ``n`` rows, so that tasks send
+    about ``n`` rows in total instead of ``n`` each. Those few are stored and counted; should
+    they ever be too few, the limit is dropped and the result is the same.
     """
-    return df.orderBy(seeded_order(seed, *keys), *map(col, keys)).limit(n)
+    ranked = df.withColumn("_h", seeded_order(seed, *keys))
+    order = [F.col("_h"), *map(col, keys)]
+    total = df.count()
+    if total > 10 * n:
+        share = (n + 10 * math.sqrt(n) + 50) / total
+        few = materialise(ranked.filter(F.col("_h") < f"{int(share * 16 ** 10):010x}"))
+        ranked = few if few.count() >= n else ranked
+    return ranked.orderBy(*order).limit(n).drop("_h")
 
 
 def balanced_sample(df: DataFrame, n: int, seed: object, group: str, *keys: str) -> DataFrame:
@@ -52,8 +63,6 @@ def _ranked(df: DataFrame, seed: object, group: str, keys: Sequence[str]) -> Dat
 
 def ratio_sample(df: DataFrame, ratio: float, seed: object, *keys: str) -> DataFrame:
     """Rows whose key hash falls below the ratio: no shuffle at all."""
-    from ..functions.scalars import seeded_integer
-
     return df.filter(seeded_integer(seed, *keys, low=0, high=1_000_000) < int(ratio * 1_000_000))
 
 

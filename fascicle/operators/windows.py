@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from ..functions.scalars import col
+from ..functions.scalars import bound, col
 from ..session import materialise
 
 
@@ -74,14 +74,15 @@ def pareto(freqs: DataFrame, term: str = "string", freq: str = "frequency", runn
     more than the total. The running sum, ordered by falling frequency and then term, is
     range-partitioned.
     """
-    classes = freqs.groupBy(col(freq)).agg(F.count("*").alias("_n"))
+    # from here on everything reads the stored running sums; the counting runs once
+    summed = running_totals(freqs, order=[Descending(freq), col(term)], sums={running: col(freq)})
+    classes = summed.groupBy(col(freq)).agg(F.count("*").alias("_n"))
     above = W.orderBy(col(freq).desc()).rowsBetween(W.unboundedPreceding, -1)
     ranked = classes.select(
         col(freq),
         (F.coalesce(F.sum("_n").over(above), F.lit(0)) + 1).cast("bigint").alias("rank"),
         F.sum(F.col("_n") * col(freq)).over(W.partitionBy()).alias("_total"),
     )
-    summed = running_totals(freqs, order=[Descending(freq), col(term)], sums={running: col(freq)})
     return summed.join(ranked, freq).select(
         *[col(c) for c in freqs.columns],
         (col(freq) / F.col("_total")).alias("relative_frequency"), "rank",
@@ -137,9 +138,10 @@ def running_sum_in(df: DataFrame, group: str, order: Sequence[Column], value: st
 def pair_with_next(items: Column, entry: str = "entry", definition: str = "definition") -> Column:
     """Array of (item, following item) pairs taken at every second position, starting at the
     second item: the marked headword and the text after it."""
-    positions = F.sequence(F.lit(1), F.greatest(F.size(items) - 1, F.lit(1)), F.lit(2))
-    pairs = F.transform(
-        positions,
-        lambda i: F.struct(F.get(items, i).alias(entry), F.coalesce(F.get(items, i + 1), F.lit("")).alias(definition)),
-    )
-    return F.when(F.size(items) > 1, pairs)
+
+    def pairs(xs: Column) -> Column:
+        positions = F.sequence(F.lit(1), F.greatest(F.size(xs) - 1, F.lit(1)), F.lit(2))
+        return F.when(F.size(xs) > 1, F.transform(positions, lambda i: F.struct(
+            F.get(xs, i).alias(entry), F.coalesce(F.get(xs, i + 1), F.lit("")).alias(definition))))
+
+    return bound(items, pairs)

@@ -42,4 +42,4 @@ def chunk_and_fold(documents: DataFrame, min_length: int = MIN_LENGTH_PLAIN) ->
 
     chunks = chunking.fixed_chunks(documents.select(F.col("doc_id").alias("doc"), "text"), "text")
     measured = chunks.withColumn("length", F.length("chunk").cast("bigint"))
-    return concat_groups(filter_chunks(measured, [], min_length), "doc", "chunk", "chunk_id")
+    return concat_groups(filter_chunks(measured, [], min_length), "doc", "chunk", "chunk_id", bounded=True)

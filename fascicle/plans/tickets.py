@@ -139,10 +139,10 @@ def history_text(df: DataFrame, stages: dict[str, str], output: str = "analysis_
 def task_chunks(df: DataFrame, code: str = "ATA_code", category: str = "ATA_category", event: str = "nc_event_id",
                 date: Column | str = "nc_event_date") -> DataFrame:
     """One markdown text per task of each ticket: (doc, chunk, chunk_id)."""
-    rows = predicates.all_rules(df, [F.size("analysis_history") > 0]).select(
+    rows = df.select(
         col(code).alias("code"), col(category).alias("category"), col(event).alias("event"),
-        col(date).alias("event_date"), F.explode("analysis_history").alias("t"),
-    )
+        col(date).alias("event_date"), F.explode_outer("analysis_history").alias("t"),
+    ).filter(F.col("t.task").isNotNull())
     text = join_text(
         F.lit("##"), "code", F.lit(" ("), "category", F.lit(") - "), F.col("t.task"), F.lit(": "), F.col("t.label"),
         F.lit("\n\nnc_event_id: "), "event", F.lit("\nnc_event_date: "), "event_date",
@@ -157,6 +157,6 @@ def task_chunks(df: DataFrame, code: str = "ATA_code", category: str = "ATA_cate
 
 def ticket_documents(chunks: DataFrame) -> DataFrame:
     """Task texts of each ticket joined into one document, in chunk-id order."""
-    return aggregates.concat_groups(chunks, "doc", "chunk", "chunk_id")
+    return aggregates.concat_groups(chunks, "doc", "chunk", "chunk_id", bounded=True)
 
 

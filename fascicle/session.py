@@ -38,6 +38,16 @@ def load(spark: SparkSession, folder: str, *names: str) -> DataFrame | tuple[Dat
     return frames[0] if len(frames) == 1 else frames
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """At least one task per core for a CPU-heavy step over a table with few splits.
+
+    A large table has more splits than the cluster has cores and is returned as it is, so this
+    shuffles only small inputs. Pass a plain scan or projection of one.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df if df.rdd.getNumPartitions() >= cores else df.repartition(cores)
+
+
 def shared_dir(spark: SparkSession) -> str:
     """Folder all executors can reach: the cluster's ``spark.checkpoint.dir``.
 

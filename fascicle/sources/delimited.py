@@ -15,7 +15,6 @@ MANAGED = {"sep": "\t", "quote": '"', "escape": "\\", "header": "false", "encodi
 UPLOADED = {"sep": ";", "quote": '"', "escape": '"', "header": "true", "encoding": "UTF-8", "multiLine": "true"}
 
 _NESTED = (T.ArrayType, T.MapType, T.StructType)
-# A value that CSV must keep apart from a missing one is not kept apart here: blank is NULL.
 _INSTANT = "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"
 
 
@@ -23,7 +22,7 @@ def _is_nested(f: T.StructField) -> bool:
     return isinstance(f.dataType, _NESTED)
 
 
-def write_managed(df: DataFrame, path: str, compression: str = "gzip", multi_line: bool = False) -> None:
+def write_managed(df: DataFrame, path: str, compression: str = "gzip") -> None:
     """Tab-separated, no header; arrays, maps and structs as JSON text; line breaks inside a
     value as they are.
 

@@ -73,7 +73,9 @@ def write_one_file_per_row(df: DataFrame, folder: str, name: str, text: str, suf
     def write(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         from pyarrow import fs
 
-        system, root = fs.FileSystem.from_uri(folder) if "://" in folder or folder.startswith("file:") else (fs.LocalFileSystem(), folder)
+        has_scheme = "://" in folder or folder.startswith("file:")
+        uri = folder.replace("s3a://", "s3://", 1)
+        system, root = fs.FileSystem.from_uri(uri) if has_scheme else (fs.LocalFileSystem(), folder)
         system.create_dir(root, recursive=True)
         for batch in batches:
             out = []
