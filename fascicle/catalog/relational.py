@@ -423,7 +423,7 @@ def running_sum_large_groups(spark, sf):
     SELECT conv_id, turn, i AS pos, items[i + 1] AS entry, coalesce(items[i + 2], '') AS definition FROM p""")
 def shifted_pairs(spark, sf):
     pairs = windows.pair_with_next(X.words("text"))
-    rows = load(spark, sf, "conversations").select("conv_id", "turn", F.posexplode(pairs).alias("i", "p"))
+    rows = spread(load(spark, sf, "conversations")).select("conv_id", "turn", F.posexplode(pairs).alias("i", "p"))
     return rows.select("conv_id", "turn", (F.col("i") * 2 + 1).cast("bigint").alias("pos"), "p.entry", "p.definition")
 
 

@@ -135,5 +135,5 @@ def process_arriving_files(spark, sf):
 @query("DQ3", sql="SELECT CAST(5 AS BIGINT) AS columns, count(*) AS records FROM documents")
 def table_metrics(spark, sf):
     df = load(spark, sf, "documents")
-    listing = files.list_folder(spark, f"{sf}/documents.parquet")
+    listing = files.list_folder(spark, sf, r"^documents\.parquet$")
     return quality.storage_metrics(df, listing).select("columns", "records")

@@ -17,7 +17,7 @@ MAX_CELL = 64 * 1024 * 1024
 
 def concat_groups(df: DataFrame, key: str, text: str, order: str, sep: str = "\n\n",
                   output: str = "chunk_concat", max_chars: int = MAX_CELL, bounded: bool = False) -> DataFrame:
-    """Text of each group joined in order, one row per (key, part).
+    """Text of each group joined in order, one row per (key, part); equal order values by text.
 
     A group up to ``max_chars`` is one row, part 0. One cell cannot hold a group of any size,
     so a longer group is given as consecutive parts, whole and in order. Lengths are summed
@@ -33,13 +33,16 @@ def concat_groups(df: DataFrame, key: str, text: str, order: str, sep: str = "\n
     long_keys = rows.groupBy(col(key)).agg(F.sum(size).alias("_size")).filter(F.col("_size") > max_chars + len(sep)).select(col(key))
 
     def joined(part: DataFrame) -> DataFrame:
-        ordered = F.expr(f"listagg(_text, {_sql_text(sep)}) WITHIN GROUP (ORDER BY _order)")
+        ordered = F.expr(f"listagg(_text, {_sql_text(sep)}) WITHIN GROUP (ORDER BY _order, _text)")
         return part.groupBy(col(key), F.col("part")).agg(ordered.alias(output))
 
     if bounded or long_keys.isEmpty():
         return joined(whole)
-    short = whole.join(long_keys, key, "left_anti")
-    laid = running_totals(rows.join(long_keys, key, "left_semi"), order=[F.col("_order")], sums={"_end": size}, keys=[key])
+    is_long = col(key).eqNullSafe(F.col("_long"))
+    long_keys = long_keys.withColumnRenamed(key, "_long")
+    short = whole.join(long_keys, is_long, "left_anti")
+    laid = running_totals(rows.join(long_keys, is_long, "left_semi"), order=[F.col("_order"), F.col("_text")],
+                          sums={"_end": size}, keys=[key])
     cut = laid.withColumn("part", F.floor((F.col("_end") - size) / F.lit(max_chars)).cast("bigint")).drop("_end")
     return joined(short.unionByName(cut))
 

@@ -16,51 +16,58 @@ CHUNK_OVERLAP = 120
 SEPARATORS = ("\n\n", "\n", " ", "")
 
 
-def _pieces(text: str, start: int, size: int, separators: Sequence[str]) -> Iterator[tuple[int, int]]:
+def _pieces(text: str, start: int, size: int, separators: Sequence[str]) -> Iterator[tuple[int, int] | None]:
     """(start, end) spans that cover ``text`` in order, none longer than ``size``.
 
-    A span is cut before each occurrence of the first separator; spans still too long are cut
-    with the next one, at last into single characters.
+    A span is cut before each occurrence of the first separator; one that is still too long is
+    cut with the next separator, at last into single characters. ``None`` marks the borders of
+    such a long span: pieces on its two sides are not gathered into one chunk.
     """
-    if len(text) <= size:
-        if text:
-            yield start, start + len(text)
-        return
-    sep, rest = separators[0], separators[1:]
-    if not sep:
+    if not separators[0]:
         yield from ((start + i, start + i + 1) for i in range(len(text)))
         return
     at = 0
     while at < len(text):
-        nxt = text.find(sep, at + len(sep))
-        nxt = len(text) if nxt < 0 else nxt
-        yield from _pieces(text[at:nxt], start + at, size, rest) if nxt - at > size else ((start + at, start + nxt),)
-        at = nxt
+        cut = text.find(separators[0], at + len(separators[0]))
+        cut = len(text) if cut < 0 else cut
+        if cut - at <= size:
+            yield start + at, start + cut
+        else:
+            yield None
+            yield from _pieces(text[at:cut], start + at, size, separators[1:])
+            yield None
+        at = cut
 
 
 def split_spans(text: str, size: int = CHUNK_SIZE, overlap: int = CHUNK_OVERLAP,
                 separators: Sequence[str] = SEPARATORS) -> list[tuple[int, int]]:
     """Spans of the chunks of one text, stripped of outer whitespace.
 
-    Pieces are gathered until the next would pass ``size``; a new chunk starts with the
-    longest run of trailing pieces that fits the overlap.
+    Pieces are gathered until the next would pass ``size``; the chunk after that starts with
+    the longest run of trailing pieces that fits the overlap. A chunk that would hold nothing
+    but overlap is left out.
     """
-    spans, held = [], []
+    out, held = [], []
+
+    def close() -> None:
+        if held:
+            a, b = held[0][0], held[-1][1]
+            body = text[a:b]
+            span = (a + len(body) - len(body.lstrip()), a + len(body.rstrip()))
+            if span[1] > span[0] and not (out and span[1] <= out[-1][1]):
+                out.append(span)
+
     for piece in _pieces(text, 0, size, separators):
+        if piece is None:
+            close()
+            held.clear()
+            continue
         if held and piece[1] - held[0][0] > size:
-            spans.append((held[0][0], held[-1][1]))
+            close()
             while held and (held[-1][1] - held[0][0] > overlap or piece[1] - held[0][0] > size):
                 held.pop(0)
         held.append(piece)
-    if held:
-        spans.append((held[0][0], held[-1][1]))
-    out = []
-    for a, b in spans:
-        body = text[a:b]
-        left = a + len(body) - len(body.lstrip())
-        right = left + len(body.strip())
-        if right > left:
-            out.append((left, right))
+    close()
     return out
 
 

@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator, Sequence
+import re
+from collections.abc import Callable, Sequence
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame
@@ -146,8 +147,7 @@ def suffix_tagger(texts: pd.Series) -> pd.Series:
     Makes the job testable; says nothing about tagging quality."""
 
     def one(text: str | None) -> list[tuple[str, str]]:
-        tokens = "".join(ch if ch.isalnum() or ch == "_" else " " for ch in text or "").split()
-        return [(t, "NN" if t.lower().endswith(("ion", "ment")) else "XX") for t in tokens]
+        return [(t, "NN" if t.lower().endswith(("ion", "ment")) else "XX") for t in re.findall(r"\w+", text or "")]
 
     return texts.map(one)
 

@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import math
-from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
@@ -41,24 +40,37 @@ def exact_sample(df: DataFrame, n: int, seed: object, *keys: str) -> DataFrame:
     return ranked.orderBy(*order).limit(n).drop("_h")
 
 
-def balanced_sample(df: DataFrame, n: int, seed: object, group: str, *keys: str) -> DataFrame:
-    """About ``n`` rows with an equal share per class.
-
-    The rank filter is pushed below the shuffle as a per-task group limit, so a class that
-    holds most rows sends only its share.
-    """
-    classes = df.agg(F.countDistinct(col(group))).scalar()
-    return _ranked(df, seed, group, keys).filter(F.col("_r") <= F.ceil(F.lit(n) / classes)).drop("_r")
-
+# Rank limits up to this are applied by every task before the shuffle (the default of
+# spark.sql.optimizer.windowGroupLimitThreshold).
+PUSHED_LIMIT = 1000
 
-def group_sample(df: DataFrame, per_group: int, seed: object, group: str, *keys: str) -> DataFrame:
-    """``per_group`` rows of every class."""
-    return _ranked(df, seed, group, keys).filter(F.col("_r") <= per_group).drop("_r")
 
+def balanced_sample(df: DataFrame, n: int, seed: object, group: str, *keys: str) -> DataFrame:
+    """About ``n`` rows with an equal share per class; a smaller class gives all it has.
 
-def _ranked(df: DataFrame, seed: object, group: str, keys: Sequence[str]) -> DataFrame:
-    w = W.partitionBy(col(group)).orderBy(seeded_order(seed, *keys), *map(col, keys))
-    return df.withColumn("_r", F.row_number().over(w))
+    The share is a literal by the time the rows are ranked, so each task sends no more than
+    its share of a class, however large the class is. Shares too large for that are thinned by
+    a per-class hash limit first, checked like the one of ``exact_sample``.
+    """
+    classes = df.agg(F.countDistinct(col(group))).first()[0]
+    share = math.ceil(n / max(classes, 1))
+    ranked = df.withColumn("_h", seeded_order(seed, *keys))
+    if share > PUSHED_LIMIT:
+        ranked = _thinned(ranked, group, share)
+    w = W.partitionBy(col(group)).orderBy("_h", *map(col, keys))
+    return ranked.withColumn("_r", F.row_number().over(w)).filter(F.col("_r") <= share).drop("_r", "_h")
+
+
+def _thinned(ranked: DataFrame, group: str, share: int) -> DataFrame:
+    sizes = ranked.groupBy(col(group).alias("_g")).agg(F.count("*").alias("_n"))
+    part = F.lit(share + 10 * math.sqrt(share) + 50) / F.col("_n")
+    position = F.conv(F.substring("_h", 1, 10), 16, 10).cast("bigint")
+    few = ranked.join(sizes, col(group).eqNullSafe(F.col("_g"))).filter(position < part * F.lit(16.0 ** 10))
+    few = materialise(few.drop("_g"))
+    kept = few.groupBy(col(group)).agg(F.count("*").alias("_k"), F.first("_n").alias("_n"))
+    short = kept.filter(F.col("_k") < F.least(F.lit(share), F.col("_n")))
+    complete = short.isEmpty() and kept.count() == sizes.count()
+    return few.drop("_n") if complete else ranked
 
 
 def ratio_sample(df: DataFrame, ratio: float, seed: object, *keys: str) -> DataFrame:

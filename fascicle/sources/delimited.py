@@ -10,9 +10,11 @@ from pyspark.sql import types as T
 
 from ..functions.scalars import col
 
-# The storage format of managed tables.
-MANAGED = {"sep": "\t", "quote": '"', "escape": "\\", "header": "false", "encoding": "UTF-8"}
-UPLOADED = {"sep": ";", "quote": '"', "escape": '"', "header": "true", "encoding": "UTF-8", "multiLine": "true"}
+# Without these the writer trims every value.
+_EXACT = {"ignoreLeadingWhiteSpace": "false", "ignoreTrailingWhiteSpace": "false"}
+# The storage formats of managed and uploaded tables.
+MANAGED = {"sep": "\t", "quote": '"', "escape": "\\", "header": "false", "encoding": "UTF-8", **_EXACT}
+UPLOADED = {"sep": ";", "quote": '"', "escape": '"', "header": "true", "encoding": "UTF-8", "multiLine": "true", **_EXACT}
 
 _NESTED = (T.ArrayType, T.MapType, T.StructType)
 _INSTANT = "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"
@@ -87,7 +89,7 @@ def inline_literal(spark: SparkSession, text: str, schema: T.StructType) -> Data
 
 def export_csv(df: DataFrame, path: str) -> None:
     """Comma file with a header row."""
-    df.write.mode("overwrite").option("header", "true").option("escape", '"').csv(path)
+    df.write.mode("overwrite").option("header", "true").option("escape", '"').options(**_EXACT).csv(path)
 
 
 def export_json(df: DataFrame, path: str) -> None:

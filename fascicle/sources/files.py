@@ -13,18 +13,48 @@ from ..functions import paths
 from ..functions.scalars import col
 
 
-def list_folder(spark: SparkSession, path: str, pattern: str | None = None) -> DataFrame:
-    """path, basename, extension, last_modified and size of every file below a folder.
+def _open_folder(folder: str):
+    """(pyarrow file system, path inside it) of a local path or URI."""
+    from pyarrow import fs
 
-    The content column is pruned, so no file is opened.
+    if "://" in folder or folder.startswith("file:"):
+        return fs.FileSystem.from_uri(folder.replace("s3a://", "s3://", 1))
+    return fs.LocalFileSystem(), folder
+
+
+_LISTED = "path string, is_folder boolean, last_modified timestamp, size bigint"
+
+
+def _lister(folder: str, recursive: bool):
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        from pyarrow import fs
+
+        system, root = _open_folder(folder)
+        for batch in batches:
+            for start in batch["path"]:
+                found = system.get_file_info(fs.FileSelector(root + start, recursive=recursive))
+                rows = [(i.path[len(root):], i.type == fs.FileType.Directory, i.mtime, i.size) for i in found]
+                out = pd.DataFrame(rows, columns=["path", "is_folder", "last_modified", "size"])
+                out["last_modified"] = pd.to_datetime(out["last_modified"], utc=True)
+                yield out
+
+    return run
+
+
+def list_folder(spark: SparkSession, folder: str, pattern: str = "") -> DataFrame:
+    """path (from the folder on, with a leading slash), basename, extension, last_modified and
+    size of every file below a folder whose name matches a regular expression.
+
+    Subfolders of the first level are listed in parallel. File scans leave empty files out, so
+    the listing asks the file system itself; no file is opened.
     """
-    reader = spark.read.format("binaryFile").option("recursiveFileLookup", "true")
-    if pattern:
-        reader = reader.option("pathGlobFilter", pattern)
+    folder = folder.rstrip("/")
+    top = spark.createDataFrame([("",)], "path string").mapInPandas(_lister(folder, False), _LISTED)
+    folders = top.filter("is_folder").select("path").repartition(spark.sparkContext.defaultParallelism)
+    every = top.unionByName(folders.mapInPandas(_lister(folder, True), _LISTED))
     name = paths.file_name("path")
-    return reader.load(path).select(
-        "path", name.alias("basename"), paths.extension(name).alias("extension"),
-        F.col("modificationTime").alias("last_modified"), F.col("length").alias("size"),
+    return every.filter(~F.col("is_folder") & name.rlike(pattern or ".")).select(
+        "path", name.alias("basename"), paths.extension(name).alias("extension"), "last_modified", "size"
     )
 
 
@@ -36,12 +66,22 @@ def with_extension(listing: DataFrame, ext: str, contains: str | None = None, pa
     return keep.orderBy(path)
 
 
-def read_texts(spark: SparkSession, path: str, pattern: str | None = None) -> DataFrame:
-    """One row per file: its path and whole text."""
-    reader = spark.read.option("recursiveFileLookup", "true")
-    if pattern:
-        reader = reader.option("pathGlobFilter", pattern)
-    return reader.text(path, wholetext=True).select(F.col("_metadata.file_path").alias("path"), F.col("value").alias("text"))
+def read_texts(spark: SparkSession, folder: str, glob: str = "*") -> DataFrame:
+    """One row per file: its path below the folder and its whole UTF-8 text.
+
+    Files are read in parallel, each as one value; empty ones, which a scan leaves out, come
+    from the listing.
+    """
+    import fnmatch
+    import re
+
+    folder = folder.rstrip("/")
+    inside = re.sub(r"^[a-z0-9]+:/*", "/", folder)
+    scan = spark.read.format("binaryFile").option("recursiveFileLookup", "true").option("pathGlobFilter", glob).load(folder)
+    below = F.substring(F.col("path"), F.locate(inside, F.col("path")) + len(inside), F.length("path"))
+    texts = scan.select(below.alias("path"), F.decode("content", "UTF-8").alias("text"))
+    empty = list_folder(spark, folder, fnmatch.translate(glob)).filter("size = 0")
+    return texts.unionByName(empty.select("path", F.lit("").alias("text")))
 
 
 def read_lines(spark: SparkSession, path: str, column: str = "Title") -> DataFrame:
@@ -71,11 +111,7 @@ def write_one_file_per_row(df: DataFrame, folder: str, name: str, text: str, suf
     """
 
     def write(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        from pyarrow import fs
-
-        has_scheme = "://" in folder or folder.startswith("file:")
-        uri = folder.replace("s3a://", "s3://", 1)
-        system, root = fs.FileSystem.from_uri(uri) if has_scheme else (fs.LocalFileSystem(), folder)
+        system, root = _open_folder(folder)
         system.create_dir(root, recursive=True)
         for batch in batches:
             out = []
