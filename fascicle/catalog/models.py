@@ -180,18 +180,18 @@ def answered_requests(spark, sf):
     return out.select("rid", "role", "user_message", "input_description", "query", "search_docs", "search_nc", "label", "comment")
 
 
-@query("PM9", "JN7", sql=f"""SELECT rid, CAST(5 AS BIGINT) AS n_docs, CAST(3 AS BIGINT) AS n_nc FROM ({_REQUESTS})""")
+@query("PM9", "JN7", sql="SELECT item_id, CAST(5 AS BIGINT) AS n_docs, CAST(3 AS BIGINT) AS n_nc FROM benchmark")
 def searched_requests(spark, sf):
-    """Requests searched against two banks built from documents and conversations."""
-    turns, documents = load(spark, sf, "conversations", "documents")
+    """Every benchmark text as a request, searched against a document bank and a ticket bank."""
+    turns, documents, benchmark = load(spark, sf, "conversations", "documents", "benchmark")
     embed = retrieval.hashing_embedder()
-    requests = turns.select((F.col("conv_id") * 1000 + F.col("turn")).alias("rid"), "role", F.lit("Help").alias("user_message"), F.col("text").alias("description"))
+    requests = benchmark.select("item_id", F.lit("000").alias("role"), F.lit("Help").alias("user_message"), F.col("text").alias("description"))
     docs = retrieval.build_index(spread(documents), scratch_path(spark, "docs"), "text", "doc_id", ["lang"], embed)
-    bank = requests.select(F.col("rid").alias("turn_id"), "description", "role")
-    tickets = retrieval.build_index(bank, scratch_path(spark, "tickets"), "description", "turn_id", ["role"], embed)
+    bank = turns.select((F.col("conv_id") * 1000 + F.col("turn")).alias("turn_id"), "text", "role")
+    tickets = retrieval.build_index(bank, scratch_path(spark, "tickets"), "text", "turn_id", ["role"], embed)
     asked = request_flow.normalise_requests(requests)
-    found = [request_flow.search(asked, "rid", "description", *b) for b in
+    found = [request_flow.search(asked, "item_id", "description", *b) for b in
              ((docs, "doc_id", ["lang"], embed, 5), (tickets, "turn_id", ["role"], embed, 3))]
-    sizes = [f.select(F.col("query_id").alias("rid"), F.size(F.from_json("context", "array<variant>")).cast("bigint").alias(n))
+    sizes = [f.select(F.col("query_id").alias("item_id"), F.size(F.from_json("context", "array<variant>")).cast("bigint").alias(n))
              for f, n in zip(found, ("n_docs", "n_nc"))]
-    return requests.select("rid").join(sizes[0], "rid", "left").join(sizes[1], "rid", "left")
+    return requests.select("item_id").join(sizes[0], "item_id", "left").join(sizes[1], "item_id", "left")

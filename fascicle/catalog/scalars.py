@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from ..functions import jsonops, paths, scalars
 from ..functions import text as X
 from ..operators import chunking, columns
-from ..session import load
+from ..session import load, spread
 from .registry import query, sha_int
 
 
@@ -132,7 +132,7 @@ def _alt_sql(expr):
 @query("SC27", sql=f"SELECT doc_id, {_alt_sql(_MARKDOWN)} AS alt FROM documents")
 def clean_alt_text(spark, sf):
     markdown = F.concat(F.lit("# "), "source", F.lit("\n* **"), "lang", F.lit("** [see](http://x/y) | `a-b` : "), "text")
-    return load(spark, sf, "documents").select("doc_id", X.alt_text(markdown).alias("alt"))
+    return spread(load(spark, sf, "documents")).select("doc_id", X.alt_text(markdown).alias("alt"))
 
 
 @query("SC28", sql="""SELECT doc_id, text || ' ![pic of ' || lang || '](img-0.jpeg) and ![pic (2) $1 ' || source || '](img-1.jpeg) or ![pic of ' || lang

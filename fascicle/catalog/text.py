@@ -62,7 +62,7 @@ def corpus_pareto(spark, sf):
 def vocabulary_statistics(spark, sf):
     documents, benchmark = load(spark, sf, "documents", "benchmark")
     vocabulary = benchmark.select(F.explode(X.words("text")).alias("entry"))
-    return corpus.vocabulary_statistics(documents, "doc_id", "text", vocabulary)
+    return corpus.vocabulary_statistics(spread(documents), "doc_id", "text", vocabulary)
 
 
 _ENTRIES = r"""p AS (SELECT doc_id, list_filter(list_transform(string_split_regex(marked, '\[\[\[|\]\]\]'),

@@ -128,16 +128,18 @@ def ends_sentence(c: Column | str) -> Column:
 Tagger = Callable[[pd.Series], pd.Series]
 
 
-def tag_words(df: DataFrame, doc: str, text: Column, tagger: Tagger, word: str = "word", tag: str = "tag") -> DataFrame:
-    """One row per (word, tag) a tagger finds.
+def tag_words(df: DataFrame, doc: str, text: Column, tagger: Tagger, word: str = "word", tag: str = "tag",
+              prefix: str = "") -> DataFrame:
+    """One row per (word, tag) a tagger finds, of tags with a prefix.
 
     ``tagger`` maps a batch of texts to a batch of lists of (word, tag); it is the hook for a
-    language model library and runs on Arrow batches.
+    language model library and runs on Arrow batches. Tags are chosen before the pairs travel
+    back to the JVM.
     """
 
     @F.pandas_udf(f"array<struct<{word}:string,{tag}:string>>")
     def run(texts: pd.Series) -> pd.Series:
-        return tagger(texts).map(lambda pairs: [{word: w, tag: t} for w, t in pairs])
+        return tagger(texts).map(lambda pairs: [{word: w, tag: t} for w, t in pairs if t.startswith(prefix)])
 
     return df.select(col(doc), F.explode(run(text)).alias("_t")).select(col(doc), f"_t.{word}", f"_t.{tag}")
 
@@ -156,8 +158,7 @@ def stable_nouns(df: DataFrame, doc: str, text: str, tagger: Tagger = suffix_tag
     """Words tagged as nouns in the text as it is, in lower case and in upper case."""
 
     def nouns(source: Column, tag: str) -> DataFrame:
-        found = tag_words(df, doc, source, tagger, tag=tag).filter(col(tag).startswith("NN"))
-        return found.withColumn("string", F.lower("word"))
+        return tag_words(df, doc, source, tagger, tag=tag, prefix="NN").withColumn("string", F.lower("word"))
 
     as_is = nouns(col(text), "tag").distinct()
     lower = nouns(F.lower(col(text)), "lower_tag").drop("word").distinct()

@@ -92,7 +92,9 @@ def top_k(index: DataFrame, queries: DataFrame, k: int, id_column: str = "vec_id
     items = index.select(col(id_column).alias("id"), col(vector).alias("vector"))
     asked = queries.select(col(query_id).alias("query_id"), col(query_vector).alias("vector"))
     shared = asked.limit(MAX_SHARED_QUERIES + 1).toPandas()
-    if len(shared) <= MAX_SHARED_QUERIES:
+    if not len(shared):
+        partial = index.sparkSession.createDataFrame([], schema)
+    elif len(shared) <= MAX_SHARED_QUERIES:
         partial = _shared_scan(items, shared, want, schema)
     else:
         partial = _blocked(items, asked, want, schema)

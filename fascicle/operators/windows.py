@@ -21,6 +21,8 @@ def running_totals(df: DataFrame, order: Sequence[Column], sums: Mapping[str, Co
     must not change when a task is retried. Sums per partition give each one its starting
     offset; a window inside (partition, keys) does the rest. The offset table has one row per
     partition and group, and the only unpartitioned window runs over partition numbers.
+
+    All columns of ``df`` are stored once on the way, so select what the result needs first.
     """
     names = list(sums)
     sort_names = [f"_o{i}" for i in range(len(order))]
@@ -100,7 +102,7 @@ def exact_quantiles(df: DataFrame, value: str, probabilities: Mapping[str, float
     """
     counted = df.filter(col(value).isNotNull()).groupBy(*map(col, keys), col(value).cast("double").alias("_x")).agg(F.count("*").alias("_n"))
     laid = running_totals(counted, order=[F.col("_x")], sums={"_end": F.col("_n")}, keys=keys)
-    totals = counted.groupBy(*map(col, keys)).agg(F.sum("_n").alias("_total"))
+    totals = laid.groupBy(*map(col, keys)).agg(F.sum("_n").alias("_total"))
     placed = _null_safe_join(laid, totals, keys) if keys else laid.withColumn("_total", totals.scalar())
 
     def at(position: Column) -> Column:

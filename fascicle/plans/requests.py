@@ -53,8 +53,9 @@ def answer_requests(requests: DataFrame, request_id: str, banks: Mapping[str, tu
     query = prompts.render(templates["query"], {c: c for c in ("role", "user_message", "description")})
     expanded = prompts.complete(asked, query, model).withColumn("query", jsonops.result_or_text("llm_output"))
     expanded = prompts.materialise(expanded.drop(*prompts.OUTPUT_COLUMNS))
+    unanswered = expanded.filter(col(sources).isNull()) if sources else expanded
     for name, (index, id_column, fields) in banks.items():
-        found = search(expanded, request_id, "query", index, id_column, fields, embedder, k)
+        found = search(unanswered, request_id, "query", index, id_column, fields, embedder, k)
         side = found.select(F.col("query_id").alias(request_id), F.col("context").alias(f"_{name}"))
         expanded = expanded.join(side, request_id, "left")
         given = jsonops.field(sources, name) if sources else F.lit(None).cast("string")
