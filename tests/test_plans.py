@@ -27,11 +27,14 @@ def test_filters_and_columns_reach_the_scan(spark, small):
 
 
 def test_row_local_jobs_have_no_shuffle(spark, small):
-    from fascicle.operators import corpus, generate
+    from fascicle.functions.text import alt_text
+    from fascicle.operators import chunking, corpus, generate
     from fascicle.session import load
 
     docs = load(spark, small, "documents")
-    for df in (corpus.document_profile(docs, "doc_id", "text"), generate.multiply(docs.select("doc_id"), 100), CASES["clean_alt_text"].run(spark, small)):
+    for df in (corpus.document_profile(docs, "doc_id", "text"), generate.multiply(docs.select("doc_id"), 100),
+               docs.select(alt_text("text")), chunking.fixed_chunks(docs.select("doc_id", "text"), "text"),
+               chunking.recursive_chunks(docs.select("doc_id", "text"), "text"), CASES["flatten_json_with_schema"].run(spark, small)):
         assert "Exchange" not in plan_of(df)
 
 
