@@ -556,6 +556,15 @@ def join_within_days(spark, sf):
     return customer.join(orders, (F.col("c_custkey") == F.col("o_custkey")) & near).select("c_custkey", "o_orderkey")
 
 
+@query("options", sql="""SELECT c_custkey, n.n_regionkey AS seen FROM customer LEFT JOIN (SELECT upper(n_name) AS k, n_nationkey, n_regionkey FROM nation) n
+    ON c_nationkey = n.n_nationkey AND lower(n.k) = 'nation_' || CAST(c_nationkey AS VARCHAR)""")
+def case_insensitive_join(spark, sf):
+    customer, nation = load(spark, sf, "customer", "nation")
+    left = customer.select("c_custkey", F.concat(F.lit("nation_"), F.col("c_nationkey").cast("string")).alias("k"))
+    right = nation.select(F.upper("n_name").alias("k"), F.col("n_regionkey").alias("seen"))
+    return joins.folded_lookup(left, right, ["k"]).drop("k")
+
+
 @query("options", sql="""WITH l AS (SELECT DISTINCT p_type AS k FROM part), r AS (SELECT DISTINCT upper(replace(p_type, 'M', 'N')) AS e FROM part),
     m AS (SELECT k, e FROM l JOIN r ON levenshtein(k, e) <= 1
           QUALIFY row_number() OVER (PARTITION BY k ORDER BY levenshtein(k, e), e) = 1)

@@ -13,24 +13,28 @@ from ..session import load, scratch_path, spread
 from .registry import query
 
 
-def label_means(embeddings):
-    """(query_id, embedding): the mean vector of every label."""
+def label_means(embeddings, combine=F.avg):
+    """(query_id, embedding): the mean vector of every label, or another combination."""
     values = embeddings.select("label", F.posexplode("embedding").alias("pos", "x"))
-    means = values.groupBy("label", "pos").agg(F.avg(F.col("x").cast("double")).alias("m"))
+    means = values.groupBy("label", "pos").agg(combine(F.col("x").cast("double")).alias("m"))
     # one list per label, as long as a vector has dimensions
     vector = F.transform(F.array_sort(F.collect_list(F.struct("pos", "m"))), lambda v: v["m"])
     return means.groupBy(F.col("label").alias("query_id")).agg(vector.alias("embedding"))
 
 
-_SCORED = """WITH v AS (SELECT label, CAST(unnest(embedding) AS DOUBLE) AS x, generate_subscripts(embedding, 1) AS p FROM embeddings),
-    a AS (SELECT label, p, avg(x) AS m FROM v GROUP BY ALL),
-    q AS (SELECT label AS query_id, list(m ORDER BY p) AS e FROM a GROUP BY 1),
-    s AS (SELECT query_id, vec_id AS id, label, round(list_cosine_similarity(e, CAST(embedding AS DOUBLE[])), 6) AS score FROM q, embeddings)"""
+def _scored_sql(combine="avg", name="s"):
+    return f"""a_{name} AS (SELECT label, p, {combine}(x) AS m FROM v GROUP BY ALL),
+    q_{name} AS (SELECT label AS query_id, list(m ORDER BY p) AS e FROM a_{name} GROUP BY 1),
+    {name} AS (SELECT query_id, vec_id AS id, label, round(list_cosine_similarity(e, CAST(embedding AS DOUBLE[])), 6) AS score FROM q_{name}, embeddings)"""
 
 
-def _ranked_sql(k, where="TRUE", name="r"):
+_VALUES = "WITH v AS (SELECT label, CAST(unnest(embedding) AS DOUBLE) AS x, generate_subscripts(embedding, 1) AS p FROM embeddings)"
+_SCORED = f"{_VALUES}, {_scored_sql()}"
+
+
+def _ranked_sql(k, where="TRUE", name="r", scores="s"):
     return f"""{name} AS (SELECT query_id, id, score, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, id) AS rank
-      FROM s WHERE {where} QUALIFY rank <= {k})"""
+      FROM {scores} WHERE {where} QUALIFY rank <= {k})"""
 
 
 @query("RT1", "SL8", sql=f"{_SCORED}, {_ranked_sql(10)} SELECT * FROM r")
@@ -74,15 +78,15 @@ def search_above_threshold(spark, sf):
     return retrieval.above_score(retrieval.top_k(embeddings, label_means(embeddings), 20), 0.25)
 
 
-@query("RT5", sql=f"""{_SCORED}, {_ranked_sql(20, 'label < 5', 'r1')}, {_ranked_sql(20, 'TRUE', 'r2')},
+@query("RT5", sql=f"""{_SCORED}, {_scored_sql('max', 'z')}, {_ranked_sql(20, name='r1')}, {_ranked_sql(20, name='r2', scores='z')},
     f AS (SELECT query_id, id, sum(1.0::DOUBLE / (60 + rank)) AS fused FROM (SELECT * FROM r1 UNION ALL SELECT * FROM r2) GROUP BY ALL)
     SELECT query_id, id, round(fused, 9) AS fused, row_number() OVER (PARTITION BY query_id ORDER BY round(fused, 9) DESC, id) AS rank
     FROM f QUALIFY rank <= 10""")
 def fused_rankings(spark, sf):
     embeddings = load(spark, sf, "embeddings")
-    means = label_means(embeddings)
-    low = retrieval.top_k(embeddings.filter("label < 5"), means, 20)
-    return retrieval.fuse_ranks(low, retrieval.top_k(embeddings, means, 20), k=10).withColumn("fused", F.round("fused", 9))
+    by_mean = retrieval.top_k(embeddings, label_means(embeddings), 20)
+    by_peak = retrieval.top_k(embeddings, label_means(embeddings, F.max), 20)
+    return retrieval.fuse_ranks(by_mean, by_peak, k=10).withColumn("fused", F.round("fused", 9))
 
 
 @query("RT6", sql=f"{_SCORED}, {_ranked_sql(10)} SELECT r.query_id, r.id, r.score, r.rank, e.label FROM r JOIN embeddings e ON e.vec_id = r.id")

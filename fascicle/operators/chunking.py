@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections import deque
 from collections.abc import Iterator, Sequence
 
 import pandas as pd
@@ -47,7 +48,7 @@ def split_spans(text: str, size: int = CHUNK_SIZE, overlap: int = CHUNK_OVERLAP,
     the longest run of trailing pieces that fits the overlap. A chunk that would hold nothing
     but overlap is left out.
     """
-    out, held = [], []
+    out, held = [], deque()
 
     def close() -> None:
         if held:
@@ -65,7 +66,7 @@ def split_spans(text: str, size: int = CHUNK_SIZE, overlap: int = CHUNK_OVERLAP,
         if held and piece[1] - held[0][0] > size:
             close()
             while held and (held[-1][1] - held[0][0] > overlap or piece[1] - held[0][0] > size):
-                held.pop(0)
+                held.popleft()
         held.append(piece)
     close()
     return out

@@ -26,6 +26,19 @@ def left_lookup(left: DataFrame, right: DataFrame, on: Sequence[str]) -> DataFra
     return left.join(right, list(on), "left")
 
 
+def folded_lookup(left: DataFrame, right: DataFrame, on: Sequence[str], ignore_case: bool = True,
+                  ignore_accents: bool = False) -> DataFrame:
+    """Left outer join on text keys compared without case and, if wanted, accents.
+
+    The keys are compared under a Unicode collation, which hashes and sorts like plain text,
+    so it stays an equi-join. The result shows the left side's spelling.
+    """
+    collation = "UNICODE" + ("_CI" if ignore_case else "") + ("_AI" if ignore_accents else "")
+    side = right.withColumnsRenamed({k: f"_r{i}" for i, k in enumerate(on)})
+    same = [F.collate(col(k), collation) == F.collate(F.col(f"_r{i}"), collation) for i, k in enumerate(on)]
+    return left.join(side, same, "left").drop(*[f"_r{i}" for i in range(len(on))])
+
+
 def natural(left: DataFrame, right: DataFrame) -> DataFrame:
     """Inner join on every column name the two sides share."""
     common = [c for c in left.columns if c in set(right.columns)]

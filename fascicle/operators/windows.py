@@ -32,31 +32,25 @@ def running_totals(df: DataFrame, order: Sequence[Column], sums: Mapping[str, Co
         expr, descending = _plain(o)
         staged = staged.withColumn(name, expr)
         sorts.append(F.col(name).desc() if descending else F.col(name).asc())
+    # a struct of the keys joins NULL keys like any other and serves join and window alike
+    group = ["_pid", "_key"] if keys else ["_pid"]
+    if keys:
+        staged = staged.withColumn("_key", F.struct(*map(col, keys)))
     laid = materialise(
         staged.repartitionByRange(*map(col, keys), *sorts).withColumn("_pid", F.spark_partition_id())
     )
-    totals = laid.groupBy("_pid", *map(col, keys)).agg(
-        *[F.sum(f"_v{i}").alias(f"_t{i}") for i in range(len(names))]
-    )
-    before = W.partitionBy(*map(col, keys)).orderBy("_pid").rowsBetween(W.unboundedPreceding, -1)
+    totals = laid.groupBy(*group).agg(*[F.sum(f"_v{i}").alias(f"_t{i}") for i in range(len(names))])
+    before = W.partitionBy(*group[1:]).orderBy("_pid").rowsBetween(W.unboundedPreceding, -1)
     offsets = totals.select(
-        "_pid", *map(col, keys),
-        *[F.coalesce(F.sum(f"_t{i}").over(before), F.lit(0)).alias(f"_b{i}") for i in range(len(names))],
+        *group, *[F.coalesce(F.sum(f"_t{i}").over(before), F.lit(0)).alias(f"_b{i}") for i in range(len(names))]
     )
-    inside = W.partitionBy("_pid", *map(col, keys)).orderBy(*sorts).rowsBetween(W.unboundedPreceding, 0)
-    joined = laid.join(offsets, ["_pid", *keys], "left") if not keys else _null_safe_join(laid, offsets, ["_pid", *keys])
-    out = joined.withColumns({
+    inside = W.partitionBy(*group).orderBy(*sorts).rowsBetween(W.unboundedPreceding, 0)
+    out = laid.join(offsets, group).withColumns({
         n: F.col(f"_b{i}") + F.sum(f"_v{i}").over(inside) for i, n in enumerate(names)
     })
     return out.select(*map(col, df.columns), *map(col, names))
 
 
-def _null_safe_join(left: DataFrame, right: DataFrame, on: Sequence[str]) -> DataFrame:
-    side = right.withColumnsRenamed({k: f"_k{i}" for i, k in enumerate(on)})
-    conds = [col(k).eqNullSafe(F.col(f"_k{i}")) for i, k in enumerate(on)]
-    return left.join(side, conds, "left").drop(*[f"_k{i}" for i in range(len(on))])
-
-
 class Descending:
     """Marks a sort column as descending for ``running_totals``."""
 
@@ -103,7 +97,11 @@ def exact_quantiles(df: DataFrame, value: str, probabilities: Mapping[str, float
     counted = df.filter(col(value).isNotNull()).groupBy(*map(col, keys), col(value).cast("double").alias("_x")).agg(F.count("*").alias("_n"))
     laid = running_totals(counted, order=[F.col("_x")], sums={"_end": F.col("_n")}, keys=keys)
     totals = laid.groupBy(*map(col, keys)).agg(F.sum("_n").alias("_total"))
-    placed = _null_safe_join(laid, totals, keys) if keys else laid.withColumn("_total", totals.scalar())
+    if keys:
+        totals = totals.select(F.struct(*map(col, keys)).alias("_key"), "_total")
+        placed = laid.withColumn("_key", F.struct(*map(col, keys))).join(totals, "_key")
+    else:
+        placed = laid.withColumn("_total", totals.scalar())
 
     def at(position: Column) -> Column:
         return F.max(F.when((position >= F.col("_end") - F.col("_n")) & (position < F.col("_end")), F.col("_x")))

@@ -144,6 +144,13 @@ def test_key_types_must_agree(spark):
         joins.left_lookup(a, b, ["k"])
 
 
+def test_folded_lookup(spark):
+    l = spark.createDataFrame([("Été",), ("AILE",), (None,)], "k string")
+    r = spark.createDataFrame([("ete", 1), ("aile", 2)], "k string, v int")
+    assert {x["k"]: x["v"] for x in joins.folded_lookup(l, r, ["k"]).collect()} == {"Été": None, "AILE": 2, None: None}
+    assert {x["k"]: x["v"] for x in joins.folded_lookup(l, r, ["k"], ignore_accents=True).collect()} == {"Été": 1, "AILE": 2, None: None}
+
+
 def test_binned_counts_folds_rare_categories(spark):
     df = spark.createDataFrame([(float(i % 10), f"c{i % 7}") for i in range(700)] + [(None, "c0"), (3.0, None)], "x double, c string")
     got = aggregates.binned_counts(df, "x", "c", 5, max_colors=3).toPandas()
