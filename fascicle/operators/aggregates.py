@@ -9,6 +9,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from ..functions.scalars import col
+from ..session import materialise
 from .windows import exact_quantiles, running_totals
 
 # Characters one concatenated cell may hold before the group is cut into numbered parts.
@@ -94,13 +95,14 @@ def binned_counts(df: DataFrame, x: str, color: str, bins: int = 10, max_colors:
     """Rows per equal-width bin of ``x`` and category of ``color``, empty bins included.
 
     The range is a one-row aggregate read back as scalar subqueries. Categories beyond the
-    ``max_colors`` most frequent are counted together under ``others``.
+    ``max_colors`` most frequent are counted together under ``others``. The counts, one row
+    per bin and category, are stored once, because three later steps read them.
     """
     low, high = df.agg(F.min(col(x))).scalar(), df.agg(F.max(col(x))).scalar()
     width = (high - low) / F.lit(bins)
     slot = F.when(width > 0, F.least(F.floor((col(x) - low) / width), F.lit(bins - 1))).otherwise(F.lit(0)).cast("bigint")
     counted = df.filter(col(x).isNotNull()).groupBy(slot.alias("bin"), col(color).cast("string").alias("category")).agg(F.count("*").alias("n"))
-    return _fill_bins(_fold_colors(counted, max_colors, others), bins)
+    return _fill_bins(_fold_colors(materialise(counted), max_colors, others), bins)
 
 
 def category_bins(df: DataFrame, category: str, x: str, bins: int = 5, max_values: int = 50) -> DataFrame:

@@ -155,15 +155,29 @@ def suffix_tagger(texts: pd.Series) -> pd.Series:
 
 
 def stable_nouns(df: DataFrame, doc: str, text: str, tagger: Tagger = suffix_tagger) -> DataFrame:
-    """Words tagged as nouns in the text as it is, in lower case and in upper case."""
+    """Words tagged as nouns in the text as it is, in lower case and in upper case.
 
-    def nouns(source: Column, tag: str) -> DataFrame:
-        return tag_words(df, doc, source, tagger, tag=tag, prefix="NN").withColumn("string", F.lower("word"))
-
-    as_is = nouns(col(text), "tag").distinct()
-    lower = nouns(F.lower(col(text)), "lower_tag").drop("word").distinct()
-    upper = nouns(F.upper(col(text)), "upper_tag").drop("word").distinct()
-    return joins.natural(joins.natural(as_is, lower), upper).distinct()
+    The three forms are tagged in one pass. They meet again per document and word, where each
+    holds only the few distinct spellings and tags of one word, so one shuffle does the work
+    of de-duplicating and joining them.
+    """
+    t = col(text)
+    forms = F.array(*[F.struct(F.lit(form).alias("form"), body.alias("body"))
+                      for form, body in (("plain", t), ("lower", F.lower(t)), ("upper", F.upper(t)))])
+    versions = df.select(col(doc), F.explode(forms).alias("_f")).select(
+        F.struct(col(doc).alias("doc"), F.col("_f.form").alias("form")).alias("_id"), F.col("_f.body").alias("_body"))
+    nouns = tag_words(versions, "_id", F.col("_body"), tagger, prefix="NN")
+
+    def of(form: str, value: Column) -> Column:
+        return F.collect_set(F.when(F.col("_id.form") == form, value))
+
+    merged = nouns.groupBy(F.col("_id.doc").alias(doc), F.lower("word").alias("string")).agg(
+        of("plain", F.struct("word", "tag")).alias("_w"), of("lower", F.col("tag")).alias("_l"), of("upper", F.col("tag")).alias("_u"),
+    )
+    return (
+        merged.withColumn("_w", F.explode("_w")).withColumn("lower_tag", F.explode("_l")).withColumn("upper_tag", F.explode("_u"))
+        .select(col(doc), "string", "_w.word", "_w.tag", "lower_tag", "upper_tag")
+    )
 
 
 def noun_frequencies(nouns: DataFrame, minimum: int = 2) -> DataFrame:

@@ -132,6 +132,8 @@ def assemble_pages(files: DataFrame, path: str = "path", text: str = "text", max
     tagged = files.select(base.alias("base"), p.alias("p"), col(text).alias("t"), number.alias("k"),
                           is_image.alias("im"), is_note.alias("nt"), is_enriched.alias("en"),
                           is_page.alias("pg"), is_plain.alias("md"))
+    # images past the layout and unrelated files stop here, before the shuffle
+    tagged = tagged.filter(F.col("pg") | F.col("md") | F.col("en") | ((F.col("im") | F.col("nt")) & (F.col("k") < max_images)))
 
     def pick(cond: Column, value: str) -> Column:
         return F.max(F.when(cond, F.col(value)))

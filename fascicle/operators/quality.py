@@ -84,7 +84,8 @@ def column_statistics(df: DataFrame, column: str, probabilities: Sequence[float]
     basic = df.agg(F.count(v).alias("n"), F.min(v).alias("min"), F.max(v).alias("max"), F.avg(v).alias("mean"),
                    F.stddev(v).alias("stddev"))
     cuts = exact_quantiles(df, column, {f"p{int(p * 100)}": p for p in probabilities})
-    return basic.select("*", *[cuts.select(c).scalar().alias(c) for c in cuts.columns])
+    both = basic.withColumn("_cuts", cuts.select(F.struct(*cuts.columns)).scalar())
+    return both.select(*basic.columns, "_cuts.*")
 
 
 def typed_share(df: DataFrame, column: str, kind: str) -> DataFrame:

@@ -127,7 +127,7 @@ def dense_rank_of_counts(df: DataFrame, group: str, by: str, output: str = "rank
     task sorts a whole group.
     """
     pairs = df.select(col(group), col(by)).distinct()
-    return df.join(dense_rank_in(pairs, group, by, output), [group, by])
+    return _null_safe_join(df, dense_rank_in(pairs, group, by, output), [group, by])
 
 
 def running_sum_in(df: DataFrame, group: str, order: Sequence[Column], value: str, output: str) -> DataFrame:

@@ -33,10 +33,11 @@ def _lister(folder: str, recursive: bool):
         for batch in batches:
             for start in batch["path"]:
                 found = system.get_file_info(fs.FileSelector(root + start, recursive=recursive))
-                rows = [(i.path[len(root):], i.type == fs.FileType.Directory, i.mtime, i.size) for i in found]
-                out = pd.DataFrame(rows, columns=["path", "is_folder", "last_modified", "size"])
-                out["last_modified"] = pd.to_datetime(out["last_modified"], utc=True)
-                yield out
+                for at in range(0, len(found), 10_000):
+                    rows = [(i.path[len(root):], i.type == fs.FileType.Directory, i.mtime, i.size) for i in found[at:at + 10_000]]
+                    out = pd.DataFrame(rows, columns=["path", "is_folder", "last_modified", "size"])
+                    out["last_modified"] = pd.to_datetime(out["last_modified"], utc=True)
+                    yield out
 
     return run
 

@@ -109,6 +109,13 @@ def test_balanced_sample_with_large_shares(skewed, monkeypatch):
     assert set(plain["pos"]) == set(thinned["pos"]) and (plain["k"] == "hot").sum() == 100
 
 
+def test_dense_rank_of_counts(skewed):
+    counted = skewed.groupBy("k", "v").agg(F.count("*").alias("n"))
+    got = windows.dense_rank_of_counts(counted, "k", "n").toPandas()
+    want = got.groupby("k", dropna=False)["n"].rank(method="dense", ascending=False)
+    assert len(got) == counted.count() and (got["rank"] == want).all()
+
+
 def test_numbered_id(spark):
     df = spark.range(1000).select(F.format_string("%05d", F.col("id")).alias("path")).repartition(7)
     got = columns.numbered_id(df, "doc", "path").toPandas().sort_values("path")
