@@ -126,8 +126,9 @@ def dense_rank_of_counts(df: DataFrame, group: str, by: str, output: str = "rank
     Only distinct (group, value) pairs are ranked; the rows take their rank by a join, so no
     task sorts a whole group.
     """
-    pairs = df.select(col(group), col(by)).distinct()
-    return _null_safe_join(df, dense_rank_in(pairs, group, by, output), [group, by])
+    pair = F.struct(col(group), col(by))  # joins NULL groups like any other
+    ranked = dense_rank_in(df.select(col(group), col(by)).distinct(), group, by, output)
+    return df.withColumn("_pair", pair).join(ranked.select(pair.alias("_pair"), output), "_pair").drop("_pair")
 
 
 def running_sum_in(df: DataFrame, group: str, order: Sequence[Column], value: str, output: str) -> DataFrame:
