@@ -152,12 +152,11 @@ def grade_level(n_words: Column, n_sentences: Column, n_syllables: Column) -> Co
 
 
 def first_by(tokens: ColumnOrName, longest: bool) -> Column:
-    """The longest or shortest token; the first one in the text wins ties."""
-    sign = 1 if longest else -1
-    ranked = F.transform(
-        col(tokens), lambda w, i: F.struct((F.length(w) * sign).alias("n"), (-i).alias("p"), w.alias("w"))
-    )
-    return F.coalesce(F.array_max(ranked)["w"], F.lit(""))
+    """The longest or shortest token; the first one in the array wins ties."""
+    lengths = F.transform(col(tokens), lambda w: F.length(w))
+    best = F.array_max(lengths) if longest else F.array_min(lengths)
+    hit = bound(best, lambda n: F.get(F.filter(col(tokens), lambda w: F.length(w) == n), 0))
+    return F.coalesce(hit, F.lit(""))
 
 
 def most_common(tokens: ColumnOrName) -> Column:
@@ -167,16 +166,16 @@ def most_common(tokens: ColumnOrName) -> Column:
     first token of the text that belongs to a longest run is the answer. Stays inside the row:
     no explode and no shuffle.
     """
-    words_ = col(tokens)
-    sorted_lines = F.concat(F.array_join(F.sort_array(words_), "\n"), F.lit("\n"))
-    runs = F.regexp_extract_all(sorted_lines, F.lit(r"([^\n]+\n)\1*"), F.lit(0))
-    sized = F.transform(runs, lambda r: F.struct(
-        (F.length(r) / F.instr(r, "\n")).alias("n"), F.substring_index(r, "\n", 1).alias("w")))
-
-    def first_of_longest(table: Column, longest: Column) -> Column:
-        tied = F.filter(table, lambda t: t["n"] == longest)
-        return F.get(F.array_intersect(words_, F.transform(tied, lambda t: t["w"])), 0)
-
-    found = bound(sized, lambda table: bound(
-        F.array_max(F.transform(table, lambda t: t["n"])), lambda longest: first_of_longest(table, longest)))
-    return F.coalesce(found, F.lit(""))
+    lines = F.concat(F.array_join(F.sort_array(col(tokens)), "\n"), F.lit("\n"))
+    runs = F.regexp_extract_all(lines, F.lit(r"([^\n]+\n)\1*"), F.lit(0))
+
+    def repeats(run: Column) -> Column:
+        return F.length(run) / F.instr(run, "\n")
+
+    def words_of_longest(found: Column) -> Column:
+        longest = F.array_max(F.transform(found, lambda r: repeats(r)))
+        tied = bound(longest, lambda n: F.filter(found, lambda r: repeats(r) == n))
+        return F.transform(tied, lambda r: F.substring_index(r, "\n", 1))
+
+    candidates = bound(runs, words_of_longest)
+    return F.coalesce(F.get(F.array_intersect(col(tokens), candidates), 0), F.lit(""))

@@ -23,6 +23,7 @@ def document_profile(df: DataFrame, doc: str, text: str) -> DataFrame:
     """
     t, w = col(text), F.col("_words")
     split = df.select(col(doc), t, X.words(t).alias("_words"))
+    split = split.select("*", F.array_distinct("_words").alias("_distinct"))
     counted = split.select(
         col(doc),
         F.length(t).cast("bigint").alias("num_chars"), F.size(w).cast("bigint").alias("num_words"),
@@ -32,8 +33,8 @@ def document_profile(df: DataFrame, doc: str, text: str) -> DataFrame:
         # total word length is the text without whitespace
         F.length(F.regexp_replace(t, r"\s+", "")).alias("_letters"),
         X.count_runs(F.lower(t), X.VOWELS).alias("_syllables"),
-        F.size(F.array_distinct(w)).cast("bigint").alias("num_unique_words"), X.first_by(w, True).alias("longest_word"),
-        X.first_by(w, False).alias("shortest_word"), X.most_common(w).alias("most_common_word"),
+        F.size("_distinct").cast("bigint").alias("num_unique_words"), X.first_by("_distinct", True).alias("longest_word"),
+        X.first_by("_distinct", False).alias("shortest_word"), X.most_common(w).alias("most_common_word"),
     )
     n_words = F.col("num_words")
 
