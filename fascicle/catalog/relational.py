@@ -4,9 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from ..functions import jsonops
 from ..functions import text as X
-from ..functions.scalars import add, col, is_blank
+from ..functions.scalars import add, col
 from ..operators import aggregates, columns, generate, joins, predicates, quality, sampling, windows
 from ..plans.tickets import ACTION_DAYS, STATUS_STEPS
 from ..session import load, spread

@@ -67,12 +67,9 @@ class _Running:
                 self.floor[q] = self.scores[q][-1]
 
     def rows(self, query_ids: Sequence) -> pd.DataFrame:
-        counts = [len(i) for i in self.ids]
-        return pd.DataFrame({
-            "query_id": np.repeat(np.array(query_ids, dtype=object), counts),
-            "id": np.concatenate(self.ids) if counts else [],
-            "score": np.concatenate(self.scores) if counts else [],
-        })
+        """Object columns throughout, so that ids of any type, and no rows at all, convert."""
+        every = [(q, i, float(s)) for q, ids, scores in zip(query_ids, self.ids, self.scores) for i, s in zip(ids.tolist(), scores)]
+        return pd.DataFrame(every, columns=["query_id", "id", "score"], dtype=object)
 
 
 def top_k(index: DataFrame, queries: DataFrame, k: int, id_column: str = "vec_id", vector: str = "embedding",
@@ -187,9 +184,7 @@ def rerank_diverse(candidates: DataFrame, index: DataFrame, k: int, diversity: f
             best = left.pop(int(np.argmax(gain)))
             nearest = alike[best].copy() if not picked else np.maximum(nearest, alike[best])
             picked.append(best)
-        out = group.loc[picked, ["query_id", "id", "score"]]
-        out["rank"] = range(1, len(picked) + 1)
-        return out
+        return group.loc[picked, ["query_id", "id", "score"]].assign(rank=range(1, len(picked) + 1))
 
     joined = candidates.select("query_id", "id", "score").join(vectors, "id")
     return joined.groupBy("query_id").applyInPandas(choose, f"query_id {q_type}, id {id_type}, score double, rank bigint")

@@ -31,9 +31,13 @@ def normalise_requests(df: DataFrame, role: str = "role", message: str = "user_m
 def search(requests: DataFrame, request_id: str, query: str, index: DataFrame, id_column: str,
            fields: list[str], embedder: retrieval.Embedder, k: int = 10, candidates: int | None = None,
            diversity: float = 0.0, vector: str = "embedding") -> DataFrame:
-    """Search context (one JSON list per request) for a text column of the requests."""
+    """Search context (one JSON list per request) for a text column of the requests.
+
+    With a diversity above 0 the ``k`` results are chosen among ``candidates``.
+    """
     asked = retrieval.embed_texts(requests.select(col(request_id).alias("query_id"), col(query).alias("_q")), "_q", embedder, output=vector)
-    found = retrieval.top_k(index, asked, candidates or k, id_column, vector, "query_id", vector)
+    pool = max(candidates or k, k) if diversity > 0 else k
+    found = retrieval.top_k(index, asked, pool, id_column, vector, "query_id", vector)
     if diversity > 0:
         found = retrieval.rerank_diverse(found, index, k, diversity, id_column, vector)
     rows = retrieval.result_rows(found, index, id_column, *fields)

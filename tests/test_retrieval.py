@@ -1,5 +1,7 @@
 """Search, re-ranking and fusion against brute force."""
 
+import json
+
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
@@ -120,6 +122,21 @@ def test_embedding_batches_and_unit_length(spark):
     assert len(rows) == 51 and all(abs(np.linalg.norm(r["embedding"]) - 1) < 1e-6 for r in rows) and not sizes
 
 
+def test_index_of_chunks_answers_a_search(spark):
+    from fascicle.plans import documents
+    from fascicle.session import scratch_path
+
+    rows = [("d 0", "wing spar crack", "d", "52"), ("d 1", "door seal leak", "d", "53"), ("e 0", "spar crack repair", "e", "52")]
+    chunks = spark.createDataFrame(rows, "chunk_id string, chunk string, doc string, ATA string")
+    embed = retrieval.hashing_embedder(256)
+    index = documents.index_chunks(chunks, scratch_path(spark, "index"), embed)
+    assert set(index.columns) == {"chunk_id", "chunk", "doc", "ATA", "embedding"}
+    asked = spark.createDataFrame([("q", "wing spar crack")], "rid string, t string")
+    for diversity, want in ((0.0, ["d 0", "e 0"]), (0.9, ["d 0", "d 1"])):
+        found = request_flow.search(asked, "rid", "t", index, "chunk_id", ["doc"], embed, k=2, candidates=3, diversity=diversity)
+        assert [r["id"] for r in json.loads(found.first()["context"])] == want
+
+
 def test_request_defaults(spark):
     df = spark.createDataFrame([(1, "999", "Hi", None), (2, "300", "Hi", "D")], "rid int, role string, user_message string, description string")
     a, b = request_flow.normalise_requests(df).orderBy("rid").collect()
