@@ -1,6 +1,6 @@
 """Joins on equal keys.
 
-No join here carries a broadcast hint. Adaptive execution measures both sides at run time,
+No join here forces a broadcast. Adaptive execution measures both sides at run time,
 broadcasts one only when its real size is under the configured bound and splits skewed
 partitions otherwise, so a lookup table that grows cannot exhaust executor memory.
 """

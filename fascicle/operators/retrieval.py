@@ -12,6 +12,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from ..functions.scalars import col
+from ..session import materialise, small_side
 
 # Query vectors held by every executor at once; larger query sets are matched block by block.
 MAX_SHARED_QUERIES = 4096
@@ -80,14 +81,15 @@ def top_k(index: DataFrame, queries: DataFrame, k: int, id_column: str = "vec_id
     own best ``k`` per query while it streams its part of the index, so the shuffle carries
     tasks x queries x k rows and the index itself never moves. The bound is checked by
     counting at most one row more. A larger query set goes through ``_blocked``. Exact in both
-    forms; ties go to the smaller id.
+    forms; ties go to the smaller id. The result is stored, so that what is built on it does
+    not scan the index again.
     """
     id_type = index.schema[id_column].dataType.simpleString()
     q_type = queries.schema[query_id].dataType.simpleString()
     schema = f"query_id {q_type}, id {id_type}, score double"
     want = k + 1 if exclude_self else k
-    items = index.select(col(id_column).alias("id"), col(vector).alias("vector"))
-    asked = queries.select(col(query_id).alias("query_id"), col(query_vector).alias("vector"))
+    items = index.select(col(id_column).alias("id"), col(vector).alias("vector")).filter("vector is not null")
+    asked = queries.select(col(query_id).alias("query_id"), col(query_vector).alias("vector")).filter("vector is not null")
     shared = asked.limit(MAX_SHARED_QUERIES + 1).toPandas()
     if not len(shared):
         partial = index.sparkSession.createDataFrame([], schema)
@@ -98,7 +100,8 @@ def top_k(index: DataFrame, queries: DataFrame, k: int, id_column: str = "vec_id
     if exclude_self:
         partial = partial.filter(F.col("id") != F.col("query_id"))
     w = W.partitionBy("query_id").orderBy(F.col("score").desc(), "id")
-    return partial.withColumn("rank", F.row_number().over(w).cast("bigint")).filter(F.col("rank") <= k)
+    ranked = partial.withColumn("rank", F.row_number().over(w).cast("bigint")).filter(F.col("rank") <= k)
+    return materialise(ranked)
 
 
 def _shared_scan(items: DataFrame, shared: pd.DataFrame, k: int, schema: str) -> DataFrame:
@@ -186,7 +189,7 @@ def rerank_diverse(candidates: DataFrame, index: DataFrame, k: int, diversity: f
             picked.append(best)
         return group.loc[picked, ["query_id", "id", "score"]].assign(rank=range(1, len(picked) + 1))
 
-    joined = candidates.select("query_id", "id", "score").join(vectors, "id")
+    joined = vectors.join(small_side(candidates.select("query_id", "id", "score")), "id")
     return joined.groupBy("query_id").applyInPandas(choose, f"query_id {q_type}, id {id_type}, score double, rank bigint")
 
 
@@ -202,8 +205,9 @@ def fuse_ranks(*results: DataFrame, constant: int = 60, k: int | None = None) ->
 
 
 def result_rows(results: DataFrame, index: DataFrame, id_column: str, *columns: str) -> DataFrame:
-    """Search results with columns of the index rows they point to."""
-    return results.join(index.select(col(id_column).alias("id"), *map(col, columns)), "id")
+    """Search results with columns of the index rows they point to; the index is not shuffled
+    for a result of ordinary size."""
+    return index.select(col(id_column).alias("id"), *map(col, columns)).join(small_side(results), "id")
 
 
 def search_context(rows: DataFrame, *fields: str, output: str = "context") -> DataFrame:

@@ -9,7 +9,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from ..functions.scalars import bound, col
-from ..session import materialise
+from ..session import materialise, small_side
 
 
 def running_totals(df: DataFrame, order: Sequence[Column], sums: Mapping[str, Column],
@@ -79,7 +79,7 @@ def pareto(freqs: DataFrame, term: str = "string", freq: str = "frequency", runn
         (F.coalesce(F.sum("_n").over(above), F.lit(0)) + 1).cast("bigint").alias("rank"),
         F.sum(F.col("_n") * col(freq)).over(W.partitionBy()).alias("_total"),
     )
-    return summed.join(ranked, freq).select(
+    return summed.join(small_side(ranked), freq).select(
         *[col(c) for c in freqs.columns],
         (col(freq) / F.col("_total")).alias("relative_frequency"), "rank",
         col(running).cast("bigint").alias(running),

@@ -7,6 +7,7 @@ import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 
 def build_session(app: str = "fascicle", master: str | None = None, **conf: str) -> SparkSession:
@@ -79,3 +80,18 @@ def materialise(df: DataFrame) -> DataFrame:
     if spark.sparkContext.getCheckpointDir() is None:
         spark.sparkContext.setCheckpointDir(shared_dir(spark))
     return df.checkpoint(eager=True)
+
+
+# Rows of a stored table that may be sent to every executor.
+SMALL_ROWS = 500_000
+
+
+def small_side(df: DataFrame) -> DataFrame:
+    """A join side that is expected to be small, stored, counted and only then marked for broadcast.
+
+    Adaptive execution would find out too, but not before the large side has been shuffled.
+    For narrow rows such as ids, ranks and scores; above ``SMALL_ROWS`` the join is left to
+    the optimizer.
+    """
+    stored = materialise(df)
+    return F.broadcast(stored) if stored.count() <= SMALL_ROWS else stored

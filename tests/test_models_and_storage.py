@@ -75,6 +75,28 @@ def test_retry_rounds_stop(spark):
     assert prompts.retry_rounds(spark.range(50), "id", attempt, rounds=1).filter("error is not null").count() == 40
 
 
+def test_retry_rounds_of_model_calls(spark):
+    def attempt(rows, n):
+        def model(system, user):
+            if len(user) > n + 1:
+                raise ConnectionError("busy")
+            return user.upper()
+
+        return prompts.complete(rows, F.col("t"), model)
+
+    df = spark.createDataFrame([("a",), ("bb",), ("ccc",), ("dddd",)], "t string")
+    out = prompts.retry_rounds(df, "t", attempt, error="llm_error_message", rounds=3)
+    assert {r["t"]: r["llm_output"] for r in out.collect()} == {"a": "A", "bb": "BB", "ccc": "CCC", "dddd": None}
+
+
+def test_scenarios_skip_broken_answers(spark):
+    rows = [("52", '{"scenarios": [{"nc_label": "x, [y]", "parts": ["p"]}, {"nc_label": null}]}', "VALID"), ("53", "{broken", "VALID"), ("54", '{"scenarios": [{}]}', "INVALID")]
+    df = spark.createDataFrame(rows, "ATA_code string, llm_output string, llm_validation_status string")
+    out = tickets.scenarios(df, "struct<nc_label:string,parts:array<string>>").orderBy(F.desc("nc_label")).collect()
+    assert [(r["ATA_code"], r["nc_label"], r["parts"]) for r in out] == [("52", "x, [y]", ["p"]), ("52", "", None)]
+    assert out[0]["nc_scenario_id"].startswith("52-") and len(out[0]["nc_scenario_id"]) == 19
+
+
 EDGE = [(1, None, 1.5, ["x", "y"]), (2, "", None, []), (3, "  ", 2.0, None), (4, 'q"uo\\te\ttab', 3.0, ['"', "[", "]"]), (5, "line\nbreak é ß", -0.5, ["a\nb"])]
 
 

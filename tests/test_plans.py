@@ -22,7 +22,10 @@ def test_no_cross_joins(spark, small, name):
 def test_filters_and_columns_reach_the_scan(spark, small):
     plan = plan_of(CASES["conjunctive_rules"].run(spark, small))
     assert "GreaterThan(n_chars,200)" in plan and "text" not in plan.split("ReadSchema")[1]
-    plan = plan_of(CASES["filtered_search"].run(spark, small))
+    from fascicle.operators.retrieval import metadata_filter
+    from fascicle.session import load
+
+    plan = plan_of(metadata_filter(load(spark, small, "embeddings"), label=[1, 3, 5]).select("vec_id"))
     assert "PushedFilters: [In(label, [1,3,5])]" in plan
 
 

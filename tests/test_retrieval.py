@@ -137,6 +137,29 @@ def test_index_of_chunks_answers_a_search(spark):
         assert [r["id"] for r in json.loads(found.first()["context"])] == want
 
 
+def test_missing_vectors_are_left_out(spark):
+    df = spark.createDataFrame([("a", [1.0, 0.0]), ("b", None)], "vec_id string, embedding array<double>")
+    q = df.select(F.col("vec_id").alias("query_id"), "embedding")
+    assert found(retrieval.top_k(df, q, 3)) == {"a": ["a"]}
+
+
+def test_requests_are_searched_and_answered(spark):
+    embed = retrieval.hashing_embedder(128)
+    bank = spark.createDataFrame([("n1", "seal leak on door", "53"), ("n2", "spar crack", "57"), ("n3", None, "0")], "nid string, text string, code string")
+    index = retrieval.embed_texts(bank, "text", embed)
+    requests = spark.createDataFrame(
+        [("r1", "100", "Help", "door seal leak", None), ("r2", "x", "spar crack", None, None), ("r3", "000", "Help", "spar", '{"nc": [{"id": "given"}]}')],
+        "rid string, role string, user_message string, description string, sources string")
+    templates = {"query": "{{description}}", "propose": "{{role}}|{{description}}|{{nc}}"}
+    seen = lambda system, user: user if "|" not in user else json.dumps({"label": user.split("|")[0], "description": "d", "comment": user.split("|")[2]})
+    out = request_flow.answer_requests(requests, "rid", {"nc": (index, "nid", ["code"])}, embed, templates, seen, k=1, sources="sources")
+    rows = {r["rid"]: r for r in out.collect()}
+    assert json.loads(rows["r1"]["nc"])[0]["id"] == "n1" and json.loads(rows["r2"]["nc"])[0]["id"] == "n2"
+    assert json.loads(rows["r3"]["nc"]) == [{"id": "given"}]
+    assert rows["r2"]["label"] == "000" and rows["r2"]["input_description"] == "spar crack" and rows["r1"]["llm_validation_status"] == "VALID"
+    assert rows["r1"]["comment"] == rows["r1"]["nc"]
+
+
 def test_request_defaults(spark):
     df = spark.createDataFrame([(1, "999", "Hi", None), (2, "300", "Hi", "D")], "rid int, role string, user_message string, description string")
     a, b = request_flow.normalise_requests(df).orderBy("rid").collect()
