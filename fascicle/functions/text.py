@@ -53,7 +53,8 @@ def unwrap_lines(text: ColumnOrName) -> Column:
     return replace_all(text, [("\n\n", marker), ("\n", " "), (marker, "\n\n"), ("\f", "\n")])
 
 
-# The ordered substitutions that turn markdown into image alternative text.
+# The ordered substitutions that turn markdown into image alternative text, and
+# the text of an image without a description.
 ALT_TEXT_RULES = (
     (r"\n", " "),
     (r"#+\s+", ""),

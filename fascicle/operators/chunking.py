@@ -16,6 +16,11 @@ CHUNK_SIZE = 3000
 CHUNK_OVERLAP = 120
 SEPARATORS = ("\n\n", "\n", " ", "")
 
+# Pattern of an annotation line, and the notes put after an annotated chunk.
+ANNOTATION = r"- \S+: (.*)"
+TOPIC_NOTE = "\n\n*{name}* (llm annotation): "
+PARTS_NOTE = "\n\n*Parts* (llm annotation): "
+
 
 def _pieces(text: str, start: int, size: int, separators: Sequence[str]) -> Iterator[tuple[int, int] | None]:
     """(start, end) spans that cover ``text`` in order, none longer than ``size``.
@@ -106,7 +111,7 @@ def fixed_chunks(df: DataFrame, text: str, chunk: str = "chunk", chunk_id: str =
     return rows.select(*others, chunk_id, body.alias(chunk))
 
 
-def annotations(df: DataFrame, column: str, names: Sequence[str], pattern: str = r"- \S+: (.*)") -> DataFrame:
+def annotations(df: DataFrame, column: str, names: Sequence[str], pattern: str = ANNOTATION) -> DataFrame:
     """All occurrences of a one-group pattern, in order, as named columns."""
     found = F.regexp_extract_all(col(column), F.lit(pattern), F.lit(1))
     return df.withColumns({n: F.get(found, i) for i, n in enumerate(names)})
@@ -121,8 +126,8 @@ def finish_chunks(df: DataFrame, boilerplate: str | None = None, topic: str = "A
         if name in out.columns:
             out = out.withColumn(name, replace_all(name, [("^/", None)], pattern=True))
     out = out.withColumns({c: replace_all(c, [("None", None)]) for c in (topic, "parts")})
-    topic_note = F.when(is_blank(topic), F.lit("")).otherwise(F.concat(F.lit(f"\n\n*{topic}* (llm annotation): "), col(topic)))
-    parts_note = F.when(is_blank("parts"), F.lit("")).otherwise(F.concat(F.lit("\n\n*Parts* (llm annotation): "), F.col("parts"), F.lit("\n")))
+    topic_note = F.when(~is_blank(topic), F.concat(F.lit(TOPIC_NOTE.format(name=topic)), col(topic)))
+    parts_note = F.when(~is_blank("parts"), F.concat(F.lit(PARTS_NOTE), F.col("parts"), F.lit("\n")))
     body = join_text("chunk", topic_note, parts_note)
     if boilerplate:
         # anchored per line: an open start would retry the rest of the line at every character

@@ -108,6 +108,10 @@ def pending(todo: DataFrame, done: DataFrame, on: Sequence[str]) -> DataFrame:
     return todo.join(done, list(on), "left_anti")
 
 
+# The file-name formats of a page's side files.
+#   <base>.pdf  <base>.md  <base>__with_img_desc.md  <base>-img-<number>.jpeg  <base>-img-<number>.md
+
+
 def assemble_pages(files: DataFrame, path: str = "path", text: str = "text", max_images: int = 9) -> DataFrame:
     """One wide row per page PDF with its side files, keyed by base name.
 

@@ -23,6 +23,8 @@ def running_totals(df: DataFrame, order: Sequence[Column], sums: Mapping[str, Co
     partition and group, and the only unpartitioned window runs over partition numbers.
 
     All columns of ``df`` are stored once on the way, so select what the result needs first.
+    Rows equal in keys and order stay in one partition; order by enough columns to tell most
+    rows apart.
     """
     names = list(sums)
     sort_names = [f"_o{i}" for i in range(len(order))]

@@ -143,6 +143,7 @@ def task_chunks(df: DataFrame, code: str = "ATA_code", category: str = "ATA_cate
         col(code).alias("code"), col(category).alias("category"), col(event).alias("event"),
         col(date).alias("event_date"), F.explode_outer("analysis_history").alias("t"),
     ).filter(F.col("t.task").isNotNull())
+    # fixed format: heading, ticket and task lines, blank line, description
     text = join_text(
         F.lit("##"), "code", F.lit(" ("), "category", F.lit(") - "), F.col("t.task"), F.lit(": "), F.col("t.label"),
         F.lit("\n\nnc_event_id: "), "event", F.lit("\nnc_event_date: "), "event_date",

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from ..functions import paths
 from ..functions.scalars import col
+from ..operators.sampling import head
 
 
 def _open_folder(folder: str):
@@ -134,4 +135,4 @@ def fetch_record(df: DataFrame, id_column: str, order: str, record: str | None =
     """The rows of one id, or the first ``max_rows`` in a stated order when no id is given."""
     if record:
         return df.filter(col(id_column) == record)
-    return df.orderBy(order).limit(max_rows)
+    return head(df, max_rows, order)

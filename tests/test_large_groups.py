@@ -96,6 +96,17 @@ def test_exact_sample(skewed, n):
     assert set(sampling.exact_sample(skewed, n, 7, "pos").toPandas()["pos"]) != set(a["pos"]) or n >= 6005
 
 
+@pytest.mark.parametrize("rank, taken", [(200, 40), (20, 40), (4, 300)])
+def test_head_of_a_large_table(skewed, monkeypatch, rank, taken):
+    want = skewed.toPandas().sort_values(["v", "pos"]).head(taken)
+    monkeypatch.setattr(sampling, "CUT_FACTOR", 3)
+    monkeypatch.setattr(sampling, "CUT_RANK", rank)
+    got = sampling.head(skewed, taken, "v", "pos").toPandas()
+    assert list(got["pos"]) == list(want["pos"])
+    by_key = sampling.head(skewed, taken, "k", "pos").toPandas()  # NULL keys come first
+    assert by_key["k"].isna().sum() == 5 and len(by_key) == taken
+
+
 def test_balanced_sample(skewed):
     df = skewed.filter("k is not null")
     got = sampling.balanced_sample(df, 42, 1, "k", "pos").toPandas()["k"].value_counts()
