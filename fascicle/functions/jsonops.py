@@ -124,21 +124,23 @@ def flatten(
     if isinstance(schema, str):
         schema = T.DataType.fromDDL(schema)
     source = df.schema[column].dataType
+    parsed = df
     if isinstance(source, T.StringType):
         schema = schema or discover_schema(df, column)
-        value = F.from_json(col(column), schema)
+        # a column of its own, or every leaf would parse the text again
+        parsed, value = df.withColumn("_parsed", F.from_json(col(column), schema)), F.col("_parsed")
     else:
         schema, value = source, col(column)
     name = column if prefix else ""
     sizes = None
     if flatten_arrays:
-        sizes = dict(array_sizes) if array_sizes else _array_sizes(df, schema, value, name, sep, max_depth)
+        sizes = dict(array_sizes) if array_sizes else _array_sizes(parsed, schema, value, name, sep, max_depth)
     new = {}
     for leaf, dtype, expr in _leaves(schema, value, name, sep, max_depth, sizes):
         if null_as_empty and isinstance(dtype, T.StringType):
             expr = F.coalesce(expr, F.lit(""))
         new[leaf] = expr
-    return df.withColumns(new)
+    return parsed.withColumns(new).drop("_parsed")
 
 
 def with_image_descriptions(pages: ColumnOrName, descriptions: ColumnOrName) -> Column:

@@ -92,7 +92,9 @@ def recursive_chunks(df: DataFrame, text: str, chunk: str = "chunk", chunk_id: s
 
     others = [col(c) for c in df.columns if c != text]
     cut = df.select(*others, col(text).alias("_text"), spans(col(text)).alias("_spans"))
-    rows = cut.select(*others, "_text", F.posexplode("_spans").alias("_i", "_s"))
+    # outer, with its own filter: a plain explode makes the optimizer test the array's size first
+    # and run the Python function twice
+    rows = cut.select(*others, "_text", F.posexplode_outer("_spans").alias("_i", "_s")).filter(F.col("_i").isNotNull())
     body = F.substring(F.col("_text"), F.col("_s.a") + 1, F.col("_s.b") - F.col("_s.a"))
     extra = [F.col("_s.a").alias("start"), F.col("_s.b").alias("end")] if span else []
     return rows.select(*others, F.col("_i").cast("bigint").alias(chunk_id), body.alias(chunk), *extra)

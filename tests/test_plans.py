@@ -5,7 +5,6 @@ import pytest
 from fascicle.catalog import cases
 
 CASES = cases()
-LIGHT = [n for n in CASES if n not in ("process_arriving_files",)]
 
 
 def plan_of(df):
@@ -54,3 +53,14 @@ def test_pareto_window_over_terms_is_partitioned(spark, small):
 def test_explode_does_not_repeat_its_input(spark, small):
     plan = plan_of(CASES["ticket_task_chunks"].run(spark, small))
     assert "Filter (size(" not in plan
+
+
+@pytest.mark.parametrize("name, calls", [("document_ingest", 1), ("recursive_chunks", 1), ("stable_nouns", 1), ("row_wise_completion", 1), ("entity_table", 0)])
+def test_python_runs_once_per_row(spark, small, name, calls):
+    plan = plan_of(CASES[name].run(spark, small))
+    assert plan.count("ArrowEvalPython") == calls and "BatchEvalPython" not in plan
+
+
+def test_json_text_is_parsed_once(spark, small):
+    plan = plan_of(CASES["flatten_json_with_schema"].run(spark, small))
+    assert plan.count("from_json") == 1
