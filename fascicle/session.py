@@ -3,8 +3,10 @@
 from __future__ import annotations
 
 import os
+import pathlib
 import tempfile
 import uuid
+import zipfile
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -31,11 +33,31 @@ def build_session(app: str = "fascicle", master: str | None = None, **conf: str)
         builder = builder.master(master)
     for key, value in conf.items():
         builder = builder.config(key.replace("__", "."), value)
-    return builder.getOrCreate()
+    return ship_package(builder.getOrCreate())
+
+
+def ship_package(spark: SparkSession) -> SparkSession:
+    """Give this package to the Python workers, once per application.
+
+    Functions that run in tasks are sent by name, so the executors must be able to import the
+    package wherever the driver was started from. A job submitted with the package in
+    ``--py-files`` has it already; sending it again does no harm.
+    """
+    context = spark.sparkContext
+    if not getattr(context, "_fascicle_shipped", False):
+        package = pathlib.Path(__file__).parent
+        archive = pathlib.Path(tempfile.mkdtemp(prefix="fascicle-code-"), "fascicle.zip")
+        with zipfile.ZipFile(archive, "w") as z:
+            for source in sorted(package.rglob("*.py")):
+                z.write(source, source.relative_to(package.parent))
+        context.addPyFile(str(archive))
+        context._fascicle_shipped = True
+    return spark
 
 
 def load(spark: SparkSession, folder: str, *names: str) -> DataFrame | tuple[DataFrame, ...]:
     """Read ``<folder>/<name>.parquet`` for every name; one frame for one name."""
+    ship_package(spark)
     frames = tuple(spark.read.parquet(f"{folder}/{name}.parquet") for name in names)
     return frames[0] if len(frames) == 1 else frames
 
