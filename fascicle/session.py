@@ -96,6 +96,13 @@ def scratch_path(spark: SparkSession, label: str) -> str:
     return os.path.join(shared_dir(spark), f"{label}-{uuid.uuid4().hex}")
 
 
+def qualified(spark: SparkSession, path: str) -> str:
+    """``path`` as a full URI: a path without scheme is on the cluster's default file system."""
+    location = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    system = location.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    return system.makeQualified(location).toString()
+
+
 def materialise(df: DataFrame) -> DataFrame:
     """Reliable checkpoint: fixes the rows on shared storage and cuts the lineage."""
     spark = df.sparkSession
