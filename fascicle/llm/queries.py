@@ -7,7 +7,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from ..session import load
-from . import exact_dedup
+from . import exact_dedup, language_id, token_shards
+
+WORD_BPE = "word_bpe_49k.json"
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -35,3 +37,22 @@ def query(sql: str | None = None):
 def op8_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = exact_dedup.exact_duplicates(load(spark, sf_dir, "documents"))
     return found.select("doc_id", "keep_id", "group_size", "kept", "text_sha256")
+
+
+def tokenizer_path() -> str:
+    """The public word-level BPE file on this machine."""
+    import public_tokenizers
+
+    return public_tokenizers.path(WORD_BPE)
+
+
+@query()
+def op5_token_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = token_shards.token_ids(load(spark, sf_dir, "documents"), tokenizer_path())
+    return found.select("doc_id", "start", "n_tokens", "ids_crc32")
+
+
+@query()
+def op9_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = load(spark, sf_dir, "documents")
+    return language_id.identify(docs, "doc_id").select("doc_id", language_id.held_out().alias("held_out"), "lang_pred", "score")
