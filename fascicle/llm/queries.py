@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from ..session import load
-from . import exact_dedup, language_id, token_shards
+from . import decontamination, exact_dedup, language_id, token_shards, toxicity
 
 WORD_BPE = "word_bpe_49k.json"
 
@@ -56,3 +56,15 @@ def op5_token_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op9_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = load(spark, sf_dir, "documents")
     return language_id.identify(docs, "doc_id").select("doc_id", language_id.held_out().alias("held_out"), "lang_pred", "score")
+
+
+@query()
+def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, labels = load(spark, sf_dir, "documents", "labels")
+    found = toxicity.score(docs, toxicity.learn(docs, labels), "doc_id")
+    return found.select("doc_id", toxicity.held_out().alias("held_out"), "score", "predicted")
+
+
+@query()
+def op4_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontamination.contaminated(*load(spark, sf_dir, "documents", "benchmark"))
