@@ -7,6 +7,7 @@ table gives an empty result with the same columns.
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -17,6 +18,9 @@ from ..session import scratch_path, ship_package
 
 # Rows that Spark hands to Python at once; with it a batch of long documents stays in memory.
 BATCH_ROWS = 1000
+# Bytes of a text that are cut into words at once.
+PART = 4 << 20
+GAP = re.compile(rb"[ \t\n\x0b\x0c\r]")
 
 
 def prepare(spark: SparkSession) -> SparkSession:
@@ -47,3 +51,15 @@ def byte_texts(column: pa.Array) -> Iterator[bytes]:
     """UTF-8 bytes of a string column, without decoding them."""
     for value in column.cast(pa.binary() if not pa.types.is_large_string(column.type) else pa.large_binary()):
         yield value.as_py() or b""
+
+
+def parts(body: bytes) -> Iterator[bytes]:
+    """The text in parts of about ``PART`` bytes that end at white space."""
+    start = 0
+    while len(body) - start > PART:
+        gap = GAP.search(body, start + PART)
+        if gap is None:
+            break
+        yield body[start : gap.start()]
+        start = gap.start()
+    yield body[start:]

@@ -1,9 +1,9 @@
 """Token ids in raw shard files, each with a minimal perfect hash index over its document keys.
 
-A shard is two files. ``<name>.ids`` is nothing but little-endian unsigned 32-bit ids, document
-after document. ``<name>.idx`` gives constant-time access by key:
+A shard is two files. ``<name>.ids`` is nothing but little-endian unsigned ids, document after
+document, 16 bits wide if that holds the vocabulary and else 32. ``<name>.idx`` gives constant-time access by key:
 
-    magic 8 bytes | n keys u64 | n buckets u64 | displacement i64 per bucket
+    magic 8 bytes | bytes of an id u64 | n keys u64 | n buckets u64 | displacement i64 per bucket
     | fingerprint u32 per slot | first id u64 per slot | ids u64 per slot
 
 A key's hash names a bucket; the bucket's displacement sends each of its keys to a slot of its own
@@ -21,6 +21,7 @@ import os
 import re
 import uuid
 import zlib
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
@@ -31,18 +32,22 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..session import qualified, scratch_path
-from .common import byte_texts, prepare, stored, texts
+from .common import byte_texts, parts, prepare, stored, texts
 
 END_ID = 2
 SHARD_IDS = 1 << 25
 SHARD_KEYS = 100_000
 MAGIC = b"FASCIDX1"
 KEYS_PER_BUCKET = 4
-# Bytes of text that are cut into segments at once, and segments an encoder remembers.
-PIECE = 4 << 20
+# Segments an encoder remembers.
 REMEMBERED = 1_000_000
-SEPARATOR = b"\x1e"
-GAP = re.compile(rb"[ \t\n\x0b\x0c\r]")
+# Segments that need no normalization but lower case, and what the tokenizer cuts them into.
+PLAIN = re.compile(r"[!-~\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u00ff]+")
+PIECES = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[a-z\u00df-\u00f6\u00f8-\u00ff]+|[0-9]|[^a-z0-9\u00df-\u00f6\u00f8-\u00ff]+")
+SIGNS = frozenset(bytes([b]) for b in range(33, 127) if not bytes([b]).isalpha())
+# Byte-level BPE writes a byte that prints as its Latin-1 character and the others, in order, from U+0100 on.
+PRINTED = [*range(33, 127), *range(161, 173), *range(174, 256)]
+BYTE_LETTERS = {b: 256 + i for i, b in enumerate(b for b in range(256) if b not in PRINTED)}
 
 MANIFEST = "shard string, seq long, first_doc long, doc_id long, copy long, offset long, n_tokens long"
 MASK = (1 << 64) - 1
@@ -51,8 +56,9 @@ MASK = (1 << 64) - 1
 class Encoder:
     """Whole-text encoding that remembers the ids of segments between ASCII white space.
 
-    Holds for tokenizers that drop white space and never join across it, such as word-level BPE
-    with word ends. Unknown segments are encoded together, a control character between them.
+    For lower-casing byte-level BPE that drops white space and never joins across it. Segments of
+    ASCII and Latin-1 letters are cut into the pre-tokenizer's pieces here and the BPE model is
+    asked for each new piece once; any other segment goes through the whole tokenizer.
     """
 
     def __init__(self, path: str):
@@ -60,44 +66,42 @@ class Encoder:
 
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         self.tokenizer = Tokenizer.from_file(path)
-        self.known: dict[bytes, bytes] = {}
-        self.separator = self._ids([SEPARATOR.decode()])[0]
-        if len(self.separator) != 1:
-            raise ValueError("the tokenizer needs one id for the separator")
-
-    def _ids(self, strings: list[str]) -> list[list[int]]:
-        return [e.ids for e in self.tokenizer.encode_batch_fast(strings, add_special_tokens=False)]
-
-    def _learn(self, segments: list[bytes]) -> dict[bytes, bytes]:
-        """Ids of new segments."""
-        out = {}
-        plain = [s for s in segments if SEPARATOR not in s]
-        odd = [s for s in segments if SEPARATOR in s]
-        runs = [plain[i : i + 200] for i in range(0, len(plain), 200)]
-        for run, ids in zip(runs, self._ids([b" \x1e ".join(r).decode("utf-8", "replace") for r in runs])):
-            ids = np.array(ids, "<u4")
-            cuts = np.flatnonzero(ids == self.separator[0])
-            raw, start = ids.tobytes(), 0
-            for segment, cut in zip(run, [*cuts.tolist(), len(ids)]):
-                out[segment] = raw[4 * start : 4 * cut]
-                start = cut + 1
-        for segment, ids in zip(odd, self._ids([s.decode("utf-8", "replace") for s in odd])):
-            out[segment] = np.array(ids, "<u4").tobytes()
-        return out
-
-    def encode(self, bodies: list[bytes]) -> list[bytes]:
-        """Little-endian ids of each text."""
+        self.width = "<u2" if self.tokenizer.get_vocab_size(with_added_tokens=True) <= 1 << 16 else "<u4"
+        self.known: dict[bytes, bytes] = {}  # segments, and lower-case pieces, which are segments too
+
+    def _packed(self, ids: list[int]) -> bytes:
+        return array("H" if self.width == "<u2" else "I", ids).tobytes()
+
+    def _piece(self, piece: bytes) -> bytes:
+        ids = self.known.get(piece)
+        if ids is None:
+            text = piece.decode() if piece.isascii() else piece.decode("latin-1").translate(BYTE_LETTERS)
+            ids = self._packed([t.id for t in self.tokenizer.model.tokenize(text)])
+            if len(piece) <= 64:
+                self.known[piece] = ids
+        return ids
+
+    def _segment(self, segment: bytes) -> bytes:
+        if segment.isalpha():
+            ids = self._piece(segment.lower())
+        elif segment[:-1].isalpha() and segment[-1:] in SIGNS:
+            ids = self._piece(segment[:-1].lower()) + self._piece(segment[-1:])
+        else:
+            text = segment.decode("utf-8", "replace")
+            if PLAIN.fullmatch(text) and "<|" not in text:
+                ids = b"".join([self._piece(p.encode()) for p in PIECES.findall(text.lower())])
+            else:
+                ids = self._packed(self.tokenizer.encode(text, add_special_tokens=False).ids)
+        if len(segment) <= 64:
+            self.known[segment] = ids
+        return ids
+
+    def encode(self, body: bytes) -> bytes:
+        """The ids of a text, little-endian and ``width`` wide."""
         if len(self.known) > REMEMBERED:
-            self.known = {}
-        cut = [body.split() for body in bodies]
-        new = set().union(*cut).difference(self.known)
-        if new:
-            self.known.update(self._learn(list(new)))
-        out = [b"".join(map(self.known.__getitem__, segments)) for segments in cut]
-        for segment in new:
-            if len(segment) > 64:
-                del self.known[segment]
-        return out
+            self.known.clear()
+        known, new = self.known.get, self._segment
+        return b"".join([known(s) or new(s) for part in parts(body) for s in part.split()])
 
 
 ENCODERS: dict[str, Encoder] = {}
@@ -109,35 +113,6 @@ def encoder(path: str) -> Encoder:
     return ENCODERS[path]
 
 
-def pieces(body: bytes) -> Iterator[bytes]:
-    """The text in parts of about ``PIECE`` bytes that end at white space."""
-    start = 0
-    while len(body) - start > PIECE:
-        gap = GAP.search(body, start + PIECE)
-        if gap is None:
-            break
-        yield body[start : gap.start()]
-        start = gap.start()
-    yield body[start:]
-
-
-def encode_many(enc: Encoder, bodies: list[bytes]) -> Iterator[bytes]:
-    """Ids of every text in order, holding few bytes of text in segments at a time."""
-    group, size = [], 0
-    for body in bodies:
-        if len(body) > PIECE:
-            yield from enc.encode(group)
-            group, size = [], 0
-            yield b"".join(enc.encode([p])[0] for p in pieces(body))
-            continue
-        group.append(body)
-        size += len(body)
-        if size > PIECE:
-            yield from enc.encode(group)
-            group, size = [], 0
-    yield from enc.encode(group)
-
-
 def file_system(uri: str) -> tuple[fs.FileSystem, str]:
     return fs.FileSystem.from_uri(re.sub(r"^file:/(?!/)", "file:///", uri))
 
@@ -192,7 +167,7 @@ def displacements(hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return table, slot
 
 
-def write_index(keys: list[bytes], first: list[int], size: list[int]) -> bytes:
+def write_index(keys: list[bytes], first: list[int], size: list[int], width: int) -> bytes:
     hashed = [key_hash(k) for k in keys]
     hashes = np.array([h for h, _ in hashed], np.uint64)
     if len(np.unique(hashes)) < len(hashes):
@@ -200,7 +175,7 @@ def write_index(keys: list[bytes], first: list[int], size: list[int]) -> bytes:
     table, slot = displacements(hashes)
     prints, starts, sizes = np.zeros(len(keys), "<u4"), np.zeros(len(keys), "<u8"), np.zeros(len(keys), "<u8")
     prints[slot], starts[slot], sizes[slot] = [f for _, f in hashed], first, size
-    head = np.array([len(keys), len(table)], "<u8").tobytes()
+    head = np.array([width, len(keys), len(table)], "<u8").tobytes()
     return MAGIC + head + table.tobytes() + prints.tobytes() + starts.tobytes() + sizes.tobytes()
 
 
@@ -213,23 +188,23 @@ class Shard:
             raw = f.read()
         if raw[:8] != MAGIC:
             raise ValueError(f"{uri}.idx is no shard index")
-        self.n, m = (int(x) for x in np.frombuffer(raw, "<u8", 2, 8))
-        self.table = np.frombuffer(raw, "<i8", m, 24)
-        at = 24 + 8 * m
+        self.width, self.n, m = (int(x) for x in np.frombuffer(raw, "<u8", 3, 8))
+        self.table = np.frombuffer(raw, "<i8", m, 32)
+        at = 32 + 8 * m
         self.prints = np.frombuffer(raw, "<u4", self.n, at)
         self.starts = np.frombuffer(raw, "<u8", self.n, at + 4 * self.n)
         self.sizes = np.frombuffer(raw, "<u8", self.n, at + 12 * self.n)
         self.data = self.fs.open_input_file(path + ".ids")
 
-    def raw(self, doc_id: int | None, copy: int = 0) -> bytes:
-        """The id bytes of a document; KeyError for a key that is not in the shard."""
+    def ids(self, doc_id: int | None, copy: int = 0) -> np.ndarray:
+        """The ids of a document; KeyError for a key that is not in the shard."""
         h, fingerprint = key_hash(key_of(doc_id, copy))
         d = int(self.table[(h >> 20) % len(self.table)])
         slot = -d - 1 if d < 0 else int(_slots(np.array([h], np.uint64), d, self.n)[0])
         if self.prints[slot] != fingerprint:
             raise KeyError(doc_id)
-        self.data.seek(4 * int(self.starts[slot]))
-        return self.data.read(4 * int(self.sizes[slot]))
+        self.data.seek(self.width * int(self.starts[slot]))
+        return np.frombuffer(self.data.read(self.width * int(self.sizes[slot])), f"<u{self.width}")
 
     def close(self) -> None:
         self.data.close()
@@ -239,18 +214,17 @@ class Shard:
 
 
 def _writer(folder: str, tokenizer: str, end_id: int, shard_ids: int):
-    end = np.array([end_id], "<u4").tobytes()
-
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         target, root = file_system(folder)
         target.create_dir(root)
         enc = encoder(tokenizer)
+        end = np.array([end_id], enc.width).tobytes()
         seq, last, copy, rows, sink, name, used = 0, object(), 0, [], None, "", 0
 
         def close():
             sink.close()
             with target.open_output_stream(f"{root}/{name}.idx") as f:
-                f.write(write_index([key_of(r[0], r[1]) for r in rows], [r[2] for r in rows], [r[3] for r in rows]))
+                f.write(write_index([key_of(r[0], r[1]) for r in rows], [r[2] for r in rows], [r[3] for r in rows], len(end)))
             ids, copies, offsets, sizes = zip(*rows)
             n = len(rows)
             return pa.RecordBatch.from_arrays(
@@ -260,14 +234,15 @@ def _writer(folder: str, tokenizer: str, end_id: int, shard_ids: int):
             )
 
         for batch in batches:
-            for doc_id, ids in zip(batch.column("doc_id").to_pylist(), encode_many(enc, list(byte_texts(batch.column("text"))))):
+            for doc_id, text in zip(batch.column("doc_id").to_pylist(), byte_texts(batch.column("text"))):
+                ids = enc.encode(text)
                 if sink is None:
                     name, rows, used = uuid.uuid4().hex, [], 0
                     sink = target.open_output_stream(f"{root}/{name}.ids")
                 copy = copy + 1 if doc_id == last else 0
                 last = doc_id
                 sink.write(ids + end)
-                n = len(ids) // 4 + 1
+                n = len(ids) // len(end) + 1
                 rows.append((doc_id, copy, used, n))
                 used += n
                 if used >= shard_ids or len(rows) >= SHARD_KEYS:
@@ -303,7 +278,7 @@ def _reader(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 if shard:
                     shard.close()
                 shard, name = Shard(path), path
-            crc.append(zlib.crc32(shard.raw(doc_id, copy)))
+            crc.append(zlib.crc32(shard.ids(doc_id, copy).astype("<u4")))
         yield batch.append_column("ids_crc32", pa.array(crc, pa.int64()))
     if shard:
         shard.close()
