@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from ..session import load
-from . import decontamination, exact_dedup, language_id, token_shards, toxicity
+from . import decontamination, exact_dedup, html_extraction, jaccard_join, language_id, lm_scoring, mixing, token_shards, toxicity
 
 WORD_BPE = "word_bpe_49k.json"
 
@@ -68,3 +68,25 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query()
 def op4_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontamination.contaminated(*load(spark, sf_dir, "documents", "benchmark"))
+
+
+@query()
+def op1_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Target: the documents labelled as of good quality."""
+    docs, labels = load(spark, sf_dir, "documents", "labels")
+    return lm_scoring.score_against(docs, labels.where("quality = 1"), "doc_id")
+
+
+@query()
+def op7_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard_join.similar_groups(load(spark, sf_dir, "documents")).select("doc_id", "n_shingles", "component_id", "class_id")
+
+
+@query()
+def op3_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_extraction.extract_main_text(load(spark, sf_dir, "pages"), "page_id", "url")
+
+
+@query(sql=mixing.sql())
+def op2_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.mixed(load(spark, sf_dir, "documents"))
