@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from ..session import load
-from . import decontamination, exact_dedup, html_extraction, jaccard_join, language_id, lm_scoring, mixing, token_shards, toxicity
+from . import decontamination, exact_dedup, html_extraction, jaccard_join, language_id, lm_scoring, mixing, sanitisation, token_shards, toxicity
 
 WORD_BPE = "word_bpe_49k.json"
 
@@ -90,3 +90,8 @@ def op3_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query(sql=mixing.sql())
 def op2_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mixed(load(spark, sf_dir, "documents"))
+
+
+@query()
+def op6_sanitisation(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sanitisation.find_personal_data(load(spark, sf_dir, "documents"))

@@ -39,8 +39,8 @@ SHARD_IDS = 1 << 25
 SHARD_KEYS = 100_000
 MAGIC = b"FASCIDX1"
 KEYS_PER_BUCKET = 4
-# Segments an encoder remembers.
-REMEMBERED = 1_000_000
+# Segments in each of an encoder's two generations of memory.
+REMEMBERED = 700_000
 # Segments that need no normalization but lower case, and what the tokenizer cuts them into.
 PLAIN = re.compile(r"[!-~\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u00ff]+")
 PIECES = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[a-z\u00df-\u00f6\u00f8-\u00ff]+|[0-9]|[^a-z0-9\u00df-\u00f6\u00f8-\u00ff]+")
@@ -67,13 +67,15 @@ class Encoder:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         self.tokenizer = Tokenizer.from_file(path)
         self.width = "<u2" if self.tokenizer.get_vocab_size(with_added_tokens=True) <= 1 << 16 else "<u4"
-        self.known: dict[bytes, bytes] = {}  # segments, and lower-case pieces, which are segments too
+        # segments, and lower-case pieces, which are segments too; those used since the last change, and before
+        self.known: dict[bytes, bytes] = {}
+        self.older: dict[bytes, bytes] = {}
 
     def _packed(self, ids: list[int]) -> bytes:
         return array("H" if self.width == "<u2" else "I", ids).tobytes()
 
     def _piece(self, piece: bytes) -> bytes:
-        ids = self.known.get(piece)
+        ids = self.known.get(piece) or self.older.get(piece)
         if ids is None:
             text = piece.decode() if piece.isascii() else piece.decode("latin-1").translate(BYTE_LETTERS)
             ids = self._packed([t.id for t in self.tokenizer.model.tokenize(text)])
@@ -82,6 +84,10 @@ class Encoder:
         return ids
 
     def _segment(self, segment: bytes) -> bytes:
+        ids = self.older.get(segment)
+        if ids is not None:
+            self.known[segment] = ids
+            return ids
         if segment.isalpha():
             ids = self._piece(segment.lower())
         elif segment[:-1].isalpha() and segment[-1:] in SIGNS:
@@ -99,7 +105,7 @@ class Encoder:
     def encode(self, body: bytes) -> bytes:
         """The ids of a text, little-endian and ``width`` wide."""
         if len(self.known) > REMEMBERED:
-            self.known.clear()
+            self.known, self.older = {}, self.known
         known, new = self.known.get, self._segment
         return b"".join([known(s) or new(s) for part in parts(body) for s in part.split()])
 
