@@ -1,18 +1,55 @@
 """A training corpus from raw documents: five stages, each written as Parquet and read again.
 
-``STAGES`` names them in order. A stage gets what its predecessor kept; all but the last return
-the columns of ``documents``.
+``STAGES`` names them in order. A stage gets what its predecessor kept and works on all of it; all
+but the last return the columns of ``documents``. Stages drop documents, never parts of them.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from fascicle.llm import decontamination, jaccard_join, language_id, mixing, token_shards
+from fascicle.llm.queries import tokenizer_path
 from fascicle.session import load, scratch_path
 
-STAGES: list = []
 
-# Two stages (language models, banded alignment) cannot be said in SQL; tests use brute force.
+def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents in a language that can be told stay; a missing lang is filled in."""
+    found = language_id.identify(docs, *docs.columns)
+    known = found.where(F.col("lang_pred") != language_id.UNKNOWN)
+    return known.withColumn("lang", F.coalesce("lang", "lang_pred")).select(*docs.columns)
+
+
+def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of similar ones stays."""
+    return jaccard_join.one_of_each(docs)
+
+
+def drop_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that hold a passage of a benchmark item go."""
+    return decontamination.clean(docs, load(spark, sf_dir, "benchmark"))
+
+
+def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents sampled to the target weights of sources, languages and topics."""
+    return mixing.sample(docs)
+
+
+def write_tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Token ids in indexed shards; one row per document as read back."""
+    return token_shards.token_ids(docs, tokenizer_path()).select("doc_id", "start", "n_tokens", "ids_crc32")
+
+
+STAGES = [
+    ("language_id", identify_language),
+    ("jaccard_join", drop_near_copies),
+    ("decontamination", drop_benchmark),
+    ("mixing", mix_sources),
+    ("token_shards", write_tokens),
+]
+
+# Suffix automata, banded alignment and a tokenizer cannot be said in SQL; tests use brute force.
 ORACLE_SQL: str | None = None
 
 
