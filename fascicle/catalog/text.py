@@ -65,24 +65,18 @@ def vocabulary_statistics(spark, sf):
     return corpus.vocabulary_statistics(spread(documents), "doc_id", "text", vocabulary)
 
 
-_ENTRIES = r"""p AS (SELECT doc_id, list_filter(list_transform(string_split_regex(marked, '\[\[\[|\]\]\]'),
-    lambda x: regexp_replace(x, '^\s+|\s+$', '', 'g')), lambda x: x <> '') AS items FROM m),
-    q AS (SELECT doc_id, items, unnest(range(1, greatest(len(items) - 1, 1) + 1, 2)) AS i FROM p WHERE len(items) > 1)
-    SELECT doc_id, items[i + 1] AS entry, coalesce(items[i + 2], '') AS definition FROM q"""
-
-
-@query("TX4", "SC19", "SC21", "WN5", sql=r"""WITH d AS (SELECT doc_id, 'Preface ' || chr(10) || lang || ' ' || lang || ' / ' || text || chr(10) ||
-      'then  ' || chr(10) || 'src  src / hyphen-' || chr(10) || 'ated ' || source AS t FROM documents),
-    j AS (SELECT doc_id, regexp_replace(replace(replace(t, '-' || chr(10), ''), ' ' || chr(10), ' '), '([a-zA-Z]|[0-9])\n([a-zA-Z]|[0-9])', '\1 \2', 'g') AS t FROM d),
-    m AS (SELECT doc_id, regexp_replace(regexp_replace(regexp_replace(regexp_replace(regexp_replace(t, '\b(en)\s+en /', '[[[\1]]] /', 'g'),
-      '\b(fr)\s+fr /', '[[[\1]]] /', 'g'), '\b(de)\s+de /', '[[[\1]]] /', 'g'), '\b(es)\s+es /', '[[[\1]]] /', 'g'), '\b(src)\s+src /', '[[[\1]]] /', 'g') AS marked FROM j), """ + _ENTRIES)
+# The expected rows follow from how the text is built: what stands between two headwords.
+@query("TX4", "SC19", "SC21", sql=r"""WITH d AS (SELECT doc_id, lang, source, regexp_replace(replace(replace(text || chr(10) || 'then  ' || chr(10),
+      '-' || chr(10), ''), ' ' || chr(10), ' '), '([a-zA-Z0-9])\n([a-zA-Z0-9])', '\1 \2', 'g') AS body FROM documents)
+    SELECT doc_id, lang AS entry, regexp_replace('/ ' || body, '\s+$', '') AS definition FROM d
+    UNION ALL SELECT doc_id, 'src', '/ hyphenated ' || source FROM d""")
 def repeated_headword_dictionary(spark, sf):
     body = F.concat(F.lit("Preface \n"), "lang", F.lit(" "), "lang", F.lit(" / "), "text", F.lit("\nthen  \nsrc  src / hyphen-\nated "), "source")
     return corpus.repeated_headword_entries(_documents(spark, sf).select("doc_id", body.alias("t")), "doc_id", "t")
 
 
-@query("TX5", "SC20", sql=r"""WITH d AS (SELECT doc_id, 'Preface' || chr(10) || lang || ' ' || chr(10) || text || chr(10) || source || ' ' || chr(10) || 'the source' AS t FROM documents),
-    m AS (SELECT doc_id, regexp_replace(t, '\n([\p{L}\p{N}_]+)\s\n', '[[[\1]]] /', 'g') AS marked FROM d), """ + _ENTRIES)
+@query("TX5", "SC20", sql=r"""SELECT doc_id, lang AS entry, regexp_replace('/' || text, '\s+$', '') AS definition FROM documents
+    UNION ALL SELECT doc_id, source, '/the source' FROM documents""")
 def line_headword_dictionary(spark, sf):
     body = F.concat(F.lit("Preface\n"), "lang", F.lit(" \n"), "text", F.lit("\n"), "source", F.lit(" \nthe source"))
     return corpus.line_headword_entries(_documents(spark, sf).select("doc_id", body.alias("t")), "doc_id", "t")

@@ -83,28 +83,34 @@ def vocabulary_statistics(df: DataFrame, doc: str, text: str, vocabulary: DataFr
     return windows.dense_rank_in(joins.vocabulary_counts(counts, vocabulary, entry, entry), doc, "count")
 
 
-def _marked_entries(df: DataFrame, doc: str, marked: Column) -> DataFrame:
-    pieces = F.transform(F.split(marked, r"\[\[\[|\]\]\]"), lambda p: strip(p))
-    pairs = windows.pair_with_next(F.array_remove(pieces, ""))
-    return df.select(col(doc), F.explode(pairs).alias("_p")).select(col(doc), "_p.entry", "_p.definition")
+# What joins the lines of an extracted dictionary, applied in this order.
+LINE_JOINS = (("-\n", ""), (" \n", " "), ("([a-zA-Z0-9])\n([a-zA-Z0-9])", "$1 $2"), (" \x02 ", " "))
+# Where a headword stands. Twice before a slash, or alone on a line.
+REPEATED_HEADWORD = r"(?U)\b(\w+)\s+\1(?= /)"
+LINE_HEADWORD = r"(?U)\n(\w+)\s\n"
 
 
-def join_broken_lines(text: Column | str) -> Column:
-    """De-hyphenate and rejoin the lines of an extracted dictionary."""
-    plain = replace_all(text, [("-\n", None), (" \n", " ")])
-    return replace_all(plain, [(r"([a-zA-Z]|[0-9])\n([a-zA-Z]|[0-9])", "$1 $2"), (" \x02 ", " ")], pattern=True)
+def _dictionary(df: DataFrame, doc: str, text: Column, headword: str, lead: str = "") -> DataFrame:
+    """(entry, definition) rows: each headword with the text up to the next one, after ``lead``.
+
+    Text before the first headword belongs to none; a headword without text has the lead alone.
+    """
+    entries = F.regexp_extract_all(text, F.lit(headword), F.lit(1))
+    between = F.split(text, headword, -1)
+    following = F.transform(F.slice(between, 2, F.size(between)), lambda t: strip(F.concat(F.lit(lead), t)))
+    rows = F.zip_with(entries, following, lambda e, d: F.struct(e.alias("entry"), d.alias("definition")))
+    return df.select(col(doc), F.inline(rows))
 
 
 def repeated_headword_entries(df: DataFrame, doc: str, text: str) -> DataFrame:
-    """(entry, definition) rows of a dictionary whose headwords stand twice before a slash."""
-    marked = F.regexp_replace(join_broken_lines(text), r"(?U)\b(\w+)\b\s+\b\1\b /", "[[[$1]]] /")
-    return _marked_entries(df, doc, marked)
+    """Dictionary whose headwords stand twice before a slash; a definition starts at the slash."""
+    lines = replace_all(text, LINE_JOINS, pattern=True)
+    return _dictionary(df, doc, lines, REPEATED_HEADWORD)
 
 
 def line_headword_entries(df: DataFrame, doc: str, text: str) -> DataFrame:
-    """(entry, definition) rows of a dictionary whose headwords stand alone on a line."""
-    marked = F.regexp_replace(col(text), r"(?U)\n(\w+)\s\n", "[[[$1]]] /")
-    return _marked_entries(df, doc, marked)
+    """Dictionary whose headwords stand alone on a line; definitions get the slash of the other form."""
+    return _dictionary(df, doc, col(text), LINE_HEADWORD, "/")
 
 
 def sentence_table(df: DataFrame, text: str, tag: Callable[[Column], tuple[Column, Column]] | None = None) -> DataFrame:

@@ -81,21 +81,19 @@ def test_differs_keeps_missing_values(spark):
     assert documents.filter_chunks(df, [("t", "a")]).count() == 2
 
 
-def _python_entries(marked):
-    items = [e.strip() for e in re.split(r"\[\[\[|\]\]\]", marked) if e.strip()]
-    return [(items[i], items[i + 1] if i + 1 < len(items) else "") for i in range(1, len(items), 2)]
-
-
-def test_dictionaries_match_python(spark):
-    repeated = "Foreword \nmore\nabeam abeam / at a right an-\ngle to \nit. Aile Aile / une été\n9 Zoé  Zoé / last"
-    line = "Foreword\nabort \nTo stop.\nélan \nVigour\nand more."
-    df = spark.createDataFrame([("r", repeated), ("l", line), ("none", "nothing here")], "f string, t string")
-    got = [(r["entry"], r["definition"]) for r in corpus.repeated_headword_entries(df.filter("f = 'r'"), "f", "t").collect()]
-    joined = re.sub(r"([a-zA-Z]|[0-9])\n([a-zA-Z]|[0-9])", r"\1 \2", repeated.replace("-\n", "").replace(" \n", " "))
-    assert got == _python_entries(re.sub(r"\b(\w+)\b\s+\b\1\b /", r"[[[\1]]] /", joined)) and len(got) == 3
-    got = [(r["entry"], r["definition"]) for r in corpus.line_headword_entries(df.filter("f = 'l'"), "f", "t").collect()]
-    assert got == _python_entries(re.sub(r"\n(\w+)\s\n", r"[[[\1]]] /", line)) and len(got) == 2
-    assert corpus.line_headword_entries(df.filter("f = 'none'"), "f", "t").count() == 0
+def test_dictionaries(spark):
+    repeated = "Foreword \nmore\nabeam abeam / at a right an-\ngle to \nit. Aile Aile / une été\n9 Zoé  Zoé / last \n"
+    line = "Foreword\nabort \nTo stop.\nélan \nVigour\nand more.\nend \n"
+    df = spark.createDataFrame([("r", repeated), ("l", line), ("none", "nothing here"), (None, None)], "f string, t string")
+
+    def entries(rows):
+        return [(r["entry"], r["definition"]) for r in rows.collect()]
+
+    assert entries(corpus.repeated_headword_entries(df.filter("f = 'r'"), "f", "t")) == [
+        ("abeam", "/ at a right angle to it."), ("Aile", "/ une été\n9"), ("Zoé", "/ last")]
+    assert entries(corpus.line_headword_entries(df.filter("f = 'l'"), "f", "t")) == [
+        ("abort", "/To stop."), ("élan", "/Vigour\nand more."), ("end", "/")]
+    assert entries(corpus.line_headword_entries(df.filter("f = 'none' OR f IS NULL"), "f", "t")) == []
 
 
 def test_sentences(spark):
