@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from ..operators import joins, prompts
 from ..plans import documents as document_flow
 from ..plans import tickets
-from ..session import load, spread
+from ..session import load
 from .models import answer_sql
 from .registry import query, sha_int
 from .relational import _page_files
@@ -20,7 +20,7 @@ _CHUNKS = r"""WITH c AS (SELECT doc_id, text, unnest(range(0, greatest(CAST(ceil
 @query("TX11", "SC12", "FL2", "AG1", sql=_CHUNKS + """ SELECT doc_id AS doc, CAST(0 AS BIGINT) AS part,
     string_agg(chunk, chr(10) || chr(10) ORDER BY k) AS chunk_concat FROM s WHERE length(chunk) > 50 GROUP BY 1""")
 def chunk_filter_and_fold(spark, sf):
-    return document_flow.chunk_and_fold(spread(load(spark, sf, "documents")))
+    return document_flow.chunk_and_fold(load(spark, sf, "documents"))
 
 
 @query("FL2", "FL3", "TX12", sql=f"SELECT doc, chunk_id, length FROM ({_STRIDE})" + """ WHERE parts IS DISTINCT FROM 'src1' AND "ATA" IS DISTINCT FROM 'de' AND length > 200""")
@@ -31,7 +31,7 @@ def filtered_chunks(spark, sf):
 @query("JN6", "SC22", "TX11", "TX12", "PR2")
 def document_ingest(spark, sf):
     """Page files assembled, annotated, chunked, finished and filtered."""
-    pages = joins.assemble_pages(_page_files(spread(load(spark, sf, "documents"))))
+    pages = joins.assemble_pages(_page_files(load(spark, sf, "documents")))
     note = F.concat(F.lit("- ATA: "), F.substring("doc", 2, 1), F.lit("\n- Parts: None\n- Type: text"))
     chunks = document_flow.prepare_chunks(pages.withColumn("llm_output", note))
     return document_flow.filter_chunks(chunks, [("doc_type", "figure")])
@@ -108,37 +108,40 @@ def _staged(orders):
 
 
 _TASKS = """WITH t(code, extra) AS (VALUES ('000', ''), ('100', 'a'), ('100', 'b'), ('200', ''), ('300', 'a'), ('300', 'b'), ('400', ''), ('500', '')),
-    k AS (SELECT CAST(o_orderkey AS VARCHAR) AS doc, o_orderpriority || ' ["date"] ' || code || extra AS label, strftime(o_orderdate, '%Y-%m-%d') AS day, * FROM orders, t),
-    c AS (SELECT doc, '##' || o_orderstatus || ' (' || o_orderpriority || ') - ' || code || ': ' || label || chr(10) || chr(10) || 'nc_event_id: ' || doc || chr(10) ||
+    k AS (SELECT CAST({event} AS VARCHAR) AS doc, o_orderpriority || ' ["date"] ' || code || extra AS label, strftime(o_orderdate, '%Y-%m-%d') AS day, * FROM orders, t),
+    c AS (SELECT o_orderkey, doc, '##' || o_orderstatus || ' (' || o_orderpriority || ') - ' || code || ': ' || label || chr(10) || chr(10) || 'nc_event_id: ' || doc || chr(10) ||
       'nc_event_date: ' || day || chr(10) || 'task_date:' || day || chr(10) || 'author:n' || code || ' ' || CAST(o_custkey AS VARCHAR) || chr(10) ||
       'role:role ' || code || chr(10) || chr(10) || 'd] ' || o_orderstatus AS chunk, doc || '-' || code || '-' || day AS chunk_id FROM k)"""
 
 
-def _task_chunks(spark, sf):
-    staged = tickets.history(_staged(spread(load(spark, sf, "orders"))), {code: f"stage_{code}" for code in tickets.TASKS})
-    return tickets.task_chunks(staged, "o_orderstatus", "o_orderpriority", "o_orderkey", F.date_format("o_orderdate", "yyyy-MM-dd"))
+def _histories(spark, sf):
+    return tickets.history(_staged(load(spark, sf, "orders")), {code: f"stage_{code}" for code in tickets.TASKS})
 
 
-@query("SC13", "SC14", "SG2", "SG3", "PR6", "PR7", sql=_TASKS + " SELECT doc, chunk, chunk_id FROM c")
+@query("SC13", "SC14", "SG2", "SG3", "PR6", "PR7", sql=_TASKS.format(event="o_orderkey") + " SELECT doc, chunk, chunk_id FROM c")
 def ticket_task_chunks(spark, sf):
-    return _task_chunks(spark, sf)
+    return tickets.task_chunks(_histories(spark, sf), "o_orderstatus", "o_orderpriority", "o_orderkey", F.date_format("o_orderdate", "yyyy-MM-dd"))
 
 
-@query("AG1", sql=_TASKS + " SELECT doc, CAST(0 AS BIGINT) AS part, string_agg(chunk, chr(10) || chr(10) ORDER BY chunk_id, chunk) AS chunk_concat FROM c GROUP BY 1")
+# customers stand for event ids that several tickets share
+@query("AG1", sql=_TASKS.format(event="o_custkey") + """ SELECT CAST(o_orderkey AS VARCHAR) AS name, doc,
+    string_agg(chunk, chr(10) || chr(10) ORDER BY chunk_id, chunk) AS chunk_concat FROM c GROUP BY ALL""")
 def ticket_documents(spark, sf):
-    return tickets.ticket_documents(_task_chunks(spark, sf))
+    return tickets.ticket_documents(_histories(spark, sf), ("o_orderkey",), "o_orderstatus", "o_orderpriority", "o_custkey", F.date_format("o_orderdate", "yyyy-MM-dd"))
 
 
-@query("SC14", sql="""SELECT o_orderkey, CAST(6 AS BIGINT) AS stages, CAST(2 AS BIGINT) AS second FROM orders""")
+@query("SC14", sql="""SELECT o_orderkey, '000,100,200,300,400,500' AS stages, CAST(2 AS BIGINT) AS second,
+    o_orderpriority || ' ["date"] 100b' AS label, 'n500 ' || CAST(o_custkey AS VARCHAR) AS last_author FROM orders""")
 def ticket_history_json(spark, sf):
-    text = tickets.history_text(_staged(spread(load(spark, sf, "orders"))), {code: f"stage_{code}" for code in tickets.TASKS})
-    keys = F.size(F.json_object_keys("analysis_history")).cast("bigint")
+    text = tickets.history_text(_staged(load(spark, sf, "orders")), {code: f"stage_{code}" for code in tickets.TASKS})
+    stages = F.array_join(F.json_object_keys("analysis_history"), ",")
     second = F.json_array_length(F.get_json_object("analysis_history", "$.100")).cast("bigint")
-    return text.select("o_orderkey", keys.alias("stages"), second.alias("second"))
+    return text.select("o_orderkey", stages.alias("stages"), second.alias("second"), F.get_json_object("analysis_history", "$.100[1].label").alias("label"),
+                       F.get_json_object("analysis_history", "$.500[0].name").alias("last_author"))
 
 
 @query("PM2", "PM8", "SC32", sql=f"""SELECT o_orderkey, json_extract_string({answer_sql("'report ' || o_orderpriority")}, '$.label') AS label FROM orders""")
 def ticket_stage_call(spark, sf):
-    called = prompts.complete(spread(load(spark, sf, "orders")), F.concat(F.lit("report "), "o_orderpriority"), expected="JSON_OBJECT", required=["label"])
+    called = prompts.complete(load(spark, sf, "orders"), F.concat(F.lit("report "), "o_orderpriority"), expected="JSON_OBJECT", required=["label"])
     staged = tickets.structure_stage(called, "stage")
     return staged.select("o_orderkey", F.col("stage")[0]["label"].alias("label"))

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from ..functions import jsonops
 from ..operators import aggregates, chunking, prompts, retrieval
 from ..plans import requests as request_flow
-from ..session import load, scratch_path, spread
+from ..session import load, scratch_path
 from .registry import query, sha_int
 
 
@@ -80,15 +80,18 @@ def extracted_triples(spark, sf):
 _ROUND = f"{sha_int('CAST(o_orderkey AS VARCHAR)')} % 4"
 
 
-@query("PM10", sql=f"""SELECT o_orderkey, CAST({_ROUND} AS BIGINT) AS answered_in, CASE WHEN {_ROUND} = 3 THEN 'busy' END AS error FROM orders""")
+# the key is missing or shared on purpose
+@query("PM10", sql=f"""SELECT o_orderkey, CASE WHEN o_orderkey % 10 > 0 THEN o_custkey END AS k, CAST({_ROUND} AS BIGINT) AS answered_in,
+    CASE WHEN {_ROUND} = 3 THEN 'busy' END AS error FROM orders""")
 def retried_failures(spark, sf):
     luck = F.conv(F.substring(F.sha1(F.col("o_orderkey").cast("string")), 1, 8), 16, 10).cast("bigint") % 4
 
     def attempt(rows, n):
         failed = (luck > n) | (luck == 3)
-        return rows.select("o_orderkey", F.lit(n).cast("bigint").alias("answered_in"), F.when(failed, "busy").alias("error"))
+        return rows.withColumns({"answered_in": F.lit(n).cast("bigint"), "error": F.when(failed, "busy")})
 
-    return prompts.retry_rounds(load(spark, sf, "orders").select("o_orderkey"), "o_orderkey", attempt)
+    rows = load(spark, sf, "orders").select("o_orderkey", F.when(F.col("o_orderkey") % 10 > 0, F.col("o_custkey")).alias("k"))
+    return prompts.retry_rounds(rows, attempt)
 
 
 _HASH_INDEX = r"""WITH w AS (SELECT doc_id, unnest(string_split_regex(lower(text), '\s+')) AS w FROM documents),
@@ -106,7 +109,7 @@ _HASH_INDEX = r"""WITH w AS (SELECT doc_id, unnest(string_split_regex(lower(text
 def retrieval_augmented_answers(spark, sf):
     documents, benchmark = load(spark, sf, "documents", "benchmark")
     embed = retrieval.hashing_embedder()
-    index = retrieval.build_index(spread(documents), scratch_path(spark, "index"), "text", "doc_id", ["lang"], embed)
+    index = retrieval.build_index(documents, scratch_path(spark, "index"), "text", "doc_id", ["lang"], embed)
     contexts = request_flow.search(benchmark, "item_id", "text", index, "doc_id", ["lang"], embed, k=5)
     asked = prompts.with_context(benchmark, contexts, "item_id")
     prompt = prompts.render("{{text}}\nSources: {{context}}", {"text": "text", "context": "context"})
@@ -116,20 +119,19 @@ def retrieval_augmented_answers(spark, sf):
                       F.col("llm_validation_status").alias("status"))
 
 
-_STRIDE = r"""WITH c AS (SELECT doc_id, text, unnest(range(0, greatest(CAST(ceil((length(text) - 120) / 2880.0) AS BIGINT), 1))) AS k FROM documents),
-    s AS (SELECT doc_id, k, substr(text, k * 2880 + 1, 3000) AS chunk FROM c)"""
+def _levels_sql(n):
+    steps, source = [], "SELECT doc_id, text AS t FROM documents"
+    for i in range(n):
+        answer = answer_sql("'Summarise in 3 sentences: ' || substr(t, k * 2880 + 1, 3000)")
+        steps.append(f"l{i} AS (SELECT doc_id, string_agg({answer}, chr(10) ORDER BY k) AS t FROM "
+                     f"(SELECT doc_id, t, unnest(range(0, greatest(CAST(ceil((length(t) - 120) / 2880.0) AS BIGINT), 1))) AS k FROM ({source})) GROUP BY 1)")
+        source = f"SELECT * FROM l{i}"
+    return f"WITH {', '.join(steps)} SELECT doc_id, t AS summary FROM l{n - 1}"
 
 
-@query("PM7", sql=_STRIDE + f""", p AS (SELECT doc_id, string_agg({answer_sql("'Summarise: ' || chunk")}, chr(10) ORDER BY k) AS partial FROM s GROUP BY 1)
-    SELECT doc_id, {answer_sql("'Summarise: ' || partial")} AS summary FROM p""")
+@query("PM7", sql=_levels_sql(3))
 def chunked_summaries(spark, sf):
-    chunks = chunking.fixed_chunks(spread(load(spark, sf, "documents")).select("doc_id", "text"), "text")
-
-    def summarise(df, column):
-        return prompts.complete(df, F.concat(F.lit("Summarise: "), column)).withColumn(column, F.col("llm_output")).drop(*prompts.OUTPUT_COLUMNS)
-
-    partial = aggregates.concat_groups(summarise(chunks, "chunk"), "doc_id", "chunk", "chunk_id", "\n", "summary", bounded=True)
-    return summarise(partial, "summary").select("doc_id", "summary")
+    return prompts.summarise(load(spark, sf, "documents").select("doc_id", "text"), "text", levels=3).select("doc_id", "summary")
 
 
 def _stages_sql(n):
@@ -173,7 +175,7 @@ def answered_requests(spark, sf):
         F.when(F.col("role") == "system", F.lit(" ")).otherwise(F.col("text")).alias("description"),
         F.lit('{"search_docs":[1],"search_nc":[2]}').alias("sources"))
     embed = retrieval.hashing_embedder()
-    index = retrieval.embed_texts(spread(load(spark, sf, "documents")).select("doc_id", "lang", "text"), "text", embed)
+    index = retrieval.embed_texts(load(spark, sf, "documents").select("doc_id", "lang", "text"), "text", embed)
     templates = {"query": "{{role}}: {{user_message}} {{description}}", "propose": "{{role}} {{user_message}} {{description}} {{search_docs}} {{search_nc}}"}
     out = request_flow.answer_requests(requests, "rid", {"search_docs": (index, "doc_id", ["lang"]), "search_nc": (index, "doc_id", ["lang"])},
                                        embed, templates, k=5, sources="sources")
@@ -186,7 +188,7 @@ def searched_requests(spark, sf):
     turns, documents, benchmark = load(spark, sf, "conversations", "documents", "benchmark")
     embed = retrieval.hashing_embedder()
     requests = benchmark.select("item_id", F.lit("000").alias("role"), F.lit("Help").alias("user_message"), F.col("text").alias("description"))
-    docs = retrieval.build_index(spread(documents), scratch_path(spark, "docs"), "text", "doc_id", ["lang"], embed)
+    docs = retrieval.build_index(documents, scratch_path(spark, "docs"), "text", "doc_id", ["lang"], embed)
     bank = turns.select((F.col("conv_id") * 1000 + F.col("turn")).alias("turn_id"), "text", "role")
     tickets = retrieval.build_index(bank, scratch_path(spark, "tickets"), "text", "turn_id", ["role"], embed)
     asked = request_flow.normalise_requests(requests)

@@ -5,10 +5,10 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..functions import text as X
-from ..functions.scalars import add, col
+from ..functions.scalars import SPACE, add, col
 from ..operators import aggregates, columns, generate, joins, predicates, quality, sampling, windows
 from ..plans.tickets import ACTION_DAYS, STATUS_STEPS
-from ..session import load, spread
+from ..session import load
 from .registry import query, sha_int
 
 # --- columns -----------------------------------------------------------------------------
@@ -141,11 +141,13 @@ def string_predicates(spark, sf):
                        F.col("p_name").endswith("widget").alias("closes"), F.col("p_brand").startswith("Brand#1").alias("opens"))
 
 
-@query("FL8", "SC17", sql=r"""SELECT doc_id, w AS word, count(*) AS n FROM
-    (SELECT doc_id, unnest(string_split_regex(text, '\s+')) AS w FROM documents)
+# a no-break space and an em space stand around one word, as they do in French prose
+@query("FL8", "SC17", sql=rf"""SELECT doc_id, w AS word, count(*) AS n FROM
+    (SELECT doc_id, unnest(string_split_regex(replace(text, ' de ', chr(160) || 'de' || chr(8195)), '{SPACE}+')) AS w FROM documents)
     WHERE w <> '' AND NOT regexp_matches(w, '[0-9]') GROUP BY ALL""")
 def words_without_digits(spark, sf):
-    words = spread(load(spark, sf, "documents")).select("doc_id", F.explode(X.words("text")).alias("word"))
+    text = F.replace("text", F.lit(" de "), F.lit("\u00a0de\u2003"))
+    words = load(spark, sf, "documents").select("doc_id", F.explode(X.words(text)).alias("word"))
     return words.filter(~X.has_digit("word")).groupBy("doc_id", "word").agg(F.count("*").alias("n"))
 
 
@@ -204,7 +206,7 @@ def lookup_copy_columns(spark, sf):
 def vocabulary_semi_join(spark, sf):
     documents, benchmark = load(spark, sf, "documents", "benchmark")
     vocabulary = benchmark.select(F.explode(X.words("text")).alias("entry"))
-    return joins.vocabulary_counts(aggregates.term_counts(spread(documents), "doc_id", X.words("text")), vocabulary)
+    return joins.vocabulary_counts(aggregates.term_counts(documents, "doc_id", X.words("text"), one_row=True), vocabulary)
 
 
 @query("JN5", sql="SELECT doc_id, lang FROM documents WHERE doc_id NOT IN (SELECT doc_id FROM labels)")
@@ -243,10 +245,13 @@ _SIDE = ", ".join(
 
 @query("JN6", "SC29", "UD2", sql=f"""SELECT b || '.pdf' AS doc, 'd' || CAST(doc_id AS VARCHAR) || '.pdf' AS doc_root,
     b || '.json' AS json, text AS md, CASE WHEN lang = 'en' THEN 'E ' || text ELSE text END AS md_img,
-    b || '__with_img_desc.json' AS json_img, {_SIDE}
+    b || '__with_img_desc.json' AS json_img, {_SIDE},
+    coalesce((SELECT string_agg(b || '-img-' || i || '.jpeg' || CASE WHEN i % 2 = 0 THEN '=image ' || i || ' of ' || source ELSE '' END, ',' ORDER BY i) FROM range(doc_id % 12 + 1) r(i)), '') AS images
     FROM (SELECT *, 'd' || CAST(doc_id AS VARCHAR) || '_page_0001' AS b FROM documents)""")
 def assemble_page_files(spark, sf):
-    return joins.assemble_pages(_page_files(spread(load(spark, sf, "documents"))))
+    pages = joins.assemble_pages(_page_files(load(spark, sf, "documents")))
+    shown = F.transform("images", lambda im: F.concat(im["path"], F.coalesce(F.concat(F.lit("="), im["desc"]), F.lit(""))))
+    return pages.withColumn("images", F.array_join(shown, ","))
 
 
 @query("JN7", sql="""SELECT c_custkey, first_n AS search_nc, last_n AS search_docs FROM customer
@@ -278,14 +283,14 @@ _NORMAL = r"string_split_regex(lower(translate(text, '" + _PUNCT + r"', '')), '\
 @query("AG2", "SC15", "SC16", sql=f"""SELECT doc_id AS document_id, s AS string, count(*) AS frequency FROM
     (SELECT doc_id, unnest({_NORMAL}) AS s FROM documents) WHERE s <> '' GROUP BY ALL""")
 def words_per_document(spark, sf):
-    docs = spread(load(spark, sf, "documents")).withColumnRenamed("doc_id", "document_id")
-    return aggregates.term_counts(docs, "document_id", X.normalised_words("text"), "string", "frequency")
+    docs = load(spark, sf, "documents").withColumnRenamed("doc_id", "document_id")
+    return aggregates.term_counts(docs, "document_id", X.normalised_words("text"), "string", "frequency", one_row=True)
 
 
 @query("AG3", sql=f"""SELECT s AS string, count(*) AS frequency FROM
     (SELECT unnest({_NORMAL}) AS s FROM documents) WHERE s <> '' GROUP BY ALL""")
 def corpus_word_counts(spark, sf):
-    return aggregates.corpus_counts(spread(load(spark, sf, "documents")), X.normalised_words("text"))
+    return aggregates.corpus_counts(load(spark, sf, "documents"), X.normalised_words("text"))
 
 
 @query("AG4", sql="""SELECT source, n, round(n / sum(n) OVER (), 9) AS share FROM
@@ -298,27 +303,27 @@ def relative_share(spark, sf):
 @query("AG5", "SC18", sql=r"""SELECT doc_id, term, count(*) AS "count" FROM
     (SELECT doc_id, unnest(regexp_extract_all(lower(text), '[\p{L}\p{N}_]{2,}')) AS term FROM documents) GROUP BY ALL""")
 def document_term_matrix(spark, sf):
-    return aggregates.term_counts(spread(load(spark, sf, "documents")), "doc_id", X.pattern_tokens("text"))
+    return aggregates.term_counts(load(spark, sf, "documents"), "doc_id", X.pattern_tokens("text"), one_row=True)
 
 
 @query("AG6", sql=r"""SELECT term, url, count(*) AS "count" FROM
     (SELECT url, unnest(regexp_extract_all(lower(html), '[\p{L}\p{N}_]{2,}')) AS term FROM pages) GROUP BY ALL""")
 def term_document_matrix(spark, sf):
-    return aggregates.term_counts(load(spark, sf, "pages"), "url", X.pattern_tokens("html"))
+    return aggregates.term_counts(load(spark, sf, "pages"), "url", X.pattern_tokens("html"), one_row=True)
 
 
 @query("AG7", sql=r"""SELECT term, doc_id, count(*) AS "count" FROM
     (SELECT doc_id, unnest(regexp_extract_all(lower(text), '[\p{L}\p{N}_]+')) AS term FROM documents)
     WHERE regexp_full_match(term, '[a-z]+') GROUP BY ALL""")
 def letter_term_matrix(spark, sf):
-    return aggregates.term_counts(spread(load(spark, sf, "documents")), "doc_id", X.letter_tokens("text"))
+    return aggregates.term_counts(load(spark, sf, "documents"), "doc_id", X.letter_tokens("text"), one_row=True)
 
 
 @query("AG7", sql=r"""WITH t AS (SELECT lang, unnest(regexp_extract_all(lower(text), '[\p{L}\p{N}_]+')) AS term FROM documents)
     SELECT term, count(*) FILTER (lang = 'de') AS de, count(*) FILTER (lang = 'en') AS en, count(*) FILTER (lang = 'es') AS es,
     count(*) FILTER (lang = 'fr') AS fr FROM t WHERE regexp_full_match(term, '[a-z]+') GROUP BY term""")
 def term_by_language_matrix(spark, sf):
-    counts = aggregates.term_counts(spread(load(spark, sf, "documents")), "lang", X.letter_tokens("text"))
+    counts = aggregates.term_counts(load(spark, sf, "documents"), "lang", X.letter_tokens("text"))
     return aggregates.widen(counts, "term", "lang", "count", ["de", "en", "es", "fr"])
 
 
@@ -422,7 +427,7 @@ def running_sum_large_groups(spark, sf):
     SELECT conv_id, turn, i AS pos, items[i + 1] AS entry, coalesce(items[i + 2], '') AS definition FROM p""")
 def shifted_pairs(spark, sf):
     pairs = windows.pair_with_next(X.words("text"))
-    rows = spread(load(spark, sf, "conversations")).select("conv_id", "turn", F.posexplode(pairs).alias("i", "p"))
+    rows = load(spark, sf, "conversations").select("conv_id", "turn", F.posexplode(pairs).alias("i", "p"))
     return rows.select("conv_id", "turn", (F.col("i") * 2 + 1).cast("bigint").alias("pos"), "p.entry", "p.definition")
 
 
@@ -496,7 +501,7 @@ def multiply_rows(spark, sf):
 
 def ticket_history(spark, sf):
     """Step history of one ticket per order."""
-    orders = spread(load(spark, sf, "orders"))
+    orders = load(spark, sf, "orders")
     complexity = (F.col("o_custkey") % 3 + 1)
     actions = (F.col("o_custkey") % 5 + 1)
     return generate.expand_steps(orders, "o_orderkey", "o_orderdate", STATUS_STEPS, complexity, actions, 1337, ACTION_DAYS)

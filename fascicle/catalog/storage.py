@@ -58,12 +58,12 @@ def folder_listing(spark, sf):
     return files.with_extension(files.list_folder(spark, folder), ".md").select("basename", "extension", "size")
 
 
-@query("IO6", "IO11", sql="SELECT 'd' || CAST(doc_id AS VARCHAR) || '.md' AS name, text FROM documents")
+@query("IO6", "IO11", sql="SELECT 'd' || CAST(doc_id AS VARCHAR) || '.md' AS name, text, false AS bad FROM documents")
 def whole_text_files(spark, sf):
     folder = scratch_path(spark, "texts")
     names = load(spark, sf, "documents").select(F.concat(F.lit("d"), F.col("doc_id").cast("string")).alias("name"), "text")
     files.write_one_file_per_row(names, folder, "name", "text").agg(F.sum("size")).first()
-    return files.read_texts(spark, folder, "*.md").select(paths.file_name("path").alias("name"), "text")
+    return files.read_texts(spark, folder, "*.md").select(paths.file_name("path").alias("name"), "text", F.col("error").isNotNull().alias("bad"))
 
 
 @query("IO7", sql="""SELECT page_id, url FROM pages WHERE lower(url) LIKE '%.html' AND lower(url) LIKE '%th%'""")
@@ -132,8 +132,9 @@ def process_arriving_files(spark, sf):
     return spark.read.schema("doc_id bigint, lang string, n bigint").parquet(output)
 
 
-@query("DQ3", sql="SELECT CAST(5 AS BIGINT) AS columns, count(*) AS records FROM documents")
+@query("DQ3", sql="SELECT CAST(5 AS BIGINT) AS columns, count(*) AS records, CAST(1 AS BIGINT) AS files, true AS sized FROM documents")
 def table_metrics(spark, sf):
     df = load(spark, sf, "documents")
     listing = files.list_folder(spark, sf, r"^documents\.parquet$")
-    return quality.storage_metrics(df, listing).select("columns", "records")
+    found = quality.storage_metrics(df, listing)
+    return found.select("columns", "records", "files", (F.col("bytes") > 0).alias("sized"))

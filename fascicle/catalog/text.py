@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from ..functions import text as X
 from ..functions.scalars import strip
 from ..operators import chunking, corpus
-from ..session import load, spread
+from ..session import load
 from .registry import query
 from .relational import _NORMAL, _PARETO, _rounded
 
@@ -24,7 +24,7 @@ _PROFILE = rf"""WITH d AS (SELECT doc_id, text, {_WORDS} AS w FROM documents),
 
 
 def _documents(spark, sf):
-    return spread(load(spark, sf, "documents"))
+    return load(spark, sf, "documents")
 
 
 @query("TX1", "AG8", "SC34", sql=_PROFILE + r""" SELECT m.doc_id, num_chars, num_words, num_sentences, num_paragraphs,
@@ -62,7 +62,7 @@ def corpus_pareto(spark, sf):
 def vocabulary_statistics(spark, sf):
     documents, benchmark = load(spark, sf, "documents", "benchmark")
     vocabulary = benchmark.select(F.explode(X.words("text")).alias("entry"))
-    return corpus.vocabulary_statistics(spread(documents), "doc_id", "text", vocabulary)
+    return corpus.vocabulary_statistics(documents, "doc_id", "text", vocabulary)
 
 
 # The expected rows follow from how the text is built: what stands between two headwords.

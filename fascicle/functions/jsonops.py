@@ -25,6 +25,7 @@ def is_object(c: ColumnOrName) -> Column:
     return F.coalesce(F.schema_of_variant(parse(c)).startswith("OBJECT"), F.lit(False))
 
 
+# Fixed value: a fenced block that may hold a JSON object.
 FENCED_OBJECT = r"(?is)```(?:json)?\s*(\{.*?\})\s*```"
 
 
@@ -32,8 +33,8 @@ def json_part(c: ColumnOrName) -> Column:
     """The JSON a model answer carries: the text itself when it is valid JSON, else the first
     fenced block that is, else NULL."""
     text = col(c)
-    block = F.regexp_extract(text, FENCED_OBJECT, 1)
-    return F.when(parse(text).isNotNull(), text).when(parse(block).isNotNull(), block)
+    blocks = F.regexp_extract_all(text, F.lit(FENCED_OBJECT), F.lit(1))
+    return F.when(parse(text).isNotNull(), text).otherwise(F.get(F.filter(blocks, lambda b: parse(b).isNotNull()), 0))
 
 
 def result_or_text(c: ColumnOrName) -> Column:
@@ -63,7 +64,39 @@ def discover_schema(df: DataFrame, column: str) -> T.DataType:
     the flatten functions to avoid the pass.
     """
     text = df.select(F.schema_of_variant_agg(parse(column)).alias("s")).first()["s"]
-    return T.DataType.fromDDL(re.sub(r"\bOBJECT\b", "STRUCT", text))
+    # only the type names change: a key of that name is followed by a colon or stands in backticks
+    ddl = re.sub(r"`(?:[^`]|``)*`|\bOBJECT(?=<)", lambda m: m[0] if m[0][0] == "`" else "STRUCT", text)
+    return T.DataType.fromDDL(ddl)
+
+
+def _case_clash(dtype: T.DataType) -> bool:
+    """Whether some object has keys that differ in case only."""
+    if isinstance(dtype, T.StructType):
+        names = [f.name.lower() for f in dtype.fields]
+        return len(set(names)) < len(names) or any(_case_clash(f.dataType) for f in dtype.fields)
+    return isinstance(dtype, T.ArrayType) and _case_clash(dtype.elementType)
+
+
+class _Path:
+    """A place in a variant value, read with the exact case of its keys."""
+
+    def __init__(self, root: Column, path: str = "$"):
+        self.root, self.path = root, path
+
+    def __getitem__(self, name: str) -> _Path:
+        quoted = name.replace("\\", "\\\\").replace("'", "\\'")
+        return _Path(self.root, f"{self.path}['{quoted}']")
+
+    def at(self, i: int) -> _Path:
+        return _Path(self.root, f"{self.path}[{i}]")
+
+    def read(self, dtype: T.DataType) -> Column:
+        # what holds keys that differ in case only stays a variant
+        return F.try_variant_get(self.root, self.path, "variant" if _case_clash(dtype) else dtype.simpleString())
+
+
+def _at(value: Column | _Path, i: int):
+    return value.at(i) if isinstance(value, _Path) else F.get(value, i)
 
 
 def _leaves(dtype: T.DataType, value: Column, name: str, sep: str, depth: int, sizes: dict | None):
@@ -73,7 +106,7 @@ def _leaves(dtype: T.DataType, value: Column, name: str, sep: str, depth: int, s
                                depth - 1, sizes)
     elif depth > 0 and sizes is not None and isinstance(dtype, T.ArrayType):
         for i in range(sizes.get(name, 0)):
-            yield from _leaves(dtype.elementType, F.get(value, i), f"{name}{sep}{i}", sep, depth - 1, sizes)
+            yield from _leaves(dtype.elementType, _at(value, i), f"{name}{sep}{i}", sep, depth - 1, sizes)
     else:
         yield name, dtype, value
 
@@ -82,7 +115,8 @@ def _array_sizes(df: DataFrame, dtype: T.DataType, value: Column, name: str, sep
     """Longest length of every array below ``dtype``: one aggregation per nesting level."""
     sizes: dict[str, int] = {}
     while todo := list(_open_arrays(dtype, value, name, sep, depth, sizes)):
-        row = df.agg(*[F.max(F.size(v)).alias(f"m{i}") for i, (_, v) in enumerate(todo)]).first()
+        arrays = [v.read(T.ArrayType(T.VariantType())) if isinstance(v, _Path) else v for _, v in todo]
+        row = df.agg(*[F.max(F.size(v)).alias(f"m{i}") for i, v in enumerate(arrays)]).first()
         sizes.update({n: max(row[f"m{i}"] or 0, 0) for i, (n, _) in enumerate(todo)})
     return sizes
 
@@ -99,7 +133,7 @@ def _open_arrays(dtype, value, name, sep, depth, sizes):
             yield name, value
         else:
             for i in range(sizes[name]):
-                yield from _open_arrays(dtype.elementType, F.get(value, i), f"{name}{sep}{i}", sep,
+                yield from _open_arrays(dtype.elementType, _at(value, i), f"{name}{sep}{i}", sep,
                                         depth - 1, sizes)
 
 
@@ -119,7 +153,9 @@ def flatten(
     Names are the path joined by ``sep``, after the column name when ``prefix``. Arrays stay
     one column unless ``flatten_arrays``, which gives one column per index up to the longest
     array seen (or up to ``array_sizes``, which saves the pass that finds it). With
-    ``null_as_empty`` a missing text leaf is ``''``. A new column replaces one of its name.
+    ``null_as_empty`` a missing text leaf is ``''``. Nothing is lost where names clash, with an
+    existing column or with each other, in any case: the later one gets a number, ``name_2`` and
+    so on. A column without any valid JSON adds no column.
     """
     if isinstance(schema, str):
         schema = T.DataType.fromDDL(schema)
@@ -127,19 +163,31 @@ def flatten(
     parsed = df
     if isinstance(source, T.StringType):
         schema = schema or discover_schema(df, column)
+        if not isinstance(schema, (T.StructType, T.ArrayType)):
+            return df
         # a column of its own, or every leaf would parse the text again
-        parsed, value = df.withColumn("_parsed", F.from_json(col(column), schema)), F.col("_parsed")
+        if _case_clash(schema):
+            parsed, value = df.withColumn("_parsed", parse(column)), _Path(F.col("_parsed"))
+        else:
+            parsed, value = df.withColumn("_parsed", F.from_json(col(column), schema)), F.col("_parsed")
     else:
         schema, value = source, col(column)
     name = column if prefix else ""
     sizes = None
     if flatten_arrays:
         sizes = dict(array_sizes) if array_sizes else _array_sizes(parsed, schema, value, name, sep, max_depth)
-    new = {}
+    new, used = {}, {c.lower() for c in df.columns}
     for leaf, dtype, expr in _leaves(schema, value, name, sep, max_depth, sizes):
+        if isinstance(expr, _Path):
+            expr = expr.read(dtype)
         if null_as_empty and isinstance(dtype, T.StringType):
             expr = F.coalesce(expr, F.lit(""))
-        new[leaf] = expr
+        free, number = leaf, 1
+        while free.lower() in used:
+            number += 1
+            free = f"{leaf}{sep}{number}"
+        used.add(free.lower())
+        new[free] = expr
     return parsed.withColumns(new).drop("_parsed")
 
 

@@ -21,15 +21,19 @@ def bound(value: Column, use: Callable[[Column], Column]) -> Column:
     return F.get(F.transform(F.array(value), lambda v: use(v)), 0)
 
 
+# White space as Python's str.split and strip know it; \s is ASCII-only in Java and RE2.
+SPACE = r"[\x09-\x0d\x1c-\x20\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]"
+
+
 def is_blank(c: ColumnOrName) -> Column:
     """NULL, empty or whitespace only: delimited files cannot tell these apart."""
     c = col(c)
-    return c.isNull() | c.rlike(r"^\s*$")
+    return c.isNull() | c.rlike(f"^{SPACE}*$")
 
 
 def strip(c: ColumnOrName) -> Column:
     """Outer whitespace of any kind removed; ``trim`` takes spaces only."""
-    return F.regexp_replace(col(c), r"^\s+|\s+$", "")
+    return F.regexp_replace(col(c), f"^{SPACE}+|{SPACE}+$", "")
 
 
 def blank_to(c: ColumnOrName, default: ColumnOrName) -> Column:

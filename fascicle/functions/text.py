@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from .scalars import ColumnOrName, bound, col, replace_all
+from .scalars import SPACE, ColumnOrName, bound, col, replace_all
 
 # The 32 ASCII punctuation marks.
 PUNCTUATION = "!\"#$%&'()*+,-./:;<=>?@[\\]^_`{|}~"
@@ -18,7 +18,7 @@ ASCII_LETTERS = r"[a-zA-Z]+"
 
 def words(text: ColumnOrName) -> Column:
     """Whitespace-separated pieces, no empty ones."""
-    return F.array_remove(F.split(col(text), r"\s+"), "")
+    return F.array_remove(F.split(col(text), f"{SPACE}+"), "")
 
 
 def strip_punctuation(text: ColumnOrName) -> Column:
@@ -160,6 +160,24 @@ def first_by(tokens: ColumnOrName, longest: bool) -> Column:
     return F.coalesce(hit, F.lit(""))
 
 
+def token_runs(tokens: ColumnOrName) -> Column:
+    """Array of (token, n): every distinct token of an array and how often it occurs.
+
+    Sorting puts equal tokens next to each other; a run starts where the token before differs, and
+    the distance between starts is the count. Linear after the sort, inside the row.
+    """
+    def runs(sorted_tokens: Column) -> Column:
+        size = F.size(sorted_tokens)
+        starts = F.filter(F.sequence(F.lit(0), size - 1), lambda i: (i == 0) | (F.get(sorted_tokens, i) != F.get(sorted_tokens, i - 1)))
+
+        def counted(starts: Column) -> Column:
+            return F.transform(starts, lambda a, k: F.struct(F.get(sorted_tokens, a).alias("token"), (F.coalesce(F.get(starts, k + 1), size) - a).cast("bigint").alias("n")))
+
+        return F.when(size > 0, bound(starts, counted)).otherwise(F.array().cast("array<struct<token:string,n:bigint>>"))
+
+    return bound(F.sort_array(F.array_compact(col(tokens))), runs)
+
+
 def most_common(tokens: ColumnOrName) -> Column:
     """The most frequent token of an array, first-seen wins ties; tokens hold no line break.
 

@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.scalars import col
+from ..functions.text import token_runs
 from ..session import materialise
 from .windows import exact_quantiles, running_totals
 
@@ -16,35 +17,20 @@ MAX_CELL = 64 * 1024 * 1024
 
 
 def concat_groups(df: DataFrame, key: str, text: str, order: str, sep: str = "\n\n",
-                  output: str = "chunk_concat", max_chars: int = MAX_CELL, bounded: bool = False) -> DataFrame:
-    """Text of each group joined in order, one row per (key, part); equal order values by text.
+                  output: str = "chunk_concat", max_chars: int = MAX_CELL) -> DataFrame:
+    """Text of each group joined in order, as rows (key, part, text); equal order values by text.
 
-    A group up to ``max_chars`` is one row, part 0. One cell cannot hold a group of any size,
-    so a longer group is given as consecutive parts, whole and in order. Lengths are summed
-    first, with partial sums before the shuffle, to find the long groups; only those take the
-    range-partitioned path, and no task ever collects more than one part.
-
-    ``bounded`` skips that pass over the input. Use it only where a group is known to fit a
-    cell, as when all its rows were cut from one document row.
+    The parts of a group, numbered from 0, are its whole text in order: a new part starts with the
+    row at which the characters before it reach the next multiple of ``max_chars``. Rows are laid
+    out by key and order with running lengths, so a group of any size spreads over many tasks and
+    no task collects more than one part.
     """
     rows = df.select(col(key).alias(key), col(order).alias("_order"), col(text).alias("_text"))
     size = (F.coalesce(F.length("_text"), F.lit(0)) + len(sep)).cast("bigint")
-    whole = rows.withColumn("part", F.lit(0).cast("bigint"))
-    long_keys = rows.groupBy(col(key)).agg(F.sum(size).alias("_size")).filter(F.col("_size") > max_chars + len(sep)).select(col(key))
-
-    def joined(part: DataFrame) -> DataFrame:
-        ordered = F.expr(f"listagg(_text, {_sql_text(sep)}) WITHIN GROUP (ORDER BY _order, _text)")
-        return part.groupBy(col(key), F.col("part")).agg(ordered.alias(output))
-
-    if bounded or long_keys.isEmpty():
-        return joined(whole)
-    is_long = col(key).eqNullSafe(F.col("_long"))
-    long_keys = long_keys.withColumnRenamed(key, "_long")
-    short = whole.join(long_keys, is_long, "left_anti")
-    laid = running_totals(rows.join(long_keys, is_long, "left_semi"), order=[F.col("_order"), F.col("_text")],
-                          sums={"_end": size}, keys=[key])
-    cut = laid.withColumn("part", F.floor((F.col("_end") - size) / F.lit(max_chars)).cast("bigint")).drop("_end")
-    return joined(short.unionByName(cut))
+    laid = running_totals(rows, order=[F.col("_order"), F.col("_text")], sums={"_end": size}, keys=[key])
+    cut = laid.withColumn("part", F.floor((F.col("_end") - size) / F.lit(max_chars)).cast("bigint"))
+    ordered = F.expr(f"listagg(_text, {_sql_text(sep)}) WITHIN GROUP (ORDER BY _order, _text)")
+    return cut.groupBy(col(key), F.col("part")).agg(ordered.alias(output))
 
 
 def _sql_text(s: str) -> str:
@@ -52,12 +38,16 @@ def _sql_text(s: str) -> str:
     return f"'{escaped}'"
 
 
-def term_counts(df: DataFrame, doc: str, tokens: Column, term: str = "term", count: str = "count") -> DataFrame:
+def term_counts(df: DataFrame, doc: str, tokens: Column, term: str = "term", count: str = "count", one_row: bool = False) -> DataFrame:
     """Long document-term matrix: one row per document and distinct token.
 
-    Partial counting happens before the shuffle, and because a document is one row its counts
-    are already complete there. The open vocabulary is never pivoted into columns.
+    With ``one_row`` every document is a single row, so the counting happens inside it and nothing
+    is shuffled; otherwise partial counts meet by document and token. The open vocabulary is never
+    pivoted into columns.
     """
+    if one_row:
+        counted = df.select(col(doc).alias(doc), F.explode_outer(token_runs(tokens)).alias("_t")).filter(F.col("_t").isNotNull())
+        return counted.select(col(doc), F.col("_t.token").alias(term), F.col("_t.n").alias(count))
     exploded = df.select(col(doc).alias(doc), F.explode(tokens).alias(term))
     return exploded.groupBy(col(doc), col(term)).agg(F.count("*").alias(count))
 

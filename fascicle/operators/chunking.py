@@ -6,10 +6,10 @@ from collections import deque
 from collections.abc import Iterator, Sequence
 
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.scalars import col, is_blank, join_text, replace_all
+from ..functions.scalars import ColumnOrName, bound, col, is_blank, join_text, replace_all
 
 # Chunk size, overlap and separators of the document flow.
 CHUNK_SIZE = 3000
@@ -82,35 +82,44 @@ def recursive_chunks(df: DataFrame, text: str, chunk: str = "chunk", chunk_id: s
                      separators: Sequence[str] = SEPARATORS, span: bool = False) -> DataFrame:
     """One row per chunk; the text column is replaced by ``chunk``, numbered from 0.
 
-    Only the text travels to Python and only the spans come back; the chunks themselves are
-    cut out by the JVM. No shuffle.
+    The chunks are cut where their spans are found, so the time is linear in the text: cutting
+    them out by position later would scan the text from its start for each. No shuffle.
     """
 
-    @F.pandas_udf("array<struct<a:int,b:int>>")
-    def spans(texts: pd.Series) -> pd.Series:
-        return texts.map(lambda t: [{"a": a, "b": b} for a, b in split_spans(t or "", size, overlap, separators)])
+    @F.pandas_udf("array<struct<a:int,b:int,body:string>>")
+    def cut(texts: pd.Series) -> pd.Series:
+        return texts.map(lambda t: [{"a": a, "b": b, "body": t[a:b]} for a, b in split_spans(t or "", size, overlap, separators)])
 
     others = [col(c) for c in df.columns if c != text]
-    cut = df.select(*others, col(text).alias("_text"), spans(col(text)).alias("_spans"))
     # outer, with its own filter: a plain explode makes the optimizer test the array's size first
     # and run the Python function twice
-    rows = cut.select(*others, "_text", F.posexplode_outer("_spans").alias("_i", "_s")).filter(F.col("_i").isNotNull())
-    body = F.substring(F.col("_text"), F.col("_s.a") + 1, F.col("_s.b") - F.col("_s.a"))
+    rows = df.select(*others, cut(col(text)).alias("_chunks")).select(*others, F.posexplode_outer("_chunks").alias("_i", "_s"))
     extra = [F.col("_s.a").alias("start"), F.col("_s.b").alias("end")] if span else []
-    return rows.select(*others, F.col("_i").cast("bigint").alias(chunk_id), body.alias(chunk), *extra)
+    return rows.filter(F.col("_i").isNotNull()).select(*others, F.col("_i").cast("bigint").alias(chunk_id), F.col("_s.body").alias(chunk), *extra)
+
+
+def fixed_pieces(text: ColumnOrName, size: int = CHUNK_SIZE, overlap: int = CHUNK_OVERLAP) -> Column:
+    """Array of the fixed-stride chunks of a text: one starts every ``size - overlap`` characters.
+
+    One pass cuts the text into strides; a chunk is the strides it covers, cut to size.
+    """
+    stride = size - overlap
+    covered = -(-size // stride)
+    last = F.greatest(F.ceil((F.length(col(text)) - overlap) / F.lit(stride)) - 1, F.lit(0)).cast("int")
+
+    def chunks(strides: Column) -> Column:
+        return F.transform(F.sequence(F.lit(0), last), lambda i: F.substring(F.array_join(F.slice(strides, i + 1, covered), ""), 1, size))
+
+    strides = F.regexp_extract_all(col(text), F.lit(f"(?s).{{1,{stride}}}"), F.lit(0))
+    return F.when(F.length(col(text)) > 0, bound(strides, chunks)).otherwise(F.array().cast("array<string>"))
 
 
 def fixed_chunks(df: DataFrame, text: str, chunk: str = "chunk", chunk_id: str = "chunk_id",
                  size: int = CHUNK_SIZE, overlap: int = CHUNK_OVERLAP) -> DataFrame:
     """Fixed-stride chunks: every ``size - overlap`` characters, JVM-side only."""
-    stride = size - overlap
-    last = F.greatest(F.ceil((F.length(col(text)) - overlap) / F.lit(stride)) - 1, F.lit(0)).cast("bigint")
     others = [col(c) for c in df.columns if c != text]
-    rows = df.filter(F.length(col(text)) > 0).select(
-        *others, col(text).alias("_text"), F.explode(F.sequence(F.lit(0).cast("bigint"), last)).alias(chunk_id)
-    )
-    body = F.substring(F.col("_text"), (F.col(chunk_id) * stride + 1).cast("int"), F.lit(size))
-    return rows.select(*others, chunk_id, body.alias(chunk))
+    rows = df.select(*others, F.posexplode_outer(fixed_pieces(text, size, overlap)).alias("_i", chunk))
+    return rows.filter(F.col("_i").isNotNull()).select(*others, F.col("_i").cast("bigint").alias(chunk_id), col(chunk))
 
 
 def annotations(df: DataFrame, column: str, names: Sequence[str], pattern: str = ANNOTATION) -> DataFrame:

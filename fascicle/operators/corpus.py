@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import text as X
-from ..functions.scalars import col, replace_all, strip
+from ..functions.scalars import SPACE, col, replace_all, strip
 from . import aggregates, joins, windows
 from .generate import split_fold
 
@@ -31,7 +31,7 @@ def document_profile(df: DataFrame, doc: str, text: str) -> DataFrame:
         X.count_chars(t, r"\p{Lu}").alias("num_uppercase"), X.count_chars(t, r"\p{Ll}").alias("num_lowercase"),
         X.count_chars(t, r"\p{Nd}").alias("num_digits"), X.count_chars(t, ".,;:!?").alias("num_punctuation"),
         # total word length is the text without whitespace
-        F.length(F.regexp_replace(t, r"\s+", "")).alias("_letters"),
+        F.length(F.regexp_replace(t, f"{SPACE}+", "")).alias("_letters"),
         X.count_runs(F.lower(t), X.VOWELS).alias("_syllables"),
         F.size("_distinct").cast("bigint").alias("num_unique_words"), X.first_by("_distinct", True).alias("longest_word"),
         X.first_by("_distinct", False).alias("shortest_word"), X.most_common(w).alias("most_common_word"),
@@ -54,7 +54,7 @@ def document_counts(df: DataFrame, doc: str, text: str) -> DataFrame:
     """The six-statistic form of the profile."""
     t, w = col(text), F.col("_words")
     n_words = F.size(w).cast("bigint")
-    mean = F.when(n_words > 0, F.length(F.regexp_replace(t, r"\s+", "")) / n_words).otherwise(F.lit(0.0))
+    mean = F.when(n_words > 0, F.length(F.regexp_replace(t, f"{SPACE}+", "")) / n_words).otherwise(F.lit(0.0))
     return df.select(col(doc), t, X.words(t).alias("_words")).select(
         col(doc), F.length(t).cast("bigint").alias("num_chars"), n_words.alias("num_words"),
         X.count_runs(t, X.SENTENCE_MARKS).alias("num_sentences"), X.count_lines(t).alias("num_paragraphs"),
@@ -79,7 +79,7 @@ def vocabulary_statistics(df: DataFrame, doc: str, text: str, vocabulary: DataFr
     The words of a document are counted before they meet the vocabulary. A document's distinct
     words fit its row, so the rank window is over bounded groups.
     """
-    counts = aggregates.term_counts(df, doc, X.words(text), entry)
+    counts = aggregates.term_counts(df, doc, X.words(text), entry, one_row=True)
     return windows.dense_rank_in(joins.vocabulary_counts(counts, vocabulary, entry, entry), doc, "count")
 
 

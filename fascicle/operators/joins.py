@@ -112,13 +112,14 @@ def pending(todo: DataFrame, done: DataFrame, on: Sequence[str]) -> DataFrame:
 #   <base>.pdf  <base>.md  <base>__with_img_desc.md  <base>-img-<number>.jpeg  <base>-img-<number>.md
 
 
-def assemble_pages(files: DataFrame, path: str = "path", text: str = "text", max_images: int = 9) -> DataFrame:
+def assemble_pages(files: DataFrame, path: str = "path", text: str = "text", image_columns: int = 9) -> DataFrame:
     """One wide row per page PDF with its side files, keyed by base name.
 
     ``files`` lists every file with its text (NULL for binary ones). The kind of each file and
     the base name it belongs to come from its name; one aggregation then places all of them,
-    so the listing is shuffled once and no document is compared with every file. Images
-    numbered ``max_images`` or more have no column in the layout.
+    so the listing is shuffled once and no document is compared with every file. ``images`` has
+    all images of a page by number, as (k, path, desc); the fixed layout's columns for the first
+    ``image_columns`` numbers are taken from it. A note without its image is not an image.
     """
     p = col(path)
     stem = paths.base_name(p)
@@ -136,30 +137,32 @@ def assemble_pages(files: DataFrame, path: str = "path", text: str = "text", max
     tagged = files.select(base.alias("base"), p.alias("p"), col(text).alias("t"), number.alias("k"),
                           is_image.alias("im"), is_note.alias("nt"), is_enriched.alias("en"),
                           is_page.alias("pg"), is_plain.alias("md"))
-    # images past the layout and unrelated files stop here, before the shuffle
-    tagged = tagged.filter(F.col("pg") | F.col("md") | F.col("en") | ((F.col("im") | F.col("nt")) & (F.col("k") < max_images)))
+    # unrelated files stop here, before the shuffle
+    tagged = tagged.filter(F.col("pg") | F.col("md") | F.col("en") | ((F.col("im") | F.col("nt")) & F.col("k").isNotNull()))
 
     def pick(cond: Column, value: str) -> Column:
         return F.max(F.when(cond, F.col(value)))
 
-    image_columns = []
-    for k in range(max_images):
-        image_columns.append(pick(F.col("im") & (F.col("k") == k), "p").alias(f"img-{k}"))
-        image_columns.append(pick(F.col("nt") & (F.col("k") == k), "t").alias(f"img-{k}-desc"))
+    # a page's side files are as many as its images, so its lists fit the row they become
+    images = F.collect_set(F.when(F.col("im"), F.struct("k", F.col("p").alias("path"))))
+    notes = F.collect_set(F.when(F.col("nt"), F.struct("k", "t")))
     wide = tagged.groupBy("base").agg(
         pick(F.col("pg"), "p").alias("doc"), pick(F.col("md"), "t").alias("md"),
-        pick(F.col("en"), "t").alias("_enriched"), *image_columns,
+        pick(F.col("en"), "t").alias("_enriched"), images.alias("_images"), notes.alias("_notes"),
     ).filter(F.col("doc").isNotNull())
+    described = F.transform(F.array_sort("_images"), lambda im: F.struct(im["k"].alias("k"), im["path"].alias("path"), F.get(F.filter("_notes", lambda note: note["k"] == im["k"]), 0)["t"].alias("desc")))
+    wide = wide.withColumn("images", described)
 
-    def described(k: int) -> Column:
-        return F.when(col(f"img-{k}").isNotNull(), col(f"img-{k}-desc")).alias(f"img-{k}-desc")
+    def image(k: int) -> Column:
+        return F.get(F.filter("images", lambda im: im["k"] == k), 0)
 
     return wide.select(
         "doc", paths.doc_root(F.col("doc")).alias("doc_root"),
         F.concat("base", F.lit(".json")).alias("json"), "md",
         F.when(is_blank("_enriched"), F.col("md")).otherwise(F.col("_enriched")).alias("md_img"),
         F.concat("base", F.lit("__with_img_desc.json")).alias("json_img"),
-        *[col(f"img-{k}") for k in range(max_images)], *[described(k) for k in range(max_images)],
+        *[image(k)["path"].alias(f"img-{k}") for k in range(image_columns)],
+        *[image(k)["desc"].alias(f"img-{k}-desc") for k in range(image_columns)], "images",
     )
 
 

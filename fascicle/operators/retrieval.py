@@ -14,11 +14,11 @@ from pyspark.sql import functions as F
 from ..functions.scalars import col
 from ..session import materialise, small_side
 
-# Query vectors held by every executor at once; larger query sets are matched block by block.
-MAX_SHARED_QUERIES = 4096
-# Rows of one block of the block-by-block form, and index rows scored at a time.
-BLOCK_ROWS = 8192
+# Query vectors that tasks hold at once, and index rows scored at a time.
+BLOCK_QUERIES = 4096
 SLICE_ROWS = 1024
+# Parts in which a query's partial results are merged before they meet.
+MERGE_PARTS = 32
 # Scores are compared after rounding, so that equal vectors tie whatever the summing order.
 SCORE_DIGITS = 6
 
@@ -77,34 +77,35 @@ def top_k(index: DataFrame, queries: DataFrame, k: int, id_column: str = "vec_id
           query_id: str = "query_id", query_vector: str = "embedding", exclude_self: bool = False) -> DataFrame:
     """The ``k`` most similar index rows of every query by cosine: (query_id, id, score, rank).
 
-    Up to ``MAX_SHARED_QUERIES`` query vectors are shared with all tasks; each task keeps its
-    own best ``k`` per query while it streams its part of the index, so the shuffle carries
-    tasks x queries x k rows and the index itself never moves. The bound is checked by
-    counting at most one row more. A larger query set goes through ``_blocked``. Exact in both
-    forms; ties go to the smaller id. The result is stored, so that what is built on it does
-    not scan the index again.
+    Queries are stored once and dealt into blocks of about ``BLOCK_QUERIES`` by a hash. A block's
+    vectors are shared with all tasks; each task keeps its own best ``k`` per query while it
+    streams its part of the index, so the index never moves and is read once for each block.
+    Partial results, tasks x queries x k rows, are cut to k in parts of each query before they
+    meet. Exact; ties go to the smaller id. The result is stored, so that what is built on it
+    does not scan the index again.
     """
     id_type = index.schema[id_column].dataType.simpleString()
     q_type = queries.schema[query_id].dataType.simpleString()
     schema = f"query_id {q_type}, id {id_type}, score double"
     want = k + 1 if exclude_self else k
     items = index.select(col(id_column).alias("id"), col(vector).alias("vector")).filter("vector is not null")
-    asked = queries.select(col(query_id).alias("query_id"), col(query_vector).alias("vector")).filter("vector is not null")
-    shared = asked.limit(MAX_SHARED_QUERIES + 1).toPandas()
-    if not len(shared):
-        partial = index.sparkSession.createDataFrame([], schema)
-    elif len(shared) <= MAX_SHARED_QUERIES:
-        partial = _shared_scan(items, shared, want, schema)
-    else:
-        partial = _blocked(items, asked, want, schema)
+    # stored: an embedder behind the queries runs once, and every pass sees the same vectors
+    asked = materialise(queries.select(col(query_id).alias("query_id"), col(query_vector).alias("vector")).filter("vector is not null"))
+    blocks = max(1, math.ceil(asked.count() / BLOCK_QUERIES))
+    block = F.pmod(F.xxhash64("query_id"), F.lit(blocks))
+    partial = _scan(items, asked.filter(block == 0).toPandas(), want, schema)
+    for b in range(1, blocks):
+        partial = partial.unionByName(_scan(items, asked.filter(block == b).toPandas(), want, schema))
     if exclude_self:
         partial = partial.filter(F.col("id") != F.col("query_id"))
-    w = W.partitionBy("query_id").orderBy(F.col("score").desc(), "id")
-    ranked = partial.withColumn("rank", F.row_number().over(w).cast("bigint")).filter(F.col("rank") <= k)
-    return materialise(ranked)
+    best = F.col("score").desc(), F.col("id")
+    merged = partial.withColumn("_part", F.pmod(F.xxhash64("id"), F.lit(MERGE_PARTS)))
+    for keys in (("query_id", "_part"), ("query_id",)):
+        merged = merged.withColumn("rank", F.row_number().over(W.partitionBy(*keys).orderBy(*best)).cast("bigint")).filter(F.col("rank") <= k)
+    return materialise(merged.drop("_part"))
 
 
-def _shared_scan(items: DataFrame, shared: pd.DataFrame, k: int, schema: str) -> DataFrame:
+def _scan(items: DataFrame, shared: pd.DataFrame, k: int, schema: str) -> DataFrame:
     query_ids = shared["query_id"].tolist()
     held = items.sparkSession.sparkContext.broadcast(_matrix(shared["vector"]))
 
@@ -118,31 +119,6 @@ def _shared_scan(items: DataFrame, shared: pd.DataFrame, k: int, schema: str) ->
     return items.mapInPandas(scan, schema)
 
 
-def _blocked(items: DataFrame, asked: DataFrame, k: int, schema: str) -> DataFrame:
-    """Block by block: both sides are dealt into hash blocks of about ``BLOCK_ROWS`` rows, and
-    each pair of blocks is one small matrix product that returns only its best ``k`` per
-    query. Blocks come from hashing the id, so their size does not depend on the data."""
-    n_items, n_asked = items.count(), asked.count()
-    item_blocks = max(1, math.ceil(n_items / BLOCK_ROWS))
-    query_blocks = max(1, math.ceil(n_asked / BLOCK_ROWS))
-
-    def dealt(df: DataFrame, key: str, own: str, n_own: int, other: str, n_other: int) -> DataFrame:
-        return df.withColumn(own, F.pmod(F.xxhash64(key), F.lit(n_own))).withColumn(
-            other, F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(n_other - 1).cast("bigint")))
-        )
-
-    left = dealt(items, "id", "ib", item_blocks, "qb", query_blocks).groupBy("qb", "ib")
-    right = dealt(asked, "query_id", "qb", query_blocks, "ib", item_blocks).groupBy("qb", "ib")
-
-    def multiply(block: pd.DataFrame, wanted: pd.DataFrame) -> pd.DataFrame:
-        best = _Running(len(wanted), k)
-        if len(block) and len(wanted):
-            best.add(_matrix(wanted["vector"]), block["id"].to_numpy(), _matrix(block["vector"]))
-        return best.rows(wanted["query_id"].tolist()) if len(wanted) else best.rows([])
-
-    return left.cogroup(right).applyInPandas(multiply, schema)
-
-
 def cosine(a: Column, b: Column) -> Column:
     """Cosine similarity as a plain expression, for a handful of rows."""
     def dot(x: Column, y: Column) -> Column:

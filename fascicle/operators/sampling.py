@@ -9,7 +9,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from ..functions.scalars import col, seeded_integer, seeded_order
-from ..session import materialise
+from ..session import materialise, small_side
 
 
 def by_count(df: DataFrame, count: str, term: str) -> DataFrame:
@@ -17,84 +17,61 @@ def by_count(df: DataFrame, count: str, term: str) -> DataFrame:
     return df.orderBy(col(count).desc(), col(term))
 
 
-# A table this many times larger than the rows wanted is cut down before it is ordered, by a
-# border found among about this many sampled rows.
-CUT_FACTOR = 100
-CUT_RANK = 200
-
-
 def head(df: DataFrame, n: int, *order: str) -> DataFrame:
-    """The first ``n`` rows in a stated order.
+    """The first ``n`` rows in a stated order; every task keeps its own first ``n`` before they meet.
 
-    Ordering with a limit makes every task send its own first ``n`` rows to one task. On a
-    large table a sample first finds a border at about rank 2n, only the rows up to it are
-    stored, and those are ordered. They are counted; if the border came out too low the whole
-    table is ordered, so the result is exact either way.
+    For the few rows a person or a page looks at. Rows equal in all order columns are picked at
+    random, so order by enough columns to tell rows apart.
     """
-    def first(rows: DataFrame, count: int) -> DataFrame:
-        return rows.orderBy(*map(col, order)).limit(count)
+    return df.orderBy(*map(col, order)).limit(n)
+
 
-    if df.count() <= CUT_FACTOR * n:
-        return first(df, n)
-    share = min(1.0, CUT_RANK / (2 * n))
-    border = first(df.select(*map(col, order)).sample(share, seed=1), CUT_RANK).orderBy(*[col(c).desc() for c in order]).first()
-    if border is None:
-        return first(df, n)
-    position = F.struct(*map(col, order))
-    limit = F.struct(*[F.lit(border[c]).cast(df.schema[c].dataType).alias(c) for c in order])
-    few = materialise(df.filter(position <= limit))
-    return first(few if few.count() >= n else df, n)
+# Hash ranges whose rows are counted to find where a sample ends: the first digits of the hash.
+HASH_DIGITS = 4
 
 
 def exact_sample(df: DataFrame, n: int, seed: object, *keys: str) -> DataFrame:
     """Exactly ``min(n, rows)`` rows, the same ones on every run: those with the smallest hash
     of seed and key.
 
-    On a large table a hash limit first keeps slightly more than ``n`` rows, so that tasks send
-    about ``n`` rows in total instead of ``n`` each. Those few are stored and counted; should
-    they ever be too few, the limit is dropped and the result is the same.
+    Rows are counted by the first digits of their hash. The ranges that fit the sample whole pass
+    a filter; only the range in which the sample ends is ordered.
     """
     ranked = df.withColumn("_h", seeded_order(seed, *keys))
-    order = [F.col("_h"), *map(col, keys)]
-    total = df.count()
-    if total > 10 * n:
-        share = (n + 10 * math.sqrt(n) + 50) / total
-        few = materialise(ranked.filter(F.col("_h") < f"{int(share * 16 ** 10):010x}"))
-        ranked = few if few.count() >= n else ranked
-    return ranked.orderBy(*order).limit(n).drop("_h")
-
-
-# Rank limits up to this are applied by every task before the shuffle (the default of
-# spark.sql.optimizer.windowGroupLimitThreshold).
-PUSHED_LIMIT = 1000
+    area = F.substring("_h", 1, HASH_DIGITS)
+    taken, border = 0, ""
+    for row in ranked.groupBy(area.alias("area")).count().orderBy("area").collect():  # at most 16 ** HASH_DIGITS
+        border = row["area"]
+        if taken + row["count"] >= n:
+            break
+        taken += row["count"]
+    else:
+        return ranked.drop("_h")
+    rest = ranked.filter(area == border).orderBy("_h", *map(col, keys)).limit(n - taken)
+    return ranked.filter(area < border).unionByName(rest).drop("_h")
 
 
 def balanced_sample(df: DataFrame, n: int, seed: object, group: str, *keys: str) -> DataFrame:
-    """About ``n`` rows with an equal share per class; a smaller class gives all it has.
+    """About ``n`` rows with an equal share per class; a smaller class gives all it has. Rows
+    without a class are a class.
 
-    The share is a literal by the time the rows are ranked, so each task sends no more than
-    its share of a class, however large the class is. Shares too large for that are thinned by
-    a per-class hash limit first, checked like the one of ``exact_sample``.
+    As in ``exact_sample``, rows are counted by hash range, here for each class, and only the
+    range in which a class's share ends is ranked.
     """
-    classes = df.agg(F.countDistinct(col(group))).first()[0]
-    share = math.ceil(n / max(classes, 1))
-    ranked = df.withColumn("_h", seeded_order(seed, *keys))
-    if share > PUSHED_LIMIT:
-        ranked = _thinned(ranked, group, share)
-    w = W.partitionBy(col(group)).orderBy("_h", *map(col, keys))
-    return ranked.withColumn("_r", F.row_number().over(w)).filter(F.col("_r") <= share).drop("_r", "_h")
-
-
-def _thinned(ranked: DataFrame, group: str, share: int) -> DataFrame:
-    sizes = ranked.groupBy(col(group).alias("_g")).agg(F.count("*").alias("_n"))
-    part = F.lit(share + 10 * math.sqrt(share) + 50) / F.col("_n")
-    position = F.conv(F.substring("_h", 1, 10), 16, 10).cast("bigint")
-    few = ranked.join(sizes, col(group).eqNullSafe(F.col("_g"))).filter(position < part * F.lit(16.0 ** 10))
-    few = materialise(few.drop("_g"))
-    kept = few.groupBy(col(group)).agg(F.count("*").alias("_k"), F.first("_n").alias("_n"))
-    short = kept.filter(F.col("_k") < F.least(F.lit(share), F.col("_n")))
-    complete = short.isEmpty() and kept.count() == sizes.count()
-    return few.drop("_n") if complete else ranked
+    ranked = df.withColumn("_h", seeded_order(seed, *keys)).withColumn("_class", F.struct(col(group)))
+    area = F.conv(F.substring("_h", 1, HASH_DIGITS), 16, 10).cast("int")
+    ranked = ranked.withColumn("_area", area)
+    counts = materialise(ranked.groupBy("_class", "_area").agg(F.count("*").alias("_n")))
+    share = math.ceil(n / max(counts.select("_class").distinct().count(), 1))
+    before = W.partitionBy("_class").orderBy("_area").rowsBetween(W.unboundedPreceding, -1)
+    laid = counts.withColumn("_before", F.coalesce(F.sum("_n").over(before), F.lit(0)))
+    # where the share of a class ends, and how many rows that range still gives
+    ends = laid.filter((F.col("_before") < share) & (F.col("_before") + F.col("_n") >= share)).select("_class", F.col("_area").alias("_end"), (share - F.col("_before")).alias("_left"))
+    placed = ranked.join(small_side(ends), "_class", "left")
+    whole = placed.filter(F.col("_end").isNull() | (F.col("_area") < F.col("_end")))
+    w = W.partitionBy("_class").orderBy("_h", *map(col, keys))
+    last = placed.filter(F.col("_area") == F.col("_end")).withColumn("_r", F.row_number().over(w)).filter(F.col("_r") <= F.col("_left")).drop("_r")
+    return whole.unionByName(last).select(*[col(c) for c in df.columns])
 
 
 def ratio_sample(df: DataFrame, ratio: float, seed: object, *keys: str) -> DataFrame:

@@ -19,7 +19,7 @@ def prepare_chunks(pages: DataFrame, source: str = "md_img", annotation: str = "
     """Assembled pages with model annotations to finished chunks."""
     chosen = pages.withColumn("json", F.when(is_blank("img-0"), F.col("json")).otherwise(F.col("json_img")))
     annotated = chunking.annotations(chosen, annotation, ANNOTATION_COLUMNS).withColumn("_body", F.col(source))
-    kept = columns.drop_matching(annotated, r"(md|json_|img|llm|annot).*")
+    kept = columns.drop_matching(annotated, r"(md|json_|img|images|llm|annot).*")
     chunks = chunking.recursive_chunks(kept, "_body", **chunking_options)
     return chunking.finish_chunks(chunks, boilerplate)
 
@@ -37,9 +37,10 @@ def index_chunks(chunks: DataFrame, path: str, embedder: retrieval.Embedder) ->
 
 
 def chunk_and_fold(documents: DataFrame, min_length: int = MIN_LENGTH_PLAIN) -> DataFrame:
-    """Documents to fixed-stride chunks, short ones dropped, the rest joined per document."""
-    from ..operators.aggregates import concat_groups
+    """Documents to fixed-stride chunks, short ones dropped, the rest joined per document.
 
-    chunks = chunking.fixed_chunks(documents.select(F.col("doc_id").alias("doc"), "text"), "text")
-    measured = chunks.withColumn("length", F.length("chunk").cast("bigint"))
-    return concat_groups(filter_chunks(measured, [], min_length), "doc", "chunk", "chunk_id", bounded=True)
+    Everything happens inside the row. A document without a chunk long enough is left out.
+    """
+    kept = F.filter(chunking.fixed_pieces("text"), lambda c: F.length(c) > min_length)
+    rows = documents.select(F.col("doc_id").alias("doc"), kept.alias("_kept"))
+    return rows.filter(F.size("_kept") > 0).select("doc", F.lit(0).cast("bigint").alias("part"), F.array_join("_kept", "\n\n").alias("chunk_concat"))

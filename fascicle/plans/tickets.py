@@ -8,7 +8,7 @@ from pyspark.sql import types as T
 
 from ..functions import jsonops
 from ..functions.scalars import col, hours_before, join_text, pick, seeded_integer, short_sha1
-from ..operators import aggregates, columns, generate, predicates, sampling
+from ..operators import columns, generate, predicates, sampling
 
 # Fixed values of the flow: copies per scenario, seed range in hours, sample size and seed.
 COPIES = 100
@@ -136,28 +136,35 @@ def history_text(df: DataFrame, stages: dict[str, str], output: str = "analysis_
     return df.withColumn(output, F.to_json(F.struct(*[col(c).alias(code) for code, c in stages.items()])))
 
 
-def task_chunks(df: DataFrame, code: str = "ATA_code", category: str = "ATA_category", event: str = "nc_event_id",
-                date: Column | str = "nc_event_date") -> DataFrame:
-    """One markdown text per task of each ticket: (doc, chunk, chunk_id)."""
-    rows = df.select(
-        col(code).alias("code"), col(category).alias("category"), col(event).alias("event"),
-        col(date).alias("event_date"), F.explode_outer("analysis_history").alias("t"),
-    ).filter(F.col("t.task").isNotNull())
-    # fixed format: heading, ticket and task lines, blank line, description
-    text = join_text(
-        F.lit("##"), "code", F.lit(" ("), "category", F.lit(") - "), F.col("t.task"), F.lit(": "), F.col("t.label"),
-        F.lit("\n\nnc_event_id: "), "event", F.lit("\nnc_event_date: "), "event_date",
-        F.lit("\ntask_date:"), F.col("t.date"), F.lit("\nauthor:"), F.col("t.name"),
-        F.lit("\nrole:"), F.col("t.role"), F.lit("\n\n"), F.col("t.description"),
-    )
-    return rows.select(
-        F.col("event").cast("string").alias("doc"), text.alias("chunk"),
-        join_text("event", F.lit("-"), F.col("t.task"), F.lit("-"), F.col("t.date")).alias("chunk_id"),
-    )
+def _task_texts(code: str, category: str, event: str, date: Column | str) -> Column:
+    """Array of (chunk_id, chunk): one markdown text for each task in the history of a ticket."""
+    def text(t: Column) -> Column:
+        # fixed format: heading, ticket and task lines, blank line, description
+        return join_text(
+            F.lit("##"), code, F.lit(" ("), category, F.lit(") - "), t["task"], F.lit(": "), t["label"],
+            F.lit("\n\nnc_event_id: "), event, F.lit("\nnc_event_date: "), date,
+            F.lit("\ntask_date:"), t["date"], F.lit("\nauthor:"), t["name"],
+            F.lit("\nrole:"), t["role"], F.lit("\n\n"), t["description"],
+        )
 
+    coded = F.filter("analysis_history", lambda t: t["task"].isNotNull())
+    return F.transform(coded, lambda t: F.struct(join_text(event, F.lit("-"), t["task"], F.lit("-"), t["date"]).alias("chunk_id"), text(t).alias("chunk")))
 
-def ticket_documents(chunks: DataFrame) -> DataFrame:
-    """Task texts of each ticket joined into one document, in chunk-id order."""
-    return aggregates.concat_groups(chunks, "doc", "chunk", "chunk_id", bounded=True)
 
+def task_chunks(df: DataFrame, code: str = "ATA_code", category: str = "ATA_category", event: str = "nc_event_id",
+                date: Column | str = "nc_event_date", keys: tuple[str, ...] = ()) -> DataFrame:
+    """One markdown text per task of each ticket: key columns, doc, chunk, chunk_id."""
+    rows = df.select(*map(col, keys), col(event).cast("string").alias("doc"), F.explode_outer(_task_texts(code, category, event, date)).alias("t"))
+    return rows.filter(F.col("t").isNotNull()).select(*map(col, keys), "doc", "t.chunk", "t.chunk_id")
 
+
+def ticket_documents(df: DataFrame, keys: tuple[str, ...] = ("nc_scenario_id", "copy"), code: str = "ATA_code", category: str = "ATA_category",
+                     event: str = "nc_event_id", date: Column | str = "nc_event_date") -> DataFrame:
+    """One document per ticket: its task texts joined in chunk-id order.
+
+    ``keys`` identify a ticket and give the document's ``name``; ``doc`` is the event id, a label
+    that tickets may share. All of a ticket is in its row, so nothing is shuffled.
+    """
+    ordered = F.transform(F.array_sort(_task_texts(code, category, event, date)), lambda t: t["chunk"])
+    rows = df.select(F.concat_ws("-", *[col(k).cast("string") for k in keys]).alias("name"), col(event).cast("string").alias("doc"), ordered.alias("_texts"))
+    return rows.filter(F.size("_texts") > 0).select("name", "doc", F.array_join("_texts", "\n\n").alias("chunk_concat"))

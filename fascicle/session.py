@@ -9,7 +9,6 @@ import uuid
 import zipfile
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 
 def build_session(app: str = "fascicle", master: str | None = None, **conf: str) -> SparkSession:
@@ -62,16 +61,6 @@ def load(spark: SparkSession, folder: str, *names: str) -> DataFrame | tuple[Dat
     return frames[0] if len(frames) == 1 else frames
 
 
-def spread(df: DataFrame) -> DataFrame:
-    """At least one task per core for a CPU-heavy step over a table with few splits.
-
-    A large table has more splits than the cluster has cores and is returned as it is, so this
-    shuffles only small inputs. Pass a plain scan or projection of one.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df if df.rdd.getNumPartitions() >= cores else df.repartition(cores)
-
-
 def shared_dir(spark: SparkSession) -> str:
     """Folder all executors can reach: the cluster's ``spark.checkpoint.dir``.
 
@@ -111,16 +100,13 @@ def materialise(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
-# Rows of a stored table that may be sent to every executor.
-SMALL_ROWS = 500_000
-
-
 def small_side(df: DataFrame) -> DataFrame:
-    """A join side that is expected to be small, stored, counted and only then marked for broadcast.
+    """A join side that is expected to be small, stored and read back.
 
-    Adaptive execution would find out too, but not before the large side has been shuffled.
-    For narrow rows such as ids, ranks and scores; above ``SMALL_ROWS`` the join is left to
-    the optimizer.
+    The stored table's size is known before the join is planned, so Spark itself decides whether
+    the side is sent to every executor (``spark.sql.autoBroadcastJoinThreshold``). Adaptive
+    execution would find out too, but not before the large side has been shuffled.
     """
-    stored = materialise(df)
-    return F.broadcast(stored) if stored.count() <= SMALL_ROWS else stored
+    path = scratch_path(df.sparkSession, "side")
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

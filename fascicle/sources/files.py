@@ -12,15 +12,18 @@ from pyspark.sql import functions as F
 from ..functions import paths
 from ..functions.scalars import col
 from ..operators.sampling import head
+from ..session import qualified
 
 
 def _open_folder(folder: str):
-    """(pyarrow file system, path inside it) of a local path or URI."""
+    """(pyarrow file system, path inside it) of a full URI, as ``session.qualified`` gives it."""
+    import re
+
     from pyarrow import fs
 
-    if "://" in folder or folder.startswith("file:"):
-        return fs.FileSystem.from_uri(folder.replace("s3a://", "s3://", 1))
-    return fs.LocalFileSystem(), folder
+    if folder.startswith("file:"):  # names may hold characters that a URI does not
+        return fs.LocalFileSystem(), re.sub("^file:/+", "/", folder)
+    return fs.FileSystem.from_uri(folder.replace("s3a://", "s3://", 1))
 
 
 _LISTED = "path string, is_folder boolean, last_modified timestamp, size bigint"
@@ -48,9 +51,10 @@ def list_folder(spark: SparkSession, folder: str, pattern: str = "") -> DataFram
     size of every file below a folder whose name matches a regular expression.
 
     Subfolders of the first level are listed in parallel. File scans leave empty files out, so
-    the listing asks the file system itself; no file is opened.
+    the listing asks the file system itself; no file is opened. A path without scheme is on the
+    cluster's default file system, as everywhere in Spark.
     """
-    folder = folder.rstrip("/")
+    folder = qualified(spark, folder.rstrip("/"))
     top = spark.createDataFrame([("",)], "path string").mapInPandas(_lister(folder, False), _LISTED)
     folders = top.filter("is_folder").select("path").repartition(spark.sparkContext.defaultParallelism)
     every = top.unionByName(folders.mapInPandas(_lister(folder, True), _LISTED))
@@ -69,10 +73,11 @@ def with_extension(listing: DataFrame, ext: str, contains: str | None = None, pa
 
 
 def read_texts(spark: SparkSession, folder: str, glob: str = "*") -> DataFrame:
-    """One row per file: its path below the folder and its whole UTF-8 text.
+    """One row per file: its path below the folder, its whole UTF-8 text and an error.
 
     Files are read in parallel, each as one value; empty ones, which a scan leaves out, come
-    from the listing.
+    from the listing. Bytes that are not UTF-8 become replacement characters and are reported in
+    ``error``; they never fail the job.
     """
     import fnmatch
     import re
@@ -81,9 +86,11 @@ def read_texts(spark: SparkSession, folder: str, glob: str = "*") -> DataFrame:
     inside = re.sub(r"^[a-z0-9]+:/*", "/", folder)
     scan = spark.read.format("binaryFile").option("recursiveFileLookup", "true").option("pathGlobFilter", glob).load(folder)
     below = F.substring(F.col("path"), F.locate(inside, F.col("path")) + len(inside), F.length("path"))
-    texts = scan.select(below.alias("path"), F.decode("content", "UTF-8").alias("text"))
+    raw = F.col("content").cast("string")
+    error = F.when(~F.is_valid_utf8(raw), F.lit("not UTF-8"))
+    texts = scan.select(below.alias("path"), F.make_valid_utf8(raw).alias("text"), error.alias("error"))
     empty = list_folder(spark, folder, fnmatch.translate(glob)).filter("size = 0")
-    return texts.unionByName(empty.select("path", F.lit("").alias("text")))
+    return texts.unionByName(empty.select("path", F.lit("").alias("text"), F.lit(None).cast("string").alias("error")))
 
 
 def read_lines(spark: SparkSession, path: str, column: str = "Title") -> DataFrame:
@@ -109,8 +116,15 @@ def write_one_file_per_row(df: DataFrame, folder: str, name: str, text: str, suf
 
     The returned frame is lazy: files appear when it is evaluated. Each file is written under
     a temporary name and moved, so a repeated or speculative task only replaces a file by an
-    identical one. Works on any file system pyarrow can open.
+    identical one. Names must differ, or one row would silently replace another: repeated ones are
+    refused before anything is written. Works on any file system pyarrow can open; a path without
+    scheme is on the cluster's default one.
     """
+    folder = qualified(df.sparkSession, folder)
+    rows = df.select(col(name).cast("string").alias("name"), col(text).alias("text"))
+    repeated = rows.groupBy("name").count().filter("count > 1").select("name").limit(3).collect()
+    if repeated:
+        raise ValueError(f"file names must differ, but these repeat: {[r['name'] for r in repeated]}")
 
     def write(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         system, root = _open_folder(folder)
@@ -127,12 +141,11 @@ def write_one_file_per_row(df: DataFrame, folder: str, name: str, text: str, suf
                 out.append((f"{key}{suffix}", len(data)))
             yield pd.DataFrame(out, columns=["path", "size"])
 
-    rows = df.select(col(name).cast("string").alias("name"), col(text).alias("text"))
     return rows.mapInPandas(write, "path string, size bigint")
 
 
 def fetch_record(df: DataFrame, id_column: str, order: str, record: str | None = None, max_rows: int = 500) -> DataFrame:
-    """The rows of one id, or the first ``max_rows`` in a stated order when no id is given."""
+    """The rows of one id, or the first ``max_rows`` in a stated order, then by id, when no id is given."""
     if record:
         return df.filter(col(id_column) == record)
-    return head(df, max_rows, order)
+    return head(df, max_rows, order, id_column)

@@ -7,10 +7,13 @@ seen, writes their rows once and stops.
 
 from __future__ import annotations
 
+import threading
+from collections import Counter
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
+from pyspark.sql.streaming import StreamingQueryListener
 
 from ..operators.joins import pending
 
@@ -26,12 +29,38 @@ def process_new_files(spark: SparkSession, source: str, schema: T.StructType, ou
     reader = spark.readStream.format(fmt).schema(schema).option("maxFilesPerTrigger", files_per_trigger)
     if pattern:
         reader = reader.option("pathGlobFilter", pattern)
+    counter = _InputRows()
+    spark.streams.addListener(counter)
     query = (
         transform(reader.load(source)).writeStream.format("parquet").outputMode("append")
         .option("path", output).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
     )
-    query.awaitTermination()
-    return sum(int(p["numInputRows"]) for p in query.recentProgress)
+    try:
+        query.awaitTermination()
+        counter.ended.wait(timeout=60)  # the listener hears of the end after the last batch
+    finally:
+        spark.streams.removeListener(counter)
+    return counter.rows[str(query.runId)]
+
+
+class _InputRows(StreamingQueryListener):
+    """Input rows of every batch; a query itself remembers its latest batches only."""
+
+    def __init__(self):
+        self.rows: Counter[str] = Counter()
+        self.ended = threading.Event()
+
+    def onQueryStarted(self, event):
+        pass
+
+    def onQueryProgress(self, event):
+        self.rows[str(event.progress.runId)] += event.progress.numInputRows
+
+    def onQueryIdle(self, event):
+        pass
+
+    def onQueryTerminated(self, event):
+        self.ended.set()
 
 
 def process_pending(todo: DataFrame, done: DataFrame, key: str, transform: Callable[[DataFrame], DataFrame]) -> DataFrame:

@@ -153,3 +153,40 @@ def test_replace_all_is_ordered(spark, mapping, pattern, want):
 def test_rules_are_python_patterns_too():
     for pattern, _ in X.ALT_TEXT_RULES:
         re.compile(pattern)
+
+
+def test_flatten_loses_nothing_where_names_clash(spark):
+    df = spark.createDataFrame([('{"a":{"b":1},"a_b":2,"OBJECT":{"x":"y"}}', "kept")], "j string, j_a_b string")
+    row = jsonops.flatten(df, "j").first().asDict()
+    assert row["j_a_b"] == "kept" and {row["j_a_b_2"], row["j_a_b_3"]} == {1, 2} and row["j_OBJECT_x"] == "y"
+
+
+def test_flatten_keys_that_differ_in_case(spark):
+    df = spark.createDataFrame([('{"a":1,"A":{"b":"x"},"l":[{"k":5}]}',), ("broken",)], "j string")
+    rows = [r.asDict() for r in jsonops.flatten(df, "j", flatten_arrays=True).collect()]
+    assert rows[0]["j_a"] == 1 and rows[0]["j_A_b"] == "x" and rows[0]["j_l_0_k"] == 5 and rows[1]["j_a"] is None
+    clash = spark.createDataFrame([('{"a":1,"A":2}',)], "j string")
+    row = jsonops.flatten(clash, "j").first()
+    assert sorted(v for k, v in zip(row.__fields__, row) if k != "j") == [1, 2]
+
+
+def test_flatten_without_valid_json(spark):
+    df = spark.createDataFrame([("broken",), (None,)], "j string")
+    assert jsonops.flatten(df, "j").columns == ["j"]
+
+
+def test_second_fenced_block_counts_if_the_first_is_broken(spark):
+    text = "see ```json\n{broken}\n``` and ```\n{\"a\": 1}\n```"
+    assert spark.createDataFrame([(text,)], "t string").select(jsonops.json_part("t")).first()[0] == '{"a": 1}'
+
+
+def test_white_space_is_unicode_white_space(spark):
+    spaces = "\t\n\x0b\x0c\r\x1c\x1d\x1e\x1f \x85\xa0\u1680\u2000\u2003\u200a\u2028\u2029\u202f\u205f\u3000"
+    texts = ["un\u00a0mot", "a\u2003b  c", spaces, spaces.join("xyz"), "\u200bx", f"{spaces}q{spaces}"]
+    for r in spark.createDataFrame([(t,) for t in texts], "t string").select("t", X.words("t").alias("w"), scalars.strip("t").alias("s"), scalars.is_blank("t").alias("b")).collect():
+        assert (r["w"], r["s"], r["b"]) == (r["t"].split(), r["t"].strip(), not r["t"].strip())
+
+
+def test_token_runs_count_tokens(spark):
+    rows = spark.createDataFrame([(["b", "a", "b", None, "c"],), ([],), (None,)], "t array<string>").select(X.token_runs("t").alias("r")).collect()
+    assert [(x["token"], x["n"]) for x in rows[0]["r"]] == [("a", 1), ("b", 2), ("c", 1)] and not rows[1]["r"] and not rows[2]["r"]

@@ -10,7 +10,7 @@ from pyspark.sql import types as T
 from fascicle.functions.scalars import col
 from fascicle.operators import prompts, quality
 from fascicle.plans import tickets
-from fascicle.session import scratch_path, shared_dir, spread
+from fascicle.session import scratch_path, shared_dir
 from fascicle.sources import delimited, files, jdbc
 from fascicle.streaming.incremental import process_new_files
 
@@ -66,13 +66,23 @@ def test_retry_rounds_stop(spark):
 
     def attempt(rows, n):
         calls.append(rows.count())
-        return rows.select("id", F.when((F.col("id") % 5 > n) | (F.col("id") % 5 == 4), "e").alias("error"))
+        return rows.withColumn("error", F.when((F.col("id") % 5 > n) | (F.col("id") % 5 == 4), "e"))
 
-    out = prompts.retry_rounds(spark.range(50), "id", attempt)
+    out = prompts.retry_rounds(spark.range(50), attempt)
     rows = out.collect()
     assert len(rows) == 50 and sorted(r["id"] for r in rows if r["error"]) == list(range(4, 50, 5))
     assert calls == [50, 40, 30, 20, 10]
-    assert prompts.retry_rounds(spark.range(50), "id", attempt, rounds=1).filter("error is not null").count() == 40
+    assert prompts.retry_rounds(spark.range(50), attempt, rounds=1).filter("error is not null").count() == 40
+
+
+def test_retry_rounds_keep_rows_of_missing_and_repeated_keys(spark):
+    rows = [(None, 0), (None, 1), ("a", 0), ("a", 2), ("b", 4)]
+
+    def attempt(rows, n):
+        return rows.withColumn("error", F.when((F.col("luck") > n) | (F.col("luck") == 4), "e"))
+
+    out = prompts.retry_rounds(spark.createDataFrame(rows, "k string, luck int"), attempt)
+    assert sorted(((r["k"], r["luck"]) for r in out.collect()), key=str) == sorted(rows, key=str)
 
 
 def test_retry_rounds_of_model_calls(spark):
@@ -85,7 +95,7 @@ def test_retry_rounds_of_model_calls(spark):
         return prompts.complete(rows, F.col("t"), model)
 
     df = spark.createDataFrame([("a",), ("bb",), ("ccc",), ("dddd",)], "t string")
-    out = prompts.retry_rounds(df, "t", attempt, error="llm_error_message", rounds=3)
+    out = prompts.retry_rounds(df, attempt, error="llm_error_message", rounds=3)
     assert {r["t"]: r["llm_output"] for r in out.collect()} == {"a": "A", "bb": "BB", "ccc": "CCC", "dddd": None}
 
 
@@ -211,10 +221,51 @@ def test_events_are_repeatable(spark):
         assert (a[name] == [values_[s % len(values_)] for s in a["nc_event_seed"]]).all()
 
 
-def test_shared_dir_and_spread(spark):
+def test_shared_dir(spark):
     assert shared_dir(spark) and scratch_path(spark, "x") != scratch_path(spark, "x")
-    assert spread(spark.range(10).coalesce(1)).rdd.getNumPartitions() == 8
-    assert spread(spark.range(10).repartition(20)).rdd.getNumPartitions() == 20
+
+
+def test_repeated_file_names_are_refused(spark, tmp_path):
+    df = spark.createDataFrame([("a", "1"), ("b", "2"), ("a", "3")], "d string, t string")
+    with pytest.raises(ValueError, match="'a'"):
+        files.write_one_file_per_row(df, str(tmp_path), "d", "t")
+
+
+def test_bytes_that_are_not_utf8_are_reported(spark, tmp_path):
+    (tmp_path / "good.txt").write_bytes("été".encode())
+    (tmp_path / "bad.txt").write_bytes(b"a\xff\xfeb")
+    rows = {r["path"]: (r["text"], r["error"]) for r in files.read_texts(spark, str(tmp_path)).collect()}
+    assert rows["/good.txt"] == ("été", None) and rows["/bad.txt"][1] == "not UTF-8" and rows["/bad.txt"][0].startswith("a")
+
+
+def test_batch_models_get_whole_lists(spark):
+    def model(prompts):
+        return [ValueError("no") if user == "c" else f"{user}/{len(prompts)}" for _, user in prompts]
+
+    df = spark.createDataFrame([("a",), ("b",), ("c",)], "t string").coalesce(1)
+    out = prompts.call_model(df, F.col("t"), batch=model, retries=1).collect()
+    assert {r["t"]: (r["_answer"]["response"], r["_answer"]["error"]) for r in out} == {"a": ("a/3", None), "b": ("b/3", None), "c": (None, "ValueError: no")}
+
+
+def test_plain_models_run_at_once(spark):
+    import time
+
+    def model(system, user):
+        time.sleep(0.2)
+        return user
+
+    started = time.time()
+    assert prompts.call_model(spark.range(32).coalesce(1), F.col("id").cast("string"), model, concurrency=16).filter("_answer.response is not null").count() == 32
+    assert time.time() - started < 5
+
+
+def test_summaries_of_several_levels(spark):
+    def model(system, user):
+        return user.split(": ", 1)[1][::4]
+
+    df = spark.createDataFrame([(1, "abcd" * 100), (1, "short"), (2, None)], "k int, t string")
+    out = sorted((r["k"], r["summary"]) for r in prompts.summarise(df, "t", levels=2, size=50, overlap=10, model=model).collect())
+    assert [k for k, _ in out] == [1, 1, 2] and out[2][1] == "" and {"so"[:1]} >= {out[1][1][:1]} and len(out[0][1]) < 60
 
 
 def test_stage_chain_materialises(spark):

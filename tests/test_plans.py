@@ -40,8 +40,15 @@ def test_row_local_jobs_have_no_shuffle(spark, small):
         assert "Exchange" not in plan_of(df)
 
 
-def test_group_limit_before_the_shuffle(spark, small):
-    assert "WindowGroupLimit" in plan_of(CASES["class_balanced_sample"].run(spark, small))
+def test_only_the_last_hash_range_of_a_class_is_ranked(spark, small):
+    plan = plan_of(CASES["class_balanced_sample"].run(spark, small))
+    whole, ranked = plan[:plan.index("Window [")], plan[plan.index("Window ["):]
+    assert plan.count("Window [") == 1 and "hashpartitioning" not in whole and "_area" in ranked
+
+
+def test_row_local_documents(spark, small):
+    for name in ("chunk_filter_and_fold", "ticket_documents", "document_term_matrix", "letter_term_matrix", "words_per_document", "term_document_matrix", "recursive_chunks"):
+        assert "Exchange" not in plan_of(CASES[name].run(spark, small)), name
 
 
 def test_pareto_window_over_terms_is_partitioned(spark, small):

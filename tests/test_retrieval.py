@@ -45,10 +45,9 @@ def test_shared_scan(vectors):
     assert found(retrieval.top_k(df, asked(df, 20), 12)) == brute(data, range(20), 12)
 
 
-def test_blocked_form_gives_the_same(vectors, monkeypatch):
+def test_blocks_of_queries_give_the_same(vectors, monkeypatch):
     df, data = vectors
-    monkeypatch.setattr(retrieval, "MAX_SHARED_QUERIES", 10)
-    monkeypatch.setattr(retrieval, "BLOCK_ROWS", 64)
+    monkeypatch.setattr(retrieval, "BLOCK_QUERIES", 10)
     monkeypatch.setattr(retrieval, "SLICE_ROWS", 16)
     assert found(retrieval.top_k(df, asked(df, 150), 7, exclude_self=True)) == brute(data, range(150), 7, True)
 

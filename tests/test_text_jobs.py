@@ -69,7 +69,8 @@ def test_document_flow(spark):
     assert set(rows) == {"x_page_0001.pdf", "y.PDF"}
     x, y = rows["x_page_0001.pdf"], rows["y.PDF"]
     assert x["doc_root"] == "x.pdf" and x["md_img"].startswith("rich") and x["img-3"] == "x_page_0001-img-3.jpeg" and x["img-3-desc"] == "three"
-    assert y["md_img"].startswith("only") and y["img-0"] is None and len(pages.columns) == 24
+    assert y["md_img"].startswith("only") and y["img-0"] is None and len(pages.columns) == 25
+    assert [(im["k"], im["path"], im["desc"]) for im in x["images"]] == [(3, "x_page_0001-img-3.jpeg", "three"), (12, "x_page_0001-img-12.jpeg", None)] and y["images"] == []
     chunks = documents.prepare_chunks(pages.withColumn("llm_output", F.lit("- ATA: 1\n- Parts: None\n- Type: text")))
     assert set(chunks.columns) == {"doc", "doc_root", "json", "ATA", "parts", "doc_type", "chunk_id", "chunk", "length"}
     assert documents.filter_chunks(chunks, [("doc_type", "text")]).count() == 0
