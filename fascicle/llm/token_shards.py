@@ -120,7 +120,9 @@ def encoder(path: str) -> Encoder:
 
 
 def file_system(uri: str) -> tuple[fs.FileSystem, str]:
-    return fs.FileSystem.from_uri(re.sub(r"^file:/(?!/)", "file:///", uri))
+    if uri.startswith("file:"):  # names may hold characters that a URI does not
+        return fs.LocalFileSystem(), re.sub("^file:/+", "/", uri)
+    return fs.FileSystem.from_uri(uri.replace("s3a://", "s3://", 1))
 
 
 # --- minimal perfect hash ---------------------------------------------------------------------
