@@ -46,22 +46,21 @@ def _described(docs: DataFrame, topic: Column | None) -> DataFrame:
 
 def fitted_cells(described: DataFrame, keep: float, powers: dict[str, float], rounds: int, targets: dict[str, DataFrame] | None = None) -> DataFrame:
     """(_source, _lang, _topic, _p): the sampling probability of every cell."""
-    cells = described.groupBy("_source", "_lang", "_topic").agg(F.sum("_tokens").alias("_tokens"))
-    cells = cells.withColumn("_w", F.col("_tokens").cast("double"))
-    everything = Window.partitionBy(F.lit(0))
+    cells = stored(described.groupBy("_source", "_lang", "_topic").agg(F.sum("_tokens").alias("_tokens")), "mixing-tokens")
+    everything = cells.agg(F.sum("_tokens")).scalar()
+    asked_for = cells.withColumn("_w", F.col("_tokens").cast("double"))
     for name in ("source", "lang", "topic"):
-        own = F.sum("_tokens").over(Window.partitionBy(f"_{name}"))
+        values = cells.groupBy(f"_{name}").agg(F.sum("_tokens").alias("_own")).where("_own > 0")
         if targets and name in targets:
-            asked = targets[name].select(_key(F.col("value")).alias(f"_{name}"), F.col("share").alias(f"_t_{name}"))
-            cells = cells.join(asked, f"_{name}", "left").withColumn(f"_t_{name}", F.coalesce(F.col(f"_t_{name}"), F.lit(0.0)))
+            given = targets[name].select(_key(F.col("value")).alias(f"_{name}"), F.col("share").alias("_share"))
+            values = values.join(given, f"_{name}", "left").fillna(0.0, ["_share"])
         else:
-            cells = cells.withColumn(f"_t_{name}", F.pow(own.cast("double"), F.lit(powers[name])))
-    for name in ("source", "lang", "topic"):
-        # every value counts once in the sum over values: its cells share it by their tokens
-        own = F.sum("_tokens").over(Window.partitionBy(f"_{name}"))
-        part = F.when(own > 0, F.col(f"_t_{name}") * F.col("_tokens") / own).otherwise(0.0)
-        cells = cells.withColumn("_part", part).withColumn("_sum", F.sum("_part").over(everything)).withColumn("_all", F.sum("_tokens").over(everything))
-        cells = cells.withColumn(f"_t_{name}", F.when(F.col("_sum") > 0, F.col(f"_t_{name}") / F.col("_sum") * F.col("_all")).otherwise(0.0)).drop("_part", "_sum", "_all")
+            values = values.withColumn("_share", F.pow(F.col("_own").cast("double"), F.lit(powers[name])))
+        shares = values.agg(F.sum("_share")).scalar()
+        values = values.select(f"_{name}", (F.col("_share") / shares * everything).alias(f"_t_{name}"))
+        asked_for = asked_for.join(values, f"_{name}", "left").fillna(0.0, [f"_t_{name}"])
+    # a window's partition holds the cells of one source, language or topic, never documents
+    cells = stored(asked_for, "mixing-targets")
     for _ in range(rounds):
         for name in ("source", "lang", "topic"):
             cells = cells.withColumn("_s", F.sum("_w").over(Window.partitionBy(f"_{name}")))
