@@ -182,7 +182,25 @@ def answered_requests(spark, sf):
     return out.select("rid", "role", "user_message", "input_description", "query", "search_docs", "search_nc", "label", "comment")
 
 
-@query("PM9", "JN7", sql="SELECT item_id, CAST(5 AS BIGINT) AS n_docs, CAST(3 AS BIGINT) AS n_nc FROM benchmark")
+def _bank_sql(name, source, k):
+    """The ``k`` best of a bank for every benchmark text, as id:score in rank order."""
+    return f"""{name}_w AS (SELECT id, unnest(string_split_regex(lower(text), '\\s+')) AS w FROM ({source})),
+    {name}_b AS (SELECT id, CAST('0x' || substr(sha1(w), 1, 8) AS BIGINT) % 64 AS pos, count(*)::DOUBLE AS n FROM {name}_w WHERE w <> '' GROUP BY ALL),
+    {name}_l AS (SELECT id, sqrt(sum(n * n)) AS norm FROM {name}_b GROUP BY 1),
+    {name}_s AS (SELECT item_id, {name}_b.id, round(sum(CAST(CAST(qb.n / ql.norm AS FLOAT) AS DOUBLE) * CAST({name}_b.n / {name}_l.norm AS FLOAT)), 6) AS score
+        FROM qb JOIN {name}_b USING (pos) JOIN {name}_l ON {name}_l.id = {name}_b.id JOIN ql USING (item_id) GROUP BY ALL),
+    {name}_r AS (SELECT item_id, string_agg(id || ':' || printf('%.3f', score), ',' ORDER BY score DESC, id) AS {name}
+        FROM (SELECT * FROM {name}_s QUALIFY row_number() OVER (PARTITION BY item_id ORDER BY score DESC, id) <= {k}) GROUP BY 1)"""
+
+
+_SEARCHED = """WITH qw AS (SELECT item_id, unnest(string_split_regex(lower(text), '\\s+')) AS w FROM benchmark),
+    qb AS (SELECT item_id, CAST('0x' || substr(sha1(w), 1, 8) AS BIGINT) % 64 AS pos, count(*)::DOUBLE AS n FROM qw WHERE w <> '' GROUP BY ALL),
+    ql AS (SELECT item_id, sqrt(sum(n * n)) AS norm FROM qb GROUP BY 1), """
+
+
+@query("PM9", "JN7", sql=_SEARCHED + _bank_sql("docs", "SELECT doc_id AS id, text FROM documents", 5) + ", "
+       + _bank_sql("tickets", "SELECT conv_id * 1000 + turn AS id, text FROM conversations", 3)
+       + " SELECT item_id, docs, tickets FROM docs_r JOIN tickets_r USING (item_id)")
 def searched_requests(spark, sf):
     """Every benchmark text as a request, searched against a document bank and a ticket bank."""
     turns, documents, benchmark = load(spark, sf, "conversations", "documents", "benchmark")
@@ -194,6 +212,10 @@ def searched_requests(spark, sf):
     asked = request_flow.normalise_requests(requests)
     found = [request_flow.search(asked, "item_id", "description", *b) for b in
              ((docs, "doc_id", ["lang"], embed, 5), (tickets, "turn_id", ["role"], embed, 3))]
-    sizes = [f.select(F.col("query_id").alias("item_id"), F.size(F.from_json("context", "array<variant>")).cast("bigint").alias(n))
-             for f, n in zip(found, ("n_docs", "n_nc"))]
-    return requests.select("item_id").join(sizes[0], "item_id", "left").join(sizes[1], "item_id", "left")
+
+    def shown(context):
+        records = F.from_json(context, "array<struct<id:bigint,score:double>>")
+        return F.array_join(F.transform(records, lambda r: F.format_string("%d:%.3f", r["id"], r["score"])), ",")
+
+    sides = [f.select(F.col("query_id").alias("item_id"), shown("context").alias(n)) for f, n in zip(found, ("docs", "tickets"))]
+    return requests.select("item_id").join(sides[0], "item_id", "left").join(sides[1], "item_id", "left")

@@ -110,12 +110,17 @@ def expand_steps(tickets: DataFrame, ticket: str, opened: str, steps: Sequence[t
         plans.append(rows)
     history = tickets.select(key.alias(ticket), col(opened).alias("_opened"), F.concat(*plans).alias("_plan"))
 
-    def dated(step: Column, i: Column) -> Column:
-        # all earlier gaps, plus the gap this row opens with
-        earlier = F.aggregate(F.slice("_plan", F.lit(1), i), F.lit(0).cast("bigint"), lambda a, s: a + s["before"] + s["after"])
-        return F.struct(step["status"].alias("status"), (earlier + step["before"]).alias("hours"))
+    row = "struct<status:string,hours:bigint>"
+    start = F.struct(F.lit(0).cast("bigint").alias("passed"), F.array().cast(f"array<{row}>").alias("rows"))
 
-    exploded = history.select(ticket, "_opened", F.posexplode(F.transform("_plan", dated)).alias("seq", "_s"))
+    def dated(acc: Column, step: Column) -> Column:
+        opens = acc["passed"] + step["before"]
+        dated_row = F.struct(step["status"].alias("status"), opens.alias("hours")).cast(row)
+        return F.struct((opens + step["after"]).alias("passed"), F.concat(acc["rows"], F.array(dated_row)).alias("rows"))
+
+    # one fold carries the hours passed and the rows so far
+    rows = F.aggregate("_plan", start, dated, lambda acc: acc["rows"])
+    exploded = history.select(ticket, "_opened", F.posexplode(rows).alias("seq", "_s"))
     when = F.col("_opened") + F.make_interval(hours=F.col("_s.hours").cast("int"))
     return exploded.select(
         col(ticket), F.col("seq").cast("bigint").alias("seq"), F.col("_s.status").alias("status"), iso_day(when).alias("date")

@@ -125,11 +125,12 @@ def dense_rank_in(df: DataFrame, group: str, by: str, output: str = "rank") -> D
 def dense_rank_of_counts(df: DataFrame, group: str, by: str, output: str = "rank") -> DataFrame:
     """Dense rank inside groups of any size.
 
-    Only distinct (group, value) pairs are ranked; the rows take their rank by a join, so no
-    task sorts a whole group.
+    Only distinct (group, value) pairs are ranked, as running numbers over range partitions, so
+    no task sorts a whole group; the rows take their rank by a join.
     """
     pair = F.struct(col(group), col(by))  # joins NULL groups like any other
-    ranked = dense_rank_in(df.select(col(group), col(by)).distinct(), group, by, output)
+    values = df.select(col(group), col(by)).distinct()
+    ranked = running_totals(values, order=[Descending(by)], sums={output: F.lit(1).cast("bigint")}, keys=[group])
     return df.withColumn("_pair", pair).join(ranked.select(pair.alias("_pair"), output), "_pair").drop("_pair")
 
 
