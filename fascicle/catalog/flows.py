@@ -11,7 +11,7 @@ from ..session import load
 from .models import answer_sql
 from .registry import query, sha_int
 from .relational import _page_files
-from .text import _STRIDE, finished_chunks
+from .text import _STRIDE, finished_chunks, ruled, ruled_sql, stripped_sql
 
 _CHUNKS = r"""WITH c AS (SELECT doc_id, text, unnest(range(0, greatest(CAST(ceil((length(text) - 120) / 2880.0) AS BIGINT), 1))) AS k FROM documents),
     s AS (SELECT doc_id, k, substr(text, k * 2880 + 1, 3000) AS chunk FROM c)"""
@@ -28,10 +28,18 @@ def filtered_chunks(spark, sf):
     return document_flow.filter_chunks(finished_chunks(spark, sf), [("parts", "src1"), ("ATA", "de")]).select("doc", "chunk_id", "length")
 
 
-@query("JN6", "SC22", "TX11", "TX12", "PR2")
+_ENRICHED = "CASE WHEN lang = 'en' THEN 'E ' ELSE '' END || text"
+
+
+@query("JN6", "SC22", "TX11", "TX12", "PR2", sql=f"""WITH {ruled_sql(_ENRICHED)}, f AS (SELECT 'd' || doc_id || '_page_0001' AS b, doc_id, k, substr(CAST(doc_id AS VARCHAR), 1, 1) AS "ATA",
+      {stripped_sql("body")} AS body FROM r),
+    c AS (SELECT b || '.pdf' AS doc, 'd' || doc_id || '.pdf' AS doc_root, b || '__with_img_desc.json' AS json, "ATA", '' AS parts, 'text' AS doc_type,
+      b || '.pdf ' || k AS chunk_id, body || chr(10) || chr(10) || '*ATA* (llm annotation): ' || "ATA" AS chunk FROM f)
+    SELECT *, CAST(length(chunk) AS BIGINT) AS length FROM c WHERE length(chunk) > 200""")
 def document_ingest(spark, sf):
     """Page files assembled, annotated, chunked, finished and filtered."""
     pages = joins.assemble_pages(_page_files(load(spark, sf, "documents")))
+    pages = pages.withColumn("md_img", ruled(F.col("md_img")))
     note = F.concat(F.lit("- ATA: "), F.substring("doc", 2, 1), F.lit("\n- Parts: None\n- Type: text"))
     chunks = document_flow.prepare_chunks(pages.withColumn("llm_output", note))
     return document_flow.filter_chunks(chunks, [("doc_type", "figure")])

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..functions import text as X
-from ..functions.scalars import strip
+from ..functions.scalars import SPACE, strip
 from ..operators import chunking, corpus
 from ..session import load
 from .registry import query
@@ -140,9 +140,26 @@ def fixed_stride_chunks(spark, sf):
     return chunking.fixed_chunks(_documents(spark, sf).select("doc_id", "text"), "text")
 
 
-@query("TX11", "UD3")
+def ruled(text):
+    """A text whole, set in lines of 749 characters, so that only one cut is right: four lines fill a
+    chunk, and nothing overlaps, since a line is longer than that."""
+    lines = F.regexp_extract_all(F.replace(text, F.lit("\n"), F.lit(" ")), F.lit("(?s).{1,749}"), F.lit(0))
+    return F.array_join(lines, "\n")
+
+
+def ruled_sql(text):
+    return rf"""d AS (SELECT *, regexp_extract_all(replace({text}, chr(10), ' '), '(?s).{{1,749}}') AS lines FROM documents),
+    k AS (SELECT *, unnest(range(0, (len(lines) + 3) // 4)) AS k FROM d),
+    r AS (SELECT *, array_to_string(lines[k * 4 + 1 : k * 4 + 4], chr(10)) AS body FROM k)"""
+
+
+def stripped_sql(expr):
+    return f"regexp_replace({expr}, '^{SPACE}+|{SPACE}+$', '', 'g')"
+
+
+@query("TX11", "UD3", sql=f"WITH {ruled_sql('text')} SELECT doc_id, k AS chunk_id, {stripped_sql('body')} AS chunk FROM r")
 def recursive_chunks(spark, sf):
-    return chunking.recursive_chunks(_documents(spark, sf).select("doc_id", "text"), "text")
+    return chunking.recursive_chunks(_documents(spark, sf).select("doc_id", ruled(F.col("text")).alias("text")), "text")
 
 
 @query("TX11", sql=r"""SELECT doc_id, CAST(length(regexp_replace(text, '\s', '', 'g')) AS BIGINT) AS covered, TRUE AS sized, TRUE AS verbatim FROM documents""")
