@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..functions import jsonops
-from ..operators import aggregates, chunking, prompts, retrieval
+from ..operators import prompts, retrieval
 from ..plans import requests as request_flow
 from ..session import load, scratch_path
 from .registry import query, sha_int
@@ -156,41 +156,55 @@ def staged_chain(spark, sf):
     return out.select("conv_id", "turn", jsonops.field("body", "label").alias("label"))
 
 
+def _bank_sql(name, source, k):
+    """The ``k`` best of a bank for every benchmark text, as id:score in rank order."""
+    return f"""{name}_w AS (SELECT id, unnest(string_split_regex(lower(text), '\\s+')) AS w FROM ({source})),
+    {name}_b AS (SELECT id, CAST('0x' || substr(sha1(w), 1, 8) AS BIGINT) % 64 AS pos, count(*)::DOUBLE AS n FROM {name}_w WHERE w <> '' GROUP BY ALL),
+    {name}_l AS (SELECT id, sqrt(sum(n * n)) AS norm FROM {name}_b GROUP BY 1),
+    {name}_s AS (SELECT item_id, {name}_b.id, round(sum(CAST(CAST(qb.n / ql.norm AS FLOAT) AS DOUBLE) * CAST({name}_b.n / {name}_l.norm AS FLOAT)), 6) AS score
+        FROM qb JOIN {name}_b USING (pos) JOIN {name}_l ON {name}_l.id = {name}_b.id JOIN ql USING (item_id) GROUP BY ALL),
+    {name}_r AS (SELECT item_id, string_agg(id || ':' || CAST(floor(score * 1000 + 0.1234567) AS BIGINT), ',' ORDER BY score DESC, id) AS {name}
+        FROM (SELECT * FROM {name}_s QUALIFY row_number() OVER (PARTITION BY item_id ORDER BY score DESC, id) <= {k}) GROUP BY 1)"""
+
+
 _REQUESTS = """SELECT conv_id * 1000 + turn AS rid, CASE WHEN role = 'user' THEN '100' ELSE '000' END AS role,
     CASE WHEN role = 'system' THEN 'Propose task description' ELSE 'Help' END AS user_message,
     CASE WHEN role = 'system' THEN 'Help' ELSE text END AS description FROM conversations"""
 
 
+def _shown(context):
+    """Search context as id:score in rank order; thousandths, cut where no exact score lies."""
+    records = F.from_json(context, "array<struct<id:bigint,score:double>>")
+    return F.array_join(F.transform(records, lambda r: F.format_string("%d:%d", r["id"], F.floor(r["score"] * 1000 + 0.1234567))), ",")
+
+
+# every second turn brings its own sources; the others are searched with the expanded query
 @query("PM9", "SC9", sql=f"""WITH r AS ({_REQUESTS}),
-    q AS (SELECT *, {answer_sql("role || ': ' || user_message || ' ' || description")} AS query FROM r),
-    p AS (SELECT *, {answer_sql("role || ' ' || user_message || ' ' || description || ' [1] [2]'")} AS answer FROM q)
-    SELECT rid, role, user_message, description AS input_description, query, '[1]' AS search_docs, '[2]' AS search_nc,
-    json_extract_string(answer, '$.label') AS label, json_extract_string(answer, '$.comment') AS comment FROM p""")
+    q AS (SELECT *, rid % 2 = 0 AS given, {answer_sql("role || ': ' || user_message || ' ' || description")} AS query FROM r),
+    p AS (SELECT *, {answer_sql("role || ' ' || user_message || ' ' || description || ' [1] [2]'")} AS answer FROM q),
+    qw AS (SELECT rid AS item_id, unnest(string_split_regex(lower(query), '\\s+')) AS w FROM q WHERE NOT given),
+    qb AS (SELECT item_id, CAST('0x' || substr(sha1(w), 1, 8) AS BIGINT) % 64 AS pos, count(*)::DOUBLE AS n FROM qw WHERE w <> '' GROUP BY ALL),
+    ql AS (SELECT item_id, sqrt(sum(n * n)) AS norm FROM qb GROUP BY 1),
+    {_bank_sql("docs", "SELECT doc_id AS id, text FROM documents", 5)}
+    SELECT rid, role, user_message, description AS input_description, query, CASE WHEN given THEN '[1]' ELSE docs END AS search_docs,
+    CASE WHEN given THEN '[2]' ELSE docs END AS search_nc, CASE WHEN given THEN json_extract_string(answer, '$.label') END AS label,
+    CASE WHEN given THEN json_extract_string(answer, '$.comment') END AS comment FROM p LEFT JOIN docs_r ON rid = item_id""")
 def answered_requests(spark, sf):
-    """Requests that bring their own sources; the searched form is ``searched_requests``."""
     turns = load(spark, sf, "conversations")
+    given = F.col("rid") % 2 == 0
     requests = turns.select(
         (F.col("conv_id") * 1000 + F.col("turn")).alias("rid"),
         F.when(F.col("role") == "user", "100").otherwise(F.col("role")).alias("role"), F.lit("Help").alias("user_message"),
         F.when(F.col("role") == "system", F.lit(" ")).otherwise(F.col("text")).alias("description"),
-        F.lit('{"search_docs":[1],"search_nc":[2]}').alias("sources"))
+    ).withColumn("sources", F.when(given, '{"search_docs":[1],"search_nc":[2]}'))
     embed = retrieval.hashing_embedder()
     index = retrieval.embed_texts(load(spark, sf, "documents").select("doc_id", "lang", "text"), "text", embed)
     templates = {"query": "{{role}}: {{user_message}} {{description}}", "propose": "{{role}} {{user_message}} {{description}} {{search_docs}} {{search_nc}}"}
     out = request_flow.answer_requests(requests, "rid", {"search_docs": (index, "doc_id", ["lang"]), "search_nc": (index, "doc_id", ["lang"])},
                                        embed, templates, k=5, sources="sources")
-    return out.select("rid", "role", "user_message", "input_description", "query", "search_docs", "search_nc", "label", "comment")
-
-
-def _bank_sql(name, source, k):
-    """The ``k`` best of a bank for every benchmark text, as id:score in rank order."""
-    return f"""{name}_w AS (SELECT id, unnest(string_split_regex(lower(text), '\\s+')) AS w FROM ({source})),
-    {name}_b AS (SELECT id, CAST('0x' || substr(sha1(w), 1, 8) AS BIGINT) % 64 AS pos, count(*)::DOUBLE AS n FROM {name}_w WHERE w <> '' GROUP BY ALL),
-    {name}_l AS (SELECT id, sqrt(sum(n * n)) AS norm FROM {name}_b GROUP BY 1),
-    {name}_s AS (SELECT item_id, {name}_b.id, round(sum(CAST(CAST(qb.n / ql.norm AS FLOAT) AS DOUBLE) * CAST({name}_b.n / {name}_l.norm AS FLOAT)), 6) AS score
-        FROM qb JOIN {name}_b USING (pos) JOIN {name}_l ON {name}_l.id = {name}_b.id JOIN ql USING (item_id) GROUP BY ALL),
-    {name}_r AS (SELECT item_id, string_agg(id || ':' || printf('%.3f', score), ',' ORDER BY score DESC, id) AS {name}
-        FROM (SELECT * FROM {name}_s QUALIFY row_number() OVER (PARTITION BY item_id ORDER BY score DESC, id) <= {k}) GROUP BY 1)"""
+    searched = [F.when(given, F.col(c)).otherwise(_shown(c)).alias(c) for c in ("search_docs", "search_nc")]
+    answers = [F.when(given, F.col(c)).alias(c) for c in ("label", "comment")]
+    return out.select("rid", "role", "user_message", "input_description", "query", *searched, *answers)
 
 
 _SEARCHED = """WITH qw AS (SELECT item_id, unnest(string_split_regex(lower(text), '\\s+')) AS w FROM benchmark),
@@ -213,9 +227,5 @@ def searched_requests(spark, sf):
     found = [request_flow.search(asked, "item_id", "description", *b) for b in
              ((docs, "doc_id", ["lang"], embed, 5), (tickets, "turn_id", ["role"], embed, 3))]
 
-    def shown(context):
-        records = F.from_json(context, "array<struct<id:bigint,score:double>>")
-        return F.array_join(F.transform(records, lambda r: F.format_string("%d:%.3f", r["id"], r["score"])), ",")
-
-    sides = [f.select(F.col("query_id").alias("item_id"), shown("context").alias(n)) for f, n in zip(found, ("docs", "tickets"))]
+    sides = [f.select(F.col("query_id").alias("item_id"), _shown("context").alias(n)) for f, n in zip(found, ("docs", "tickets"))]
     return requests.select("item_id").join(sides[0], "item_id", "left").join(sides[1], "item_id", "left")
