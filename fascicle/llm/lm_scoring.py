@@ -32,7 +32,7 @@ CLASSES = 127
 DISCOUNT = 0.75
 # Distinct words a task counts before it sends them on; words whose number a task remembers.
 HELD = 400_000
-REMEMBERED = 500_000
+REMEMBERED = 150_000
 
 
 class Numbers(dict):
@@ -156,7 +156,8 @@ def train(docs: DataFrame, target_ids: DataFrame, size: int = VOCABULARY) -> tup
     v = Numbers(words).size
     ids = target_ids.select(F.col("doc_id").alias("_id")).where("_id IS NOT NULL").distinct()
     rows = texts(docs, "doc_id")
-    marked = rows.join(ids, F.col("doc_id") == F.col("_id"), "left").select("text", F.col("_id").isNotNull().alias("target"))
+    # the same join at every size: target ids grow with the corpus
+    marked = rows.join(ids.hint("shuffle_hash"), F.col("doc_id") == F.col("_id"), "left").select("text", F.col("_id").isNotNull().alias("target"))
     summed = marked.mapInArrow(_counted_bigrams(words), COUNTS).groupBy("previous").applyInArrow(_summed(v), COUNTS)
     counts = np.zeros((2, v, v), np.float32)
     for row in summed.toLocalIterator():
