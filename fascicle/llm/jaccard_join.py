@@ -38,13 +38,13 @@ from .components import connected_components
 
 PERCENT = 90
 SHINGLE = 3
-GROUPS = 32
+GROUPS = 128
 NEAREST = 4
-TILE = 1024
+TILE = 512
 LEAF = 16
 FANOUT = 8
 # Words whose hash a task remembers.
-REMEMBERED = 500_000
+REMEMBERED = 150_000
 
 POINTS = "doc_id long, n long, digest binary, counts binary, keys array<long>"
 SETS = "digest binary, hashes binary"
@@ -123,7 +123,13 @@ def digest_of(hashes: np.ndarray) -> bytes:
 
 
 def counts_of(hashes: np.ndarray) -> np.ndarray:
-    return np.bincount((hashes >> np.uint64(59)).astype(np.int64), minlength=GROUPS).astype("<i4")
+    """The set's point: how many of its hashes are in each group, 16 bits wide if that holds them."""
+    counts = np.bincount((hashes >> np.uint64(64 - GROUPS.bit_length() + 1)).astype(np.int64), minlength=GROUPS)
+    return counts.astype("<u2" if len(hashes) < 1 << 16 else "<u4")
+
+
+def point_of(packed: bytes) -> np.ndarray:
+    return np.frombuffer(packed, "<u2" if len(packed) == 2 * GROUPS else "<u4").astype(np.int32)
 
 
 def _points(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -186,8 +192,8 @@ class Tree:
         ok &= (100 * most[i] >= PERCENT * least[j]) & (100 * most[j] >= PERCENT * least[i])
         at = np.flatnonzero(ok)
         need = needed(least[i[at]], least[j[at]])
-        for start in range(0, len(at), 1 << 16):
-            s = slice(start, start + (1 << 16))
+        for start in range(0, len(at), 1 << 14):
+            s = slice(start, start + (1 << 14))
             ok[at[s]] = np.minimum(upper[i[at[s]]], upper[j[at[s]]]).sum(axis=1) >= need[s]
         return ok
 
@@ -234,7 +240,7 @@ def _proposer(nearest: int):
 
         def flush():
             ids, comp, n, counts = zip(*{h[1]: h[1:] for h in held}.values())
-            a, b, more = proposals(np.array(ids), np.array(comp), np.array(n), np.frombuffer(b"".join(counts), "<i4").reshape(len(ids), GROUPS), nearest)
+            a, b, more = proposals(np.array(ids), np.array(comp), np.array(n), np.stack([point_of(c) for c in counts]), nearest)
             return pa.RecordBatch.from_arrays([pa.array([held[0][0][0]] * len(a), pa.int64()), pa.array(a, pa.int64()), pa.array(b, pa.int64()), pa.array([more] * len(a), pa.bool_())], names=["cell", "a", "b", "more"])
 
         for batch in batches:
@@ -306,7 +312,9 @@ def _links(pairs: DataFrame, points: DataFrame, docs: DataFrame) -> DataFrame:
     """The pairs whose sets are similar; sets are made again from the texts of the pairs' documents."""
     ids = pairs.select(F.explode(F.array("a", "b")).alias("id")).distinct()
     wanted = stored(points.join(ids, "id").select("id", "doc_id", "digest"), "jaccard-wanted")
-    rows = texts(docs, "doc_id").join(wanted.select(F.col("doc_id").alias("_id")).distinct(), F.col("doc_id").eqNullSafe(F.col("_id")), "left_semi")
+    # stored, so that the join is planned with its real size
+    ids = stored(wanted.select(F.col("doc_id").alias("_id")).distinct(), "jaccard-ids")
+    rows = texts(docs, "doc_id").join(ids, F.col("doc_id").eqNullSafe(F.col("_id")), "left_semi")
     sets = stored(rows.mapInArrow(_sets, SETS).join(wanted.select("id", "digest"), "digest").select("id", "hashes"), "jaccard-sets")
     x, y = (sets.select(F.col("id").alias(c), F.col("hashes").alias(h)) for c, h in (("a", "x"), ("b", "y")))
     return stored(pairs.join(x, "a").join(y, "b").mapInArrow(_verified, "a long, b long").distinct(), "jaccard-links")

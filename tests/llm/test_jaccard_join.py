@@ -120,3 +120,11 @@ def test_components_of_long_chains(spark):
     random.shuffle(chain)
     rows = connected_components(spark.createDataFrame(chain, "u long, v long")).collect()
     assert {(r.node, r.root) for r in rows} == {(i, 0) for i in range(301)} | {(1000 + i, 1000) for i in range(200)}
+
+
+@pytest.mark.parametrize("n", [0, 1, 500, 70_000])
+def test_points_count_the_groups(n):
+    hashes = np.unique(np.random.default_rng(n).integers(0, 1 << 63, n, dtype=np.uint64) * np.uint64(2))
+    point = jj.point_of(jj.counts_of(hashes).tobytes())
+    assert len(point) == jj.GROUPS and point.sum() == len(hashes)
+    assert all(point[g] == sum(int(h) >> 57 == g for h in hashes[:1000]) for g in (0, 5, 127)) or n > 1000
