@@ -22,7 +22,8 @@ import re
 import uuid
 import zlib
 from array import array
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
+from operator import attrgetter
 
 import numpy as np
 import pyarrow as pa
@@ -40,10 +41,11 @@ SHARD_KEYS = 100_000
 MAGIC = b"FASCIDX1"
 KEYS_PER_BUCKET = 4
 # Segments in each of an encoder's two generations of memory.
-REMEMBERED = 700_000
+REMEMBERED = 900_000
 # Segments that need no normalization but lower case, and what the tokenizer cuts them into.
 PLAIN = re.compile(r"[!-~\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u00ff]+")
 PIECES = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[a-z\u00df-\u00f6\u00f8-\u00ff]+|[0-9]|[^a-z0-9\u00df-\u00f6\u00f8-\u00ff]+")
+ID = attrgetter("id")
 SIGNS = frozenset(bytes([b]) for b in range(33, 127) if not bytes([b]).isalpha())
 # Byte-level BPE writes a byte that prints as its Latin-1 character and the others, in order, from U+0100 on.
 PRINTED = [*range(33, 127), *range(161, 173), *range(174, 256)]
@@ -66,38 +68,49 @@ class Encoder:
 
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         self.tokenizer = Tokenizer.from_file(path)
+        model = self.tokenizer.model
+        model._resize_cache(0)  # pieces are remembered here, once
+        self.tokenize = model.tokenize
         self.width = "<u2" if self.tokenizer.get_vocab_size(with_added_tokens=True) <= 1 << 16 else "<u4"
         # segments, and lower-case pieces, which are segments too; those used since the last change, and before
         self.known: dict[bytes, bytes] = {}
         self.older: dict[bytes, bytes] = {}
 
-    def _packed(self, ids: list[int]) -> bytes:
+    def _packed(self, ids: Iterable[int]) -> bytes:
         return array("H" if self.width == "<u2" else "I", ids).tobytes()
 
-    def _piece(self, piece: bytes) -> bytes:
-        ids = self.known.get(piece) or self.older.get(piece)
-        if ids is None:
-            text = piece.decode() if piece.isascii() else piece.decode("latin-1").translate(BYTE_LETTERS)
-            ids = self._packed([t.id for t in self.tokenizer.model.tokenize(text)])
-            if len(piece) <= 64:
-                self.known[piece] = ids
+    def _new(self, piece: bytes) -> bytes:
+        """Ids of a piece that is not remembered."""
+        text = piece.decode() if piece.isascii() else piece.decode("latin-1").translate(BYTE_LETTERS)
+        ids = self._packed(map(ID, self.tokenize(text)))
+        if len(piece) <= 64:
+            self.known[piece] = ids
         return ids
 
+    def _piece(self, piece: bytes) -> bytes:
+        return self.known.get(piece) or self.older.get(piece) or self._new(piece)
+
     def _segment(self, segment: bytes) -> bytes:
+        """Ids of a segment that the latest generation of memory does not hold."""
         ids = self.older.get(segment)
-        if ids is not None:
-            self.known[segment] = ids
-            return ids
-        if segment.isalpha():
-            ids = self._piece(segment.lower())
-        elif segment[:-1].isalpha() and segment[-1:] in SIGNS:
-            ids = self._piece(segment[:-1].lower()) + self._piece(segment[-1:])
-        else:
-            text = segment.decode("utf-8", "replace")
-            if PLAIN.fullmatch(text) and "<|" not in text:
-                ids = b"".join([self._piece(p.encode()) for p in PIECES.findall(text.lower())])
+        if ids is None:
+            word, sign = (segment, b"") if segment.isalpha() else (segment[:-1], segment[-1:])
+            if word.isalpha() and (not sign or sign in SIGNS):
+                word = word.lower()
+                if word == segment:
+                    return self._new(word)
+                ids = self.known.get(word) or self.older.get(word)
+                if ids is None:
+                    # a form of a new word is not remembered as well: most such words never come back
+                    return self._new(word) + (self._piece(sign) if sign else b"")
+                if sign:
+                    ids += self._piece(sign)
             else:
-                ids = self._packed(self.tokenizer.encode(text, add_special_tokens=False).ids)
+                text = segment.decode("utf-8", "replace")
+                if PLAIN.fullmatch(text) and "<|" not in text:
+                    ids = b"".join([self._piece(p.encode()) for p in PIECES.findall(text.lower())])
+                else:
+                    ids = self._packed(self.tokenizer.encode(text, add_special_tokens=False).ids)
         if len(segment) <= 64:
             self.known[segment] = ids
         return ids

@@ -5,6 +5,7 @@ import public_tokenizers
 import pytest
 from tokenizers import Tokenizer
 
+from fascicle.llm import common
 from fascicle.llm import token_shards as ts
 from fascicle.session import load
 
@@ -31,7 +32,7 @@ def test_every_plain_character_encodes_alike():
 
 
 def test_long_texts_are_cut_at_white_space(monkeypatch):
-    monkeypatch.setattr(ts, "PART", 20)
+    monkeypatch.setattr(common, "PART", 20)
     texts = ["one two, three four five six seven eight " * 9, "x" * 200, "short"]
     assert encoded(ts.Encoder(PATH), texts) == reference(texts)
 
