@@ -159,20 +159,27 @@ def suffix_automaton(sequences: list[list[int]]) -> np.ndarray:
 class Parser:
     def __init__(self, model: Model):
         self.model = model
-        self.symbols = symbol_table(model)
-        self.tables = [suffix_automaton([symbols_of(t, self.symbols).tolist() for t in sample]) for sample in model.samples]
+        symbols = symbol_table(model)
+        # only the symbols in use get a column
+        used = np.append(np.unique(symbols[symbols < SYMBOLS]), (OTHER, PAD)).astype(np.int64)
+        self.width, self.other, self.pad = len(used), len(used) - 2, len(used) - 1
+        self.symbols = np.searchsorted(used, np.arange(WIDTH)).astype(np.uint8)[symbols]
+        self.tables = []
+        for sample in model.samples:
+            table = suffix_automaton([symbols_of(t, symbols).tolist() for t in sample]).reshape(-1, WIDTH)
+            self.tables.append((table[:, used] // WIDTH * self.width).ravel())
         # bits of a phrase: a pointer into the sample
         self.bits = [math.log2(2 + sum(map(len, sample))) for sample in model.samples]
 
     def phrases(self, symbols: list[np.ndarray]) -> np.ndarray:
         """Phrases by text, given as symbols, and language."""
         counts = [-(-len(s) // BLOCK) for s in symbols]
-        blocks = np.full((sum(counts), BLOCK), PAD, np.uint8)
+        blocks = np.full((sum(counts), BLOCK), self.pad, np.uint8)
         flat, at = blocks.reshape(-1), 0
         for s, n in zip(symbols, counts):
             flat[at : at + len(s)] = s
             at += n * BLOCK
-        pads = (blocks == PAD).sum(axis=1)
+        pads = (blocks == self.pad).sum(axis=1)
         by_step = np.ascontiguousarray(blocks.T)
         owner = np.repeat(np.arange(len(symbols)), counts)
         out = np.zeros((len(symbols), len(self.tables)))

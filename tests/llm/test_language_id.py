@@ -11,13 +11,13 @@ from fascicle.session import load
 MODEL = li.Model(("aa", "bb"), (("lorem ipsum dolor sit amet", "ipsum lorem"), ("der hund und die katze", "katze und hund")))
 
 
-def brute_phrases(symbols, samples):
+def brute_phrases(symbols, samples, other):
     """Greedy longest phrases of one block by plain substring search."""
     texts = ["".join(map(chr, s)) for s in samples]
     s, n, i = "".join(map(chr, symbols)), 0, 0
     while i < len(s):
         j = i + 1
-        while j < len(s) and s[i] != chr(li.OTHER) and any(s[i : j + 1] in t for t in texts):
+        while j < len(s) and s[i] != chr(other) and any(s[i : j + 1] in t for t in texts):
             j += 1
         n, i = n + 1, j
     return n
@@ -29,7 +29,7 @@ def test_phrases_against_substring_search(text):
     symbols = li.symbols_of(text, own.symbols)
     for k, sample in enumerate(MODEL.samples):
         known = [li.symbols_of(t, own.symbols) for t in sample]
-        want = sum(brute_phrases(symbols[i : i + li.BLOCK], known) for i in range(0, len(symbols), li.BLOCK))
+        want = sum(brute_phrases(symbols[i : i + li.BLOCK], known, own.other) for i in range(0, len(symbols), li.BLOCK))
         assert own.phrases([symbols])[0, k] == want
 
 
