@@ -13,6 +13,10 @@ from fascicle.llm import decontamination, jaccard_join, language_id, mixing, tok
 from fascicle.llm.queries import tokenizer_path
 from fascicle.session import load, scratch_path
 
+# Near copies: length of a shingle and similarity; op7's query has its own.
+NEAR_WORDS = 5
+NEAR_PERCENT = 80
+
 
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents in a language that can be told stay; a missing lang is filled in."""
@@ -22,8 +26,8 @@ def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of similar ones stays."""
-    return jaccard_join.one_of_each(docs)
+    """One document of each group of near copies (80 % of five-word shingles) stays."""
+    return jaccard_join.one_of_each(docs, NEAR_WORDS, NEAR_PERCENT)
 
 
 def drop_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

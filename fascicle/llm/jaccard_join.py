@@ -1,7 +1,8 @@
 """Similarity join of word-shingle sets by count vectors in an R-tree.
 
-A document is the set of its distinct 3-word shingles; two documents link when the Jaccard
-similarity is at least ``PERCENT`` per cent. A set's shingles are hashed into ``GROUPS`` groups and
+A document is the set of its distinct shingles of ``SHINGLE`` words; two documents link when the
+Jaccard similarity is at least ``PERCENT`` per cent. Both are parameters; the numbers below are for
+the default, 3 words and 90 per cent. A set's shingles are hashed into ``GROUPS`` groups and
 their counts are a point. The sum of the smaller coordinates of two points bounds the overlap of
 the sets from above, the same sum over the upper corners of two tree nodes bounds it for all pairs
 below, and a pair that survives is verified on the sets.
@@ -26,6 +27,7 @@ from __future__ import annotations
 
 import hashlib
 from collections.abc import Iterator
+from functools import cache
 
 import numpy as np
 import pyarrow as pa
@@ -66,49 +68,58 @@ def mixed(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(29))
 
 
-def shingles(body: bytes, known: WordHashes) -> np.ndarray:
-    """Sorted distinct hashes of the 3-word shingles; of the whole sequence if there are fewer words."""
+def shingles(body: bytes, known: WordHashes, length: int = SHINGLE) -> np.ndarray:
+    """Sorted distinct hashes of the shingles of ``length`` words; of the whole sequence if there are fewer words."""
     words = []
     for part in parts(body):
         found = part.lower().split()
         words.append(np.fromiter(map(known.__getitem__, found), np.uint64, len(found)))
     words = np.concatenate(words) if words else np.zeros(0, np.uint64)
-    size = min(SHINGLE, len(words))
+    size = min(length, len(words))
     if not size:
         return words
     out = np.full(len(words) - size + 1, np.uint64(size))
     for j in range(size):
-        out = (out ^ words[j : j + len(out)]) * STEPS[j]
+        out = (out ^ words[j : j + len(out)]) * STEPS[j % len(STEPS)]
         out ^= out >> np.uint64(32)
     return np.unique(out)
 
 
-def size_classes(limit: int) -> list[tuple[int, int, int]]:
+def size_classes(limit: int, percent: int = PERCENT) -> list[tuple[int, int, int]]:
     """(smallest size, largest size, groups) until ``limit`` is covered: pairs whose smaller set is in the class.
 
-    Sets of fewer than 9 shingles are similar to equal ones only and have no class.
+    Smaller sets (fewer than 9 shingles at 90 per cent) are similar to equal ones only and have no class.
     """
-    out, low = [], -(-PERCENT // (100 - PERCENT))
+    out, low = [], -(-percent // (100 - percent))
     while not out or out[-1][1] < limit:
         high = low * 3 // 2
-        out.append((low, high, (100 - PERCENT) * (high + high * 100 // PERCENT) // (100 + PERCENT) + 1))
+        out.append((low, high, (100 - percent) * (high + high * 100 // percent) // (100 + percent) + 1))
         low = high + 1
     return out
 
 
 CLASSES = size_classes(1 << 31)
-LOWS = np.array([c[0] for c in CLASSES])
 
 
-def cell_keys(hashes: np.ndarray) -> np.ndarray:
+@cache
+def classes_of(percent: int) -> tuple[list[tuple[int, int, int]], np.ndarray]:
+    """All size classes and their smallest sizes."""
+    if not 67 <= percent <= 99:
+        raise ValueError("similar sets are at most one size class apart from 67 to 99 per cent only")
+    classes = size_classes(1 << 31, percent)
+    return classes, np.array([c[0] for c in classes])
+
+
+def cell_keys(hashes: np.ndarray, percent: int = PERCENT) -> np.ndarray:
     """Keys of the groups of a set: its own size class, and the class before if a smaller partner may be there."""
     n = len(hashes)
-    own = int(np.searchsorted(LOWS, n, "right")) - 1
+    classes, lows = classes_of(percent)
+    own = int(np.searchsorted(lows, n, "right")) - 1
     out = []
     for c in (own, own - 1):
-        if c < 0 or c < own and n > CLASSES[c][1] * 100 // PERCENT:
+        if c < 0 or c < own and n > classes[c][1] * 100 // percent:
             continue
-        groups = CLASSES[c][2]
+        groups = classes[c][2]
         at = mixed(hashes * MIX) % np.uint64(groups)
         order = np.argsort(at, kind="stable")
         content = np.zeros(groups, np.uint64)
@@ -132,40 +143,47 @@ def point_of(packed: bytes) -> np.ndarray:
     return np.frombuffer(packed, "<u2" if len(packed) == 2 * GROUPS else "<u4").astype(np.int32)
 
 
-def _points(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    known = WordHashes()
-    with np.errstate(over="ignore"):
-        for batch in batches:
-            rows = []
-            for body in byte_texts(batch.column("text")):
-                own = shingles(body, known)
-                rows.append((len(own), digest_of(own), counts_of(own).tobytes(), cell_keys(own)))
-            n, digest, counts, keys = zip(*rows) if rows else ((),) * 4
-            yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id").cast(pa.int64()), pa.array(n, pa.int64()), pa.array(digest, pa.binary()), pa.array(counts, pa.binary()), pa.array(keys, pa.list_(pa.int64()))],
-                names=["doc_id", "n", "digest", "counts", "keys"])
-
-
-def _sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    known = WordHashes()
-    with np.errstate(over="ignore"):
-        for batch in batches:
-            found = [shingles(body, known) for body in byte_texts(batch.column("text"))]
-            yield pa.RecordBatch.from_arrays([pa.array([digest_of(h) for h in found], pa.binary()), pa.array([h.astype("<u8").tobytes() for h in found], pa.binary())], names=["digest", "hashes"])
+def _points(length: int, percent: int):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known = WordHashes()
+        with np.errstate(over="ignore"):
+            for batch in batches:
+                rows = []
+                for body in byte_texts(batch.column("text")):
+                    own = shingles(body, known, length)
+                    rows.append((len(own), digest_of(own), counts_of(own).tobytes(), cell_keys(own, percent)))
+                n, digest, counts, keys = zip(*rows) if rows else ((),) * 4
+                yield pa.RecordBatch.from_arrays(
+                    [batch.column("doc_id").cast(pa.int64()), pa.array(n, pa.int64()), pa.array(digest, pa.binary()), pa.array(counts, pa.binary()), pa.array(keys, pa.list_(pa.int64()))],
+                    names=["doc_id", "n", "digest", "counts", "keys"])
+
+    return run
+
+
+def _sets(length: int):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known = WordHashes()
+        with np.errstate(over="ignore"):
+            for batch in batches:
+                found = [shingles(body, known, length) for body in byte_texts(batch.column("text"))]
+                yield pa.RecordBatch.from_arrays([pa.array([digest_of(h) for h in found], pa.binary()), pa.array([h.astype("<u8").tobytes() for h in found], pa.binary())], names=["digest", "hashes"])
+
+    return run
 
 
 # --- inside a cell ----------------------------------------------------------------------------
 
 
-def needed(n: np.ndarray, m: np.ndarray) -> np.ndarray:
+def needed(n: np.ndarray, m: np.ndarray, percent: int = PERCENT) -> np.ndarray:
     """Least overlap of similar sets of these sizes."""
-    return -(-PERCENT * (n + m) // (100 + PERCENT))
+    return -(-percent * (n + m) // (100 + percent))
 
 
 class Tree:
     """Points packed into nodes: by size, runs of equal rank by their widest coordinates."""
 
-    def __init__(self, n: np.ndarray, comp: np.ndarray, counts: np.ndarray):
+    def __init__(self, n: np.ndarray, comp: np.ndarray, counts: np.ndarray, percent: int = PERCENT):
+        self.percent = percent
         wide = counts[:, int(counts.var(axis=0).argmax())]
         order = np.lexsort((wide, n))
         run = LEAF * FANOUT
@@ -184,14 +202,13 @@ class Tree:
         low, high = np.minimum.reduceat(comp, starts), np.maximum.reduceat(comp, starts)
         return np.maximum.reduceat(upper, starts), np.minimum.reduceat(least, starts), np.maximum.reduceat(most, starts), np.where(low == high, low, -1)
 
-    @staticmethod
-    def admitted(level, i: np.ndarray, j: np.ndarray) -> np.ndarray:
+    def admitted(self, level, i: np.ndarray, j: np.ndarray) -> np.ndarray:
         """Which pairs of nodes (or points, as nodes of one) may hold a similar pair of different components."""
         upper, least, most, comp = level
         ok = (comp[i] < 0) | (comp[i] != comp[j])
-        ok &= (100 * most[i] >= PERCENT * least[j]) & (100 * most[j] >= PERCENT * least[i])
+        ok &= (100 * most[i] >= self.percent * least[j]) & (100 * most[j] >= self.percent * least[i])
         at = np.flatnonzero(ok)
-        need = needed(least[i[at]], least[j[at]])
+        need = needed(least[i[at]], least[j[at]], self.percent)
         for start in range(0, len(at), 1 << 14):
             s = slice(start, start + (1 << 14))
             ok[at[s]] = np.minimum(upper[i[at[s]]], upper[j[at[s]]]).sum(axis=1) >= need[s]
@@ -216,9 +233,9 @@ class Tree:
         return i[inside], j[inside]
 
 
-def proposals(ids: np.ndarray, comp: np.ndarray, n: np.ndarray, counts: np.ndarray, nearest: int) -> tuple[np.ndarray, np.ndarray, bool]:
+def proposals(ids: np.ndarray, comp: np.ndarray, n: np.ndarray, counts: np.ndarray, nearest: int, percent: int = PERCENT) -> tuple[np.ndarray, np.ndarray, bool]:
     """Pairs to test: for every point the ``nearest`` admitted ones of other components; whether any were left out."""
-    i, j = Tree(n, comp, counts).pairs()
+    i, j = Tree(n, comp, counts, percent).pairs()
     if not len(i):
         return ids[i], ids[j], False
     bound = np.minimum(counts[i], counts[j]).sum(axis=1)
@@ -233,14 +250,14 @@ def proposals(ids: np.ndarray, comp: np.ndarray, n: np.ndarray, counts: np.ndarr
     return pairs[0], pairs[1], pairs.shape[1] < len(i)
 
 
-def _proposer(nearest: int):
+def _proposer(nearest: int, percent: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         """Rows sorted by cell and tiles; the rows of one task's tile are in memory at a time."""
         held: list[tuple] = []
 
         def flush():
             ids, comp, n, counts = zip(*{h[1]: h[1:] for h in held}.values())
-            a, b, more = proposals(np.array(ids), np.array(comp), np.array(n), np.stack([point_of(c) for c in counts]), nearest)
+            a, b, more = proposals(np.array(ids), np.array(comp), np.array(n), np.stack([point_of(c) for c in counts]), nearest, percent)
             return pa.RecordBatch.from_arrays([pa.array([held[0][0][0]] * len(a), pa.int64()), pa.array(a, pa.int64()), pa.array(b, pa.int64()), pa.array([more] * len(a), pa.bool_())], names=["cell", "a", "b", "more"])
 
         for batch in batches:
@@ -259,14 +276,17 @@ def _proposer(nearest: int):
     return run
 
 
-def _verified(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        linked = []
-        for x, y in zip(batch.column("x"), batch.column("y")):
-            x, y = np.frombuffer(x.as_buffer(), "<u8"), np.frombuffer(y.as_buffer(), "<u8")
-            common = len(x) + len(y) - len(np.unique(np.concatenate([x, y])))
-            linked.append(100 * common >= PERCENT * (len(x) + len(y) - common))
-        yield batch.select(["a", "b"]).filter(pa.array(linked, pa.bool_()))
+def _verified(percent: int):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            linked = []
+            for x, y in zip(batch.column("x"), batch.column("y")):
+                x, y = np.frombuffer(x.as_buffer(), "<u8"), np.frombuffer(y.as_buffer(), "<u8")
+                common = len(x) + len(y) - len(np.unique(np.concatenate([x, y])))
+                linked.append(100 * common >= percent * (len(x) + len(y) - common))
+            yield batch.select(["a", "b"]).filter(pa.array(linked, pa.bool_()))
+
+    return run
 
 
 # --- Spark jobs -------------------------------------------------------------------------------
@@ -282,7 +302,7 @@ def _members(points: DataFrame) -> DataFrame:
     return stored(found.join(points.select("id", "n", "counts"), "id"), "jaccard-members")
 
 
-def _candidates(members: DataFrame, labels: DataFrame, nearest: int, seed: int | None) -> DataFrame:
+def _candidates(members: DataFrame, labels: DataFrame, nearest: int, seed: int | None, percent: int) -> DataFrame:
     """Proposed pairs of all cells that hold more than one component.
 
     With a seed, a cell is dealt into tiles by a hash and pairs are proposed inside tiles. Without
@@ -305,23 +325,23 @@ def _candidates(members: DataFrame, labels: DataFrame, nearest: int, seed: int |
         others = others.withColumn("part", F.explode(F.sequence(F.lit(0), tiles - 1))).withColumn("against", F.pmod(hashed, outside).cast("int"))
         rows = spread.select(*columns).unionByName(others.select(*columns))
     order = ("cell", "part", "against")
-    return rows.repartition(*order).sortWithinPartitions(*order, "id").mapInArrow(_proposer(nearest), CANDIDATES)
+    return rows.repartition(*order).sortWithinPartitions(*order, "id").mapInArrow(_proposer(nearest, percent), CANDIDATES)
 
 
-def _links(pairs: DataFrame, points: DataFrame, docs: DataFrame) -> DataFrame:
+def _links(pairs: DataFrame, points: DataFrame, docs: DataFrame, length: int, percent: int) -> DataFrame:
     """The pairs whose sets are similar; sets are made again from the texts of the pairs' documents."""
     ids = pairs.select(F.explode(F.array("a", "b")).alias("id")).distinct()
     wanted = stored(points.join(ids, "id").select("id", "doc_id", "digest"), "jaccard-wanted")
     # stored, so that the join is planned with its real size
     ids = stored(wanted.select(F.col("doc_id").alias("_id")).distinct(), "jaccard-ids")
     rows = texts(docs, "doc_id").join(ids, F.col("doc_id").eqNullSafe(F.col("_id")), "left_semi")
-    sets = stored(rows.mapInArrow(_sets, SETS).join(wanted.select("id", "digest"), "digest").select("id", "hashes"), "jaccard-sets")
+    sets = stored(rows.mapInArrow(_sets(length), SETS).join(wanted.select("id", "digest"), "digest").select("id", "hashes"), "jaccard-sets")
     x, y = (sets.select(F.col("id").alias(c), F.col("hashes").alias(h)) for c, h in (("a", "x"), ("b", "y")))
-    return stored(pairs.join(x, "a").join(y, "b").mapInArrow(_verified, "a long, b long").distinct(), "jaccard-links")
+    return stored(pairs.join(x, "a").join(y, "b").mapInArrow(_verified(percent), "a long, b long").distinct(), "jaccard-links")
 
 
-def similar_groups(docs: DataFrame) -> DataFrame:
-    """One row per document: doc_id, n_shingles, component_id, class_id.
+def similar_groups(docs: DataFrame, length: int = SHINGLE, percent: int = PERCENT) -> DataFrame:
+    """One row per document: doc_id, n_shingles, component_id, class_id, for shingles of ``length`` words and this similarity.
 
     component_id is the smallest doc_id that links reach, the document's own included; class_id is
     the smallest doc_id with an equal set. A document without words links with nothing. Rows that
@@ -329,7 +349,7 @@ def similar_groups(docs: DataFrame) -> DataFrame:
     names a component only when all its ids are NULL.
     """
     spark = prepare(docs.sparkSession)
-    rows = stored(texts(docs, "doc_id").mapInArrow(_points, POINTS).withColumn("uid", F.monotonically_increasing_id()), "jaccard-points")
+    rows = stored(texts(docs, "doc_id").mapInArrow(_points(length, percent), POINTS).withColumn("uid", F.monotonically_increasing_id()), "jaccard-points")
     first = rows.where("n > 0").groupBy("digest").agg(F.min("uid").alias("id"), F.min("doc_id").alias("class_id"))
     classes = stored(first, "jaccard-classes")
     joined = rows.where("n > 0").join(classes, "digest").where("uid = id")
@@ -340,13 +360,13 @@ def similar_groups(docs: DataFrame) -> DataFrame:
     cells, nearest, seeds = members, NEAREST, [2, 1]
     while True:
         seed = seeds.pop() if seeds else None
-        proposed = stored(_candidates(cells, labels, nearest, seed), "jaccard-proposed")
+        proposed = stored(_candidates(cells, labels, nearest, seed, percent), "jaccard-proposed")
         pairs = proposed.select("a", "b").distinct()
         if tested is not None:
             pairs = pairs.join(tested, ["a", "b"], "left_anti")
         pairs = stored(pairs, "jaccard-pairs")
         if not pairs.isEmpty():
-            found = _links(pairs, points, docs)
+            found = _links(pairs, points, docs, length, percent)
             links = found if links is None else links.unionByName(found)
             tested = pairs if tested is None else tested.unionByName(pairs)
             labels = connected_components(links.select(F.col("a").alias("u"), F.col("b").alias("v"))).select(F.col("node").alias("id"), F.col("root").alias("comp"))
@@ -368,12 +388,12 @@ def similar_groups(docs: DataFrame) -> DataFrame:
         F.when(empty, F.col("doc_id")).otherwise(F.col("class_id")).alias("class_id"))
 
 
-def one_of_each(docs: DataFrame) -> DataFrame:
+def one_of_each(docs: DataFrame, length: int = SHINGLE, percent: int = PERCENT) -> DataFrame:
     """The rows of ``docs`` whose doc_id names its component: one document of each group.
 
     Documents without words and with a NULL doc_id are groups of their own and stay; of rows that
     repeat a doc_id all stay or go together.
     """
-    groups = similar_groups(docs)
+    groups = similar_groups(docs, length, percent)
     gone = stored(groups.where("doc_id != component_id").select(F.col("doc_id").alias("_gone")).distinct(), "jaccard-gone")
     return docs.join(gone, F.col("doc_id") == F.col("_gone"), "left_anti")

@@ -128,3 +128,37 @@ def test_points_count_the_groups(n):
     point = jj.point_of(jj.counts_of(hashes).tobytes())
     assert len(point) == jj.GROUPS and point.sum() == len(hashes)
     assert all(point[g] == sum(int(h) >> 57 == g for h in hashes[:1000]) for g in (0, 5, 127)) or n > 1000
+
+
+@pytest.mark.parametrize("length, percent", [(5, 80), (2, 67)])
+def test_other_shingles_and_similarities(spark, length, percent):
+    texts = [t for size in (6, 12, 25, 60, 200) for t in near_copies(8, size, max(2, size // 25))]
+    base = random.choices(WORDS, k=100)
+    # 16 % more text at the end: similar at 80 per cent, not at 90
+    texts += [" ".join(base), " ".join(base + random.choices(WORDS, k=16)), "a b", "a b", "", None]
+    rows = rows_of(texts)
+    sets = []
+    for _, t in rows:
+        words = (t or "").split()
+        size = min(length, len(words))
+        sets.append({tuple(words[i : i + size]) for i in range(len(words) - size + 1)} if size else set())
+    root = list(range(len(rows)))
+    for _ in rows:
+        for i, j in itertools.combinations(range(len(rows)), 2):
+            if sets[i] and sets[j] and 100 * len(sets[i] & sets[j]) >= percent * len(sets[i] | sets[j]):
+                root[i] = root[j] = min(root[i], root[j])
+    want = {d: min(e for (e, _), r in zip(rows, root) if r == own) for (d, _), own in zip(rows, root)}
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    assert {r.doc_id: r.component_id for r in jj.similar_groups(df, length, percent).collect()} == want
+    with pytest.raises(ValueError):
+        jj.classes_of(100)
+
+
+def test_pipeline_drops_near_copies_of_four_fifths(spark):
+    import corpus_pipeline
+
+    base = random.choices(WORDS, k=100)
+    rows = [(1, " ".join(base)), (2, " ".join(base + random.choices(WORDS, k=16))), (3, " ".join(random.choices(WORDS, k=50)))]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    assert sorted(r.doc_id for r in jj.one_of_each(df).collect()) == [1, 2, 3]
+    assert sorted(r.doc_id for r in corpus_pipeline.drop_near_copies(spark, df, "").collect()) == [1, 3]
