@@ -129,6 +129,13 @@ class Blocks(HTMLParser):
             if tag in INLINE and self.open[at][0] not in INLINE:
                 break
 
+    def parse_marked_section(self, i, report=1):
+        """A section without a known name is a comment up to the next >."""
+        try:
+            return super().parse_marked_section(i, report)
+        except AssertionError:
+            return self.parse_bogus_comment(i)
+
     def handle_data(self, data):
         if self.silent:
             return
@@ -139,11 +146,8 @@ class Blocks(HTMLParser):
 
 def blocks_of(page: str | None) -> list[Block]:
     parser = Blocks()
-    try:
-        parser.feed(page or "")
-        parser.close()
-    except AssertionError:  # a malformed declaration: keep the blocks before it and read on as text
-        parser.rawdata = ""
+    parser.feed(page or "")
+    parser.close()
     parser.flush()
     return parser.found
 

@@ -78,3 +78,11 @@ def test_odd_rows(spark):
     rows = hx.extract_main_text(pages, "page_id", "url").collect()
     assert len(rows) == 4 and [r.n_chars for r in rows if r.page_id == 1] == [0]
     assert hx.extract_main_text(pages.limit(0), "page_id").collect() == []
+
+
+@pytest.mark.parametrize("section", ["<![x y]>", "<![ if gte mso 9]>", "<![]>", "<![x[ y ]]>", "<![1]>", "<![if x]>"])
+def test_text_after_an_unknown_section_stays(section):
+    page = f"<article><p>one</p>{section}<p>two</p><p>three</p></article>"
+    assert [b.text for b in hx.blocks_of(page)][0] == "one"
+    assert [b.text for b in hx.blocks_of(page)][-2:] == ["two", "three"]
+    assert "two" in " ".join(b.text for b in hx.blocks_of(f"<p>one</p><p>two</p><p>x {section[:-1]}"))
