@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from ..session import load
-from . import decontamination, exact_dedup, html_extraction, jaccard_join, language_id, lm_scoring, mixing, sanitisation, token_shards, toxicity
+from . import conversation_repair, decontamination, document_sketch, exact_dedup, html_extraction, jaccard_join, language_id, lm_scoring, mixing, sanitisation, spelling, token_shards, toxicity
 
 WORD_BPE = "word_bpe_49k.json"
 
@@ -95,3 +95,18 @@ def op2_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query()
 def op6_sanitisation(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sanitisation.find_personal_data(load(spark, sf_dir, "documents"))
+
+
+@query(sql=document_sketch.sql())
+def op11_document_sketch(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return document_sketch.edited_likeness(load(spark, sf_dir, "documents"))
+
+
+@query(sql=spelling.sql())
+def op12_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.spelling_variants(load(spark, sf_dir, "documents")).select("word", "form", "root", "n", "n_near", "form_n")
+
+
+@query()
+def op13_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return conversation_repair.repair_damaged(load(spark, sf_dir, "conversations"))
