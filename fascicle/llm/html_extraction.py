@@ -36,6 +36,9 @@ SAMPLE_CHARS = 60_000
 INLINE = frozenset("a abbr acronym b bdi bdo big cite code data del dfn em font i ins kbd label mark q s samp small span strike strong sub sup time tt u var wbr br img".split())
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 SILENT = frozenset("script style noscript template svg math head title iframe object canvas audio video map select option textarea button".split())
+# Silent tags that hold no tag of text; one left open ends there.
+NO_BLOCKS = frozenset("svg math select option button".split())
+TEXT_TAGS = frozenset("article blockquote dl h1 h2 h3 h4 h5 h6 main ol p section table ul".split())
 # An opening tag that ends an open one of these, up to the nearest of the bounds.
 CLOSES = {"p": ("p",), "li": ("li",), "dt": ("dt", "dd"), "dd": ("dt", "dd"), "tr": ("tr", "td", "th"), "td": ("td", "th"), "th": ("td", "th")}
 BLOCKS_CLOSE_P = frozenset("address article aside blockquote div dl fieldset figure footer form h1 h2 h3 h4 h5 h6 header hr main nav ol p pre section table ul".split())
@@ -90,8 +93,8 @@ class Blocks(HTMLParser):
         if tag not in INLINE:
             self.flush()
             closes = CLOSES.get(tag, ()) + (("p",) if tag in BLOCKS_CLOSE_P else ())
-            if self.silent and tag in ("body", "article", "main", "div", "p", "nav"):
-                self._end_head()
+            if self.silent:
+                self._end_unclosed(tag)
             for at in range(len(self.open) - 1, -1, -1):
                 if self.open[at][0] in closes:
                     self._pop(at)
@@ -103,10 +106,10 @@ class Blocks(HTMLParser):
         self.open.append((tag, tuple(names)))
         self.silent += tag in SILENT
 
-    def _end_head(self) -> None:
-        """A body tag ends a head that was left open."""
-        for at, (tag, _) in enumerate(self.open):
-            if tag == "head":
+    def _end_unclosed(self, tag: str) -> None:
+        """A block tag ends a head, and a tag of text ends a drawing, list of choices or button, that was left open."""
+        for at, (name, _) in enumerate(self.open):
+            if name == "head" and tag in ("body", "article", "main", "div", "p", "nav") or name in NO_BLOCKS and tag in TEXT_TAGS:
                 self._pop(at)
                 return
 
@@ -262,7 +265,7 @@ class Field:
     def extract(self, page: str | None) -> str:
         blocks = blocks_of(page)
         labels = self.decode(self.scores(features(blocks)))
-        return "\n".join(b.text for b, y in zip(blocks, labels) if y)
+        return "\n\n".join(b.text for b, y in zip(blocks, labels) if y)
 
 
 # --- labelled pages ---------------------------------------------------------------------------

@@ -47,7 +47,7 @@ def test_field_against_all_labellings():
 
 def article(page):
     blocks = hx.blocks_of(page)
-    return "\n".join(b.text for b, y in zip(blocks, hx.semantic_labels(blocks)) if y)
+    return "\n\n".join(b.text for b, y in zip(blocks, hx.semantic_labels(blocks)) if y)
 
 
 def test_pages_not_trained_on(spark):
@@ -86,3 +86,18 @@ def test_text_after_an_unknown_section_stays(section):
     assert [b.text for b in hx.blocks_of(page)][0] == "one"
     assert [b.text for b in hx.blocks_of(page)][-2:] == ["two", "three"]
     assert "two" in " ".join(b.text for b in hx.blocks_of(f"<p>one</p><p>two</p><p>x {section[:-1]}"))
+
+
+def test_blocks_are_joined_by_an_empty_line(spark):
+    pages = load(spark, "/root/testdata/sf0.01", "pages")
+    page = """<html><head><title>T</title></head><body><nav><a href="/">Home</a> <a href="/n">News</a></nav><article><h1>A longer heading of it</h1>
+      <p>First   paragraph with &amp; sign, long enough to be read.</p><p>Second paragraph,
+      also long enough to be read by anyone.</p></article><footer>All rights reserved</footer></body></html>"""
+    field = hx.train(pages)
+    assert field.extract(page) == "A longer heading of it\n\nFirst paragraph with & sign, long enough to be read.\n\nSecond paragraph, also long enough to be read by anyone."
+
+
+@pytest.mark.parametrize("tag", ["svg", "select", "button"])
+def test_unclosed_silent_tags_end_at_the_next_paragraph(tag):
+    assert [b.text for b in hx.blocks_of(f"<p>a</p><{tag}>x<p>b</p><h2>c</h2><p>d</p>")] == ["a", "b", "c", "d"]
+    assert [b.text for b in hx.blocks_of(f"<p>a</p><{tag}><i>x</i></{tag}><p>b</p>")] == ["a", "b"]

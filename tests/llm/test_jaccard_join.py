@@ -11,9 +11,9 @@ random.seed(11)
 WORDS = [f"w{i}" for i in range(300)]
 
 
-def shingle_set(text):
+def shingle_set(text, size=3):
     words = (text or "").encode().lower().split()
-    return {tuple(words[i : i + 3]) for i in range(len(words) - 2)} if len(words) > 2 else ({tuple(words)} if words else set())
+    return {tuple(words[i : i + size]) for i in range(len(words) - size + 1)} if len(words) >= size else ({tuple(words)} if words else set())
 
 
 def brute(rows):
