@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from ..operators import retrieval
+from ..operators import retrieval, text_index, vector_index
 from ..session import load, scratch_path
 from .registry import query
 
@@ -115,3 +115,65 @@ def built_index(spark, sf):
     index = retrieval.build_index(load(spark, sf, "documents"), path, "text", "doc_id", ["lang", "source"], retrieval.hashing_embedder())
     cells = index.select("doc_id", "lang", F.posexplode("embedding").alias("pos", "w")).filter("w > 0")
     return cells.select("doc_id", "lang", F.col("pos").cast("bigint").alias("pos"), F.round(F.col("w").cast("double"), 5).alias("weight"))
+
+
+CELLS = 48
+
+_FIFTIETH = """WITH s AS (SELECT q.vec_id AS query_id, e.vec_id AS id, round(list_cosine_similarity(CAST(q.embedding AS DOUBLE[]), CAST(e.embedding AS DOUBLE[])), 6) AS score
+  FROM embeddings q, embeddings e WHERE q.vec_id % 50 = 0 AND e.vec_id <> q.vec_id)"""
+
+
+@query("RT0", "RT1", "SL8", sql=f"{_FIFTIETH}, {_ranked_sql(10)} SELECT * FROM r")
+def nearest_in_cells(spark, sf):
+    """The ten nearest rows of every row whose id is divisible by 50, by the index in cells."""
+    embeddings = load(spark, sf, "embeddings")
+    path = scratch_path(spark, "cells")
+    vector_index.build_cells(embeddings, path, CELLS)
+    asked = embeddings.filter("vec_id % 50 = 0").select(F.col("vec_id").alias("query_id"), "embedding")
+    return vector_index.search_cells(spark, path, asked, 10, exclude_self=True)
+
+
+@query("RT0", "RT3", sql=f"{_SCORED}, {_ranked_sql(16, 'label IN (1, 3, 5)')} SELECT * FROM r")
+def filtered_search_in_cells(spark, sf):
+    """The label filter is applied to the rows of the visited cells."""
+    embeddings = load(spark, sf, "embeddings")
+    path = scratch_path(spark, "cells")
+    vector_index.build_cells(embeddings, path, CELLS, metadata=["label"])
+    return vector_index.search_cells(spark, path, label_means(embeddings), 16, where=F.col("label").isin(1, 3, 5))
+
+
+_BM25 = r"""WITH t AS (SELECT doc_id AS id, regexp_extract_all(lower(coalesce(text, '')), '[\p{L}\p{N}]+') AS w FROM documents),
+  z AS (SELECT count(*) AS n, avg(len(w)) AS mean FROM t),
+  f AS (SELECT id, size, term, count(*) AS times FROM (SELECT id, len(w) AS size, unnest(w) AS term FROM t) GROUP BY ALL),
+  h AS (SELECT term, count(*) AS having_ FROM f GROUP BY 1),
+  q AS (SELECT item_id AS query_id, unnest(list_distinct(regexp_extract_all(lower(coalesce(text, '')), '[\p{L}\p{N}]+'))) AS term FROM benchmark),
+  bm AS (SELECT query_id, id, round(sum(ln(1 + (n - having_ + 0.5) / (having_ + 0.5)) * times * 2.2 / (times + 1.2 * (0.25 + 0.75 * size / mean))), 6) AS score
+        FROM q JOIN f USING (term) JOIN h USING (term), z GROUP BY ALL)"""
+
+
+def benchmark_words(spark, sf, k):
+    docs, items = load(spark, sf, "documents", "benchmark")
+    path = scratch_path(spark, "postings")
+    text_index.build_postings(docs, path, "text", "doc_id")
+    return text_index.search_terms(spark, path, items.select(F.col("item_id").alias("query_id"), "text"), k)
+
+
+@query("RT0", "RT1", sql=f"{_BM25}, {_ranked_sql(10, scores='bm')} SELECT * FROM r")
+def best_by_words(spark, sf):
+    """The ten best documents of every benchmark item by BM25, by the inverted index."""
+    return benchmark_words(spark, sf, 10)
+
+
+@query("RT5", sql=f"""{_BM25}, {_ranked_sql(20, name='r1', scores='bm')},
+    s AS (SELECT q.item_id AS query_id, e.vec_id AS id, round(list_cosine_similarity(CAST(v.embedding AS DOUBLE[]), CAST(e.embedding AS DOUBLE[])), 6) AS score
+          FROM benchmark q JOIN embeddings v ON v.vec_id = q.item_id, embeddings e), {_ranked_sql(20, name='r2')},
+    y AS (SELECT query_id, id, sum(1.0::DOUBLE / (60 + rank)) AS fused FROM (SELECT * FROM r1 UNION ALL SELECT * FROM r2) GROUP BY ALL)
+    SELECT query_id, id, round(fused, 9) AS fused, row_number() OVER (PARTITION BY query_id ORDER BY round(fused, 9) DESC, id) AS rank FROM y QUALIFY rank <= 10""")
+def hybrid_rankings(spark, sf):
+    """Word search and vector search fused by rank; a document's vector is the embedding of its id."""
+    embeddings, items = load(spark, sf, "embeddings", "benchmark")
+    path = scratch_path(spark, "cells")
+    vector_index.build_cells(embeddings, path, CELLS)
+    asked = items.select(F.col("item_id").alias("query_id")).join(embeddings.select(F.col("vec_id").alias("query_id"), "embedding"), "query_id")
+    by_vector = vector_index.search_cells(spark, path, asked, 20)
+    return retrieval.fuse_ranks(benchmark_words(spark, sf, 20), by_vector, k=10).withColumn("fused", F.round("fused", 9))

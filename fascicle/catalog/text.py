@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from ..functions import text as X
 from ..functions.scalars import SPACE, strip
-from ..operators import chunking, corpus
+from ..operators import chunking, corpus, phrases, sentences
 from ..session import load
 from .registry import query
 from .relational import _NORMAL, _PARETO, _rounded
@@ -205,3 +205,46 @@ def joined_page_text(spark, sf):
 def distinct_case_words(spark, sf):
     both = F.concat_ws(" ", F.upper("lang"), F.lower("source"))
     return load(spark, sf, "documents").select("doc_id", F.size(F.array_distinct(X.words(strip(both)))).cast("bigint").alias("n"))
+
+
+@query("TX9", sql=r"""WITH p AS (SELECT unnest(regexp_extract_all(lower(text), '[\p{L}\p{N}''\x20\t-]+')) AS piece FROM documents),
+  w AS (SELECT regexp_extract_all(piece, '[\p{L}\p{N}]+') AS w FROM p),
+  r AS (SELECT w, k, unnest(range(1, len(w) - k + 2)) AS s FROM w, range(2, 5) t(k)),
+  c AS (SELECT array_to_string(w[s:s + k - 1], ' ') AS phrase, k AS words, count(*) AS n FROM r GROUP BY ALL HAVING count(*) >= 3),
+  b AS (SELECT phrase AS held_by, n, string_split(phrase, ' ') AS w, k, unnest(range(1, words - k + 2)) AS s FROM c, range(2, 4) t(k) WHERE k < words),
+  g AS (SELECT phrase, count(*) AS longer, CAST(sum(n) AS DOUBLE) AS within_ FROM (SELECT DISTINCT held_by, n, array_to_string(w[s:s + k - 1], ' ') AS phrase FROM b) GROUP BY 1)
+  SELECT phrase, words, n, coalesce(longer, 0) AS longer, round(log2(words) * (n - coalesce(within_ / longer, 0)), 6) AS value FROM c LEFT JOIN g USING (phrase)
+  WHERE round(log2(words) * (n - coalesce(within_ / longer, 0)), 6) > 0""")
+def phrase_values(spark, sf):
+    """Phrases of two to four words by C-value."""
+    return phrases.ranked_phrases(load(spark, sf, "documents"), "text")
+
+
+_TOKENS = r"""WITH t AS (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents),
+  x AS (SELECT doc_id, unnest(w) AS raw, generate_subscripts(w, 1) AS place FROM t),
+  b AS (SELECT doc_id, place, rtrim(ltrim(raw, '"''([{«' || chr(8220) || chr(8216)), '"'')]}»' || chr(8221) || chr(8217)) AS bare FROM x),
+  d AS (SELECT doc_id, place, CASE WHEN right(bare, 1) = '.' THEN left(bare, length(bare) - 1) ELSE bare END AS word,
+               CASE WHEN right(bare, 1) IN ('.', '!', '?') THEN right(bare, 1) ELSE '' END AS e FROM b),
+  c AS (SELECT lower(word) AS type, count(*) AS n, count(*) FILTER (e = '.') AS p FROM d WHERE regexp_matches(lower(word), '\p{L}') GROUP BY 1),
+  z AS (SELECT greatest(least(sum(p) / sum(n), 1 - CAST(1e-9 AS DOUBLE)), CAST(1e-9 AS DOUBLE)) AS q, CAST(0.99 AS DOUBLE) AS s FROM c),
+  a AS (SELECT type, n, p AS with_period, round(-2 * ((p * ln(q) + (n - p) * ln(1 - q)) - (p * ln(s) + (n - p) * ln(1 - s)))
+                * exp(-(length(type) - dots)) * (dots + 1) * pow(CAST(length(type) - dots AS DOUBLE), -CAST(n - p AS DOUBLE)), 6) AS score
+        FROM (SELECT *, length(type) - length(replace(type, '.', '')) AS dots FROM c), z WHERE p > 0)"""
+
+
+@query("TX6", sql=f"{_TOKENS} SELECT * FROM a")
+def abbreviation_evidence(spark, sf):
+    """How surely each word seen with a period is an abbreviation, from counts over all documents."""
+    return sentences.abbreviation_scores(sentences.period_counts(load(spark, sf, "documents"), "text"))
+
+
+@query("TX6", "TX1", sql=_TOKENS + r""",
+  m AS (SELECT doc_id, place, word, e, lead(word) OVER o AS nx, lag(e) OVER o AS before FROM d WINDOW o AS (PARTITION BY doc_id ORDER BY place)),
+  k AS (SELECT lower(word) AS type FROM m WHERE before IS NOT NULL AND regexp_matches(word, '^\p{L}') GROUP BY 1
+        HAVING count(*) FILTER (regexp_matches(word, '^\p{Ll}')) > 0 AND count(*) FILTER (NOT regexp_matches(word, '^\p{Ll}') AND before = '') = 0),
+  l AS (SELECT doc_id, count(*) AS ends FROM m LEFT JOIN a ON a.type = lower(m.word) AND a.score >= 0.3 AND m.e = '.'
+        WHERE e <> '' AND nx IS NOT NULL AND (a.type IS NULL OR regexp_matches(nx, '^\p{Lu}') AND lower(nx) IN (SELECT type FROM k)) GROUP BY 1)
+  SELECT doc_id, CASE WHEN len(w) > 0 THEN coalesce(ends, 0) + 1 ELSE 0 END AS sentences FROM t LEFT JOIN l USING (doc_id)""")
+def learned_sentence_counts(spark, sf):
+    """Sentences of every document by learned boundaries."""
+    return sentences.sentence_counts(load(spark, sf, "documents"), "doc_id", "text").withColumnRenamed("id", "doc_id")

@@ -110,3 +110,14 @@ def small_side(df: DataFrame) -> DataFrame:
     path = scratch_path(df.sparkSession, "side")
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def write_in_folders(df: DataFrame, path: str, *columns: str) -> None:
+    """Write ``df`` with a folder for each value of ``columns``; its schema beside it, as a table without rows has no file."""
+    df.write.partitionBy(*columns).parquet(f"{path}/data")
+    df.sparkSession.createDataFrame([], df.schema).write.parquet(f"{path}/schema")
+
+
+def read_folders(spark: SparkSession, path: str) -> DataFrame:
+    """What ``write_in_folders`` wrote; a filter on the folders' columns leaves other folders unread."""
+    return spark.read.schema(spark.read.parquet(f"{path}/schema").schema).parquet(f"{path}/data")

@@ -37,7 +37,7 @@ def process_new_files(spark: SparkSession, source: str, schema: T.StructType, ou
     )
     try:
         query.awaitTermination()
-        counter.ended.wait(timeout=60)  # the listener hears of the end after the last batch
+        counter.wait_for_end(str(query.runId), 60)  # the listener hears of the end after the last batch
     finally:
         spark.streams.removeListener(counter)
     return counter.rows[str(query.runId)]
@@ -48,7 +48,12 @@ class _InputRows(StreamingQueryListener):
 
     def __init__(self):
         self.rows: Counter[str] = Counter()
-        self.ended = threading.Event()
+        self.ended: set[str] = set()
+        self.news = threading.Condition()
+
+    def wait_for_end(self, run: str, seconds: float) -> None:
+        with self.news:
+            self.news.wait_for(lambda: run in self.ended, seconds)
 
     def onQueryStarted(self, event):
         pass
@@ -60,7 +65,9 @@ class _InputRows(StreamingQueryListener):
         pass
 
     def onQueryTerminated(self, event):
-        self.ended.set()
+        with self.news:
+            self.ended.add(str(event.runId))
+            self.news.notify_all()
 
 
 def process_pending(todo: DataFrame, done: DataFrame, key: str, transform: Callable[[DataFrame], DataFrame]) -> DataFrame:
