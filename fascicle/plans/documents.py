@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.scalars import is_blank
+from ..functions.scalars import bound, is_blank
 from ..operators import chunking, columns, predicates, retrieval
 
 # Shortest chunk kept, with and without image descriptions.
@@ -42,5 +42,7 @@ def chunk_and_fold(documents: DataFrame, min_length: int = MIN_LENGTH_PLAIN) ->
     Everything happens inside the row. A document without a chunk long enough is left out.
     """
     kept = F.filter(chunking.fixed_pieces("text"), lambda c: F.length(c) > min_length)
-    rows = documents.select(F.col("doc_id").alias("doc"), kept.alias("_kept"))
-    return rows.filter(F.size("_kept") > 0).select("doc", F.lit(0).cast("bigint").alias("part"), F.array_join("_kept", "\n\n").alias("chunk_concat"))
+    text = bound(kept, lambda k: F.when(F.size(k) > 0, F.array_join(k, "\n\n")))
+    # the outer explode keeps the filter from computing the pieces a second time
+    rows = documents.select(F.col("doc_id").alias("doc"), F.lit(0).cast("bigint").alias("part"), F.explode_outer(F.array(text)).alias("chunk_concat"))
+    return rows.filter(F.col("chunk_concat").isNotNull())

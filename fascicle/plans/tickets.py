@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions import jsonops
-from ..functions.scalars import col, hours_before, join_text, pick, seeded_integer, short_sha1
+from ..functions.scalars import bound, col, hours_before, join_text, pick, seeded_integer, short_sha1
 from ..operators import columns, generate, predicates, sampling
 
 # Fixed values of the flow: copies per scenario, seed range in hours, sample size and seed.
@@ -166,5 +166,7 @@ def ticket_documents(df: DataFrame, keys: tuple[str, ...] = ("nc_scenario_id", "
     that tickets may share. All of a ticket is in its row, so nothing is shuffled.
     """
     ordered = F.transform(F.array_sort(_task_texts(code, category, event, date)), lambda t: t["chunk"])
-    rows = df.select(F.concat_ws("-", *[col(k).cast("string") for k in keys]).alias("name"), col(event).cast("string").alias("doc"), ordered.alias("_texts"))
-    return rows.filter(F.size("_texts") > 0).select("name", "doc", F.array_join("_texts", "\n\n").alias("chunk_concat"))
+    text = bound(ordered, lambda ts: F.when(F.size(ts) > 0, F.array_join(ts, "\n\n")))
+    # the outer explode keeps the filter from computing the whole history a second time
+    rows = df.select(F.concat_ws("-", *[col(k).cast("string") for k in keys]).alias("name"), col(event).cast("string").alias("doc"), F.explode_outer(F.array(text)).alias("chunk_concat"))
+    return rows.filter(F.col("chunk_concat").isNotNull())

@@ -116,12 +116,15 @@ def write_one_file_per_row(df: DataFrame, folder: str, name: str, text: str, suf
 
     The returned frame is lazy: files appear when it is evaluated. Each file is written under
     a temporary name and moved, so a repeated or speculative task only replaces a file by an
-    identical one. Names must differ, or one row would silently replace another: repeated ones are
-    refused before anything is written. Works on any file system pyarrow can open; a path without
+    identical one. Names must differ, or one row would silently replace another, and stay inside the
+    folder: repeated, missing and empty names and names with a slash are refused before anything is written. Works on any file system pyarrow can open; a path without
     scheme is on the cluster's default one.
     """
     folder = qualified(df.sparkSession, folder)
     rows = df.select(col(name).cast("string").alias("name"), col(text).alias("text"))
+    outside = rows.filter(F.col("name").isNull() | F.col("name").isin("", ".", "..") | F.contains("name", F.lit("/"))).select("name").limit(3).collect()
+    if outside:
+        raise ValueError(f"not file names: {[r['name'] for r in outside]}")
     repeated = rows.groupBy("name").count().filter("count > 1").select("name").limit(3).collect()
     if repeated:
         raise ValueError(f"file names must differ, but these repeat: {[r['name'] for r in repeated]}")
@@ -146,6 +149,6 @@ def write_one_file_per_row(df: DataFrame, folder: str, name: str, text: str, suf
 
 def fetch_record(df: DataFrame, id_column: str, order: str, record: str | None = None, max_rows: int = 500) -> DataFrame:
     """The rows of one id, or the first ``max_rows`` in a stated order, then by id, when no id is given."""
-    if record:
+    if record is not None:
         return df.filter(col(id_column) == record)
     return head(df, max_rows, order, id_column)

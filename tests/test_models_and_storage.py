@@ -271,3 +271,30 @@ def test_summaries_of_several_levels(spark):
 def test_stage_chain_materialises(spark):
     out = prompts.run_stages(spark.range(4), [("a", lambda d: d.withColumn("x", F.lit(1))), ("b", lambda d: d.withColumn("y", F.col("x") + 1))])
     assert "ExistingRDD" in out._jdf.queryExecution().executedPlan().toString() and out.agg(F.sum("y")).first()[0] == 8
+
+
+@pytest.mark.parametrize("name", [None, "", "..", "a/b"])
+def test_names_that_leave_the_folder_are_refused(spark, tmp_path, name):
+    rows = spark.createDataFrame([("good", "x"), (name, "y")], "n string, t string")
+    with pytest.raises(ValueError, match="not file names"):
+        files.write_one_file_per_row(rows, str(tmp_path / "out"), "n", "t").collect()
+    assert not (tmp_path / "out").exists()
+
+
+def test_an_empty_id_is_an_id(spark):
+    rows = spark.createDataFrame([("", 1), ("a", 2)], "id string, o int")
+    assert [tuple(r) for r in files.fetch_record(rows, "id", "o", "").collect()] == [("", 1)]
+
+
+def test_end_of_another_stream_is_not_the_end():
+    import threading
+    from types import SimpleNamespace
+
+    from fascicle.streaming.incremental import _InputRows
+
+    counter = _InputRows()
+    counter.onQueryTerminated(SimpleNamespace(runId="other"))
+    timer = threading.Timer(0.3, counter.onQueryTerminated, [SimpleNamespace(runId="mine")])
+    timer.start()
+    counter.wait_for_end("mine", 20)
+    assert counter.ended == {"other", "mine"}

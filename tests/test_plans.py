@@ -71,3 +71,12 @@ def test_python_runs_once_per_row(spark, small, name, calls):
 def test_json_text_is_parsed_once(spark, small):
     plan = plan_of(CASES["flatten_json_with_schema"].run(spark, small))
     assert plan.count("from_json") == 1
+
+
+def test_folded_documents_are_computed_once(spark, small):
+    from fascicle.catalog import cases
+
+    for name, part in (("chunk_filter_and_fold", "sequence"), ("ticket_documents", "analysis_history")):
+        found = cases()[name].run(spark, small)
+        lines = found._jdf.queryExecution().executedPlan().toString().splitlines()
+        assert not [line for line in lines if "Filter" in line and part in line], name
