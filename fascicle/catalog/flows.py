@@ -36,10 +36,20 @@ _ENRICHED = "CASE WHEN lang = 'en' THEN 'E ' ELSE '' END || text"
     c AS (SELECT b || '.pdf' AS doc, 'd' || doc_id || '.pdf' AS doc_root, b || '__with_img_desc.json' AS json, "ATA", '' AS parts, 'text' AS doc_type,
       b || '.pdf ' || k AS chunk_id, body || chr(10) || chr(10) || '*ATA* (llm annotation): ' || "ATA" AS chunk FROM f)
     SELECT *, CAST(length(chunk) AS BIGINT) AS length FROM c WHERE length(chunk) > 200""")
+def ruled_ingest(spark, sf):
+    """The same flow over texts set in even lines, which SQL can cut too."""
+    return _ingested(spark, sf, ruled)
+
+
+@query("JN6", "SC22", "TX11", "TX12", "PR2")
 def document_ingest(spark, sf):
     """Page files assembled, annotated, chunked, finished and filtered."""
+    return _ingested(spark, sf, lambda text: text)
+
+
+def _ingested(spark, sf, text):
     pages = joins.assemble_pages(_page_files(load(spark, sf, "documents")))
-    pages = pages.withColumn("md_img", ruled(F.col("md_img")))
+    pages = pages.withColumn("md_img", text(F.col("md_img")))
     note = F.concat(F.lit("- ATA: "), F.substring("doc", 2, 1), F.lit("\n- Parts: None\n- Type: text"))
     chunks = document_flow.prepare_chunks(pages.withColumn("llm_output", note))
     return document_flow.filter_chunks(chunks, [("doc_type", "figure")])

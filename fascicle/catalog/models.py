@@ -187,9 +187,25 @@ def _shown(context):
     ql AS (SELECT item_id, sqrt(sum(n * n)) AS norm FROM qb GROUP BY 1),
     {_bank_sql("docs", "SELECT doc_id AS id, text FROM documents", 5)}
     SELECT rid, role, user_message, description AS input_description, query, CASE WHEN given THEN '[1]' ELSE docs END AS search_docs,
-    CASE WHEN given THEN '[2]' ELSE docs END AS search_nc, CASE WHEN given THEN json_extract_string(answer, '$.label') END AS label,
-    CASE WHEN given THEN json_extract_string(answer, '$.comment') END AS comment FROM p LEFT JOIN docs_r ON rid = item_id""")
+    CASE WHEN given THEN '[2]' ELSE docs END AS search_nc, CASE WHEN given THEN json_extract_string(answer, '$.label') END AS given_label
+    FROM p LEFT JOIN docs_r ON rid = item_id""")
+def request_sources(spark, sf):
+    """What every request is answered from, and the answers to those that brought it along; SQL cannot write the searched contexts as the prompt has them."""
+    out, given = _answered(spark, sf)
+    searched = [F.when(given, F.col(c)).otherwise(_shown(c)).alias(c) for c in ("search_docs", "search_nc")]
+    return out.select("rid", "role", "user_message", "input_description", "query", *searched, F.when(given, F.col("label")).alias("given_label"))
+
+
+@query("PM9", "SC9")
 def answered_requests(spark, sf):
+    """Every request with its contexts and its answer; tests ask the model again."""
+    return _answered(spark, sf)[0].select("rid", "role", "user_message", "input_description", "query", "search_docs", "search_nc", "label", "comment")
+
+
+PROPOSE = "{{role}} {{user_message}} {{description}} {{search_docs}} {{search_nc}}"
+
+
+def _answered(spark, sf):
     turns = load(spark, sf, "conversations")
     given = F.col("rid") % 2 == 0
     requests = turns.select(
@@ -199,12 +215,10 @@ def answered_requests(spark, sf):
     ).withColumn("sources", F.when(given, '{"search_docs":[1],"search_nc":[2]}'))
     embed = retrieval.hashing_embedder()
     index = retrieval.embed_texts(load(spark, sf, "documents").select("doc_id", "lang", "text"), "text", embed)
-    templates = {"query": "{{role}}: {{user_message}} {{description}}", "propose": "{{role}} {{user_message}} {{description}} {{search_docs}} {{search_nc}}"}
+    templates = {"query": "{{role}}: {{user_message}} {{description}}", "propose": PROPOSE}
     out = request_flow.answer_requests(requests, "rid", {"search_docs": (index, "doc_id", ["lang"]), "search_nc": (index, "doc_id", ["lang"])},
                                        embed, templates, k=5, sources="sources")
-    searched = [F.when(given, F.col(c)).otherwise(_shown(c)).alias(c) for c in ("search_docs", "search_nc")]
-    answers = [F.when(given, F.col(c)).alias(c) for c in ("label", "comment")]
-    return out.select("rid", "role", "user_message", "input_description", "query", *searched, *answers)
+    return out, given
 
 
 _SEARCHED = """WITH qw AS (SELECT item_id, unnest(string_split_regex(lower(text), '\\s+')) AS w FROM benchmark),

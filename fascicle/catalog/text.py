@@ -158,10 +158,17 @@ def stripped_sql(expr):
 
 
 @query("TX11", "UD3", sql=f"WITH {ruled_sql('text')} SELECT doc_id, k AS chunk_id, {stripped_sql('body')} AS chunk FROM r")
-def recursive_chunks(spark, sf):
+def ruled_chunks(spark, sf):
+    """Chunks of texts set in even lines, which SQL can cut too."""
     return chunking.recursive_chunks(_documents(spark, sf).select("doc_id", ruled(F.col("text")).alias("text")), "text")
 
 
+@query("TX11", "UD3")
+def recursive_chunks(spark, sf):
+    """Chunks of the texts as they are; tests compare with a splitter that tries every cut."""
+    return chunking.recursive_chunks(load(spark, sf, "documents").select("doc_id", "text"), "text")
+
+
 @query("TX11", sql=r"""SELECT doc_id, CAST(length(regexp_replace(text, '\s', '', 'g')) AS BIGINT) AS covered, TRUE AS sized, TRUE AS verbatim FROM documents""")
 def recursive_chunk_coverage(spark, sf):
     """Chunks are verbatim, within size, and together hold every non-blank character once the

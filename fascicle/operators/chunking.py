@@ -34,7 +34,7 @@ def _pieces(text: str, start: int, size: int, separators: Sequence[str]) -> Iter
         return
     at = 0
     while at < len(text):
-        cut = text.find(separators[0], at + len(separators[0]))
+        cut = text.find(separators[0], at + len(separators[0]) * text.startswith(separators[0], at))
         cut = len(text) if cut < 0 else cut
         if cut - at <= size:
             yield start + at, start + cut

@@ -27,6 +27,63 @@ def test_chunk_properties(text, size, overlap):
         assert a2 >= a1 and b2 > b1 and b1 - a2 <= overlap
 
 
+def plain_chunks(text, size, overlap, separators=("\n\n", "\n", " ", "")):
+    """The same rules on strings: split, gather, try every tail for the overlap."""
+    def pieces(part, seps):
+        if not seps[0]:
+            return list(part)
+        cut = part.split(seps[0])
+        out = []
+        for p in [cut[0], *(seps[0] + c for c in cut[1:])]:
+            out += [p] if len(p) <= size else [None, *pieces(p, seps[1:]), None]
+        return [p for p in out if p != ""]
+
+    out, held, at = [], [], 0  # held: pieces; at: where the next one starts
+
+    def close():
+        body = "".join(held)
+        start = at - len(body) + len(body) - len(body.lstrip())
+        if body.strip() and not (out and start + len(body.strip()) <= out[-1][1]):
+            out.append((start, start + len(body.strip())))
+
+    for p in pieces(text, separators):
+        if p is None:
+            close()
+            held = []
+            continue
+        if held and len("".join(held)) + len(p) > size:
+            close()
+            tails = [held[k:] for k in range(len(held) + 1)]
+            held = next(t for t in tails if len("".join(t)) <= overlap and len("".join(t)) + len(p) <= size)
+        held = [*held, p]
+        at += len(p)
+    close()
+    return [text[a:b] for a, b in out]
+
+
+@settings(max_examples=500, deadline=None)
+@given(texts, st.integers(5, 60), st.integers(0, 30))
+def test_chunks_against_plain_strings(text, size, overlap):
+    overlap = min(overlap, size - 1)
+    assert [text[a:b] for a, b in split_spans(text, size, overlap)] == plain_chunks(text, size, overlap)
+
+
+def test_chunk_queries_on_real_texts(spark, small):
+    from fascicle.catalog import cases
+    from fascicle.session import load
+
+    docs = {r.doc_id: r.text for r in load(spark, small, "documents").collect()}
+    found = {}
+    for r in cases()["recursive_chunks"].run(spark, small).collect():
+        found.setdefault(r.doc_id, {})[r.chunk_id] = r.chunk
+    assert found == {d: dict(enumerate(plain_chunks(t, 3000, 120))) for d, t in docs.items() if t and t.strip()}
+    assert any("\n\n" in t for t in docs.values()) or any("\n" in t for t in docs.values())
+    texts_ = {r.doc_id: ("E " if r.lang == "en" else "") + r.text for r in load(spark, small, "documents").collect()}
+    wanted = {f"d{d}_page_0001.pdf {k}": f"{c}\n\n*ATA* (llm annotation): {str(d)[0]}" for d, t in texts_.items() for k, c in enumerate(plain_chunks(t, 3000, 120))}
+    rows = {r.chunk_id: r.chunk for r in cases()["document_ingest"].run(spark, small).collect()}
+    assert rows == {i: c for i, c in wanted.items() if len(c) > 200}
+
+
 def test_chunks_prefer_paragraphs_and_lines():
     text = "aaa bbb\n\nccc ddd\neee fff"
     assert [text[a:b] for a, b in split_spans(text, 16, 0)] == ["aaa bbb", "ccc ddd", "eee fff"]
@@ -136,3 +193,18 @@ def test_entities_and_phrases(spark):
     hooked = corpus.phrase_lists(df, "d", "t", lambda s: s.map(lambda t: t.split(", ")))
     assert hooked.first()["phrases"] == ["Rear Spar web", "call A1 or b2"]
     assert corpus.extracted(df, "d", "t", lambda s: s.map(lambda t: [(t[:4], "X")])).first()["entity"] == "Rear"
+
+
+def test_answered_requests_are_the_models_answers(spark, small):
+    import json
+    import re as regex
+
+    from fascicle.catalog import cases, models
+    from fascicle.operators import prompts
+
+    rows = cases()["answered_requests"].run(spark, small).collect()
+    assert rows and sum(r.search_docs.startswith('[{') for r in rows) > len(rows) / 3
+    for r in rows:
+        values = {"description": r.input_description, **r.asDict()}
+        answer = json.loads(prompts.offline_model("", regex.sub(r"{{(\w+)}}", lambda m: values[m[1]], models.PROPOSE)))
+        assert (r.label, r.comment) == (answer["label"], answer["comment"])
