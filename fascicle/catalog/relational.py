@@ -6,9 +6,9 @@ from pyspark.sql import functions as F
 
 from ..functions import text as X
 from ..functions.scalars import SPACE, add, col
-from ..operators import aggregates, columns, generate, joins, predicates, quality, sampling, windows
+from ..operators import aggregates, columns, generate, joins, predicates, quality, sampling, sketches, windows
 from ..plans.tickets import ACTION_DAYS, STATUS_STEPS
-from ..session import load
+from ..session import load, scratch_path, small_side
 from .registry import query, sha_int
 
 # --- columns -----------------------------------------------------------------------------
@@ -578,3 +578,31 @@ def closest_key_lookup(spark, sf):
     side = part.select(F.upper(F.replace("p_type", F.lit("M"), F.lit("N"))).alias("e")).distinct().withColumn("near", F.col("e"))
     out = joins.closest_lookup(part, side, "p_type", "e", ["near"])
     return out.select("p_partkey", "near")
+
+
+@query("options", sql="""SELECT o_orderkey, count(*) AS lines, CAST(sum(l_linenumber) AS BIGINT) AS numbers FROM orders JOIN lineitem
+    ON datediff('day', o_orderdate, l_shipdate) BETWEEN -1 AND 1 GROUP BY 1""")
+def lines_shipped_near_orders(spark, sf):
+    """Lines of any order shipped within a day of an order; the two tables have no key in common."""
+    orders, lines = load(spark, sf, "orders", "lineitem")
+    near = joins.join_near_days(orders.select("o_orderkey", "o_orderdate"), lines.select("l_linenumber", "l_shipdate"), "o_orderdate", "l_shipdate", 1, 1)
+    return near.groupBy("o_orderkey").agg(F.count("*").alias("lines"), F.sum("l_linenumber").alias("numbers"))
+
+
+_PROBED = {"q10": 0.1, "q50": 0.5, "q99": 0.99}
+
+
+@query("options", sql="""SELECT event_type, count(*) AS rows, min(value) AS low, max(value) AS high, TRUE AS distinct_close, TRUE AS ranks_close FROM events GROUP BY 1""")
+def merged_day_sketches(spark, sf):
+    """Sketches of every day and event type, merged per type; errors are checked against exact counts."""
+    events = load(spark, sf, "events")
+    path = scratch_path(spark, "sketches")
+    sketches.save_sketches(events.select(F.to_date("ts").alias("day"), "event_type", "value"), path, ["day", "event_type"], "value")
+    found = sketches.summaries(sketches.merged_sketches(sketches.read_sketches(spark, path), ["event_type"]), _PROBED)
+    exact = events.join(small_side(found.select("event_type", *_PROBED)), "event_type").groupBy("event_type").agg(
+        F.count("value").alias("_n"), F.count_distinct("value").alias("_distinct"),
+        *[F.struct(F.count_if(F.col("value") < F.col(q)).alias("below"), F.count_if(F.col("value") <= F.col(q)).alias("upto")).alias(f"_{q}") for q in _PROBED])
+    slack = sketches.rank_error()
+    close = [(F.col(f"_{q}.below") / F.col("_n") - slack <= p) & (F.col(f"_{q}.upto") / F.col("_n") + slack >= p) for q, p in _PROBED.items()]
+    ranks = close[0] & close[1] & close[2]
+    return found.join(exact, "event_type").select("event_type", "rows", "low", "high", (F.abs(F.col("distinct") - F.col("_distinct")) <= sketches.distinct_error() * F.col("_distinct") + 1).alias("distinct_close"), ranks.alias("ranks_close"))

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from ..functions import tables
 from ..functions import text as X
 from ..functions.scalars import SPACE, strip
 from ..operators import chunking, corpus, phrases, sentences
@@ -163,6 +164,14 @@ def ruled_chunks(spark, sf):
     return chunking.recursive_chunks(_documents(spark, sf).select("doc_id", ruled(F.col("text")).alias("text")), "text")
 
 
+@query("UD3", "TX11", sql=f"WITH {ruled_sql('text')} SELECT doc_id, k AS chunk_id, {stripped_sql('body')} AS chunk FROM r")
+def chunks_by_table_function(spark, sf):
+    """The chunker called from SQL as a table function."""
+    tables.register(spark)
+    docs = _documents(spark, sf).select("doc_id", ruled(F.col("text")).alias("text"))
+    return spark.sql("SELECT * FROM chunk_table(TABLE({docs}) PARTITION BY (doc_id), 'text')", docs=docs)
+
+
 @query("TX11", "UD3")
 def recursive_chunks(spark, sf):
     """Chunks of the texts as they are; tests compare with a splitter that tries every cut."""

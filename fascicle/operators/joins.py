@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 
 from ..functions import paths
 from ..functions.scalars import col, is_blank
+from ..session import small_side
 
 
 def left_lookup(left: DataFrame, right: DataFrame, on: Sequence[str]) -> DataFrame:
@@ -98,6 +99,34 @@ def within_days(left_time: Column, right_time: Column, back: int, ahead: int) ->
     return gap.between(-back, ahead)
 
 
+# Left rows of one bucket that one task takes; a bucket with more is cut.
+BUCKET_ROWS = 200_000
+
+
+def join_near_days(left: DataFrame, right: DataFrame, left_time: str, right_time: str, back: int, ahead: int, keys: Sequence[str] = (), rows: int = BUCKET_ROWS) -> DataFrame:
+    """Pairs of rows whose right day lies from ``back`` days before to ``ahead`` days after the left one.
+
+    No equal key is needed. Days are put into buckets as wide as the window; a left row is in one
+    bucket and a right row is copied to the one or two it can meet, so each pair meets once. A bucket
+    with many left rows is cut into parts, and its right rows are copied to each part: neither a busy
+    day nor a key that most rows share is one task's work. ``keys`` are further equal columns of both
+    sides. Rows without a time join nothing. Columns of both sides must differ but for the keys.
+    """
+    if back + ahead < 0:
+        raise ValueError("the window is empty")
+    width = back + ahead + 1
+    day = lambda c: F.datediff(col(c), F.lit("1970-01-01").cast("date"))
+    own = left.filter(col(left_time).isNotNull()).withColumn("_day", day(left_time)).withColumn("_bucket", F.floor(F.col("_day") / width))
+    full = small_side(own.groupBy("_bucket").agg(F.ceil(F.count("*") / rows).cast("int").alias("_parts")).filter("_parts > 1"))
+    salt = F.xxhash64(*[col(c) for c in left.columns])
+    own = own.join(full, "_bucket", "left").withColumn("_part", F.coalesce(F.pmod(salt, F.col("_parts")), F.lit(0)).cast("int")).drop("_parts")
+    first, last = F.floor((F.col("_right") - ahead) / width), F.floor((F.col("_right") + back) / width)
+    copies = right.filter(col(right_time).isNotNull()).withColumn("_right", day(right_time)).withColumn("_bucket", F.explode(F.sequence(first, last)))
+    copies = copies.join(full, "_bucket", "left").withColumn("_part", F.explode(F.sequence(F.lit(0), F.coalesce("_parts", F.lit(1)) - 1))).drop("_parts")
+    pairs = own.join(copies, ["_bucket", "_part", *keys])
+    return pairs.filter((F.col("_right") - F.col("_day")).between(-back, ahead)).drop("_bucket", "_part", "_day", "_right")
+
+
 def vocabulary_counts(counts: DataFrame, vocabulary: DataFrame, term: str = "term", entry: str = "entry") -> DataFrame:
     """Token counts whose token is a vocabulary entry."""
     return counts.join(vocabulary.select(col(entry).alias(term)).distinct(), term, "left_semi")
