@@ -5,13 +5,15 @@ parsed greedily into the longest phrases that occur in the sample; a phrase cost
 pointer into the sample, and the language with the fewest bits wins. The score is that language's
 share of 2^-bits, so 1 means no other language comes near.
 
-Texts are lower-cased, a run of anything but letters and marks is one symbol, and letters outside
-the samples' alphabet are phrases of their own. A text is parsed in blocks of ``BLOCK`` symbols, all of
-them: the automata are dense tables and numpy steps the blocks of many documents at once.
-
-Learning is bounded by parameters: ``SAMPLE_DOCS`` documents of each language, one for each bucket
-of a hash of their ids, ``SAMPLE_CHARS`` characters of each language, fewer for each when there
-are many languages (``TOTAL_CHARS``), the ``MAX_LANGUAGES`` with the most labelled rows.
+Texts are lower-cased, a run of anything but letters and marks is one symbol, and a letter that a
+language's sample does not have is a phrase of its own there. A text is parsed in blocks of ``BLOCK``
+symbols, all of them, and numpy steps the blocks of many documents at once. The alphabet of a language
+is all letters of its sample: transitions by its ``DENSE`` commonest symbols are a table, those by rarer
+ones, most of a script with thousands of characters, a sorted list.
+
+Every labelled language is learned. Only the labelled rows read are bounded, by parameters:
+``SAMPLE_DOCS`` documents of each language, one for each bucket of a hash of their ids, ``SAMPLE_CHARS``
+characters of each language, fewer for each when there are many languages (``TOTAL_CHARS``).
 """
 
 from __future__ import annotations
@@ -28,17 +30,15 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..session import small_side
 from .common import id_crc, prepare
 
 UNKNOWN = "und"
 SAMPLE_DOCS = 64
 SAMPLE_CHARS = 32_000
 TOTAL_CHARS = 320_000
-MAX_LANGUAGES = 100
 BLOCK = 256
-SYMBOLS = 126  # of the alphabet; two more stand for all other characters and for padding
-WIDTH = SYMBOLS + 2
-OTHER, PAD = SYMBOLS, SYMBOLS + 1
+DENSE = 126
 # Symbols that are stepped through the automata at once.
 GROUP = 2 << 20
 LETTER = re.compile(r"[^\W\d_]")
@@ -64,17 +64,15 @@ def train(docs: DataFrame) -> Model:
     picked = known.groupBy("lang", F.pmod(order, F.lit(SAMPLE_DOCS)).alias("b")).agg(
         F.min_by("doc_id", F.struct(order, "doc_id")).alias("doc_id"), F.count("*").alias("n"))
     sizes: Counter[str] = Counter()
-    ids = set()
-    ranked = picked.groupBy("lang").agg(F.sum("n").alias("n"), F.collect_list("doc_id").alias("ids")).orderBy(F.desc("n"), "lang")
-    for row in ranked.limit(MAX_LANGUAGES).collect():
+    for row in picked.groupBy("lang").agg(F.sum("n").alias("n")).collect():
         sizes[row["lang"]] = row["n"]
-        ids.update(row["ids"])
     if not sizes:
         return Model((), ())
     chars = min(SAMPLE_CHARS, TOTAL_CHARS // len(sizes))
     each = -(-2 * chars // SAMPLE_DOCS)
     texts: dict[str, list[str]] = {lang: [] for lang in sizes}
-    sample = known.where(F.col("doc_id").isin(sorted(ids))).select("doc_id", "lang", F.substring("text", 1, each).alias("text"))
+    chosen = small_side(picked.select("doc_id").distinct())  # SAMPLE_DOCS for each language at most
+    sample = known.join(chosen, "doc_id", "left_semi").select("doc_id", "lang", F.substring("text", 1, each).alias("text"))
     for row in sorted(sample.collect(), key=lambda r: (r["lang"], r["doc_id"], r["text"])):
         if row["lang"] in texts and sum(map(len, texts[row["lang"]])) < chars:
             texts[row["lang"]].append(row["text"])
@@ -87,18 +85,17 @@ def fold(text: str) -> np.ndarray:
     return np.frombuffer(text.lower().encode("utf-32-le", "surrogatepass"), "<u4")
 
 
-def symbol_table(model: Model) -> np.ndarray:
-    """Symbol of every code point: 0 unless a letter or mark, then the samples' commonest letters."""
+def symbol_table(model: Model) -> tuple[np.ndarray, int]:
+    """Symbol of every code point and their number: 0 unless a letter or mark, the letters of all samples, last any other letter."""
     letters = np.fromiter((unicodedata.category(chr(i))[0] in "LM" for i in range(0x110000)), bool, 0x110000)
-    table = np.where(letters, OTHER, 0).astype(np.uint8)
-    counts: Counter[int] = Counter()
+    seen = np.zeros(0x110000, bool)
     for sample in model.samples:
         for text in sample:
-            counts.update(fold(text).tolist())
-    named = [code for code, _ in sorted(counts.items(), key=lambda x: (-x[1], x[0])) if letters[code]]
-    for symbol, code in enumerate(named[: SYMBOLS - 1], 1):
-        table[code] = symbol
-    return table
+            seen[fold(text)] = True
+    named = np.flatnonzero(seen & letters)
+    table = np.where(letters, len(named) + 1, 0).astype(np.int32)
+    table[named] = np.arange(1, len(named) + 1)
+    return table, len(named) + 2
 
 
 def symbols_of(text: str, table: np.ndarray) -> np.ndarray:
@@ -106,11 +103,8 @@ def symbols_of(text: str, table: np.ndarray) -> np.ndarray:
     return symbols[np.append(True, (symbols[1:] != 0) | (symbols[:-1] != 0))[: len(symbols)]]
 
 
-def suffix_automaton(sequences: list[list[int]]) -> np.ndarray:
-    """Transitions of the automaton of all substrings, ``next * WIDTH`` by ``state * WIDTH + symbol``.
-
-    State 0 is the start; 0 as a target means there is no such transition.
-    """
+def suffix_automaton(sequences: list[list[int]], other: int) -> list[dict[int, int]]:
+    """Transitions {symbol: state} of the automaton of all substrings without ``other``; state 0 is the start."""
     step: list[dict[int, int]] = [{}]
     link, length = [-1], [0]
 
@@ -132,7 +126,7 @@ def suffix_automaton(sequences: list[list[int]]) -> np.ndarray:
     for sequence in sequences:
         last = 0
         for c in sequence:
-            if c == OTHER:
+            if c == other:
                 last = 0
                 continue
             if c in step[last]:
@@ -149,32 +143,66 @@ def suffix_automaton(sequences: list[list[int]]) -> np.ndarray:
             if p >= 0:
                 link[new] = clone(p, c)
             last = new
-    table = np.zeros(len(step) * WIDTH, np.int32)
-    for state, edges in enumerate(step):
-        for c, target in edges.items():
-            table[state * WIDTH + c] = target * WIDTH
-    return table
+    return step
+
+
+class Automaton:
+    """Transitions as arrays: a table for the commonest symbols, a sorted list for the rest.
+
+    States are multiplied by the table's width; 0 as a target means that there is no transition. The
+    table's last column, always 0, stands for symbols the language does not have.
+    """
+
+    def __init__(self, sequences: list[list[int]], symbols: int):
+        step = suffix_automaton(sequences, symbols - 1)
+        counts = Counter(c for s in sequences for c in s if c != symbols - 1)
+        common = [c for c, _ in sorted(counts.items(), key=lambda x: (-x[1], x[0]))[:DENSE]]
+        self.width, self.symbols = len(common) + 1, symbols
+        # column of a symbol, -1 for one in the list; the symbol after the last is padding
+        self.column = np.full(symbols + 1, len(common), np.int32)
+        self.column[list(counts)] = -1
+        self.column[common] = np.arange(len(common))
+        self.table = np.zeros(len(step) * self.width, np.int32)
+        listed = []
+        for state, edges in enumerate(step):
+            for c, target in edges.items():
+                if self.column[c] >= 0:
+                    self.table[state * self.width + self.column[c]] = target * self.width
+                else:
+                    listed.append((state * symbols + c, target * self.width))
+        listed.sort()
+        self.keys = np.array([k for k, _ in listed] + [np.iinfo(np.int64).max], np.int64)
+        self.targets = np.array([t for _, t in listed] + [0], np.int32)
+        self.start = np.zeros(symbols + 1, np.int32)
+        for c, target in step[0].items():
+            self.start[c] = target * self.width
+
+    def after(self, state: np.ndarray, c: np.ndarray) -> np.ndarray:
+        column = self.column.take(c)
+        if len(self.keys) == 1:
+            return self.table.take(state + column)
+        listed = np.flatnonzero(column < 0)
+        out = self.table.take(state + np.maximum(column, 0))
+        if len(listed):
+            wanted = state[listed].astype(np.int64) // self.width * self.symbols + c[listed]
+            at = np.searchsorted(self.keys, wanted)
+            out[listed] = np.where(self.keys[at] == wanted, self.targets[at], 0)
+        return out
 
 
 class Parser:
     def __init__(self, model: Model):
         self.model = model
-        symbols = symbol_table(model)
-        # only the symbols in use get a column
-        used = np.append(np.unique(symbols[symbols < SYMBOLS]), (OTHER, PAD)).astype(np.int64)
-        self.width, self.other, self.pad = len(used), len(used) - 2, len(used) - 1
-        self.symbols = np.searchsorted(used, np.arange(WIDTH)).astype(np.uint8)[symbols]
-        self.tables = []
-        for sample in model.samples:
-            table = suffix_automaton([symbols_of(t, symbols).tolist() for t in sample]).reshape(-1, WIDTH)
-            self.tables.append((table[:, used] // WIDTH * self.width).ravel())
+        self.symbols, count = symbol_table(model)
+        self.other, self.pad = count - 1, count
+        self.tables = [Automaton([symbols_of(t, self.symbols).tolist() for t in sample], count) for sample in model.samples]
         # bits of a phrase: a pointer into the sample
         self.bits = [math.log2(2 + sum(map(len, sample))) for sample in model.samples]
 
     def phrases(self, symbols: list[np.ndarray]) -> np.ndarray:
         """Phrases by text, given as symbols, and language."""
         counts = [-(-len(s) // BLOCK) for s in symbols]
-        blocks = np.full((sum(counts), BLOCK), self.pad, np.uint8)
+        blocks = np.full((sum(counts), BLOCK), self.pad, np.int32)
         flat, at = blocks.reshape(-1), 0
         for s, n in zip(symbols, counts):
             flat[at : at + len(s)] = s
@@ -187,10 +215,10 @@ class Parser:
             state = np.zeros(blocks.shape[0], np.int32)
             found = np.zeros(blocks.shape[0], np.int32)
             for c in by_step:
-                after = table.take(state + c)
+                after = table.after(state, c)
                 new = after == 0
                 found += new | (state == 0)
-                state = np.where(new, table.take(c), after)
+                state = np.where(new, table.start.take(c), after)
             out[:, k] = np.bincount(owner, found - pads, len(symbols))
         return out
 
@@ -250,6 +278,11 @@ def predict(docs: DataFrame, model: Model, *keep: str) -> DataFrame:
     return rows.mapInArrow(run, kept.add("lang_pred", "string").add("score", "double"))
 
 
+def with_letters(docs: DataFrame) -> DataFrame:
+    """Rows whose text has a letter, which is all that can be asked where nothing was learned."""
+    return docs.where(F.coalesce(F.col("text").rlike(r"\p{L}"), F.lit(False)))
+
+
 def identify(docs: DataFrame, *keep: str) -> DataFrame:
     """Learn from the labelled rows of ``docs`` and predict all of them."""
     return predict(docs, train(docs), *keep)

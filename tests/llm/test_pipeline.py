@@ -4,6 +4,7 @@ import zlib
 
 import public_tokenizers
 import pytest
+from pyspark.sql import functions as F
 from test_decontamination import ITEM
 from test_jaccard_join import near_copies, shingle_set
 from tokenizers import Tokenizer
@@ -64,3 +65,10 @@ def test_rows_against_plain_python(spark, folder):
         start += len(ids)
     found = corpus_pipeline.run(spark, folder)
     assert sorted(map(tuple, found.collect())) == want and 0 < len(want) < len(filled)
+
+
+def test_nothing_is_dropped_for_missing_labels(spark, folder):
+    docs = load(spark, folder, "documents").withColumn("lang", F.lit(None).cast("string"))
+    kept = corpus_pipeline.identify_language(spark, docs, folder)
+    assert kept.dtypes == docs.dtypes
+    assert sorted(r.doc_id for r in kept.collect()) == sorted(r.doc_id for r in docs.collect() if any(c.isalpha() for c in r.text or ""))
