@@ -19,8 +19,14 @@ NEAR_PERCENT = 80
 
 
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents in a language that can be told stay; a missing lang is filled in."""
-    found = language_id.identify(docs, *docs.columns)
+    """Documents in a language that can be told stay; a missing lang is filled in.
+
+    Where no row has a language to learn from, documents with a letter stay.
+    """
+    model = language_id.train(docs)
+    if not model.languages:
+        return language_id.with_letters(docs)
+    found = language_id.predict(docs, model, *docs.columns)
     known = found.where(F.col("lang_pred") != language_id.UNKNOWN)
     return known.withColumn("lang", F.coalesce("lang", "lang_pred")).select(*docs.columns)
 
