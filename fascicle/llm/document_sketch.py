@@ -18,7 +18,10 @@ without a paragraph are alike. Built-in functions only.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from collections.abc import Iterator
+from contextlib import contextmanager
+
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators.windows import running_totals
@@ -39,6 +42,8 @@ PARAGRAPH = r"[^\x20\x09-\x0D]{1,40}(?:[\x20\x09]+[^\x20\x09-\x0D]{1,40}){0,%d}"
 FOUND = "array<struct<c:bigint,k:bigint>>"
 # Copies of one row that one task writes out.
 BLOCK = 10_000
+# Characters of one task, so that the cells of its pairs stay in memory, and tasks at most: beyond that they spill.
+TASK_CHARS, MOST_TASKS = 4_000_000, 20_000
 
 
 def bound(value: str, name: str, use: str) -> str:
@@ -200,6 +205,20 @@ def _compared(docs: DataFrame, links: DataFrame, attempt: int) -> DataFrame:
     return out.selectExpr("k1", "k2", "doc_id", "copies", "n_chars", "edited_sha256", "fingerprint", "edited_fingerprint", likeness(0, "near_edited"), likeness(1, "near_next"))
 
 
+@contextmanager
+def _tasks(spark: SparkSession, count: int) -> Iterator[None]:
+    """All shuffles into ``count`` tasks. Spark would size them by the texts they read, which are a fraction of their cells."""
+    names = {"spark.sql.shuffle.partitions": str(count), "spark.sql.adaptive.coalescePartitions.enabled": "false"}
+    before = {name: spark.conf.get(name) for name in names}
+    try:
+        for name, value in names.items():
+            spark.conf.set(name, value)
+        yield
+    finally:
+        for name, value in before.items():
+            spark.conf.set(name, value)
+
+
 def edited_likeness(docs: DataFrame) -> DataFrame:
     """doc_id, n_chars, edited_sha256, fingerprint, edited_fingerprint, near_edited, near_next of every row.
 
@@ -212,7 +231,10 @@ def edited_likeness(docs: DataFrame) -> DataFrame:
     every = rows = texts(docs, "doc_id").withColumns({"k1": F.xxhash64("text"), "k2": F.xxhash64("doc_id")})
     links, done, attempt = _links(rows), None, 0
     while done is None or not links.isEmpty():
-        found = stored(_compared(rows, links, attempt), "sketch-likeness")
+        chars = links.agg(F.sum("n_chars")).first()[0] or 0
+        tasks = min(MOST_TASKS, max(8, chars // TASK_CHARS))
+        with _tasks(docs.sparkSession, tasks):
+            found = stored(_compared(rows, links, attempt), "sketch-likeness")
         hidden = F.col("near_edited").isNull() | F.col("near_next").isNull()
         done = found.where(~hidden) if done is None else done.unionByName(found.where(~hidden))
         # pairs with hidden differences only: once more, dealt anew
