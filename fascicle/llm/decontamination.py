@@ -1,19 +1,21 @@
 """Benchmark decontamination by the q-gram lemma.
 
-Benchmark items and documents are compared as lower-cased letters and digits only. An item is cut
-into overlapping windows of ``WINDOW`` characters; a window of m characters that occurs in a
-document with at most k edits shares at least m - q + 1 - k * q of its q-grams with it, all on at
-most k + 1 neighbouring diagonals (document position minus window position). Shared q-grams are
-counted in bands of diagonals that overlap by k, so that one band has them all; a band that reaches
-the bound is verified by an alignment within the band.
-
-The windows are searched in blocks of bounded size, every block against all documents, so the
+Benchmark items and documents are compared as lower-cased letters and digits only. A region of ``REGION``
+letters of an item, at any place of it, that occurs in a document with at most k edits shares at least
+REGION - q + 1 - k * q of its q-grams with it, all on at most k + 1 neighbouring diagonals (document
+position minus item position). Shared q-grams of whole items are counted in bands of diagonals that
+overlap by k, so that one band has them all; the regions of a band that reach the bound are verified by
+an alignment within the band. So every excerpt of ``REGION`` letters or more is found if it keeps to the
+edit budget, wherever it begins; a shorter item is one region.
+
+The items are searched in blocks of bounded size, every block against all documents, so the
 index that goes to the tasks does not grow with the benchmark.
 """
 
 from __future__ import annotations
 
 import re
+from bisect import bisect_left, insort
 from collections.abc import Iterator
 from functools import reduce
 
@@ -25,16 +27,15 @@ from pyspark.sql import functions as F
 from .common import prepare, stored, texts
 
 Q = 11
-WINDOW = 100
-STRIDE = 50
+REGION = 50
 EDIT_RATE = 0.07
-# Shared q-grams a window must keep: with fewer, the budget is lowered; shorter items than MIN_ITEM are not searched.
+# Shared q-grams a region must keep: with fewer, the budget is lowered; shorter items than MIN_ITEM are not searched.
 LEAST_SHARED = 7
 MIN_ITEM = 20
-BLOCK_WINDOWS = 20_000
+BLOCK_ITEMS = 5_000
 
-WINDOWS = "item_id long, start int, item_chars int, body string"
-HITS = "doc_id long, item_id long, start int, length int, item_chars int, edits int, doc_start long, doc_end long"
+ITEMS = "item_id long, body string"
+HITS = "doc_id long, item_id long, regions int, edits int, covered double, doc_start long, doc_end long"
 BASE = np.uint64(0x9E3779B97F4A7C15)
 NOT_WORD = re.compile(r"[\W_]+")
 
@@ -49,7 +50,7 @@ def places(text: str) -> list[int]:
 
 
 def budget(m: int) -> int:
-    """Edits allowed in a window of ``m`` characters."""
+    """Edits allowed in a region of ``m`` characters."""
     return max(0, min(int(EDIT_RATE * m), (m - Q + 1 - LEAST_SHARED) // Q))
 
 
@@ -68,22 +69,14 @@ def grams(body: str) -> np.ndarray:
     return out
 
 
-def windows_of(body: str) -> list[tuple[int, str]]:
-    """(start, characters): windows of an item, the last one flush with its end."""
-    if len(body) < MIN_ITEM:
-        return []
-    last = max(0, len(body) - WINDOW)
-    return [(s, body[s : s + WINDOW]) for s in sorted({*range(0, last, STRIDE), last})]
-
-
 class Index:
-    """Q-grams of a block of windows: (item_id, start, item_chars, body)."""
+    """Q-grams of a block of items: (item_id, body)."""
 
-    def __init__(self, windows: list[tuple[int, int, int, str]]):
-        self.windows = windows
-        hashed = [grams(w[3]) for w in windows]
+    def __init__(self, items: list[tuple[int, str]]):
+        self.items = items
+        hashed = [grams(body) for _, body in items]
         self.hashes = np.concatenate(hashed) if hashed else np.zeros(0, np.uint64)
-        owner = np.repeat(np.arange(len(windows)), [len(h) for h in hashed])
+        owner = np.repeat(np.arange(len(items)), [len(h) for h in hashed])
         offset = np.concatenate([np.arange(len(h)) for h in hashed]) if hashed else np.zeros(0, np.int64)
         order = np.argsort(self.hashes, kind="stable")
         self.hashes, self.owner, self.offset = self.hashes[order], owner[order], offset[order]
@@ -91,12 +84,13 @@ class Index:
         self.shift = np.uint64(64 - bits)
         self.seen = np.zeros(1 << bits, bool)
         self.seen[self.hashes >> self.shift] = True
-        self.length = np.array([len(w[3]) for w in windows], np.int64)
+        self.longest = max((len(body) for _, body in items), default=0)
+        self.length = np.array([min(REGION, len(body)) for _, body in items], np.int64)
         self.edits = np.array([budget(m) for m in self.length], np.int64)
         self.least = self.length - Q + 1 - self.edits * Q
 
-    def bands(self, body: str) -> list[tuple[int, int, int]]:
-        """(window, first diagonal, last diagonal) of the bands that reach the bound."""
+    def bands(self, body: str) -> list[tuple[int, int, np.ndarray]]:
+        """(item, first diagonal, offsets of the shared q-grams) of bands with a region that reaches the bound."""
         own = grams(body)
         at = np.flatnonzero(self.seen[own >> self.shift])
         if not len(at):
@@ -107,28 +101,58 @@ class Index:
         if not total:
             return []
         entry = np.repeat(lo - np.concatenate([[0], np.cumsum(n)[:-1]]), n) + np.arange(total)
-        window, offset = self.owner[entry], self.offset[entry]
-        k = self.edits[window]
-        diagonal = np.repeat(at, n) - offset + WINDOW
+        item, offset = self.owner[entry], self.offset[entry]
+        k = self.edits[item]
+        diagonal = np.repeat(at, n) - offset + self.longest
         band = diagonal // (k + 1)
         # a diagonal is also in the band before unless it is the last one of its own step
         both = (diagonal % (k + 1) < k) & (band > 0)
-        window, band, offset = (np.concatenate([x, y[both]]) for x, y in ((window, window), (band, band - 1), (offset, offset)))
-        key = (window * (len(body) + 2 * WINDOW) + band) * WINDOW + offset
-        key = np.unique(key) // WINDOW
-        found, counts = np.unique(key, return_counts=True)
-        window, band = np.divmod(found, len(body) + 2 * WINDOW)
-        reached = counts >= self.least[window]
-        return [(int(w), int(b * (self.edits[w] + 1)) - WINDOW, int(b * (self.edits[w] + 1) + 2 * self.edits[w]) - WINDOW) for w, b in zip(window[reached], band[reached])]
-
-    def search(self, body: str) -> list[tuple[int, int, int, int]]:
-        """(window, edits, start, end) in ``body``: the best verified place of each window."""
-        best: dict[int, tuple[int, int, int]] = {}
-        for w, first, last in self.bands(body):
-            found = align(self.windows[w][3], body, first, last, int(self.edits[w]))
-            if found and (w not in best or found < best[w]):
-                best[w] = found
-        return [(w, *found) for w, found in sorted(best.items())]
+        item, band, offset = (np.concatenate([x, y[both]]) for x, y in ((item, item), (band, band - 1), (offset, offset)))
+        size, wide = len(body) + 2 * self.longest, 2 * self.longest
+        key = np.unique((item * size + band) * wide + offset)
+        group, offset = np.divmod(key, wide)
+        # of the hits from each on, those within a region's length
+        within = np.searchsorted(key, key + self.length[group // size] - Q, "right") - np.arange(len(key))
+        reached = within >= self.least[group // size]
+        out = []
+        for g in np.unique(group[reached]).tolist():
+            i, b = divmod(g, size)
+            first, last = np.searchsorted(group, (g, g + 1))
+            out.append((i, int(b * (self.edits[i] + 1)) - self.longest, offset[first:last]))
+        return out
+
+    def regions(self, item: int, body: str, first: int, offsets: np.ndarray) -> Iterator[tuple[int, int, int, int]]:
+        """(edits, item start, start, end) of verified regions of a band, half a region apart but for those at its ends."""
+        pattern, m, k = self.items[item][1], int(self.length[item]), int(self.edits[item])
+        starts = np.arange(max(0, int(offsets[0]) + Q - m), min(len(pattern) - m, int(offsets[-1])) + 1)
+        shared = np.searchsorted(offsets, starts + m - Q, "right") - np.searchsorted(offsets, starts, "left")
+        enough = shared >= self.least[item]
+        starts, shared, chosen = starts[enough], shared[enough], []
+        # the places that share most first, then the two ends
+        for n in np.append(np.lexsort((starts, -shared)), (0, len(starts) - 1)).tolist() if len(starts) else ():
+            s, near = int(starts[n]), bisect_left(chosen, int(starts[n]) - m // 2 + 1)
+            end = n in (0, len(starts) - 1)
+            if s in chosen or not end and near < len(chosen) and chosen[near] < s + m // 2:
+                continue
+            found = align(pattern[s : s + m], body, first + s, first + s + 2 * k, k)
+            if found:
+                insort(chosen, s)
+                yield found[0], s, found[1], found[2]
+
+    def search(self, body: str) -> list[tuple[int, int, int, float, int, int]]:
+        """(item, regions, edits, share covered, start, end) of the items with a verified region in ``body``."""
+        found: dict[int, list[tuple[int, int, int, int]]] = {}
+        for item, first, offsets in self.bands(body):
+            for region in self.regions(item, body, first, offsets):
+                found.setdefault(item, []).append(region)
+        out = []
+        for item, regions in sorted(found.items()):
+            m, covered, upto = int(self.length[item]), 0, 0
+            for s in sorted({r[1] for r in regions}):
+                covered += s + m - max(s, upto)
+                upto = s + m
+            out.append((item, len({r[1] for r in regions}), min(r[0] for r in regions), covered / len(self.items[item][1]), min(r[2] for r in regions), max(r[3] for r in regions)))
+        return out
 
 
 def align(pattern: str, body: str, first: int, last: int, k: int) -> tuple[int, int, int] | None:
@@ -157,14 +181,10 @@ def align(pattern: str, body: str, first: int, last: int, k: int) -> tuple[int,
     return (edits, start, end) if edits <= k else None
 
 
-def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _normalised(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        rows = []
-        for item, text in zip(batch.column("item_id").to_pylist(), batch.column("text").to_pylist()):
-            body = normal(text)
-            rows += [(item, start, len(body), part) for start, part in windows_of(body)]
-        columns = list(zip(*rows)) or [()] * 4
-        yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, (pa.int64(), pa.int32(), pa.int32(), pa.string()))], names=["item_id", "start", "item_chars", "body"])
+        bodies = [normal(text) for text in batch.column("text").to_pylist()]
+        yield pa.RecordBatch.from_arrays([batch.column("item_id").cast(pa.int64()), pa.array(bodies, pa.string())], names=["item_id", "body"])
 
 
 def _searcher(shared):
@@ -175,47 +195,44 @@ def _searcher(shared):
             for doc_id, text in zip(batch.column("doc_id").to_pylist(), batch.column("text").to_pylist()):
                 found = index.search(normal(text))
                 where = places(text) if found else []
-                for w, edits, start, end in found:
-                    item, item_start, chars, body = index.windows[w]
-                    rows.append((doc_id, item, item_start, len(body), chars, edits, where[start], where[end - 1] + 1))
-            types = (pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.int32(), pa.int32(), pa.int64(), pa.int64())
-            columns = list(zip(*rows)) or [()] * 8
+                for item, regions, edits, covered, start, end in found:
+                    rows.append((doc_id, index.items[item][0], regions, edits, covered, where[start], where[end - 1] + 1))
+            types = (pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.float64(), pa.int64(), pa.int64())
+            columns = list(zip(*rows)) or [()] * len(types)
             yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, types)], names=[c.split()[0] for c in HITS.split(", ")])
 
     return run
 
 
-def window_hits(docs: DataFrame, benchmark: DataFrame, block_windows: int = BLOCK_WINDOWS) -> DataFrame:
-    """One row for each document and window found in it: where, and with how many edits."""
+def item_hits(docs: DataFrame, benchmark: DataFrame, block_items: int = BLOCK_ITEMS) -> DataFrame:
+    """One row for each document row and item with a region found in it: how much, where, and the fewest edits of a region."""
     spark = prepare(docs.sparkSession)
-    windows = stored(texts(benchmark.where("item_id IS NOT NULL"), "item_id").mapInArrow(_cut, WINDOWS), "decontamination-windows")
-    blocks = max(1, -(-windows.count() // block_windows))
-    block = F.pmod(F.xxhash64("item_id", "start"), F.lit(blocks))
+    items = stored(texts(benchmark.where("item_id IS NOT NULL"), "item_id").mapInArrow(_normalised, ITEMS).where(F.length("body") >= MIN_ITEM), "decontamination-items")
+    blocks = max(1, -(-items.count() // block_items))
+    block = F.pmod(F.xxhash64("item_id", "body"), F.lit(blocks))
     rows = texts(docs, "doc_id")
     found = []
     for b in range(blocks):
-        part = sorted(tuple(r) for r in windows.where(block == b).collect())
+        part = sorted(tuple(r) for r in items.where(block == b).collect())
         found.append(rows.mapInArrow(_searcher(spark.sparkContext.broadcast(part)), HITS))
     return reduce(DataFrame.unionAll, found)
 
 
-def contaminated(docs: DataFrame, benchmark: DataFrame, block_windows: int = BLOCK_WINDOWS) -> DataFrame:
-    """One row for each document and benchmark item of which it holds at least one window.
+def contaminated(docs: DataFrame, benchmark: DataFrame, block_items: int = BLOCK_ITEMS) -> DataFrame:
+    """One row for each document and benchmark item of which it holds a region.
 
-    doc_id, item_id, windows found, edits (the fewest in a window), covered (characters of the
-    item in windows found, as a share, overlaps counted once at most), doc_start and doc_end (code
-    points of the text from the first to the last place). Rows that repeat a doc_id are reported
-    together; NULL and empty texts and items match nothing; items with a NULL id or fewer than
-    ``MIN_ITEM`` letters and digits are not searched.
+    doc_id, item_id, regions (verified, half a region apart), edits (the fewest in a region), covered
+    (share of the item in regions found), doc_start and doc_end (code points of the text from the first
+    to the last place). Rows that repeat a doc_id are reported together, with the most found in one;
+    NULL and empty texts and items match nothing; items with a NULL id or fewer than ``MIN_ITEM`` letters
+    and digits are not searched.
     """
-    hits = window_hits(docs, benchmark, block_windows)
-    return hits.groupBy("doc_id", "item_id").agg(
-        F.countDistinct("start").alias("windows"), F.min("edits").alias("edits"),
-        F.least(F.lit(1.0), (F.max(F.col("start") + F.col("length")) - F.min("start")) / F.max("item_chars")).alias("covered"),
+    return item_hits(docs, benchmark, block_items).groupBy("doc_id", "item_id").agg(
+        F.max("regions").alias("regions"), F.min("edits").alias("edits"), F.max("covered").alias("covered"),
         F.min("doc_start").alias("doc_start"), F.max("doc_end").alias("doc_end"))
 
 
-def clean(docs: DataFrame, benchmark: DataFrame, block_windows: int = BLOCK_WINDOWS) -> DataFrame:
-    """The rows of ``docs`` whose document holds no window of any item; NULL ids stay if their text is clean."""
-    dirty = stored(window_hits(docs, benchmark, block_windows).select("doc_id").distinct(), "decontamination-found")
+def clean(docs: DataFrame, benchmark: DataFrame, block_items: int = BLOCK_ITEMS) -> DataFrame:
+    """The rows of ``docs`` whose document holds no region of any item; NULL ids stay if their text is clean."""
+    dirty = stored(item_hits(docs, benchmark, block_items).select("doc_id").distinct(), "decontamination-found")
     return docs.join(dirty.select(F.col("doc_id").alias("_dirty")), F.col("doc_id").eqNullSafe(F.col("_dirty")), "left_anti")

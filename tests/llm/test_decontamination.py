@@ -36,23 +36,44 @@ def edited(text, n):
     return "".join(chars)
 
 
+def brute(item, body):
+    """Whether a region of the item, at any place, is in the text within the budget, by full tables."""
+    m = min(dc.REGION, len(item))
+    return any(distance_inside(item[s : s + m], body) <= dc.budget(m) for s in range(len(item) - m + 1))
+
+
 def test_search_against_full_tables():
-    windows = [(1, s, 0, b) for s, b in dc.windows_of(dc.normal(ITEM))] + [(2, s, 0, b) for s, b in dc.windows_of(dc.normal(SHORT))]
-    index = dc.Index(windows)
-    for edits in (0, 0, 1, 2, 3, 4, 5, 6, 7, 8, 12, 20, 40):
-        for item in (ITEM, SHORT):
-            body = dc.normal(prose(30) + edited(dc.normal(item), edits) + prose(20))
-            found = {w: (e, s, t) for w, e, s, t in index.search(body)}
-            for w, (_, _, _, pattern) in enumerate(windows):
-                real = distance_inside(pattern, body)
-                assert (w in found) == (real <= index.edits[w]), (edits, w, real)
+    items = [(1, dc.normal(ITEM)), (2, dc.normal(SHORT)[:45])]
+    index = dc.Index(items)
+    hits = set()
+    for edits in (0, 1, 3, 6, 10, 14, 18, 24, 40):
+        for n, (_, item) in enumerate(items):
+            start = random.randrange(max(1, len(item) - 70))
+            body = dc.normal(prose(10)) + edited(item[start : start + random.choice([50, 60, 300])], edits) + dc.normal(prose(6))
+            found = {row[0]: row for row in index.search(body)}
+            for w, (_, pattern) in enumerate(items):
+                assert (w in found) == brute(pattern, body), (edits, w)
+                hits.add((w, w in found))
                 if w in found:
-                    e, s, t = found[w]
-                    assert e == real == distance_inside(pattern, body[s:t])
+                    _, regions, fewest, covered, first, last = found[w]
+                    assert regions >= 1 and fewest <= dc.budget(dc.REGION) and 0 < covered <= 1 and 0 <= first < last <= len(body)
+    assert hits == {(0, True), (0, False), (1, True), (1, False)}
+
+
+def test_every_excerpt_of_a_region_is_found():
+    random.seed(21)
+    for _ in range(12):
+        item = dc.normal(prose(random.randint(25, 60)))
+        index = dc.Index([(1, item)])
+        before, after = dc.normal(prose(8)), dc.normal(prose(8))
+        for start in range(0, len(item) - dc.REGION + 1, 7):
+            body = before + item[start : start + dc.REGION] + after
+            (_, _, edits, _, first, last), = index.search(body)
+            assert edits == 0 and first <= len(before) + 12 and last >= len(before) + dc.REGION - 12
+        assert index.search(before + item[: dc.REGION // 2] + after) == []
 
 
 def test_short_texts_and_places():
-    assert dc.windows_of("x" * (dc.MIN_ITEM - 1)) == []
     assert dc.Index([]).search("abc" * 50) == []
     text = "A, b! Éß\n_1"
     assert dc.normal(text) == "abéß1" and [text[i] for i in dc.places(text)] == list("AbÉß1")
@@ -61,17 +82,17 @@ def test_short_texts_and_places():
 @pytest.fixture(scope="module")
 def found(spark):
     docs = [(1, prose(60) + " " + ITEM + "\n" + prose(10)), (2, prose(200)), (3, None), (4, ""), (5, ITEM.upper().replace(" ", ",\n")), (6, edited(ITEM, 5)),
-            (7, " ".join(ITEM.split()[:30])), (8, SHORT), (9, ("filler " * 20_000) + ITEM), (1, ITEM), (None, ITEM), (10, " ".join(ITEM.split()[:12]))]
+            (7, " ".join(ITEM.split()[:30])), (8, SHORT), (9, ("filler " * 20_000) + ITEM), (1, ITEM), (None, ITEM), (10, " ".join(ITEM.split()[:6])), (11, prose(20) + " ".join(ITEM.split()[16:30]) + prose(9))]
     df = spark.createDataFrame([(*d, 7) for d in docs], "doc_id long, text string, item_id int")
     items = spark.createDataFrame([(1, ITEM), (2, SHORT), (3, None), (4, "tiny"), (None, ITEM), (5, "")], "item_id long, text string")
     return df, items
 
 
-@pytest.mark.parametrize("block", [dc.BLOCK_WINDOWS, 2])
+@pytest.mark.parametrize("block", [dc.BLOCK_ITEMS, 1])
 def test_contaminated(found, block):
     df, items = found
     rows = dc.contaminated(df, items, block).collect()
-    assert {(r.doc_id, r.item_id) for r in rows} == {(1, 1), (5, 1), (6, 1), (7, 1), (8, 2), (9, 1), (None, 1)}
+    assert {(r.doc_id, r.item_id) for r in rows} == {(1, 1), (5, 1), (6, 1), (7, 1), (8, 2), (9, 1), (None, 1), (11, 1)}
     whole = next(r for r in rows if r.doc_id == 9)
     assert whole.edits == 0 and whole.covered == 1.0 and (whole.doc_start, whole.doc_end) == (140_000, 140_000 + len(ITEM))
     assert sorted(r.doc_id for r in dc.clean(df, items, block).collect()) == [2, 3, 4, 10]

@@ -53,7 +53,7 @@ def test_rows_against_plain_python(spark, folder):
                 x, y = find(a), find(b)
                 root[max(x, y)] = min(x, y)
     rows = [r for r in rows if find(r.doc_id) == r.doc_id]
-    index = decontamination.Index([(1, s, 0, b) for s, b in decontamination.windows_of(decontamination.normal(ITEM))])
+    index = decontamination.Index([(1, decontamination.normal(ITEM))])
     rows = [r for r in rows if not index.search(decontamination.normal(r.text))]
     filled = [(r.doc_id, r.text, r.lang or model.predict([r.text])[0][0], r.source, r.n_chars) for r in rows]
     kept = {r.doc_id for r in mixing.mixed(spark.createDataFrame(filled, docs.schema)).where("kept").collect()}
