@@ -14,15 +14,10 @@ freed mass is added by one of its blocks only. Both exchanges grow with the corp
 totals reaches the driver, and a word or bigram that is very common is one entry of each block.
 
 Words are compared by 64-bit hashes, bigrams by 64-bit hashes of two of them.
-
-``train`` and ``score`` are the same models over a vocabulary of a given size, other words in
-``CLASSES`` classes by their last two bytes; they score texts that were not trained on.
 """
 
 from __future__ import annotations
 
-import zlib
-from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
@@ -31,184 +26,15 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import byte_texts, parts, prepare, stored, texts
+from .common import byte_texts, parts, prepare, stored
 
-CLASSES = 127
 DISCOUNT = 0.75
-# Distinct words a task counts before it sends them on; words whose number a task remembers.
-HELD = 400_000
-REMEMBERED = 150_000
 # Words and documents after which a block ends; entries that one task sums at once.
 BLOCK = 3 << 19
 BLOCK_DOCS = 100_000
 PIECE = 1 << 20
 
 
-class Numbers(dict):
-    """Number of every word: the vocabulary's from 0, then the classes; the last number starts a text."""
-
-    def __init__(self, words: list[bytes]):
-        super().__init__(zip(words, range(len(words))))
-        self.known, self.start = len(words), len(words) + CLASSES
-        self.size = self.start + 1
-
-    def __missing__(self, word: bytes) -> int:
-        number = self.known + zlib.crc32(word[-2:]) % CLASSES
-        if len(self) < REMEMBERED and len(word) <= 64:
-            self[word] = number
-        return number
-
-    def of(self, body: bytes) -> np.ndarray:
-        """Numbers of a text's words after the start."""
-        found = [np.array([self.start])]
-        for part in parts(body):
-            words = part.lower().split()
-            found.append(np.fromiter(map(self.__getitem__, words), np.int64, len(words)))
-        return np.concatenate(found)
-
-
-def _counted_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    counts: Counter[bytes] = Counter()
-
-    def flush():
-        out = pa.RecordBatch.from_arrays([pa.array(counts.keys(), pa.binary()), pa.array(counts.values(), pa.int64())], names=["word", "n"])
-        counts.clear()
-        return out
-
-    for batch in batches:
-        for body in byte_texts(batch.column("text")):
-            for part in parts(body):
-                counts.update(part.lower().split())
-        if len(counts) > HELD:
-            yield flush()
-    if counts:
-        yield flush()
-
-
-def vocabulary(docs: DataFrame, size: int) -> list[bytes]:
-    """The commonest words, equally common ones in byte order."""
-    counts = texts(docs).mapInArrow(_counted_words, "word binary, n long").groupBy("word").agg(F.sum("n").alias("n"))
-    return [bytes(r["word"]) for r in counts.orderBy(F.desc("n"), "word").limit(size).collect()]
-
-
-def _counted_bigrams(words: list[bytes]):
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        numbers = Numbers(words)
-        v = numbers.size
-        tables = np.zeros((2, v * v), np.int64)
-        for batch in batches:
-            held, size = ([], []), 0
-            for body, target in zip(byte_texts(batch.column("text")), batch.column("target").to_pylist()):
-                own = numbers.of(body)
-                code = own[:-1] * v + own[1:]
-                held[0].append(code)
-                if target:
-                    held[1].append(code)
-                size += len(code)
-                if size > 1 << 20:
-                    _add(tables, held)
-                    held, size = ([], []), 0
-            _add(tables, held)
-        background, target = tables.reshape(2, v, v)
-        for previous in np.flatnonzero(background.any(axis=1)):
-            at = np.flatnonzero(background[previous])
-            yield pa.RecordBatch.from_arrays(
-                [pa.array([int(previous)], pa.int32()), *(pa.array([x.tobytes()], pa.binary()) for x in (at.astype("<i4"), background[previous, at].astype("<i8"), target[previous, at].astype("<i8")))],
-                names=["previous", "word", "background", "target"])
-
-    return run
-
-
-def _add(tables: np.ndarray, held: tuple[list, list]) -> None:
-    for table, codes in zip(tables, held):
-        if codes:
-            table += np.bincount(np.concatenate(codes), minlength=len(table))
-
-
-COUNTS = "previous int, word binary, background binary, target binary"
-
-
-def _summed(v: int):
-    def run(table: pa.Table) -> pa.Table:
-        sums = np.zeros((2, v), np.int64)
-        for word, background, target in zip(*(table.column(c).to_pylist() for c in ("word", "background", "target"))):
-            at = np.frombuffer(word, "<i4")
-            sums[0, at] += np.frombuffer(background, "<i8")
-            sums[1, at] += np.frombuffer(target, "<i8")
-        at = np.flatnonzero(sums[0])
-        packed = [[x.tobytes()] for x in (at.astype("<i4"), sums[0, at], sums[1, at])]
-        return pa.table([table.column("previous").slice(0, 1), *(pa.array(x, pa.binary()) for x in packed)], names=["previous", "word", "background", "target"])
-
-    return run
-
-
-def log_probabilities(counts: np.ndarray, scale: float = 1.0) -> np.ndarray:
-    """Natural logs of an interpolated absolute-discounting bigram model, row by previous word.
-
-    Words are backed by their share of all tokens plus one each, so no probability is 0.
-    """
-    c = counts * scale
-    single = c.sum(axis=0) + 1.0
-    single /= single.sum()
-    total = c.sum(axis=1, keepdims=True)
-    freed = np.minimum(c, DISCOUNT).sum(axis=1, keepdims=True)
-    with np.errstate(invalid="ignore", divide="ignore"):
-        p = np.where(total > 0, (np.maximum(c - DISCOUNT, 0) + freed * single) / total, single)
-    return np.log(p).astype(np.float32)
-
-
-def train(docs: DataFrame, target_ids: DataFrame, size: int) -> tuple[list[bytes], np.ndarray]:
-    """(vocabulary, log probabilities by model, previous word and word): background is all documents,
-    target those whose doc_id is in ``target_ids``; a NULL id is in no target."""
-    prepare(docs.sparkSession)
-    words = vocabulary(docs, size)
-    v = Numbers(words).size
-    ids = target_ids.select(F.col("doc_id").alias("_id")).where("_id IS NOT NULL").distinct()
-    rows = texts(docs, "doc_id")
-    # the same join at every size: target ids grow with the corpus
-    marked = rows.join(ids.hint("shuffle_hash"), F.col("doc_id") == F.col("_id"), "left").select("text", F.col("_id").isNotNull().alias("target"))
-    summed = marked.mapInArrow(_counted_bigrams(words), COUNTS).groupBy("previous").applyInArrow(_summed(v), COUNTS)
-    counts = np.zeros((2, v, v), np.float32)
-    for row in summed.toLocalIterator():
-        at = np.frombuffer(row["word"], "<i4")
-        counts[0, row["previous"], at] = np.frombuffer(row["background"], "<i8")
-        counts[1, row["previous"], at] = np.frombuffer(row["target"], "<i8")
-    totals = counts.sum(axis=(1, 2), dtype=np.float64)
-    scale = totals[1] / totals[0] if totals[0] and totals[1] else 1.0
-    return words, np.stack([log_probabilities(counts[0], scale), log_probabilities(counts[1])])
-
-
-def score(docs: DataFrame, words: list[bytes], logs: np.ndarray, *keep: str) -> DataFrame:
-    """Columns ``keep`` with n_tokens, ce_target, ce_background and ce_difference (nats per token).
-
-    A text without words has 0 tokens and NULL entropies.
-    """
-    spark = prepare(docs.sparkSession)
-    shared = spark.sparkContext.broadcast((words, logs))
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        words, logs = shared.value
-        numbers = Numbers(words)
-        background, target = logs.reshape(2, -1)
-        for batch in batches:
-            rows = []
-            for body in byte_texts(batch.column("_text")):
-                own = numbers.of(body)
-                code = own[:-1] * numbers.size + own[1:]
-                n = len(code)
-                a, b = (-float(x.take(code).sum(dtype=np.float64)) / n for x in (target, background)) if n else (None, None)
-                rows.append((n, a, b, a - b if n else None))
-            batch = batch.select(list(keep))
-            for name, kind, values in zip(("n_tokens", "ce_target", "ce_background", "ce_difference"), (pa.int64(), *[pa.float64()] * 3), list(zip(*rows)) or [()] * 4):
-                batch = batch.append_column(name, pa.array(values, kind))
-            yield batch
-
-    schema = docs.select(*keep).schema.add("n_tokens", "long").add("ce_target", "double").add("ce_background", "double").add("ce_difference", "double")
-    return docs.select(*keep, F.coalesce(F.col("text"), F.lit("")).alias("_text")).mapInArrow(run, schema)
-
-
-# --- the whole vocabulary ---------------------------------------------------------------------
-
 BLOCKS = "kept binary, lengths binary, words binary, ids binary"
 ENTRIES = "part int, block long, codes binary, sums binary"
 ANSWERS = "block long, part int, sums binary, first long"

@@ -1,9 +1,7 @@
 import math
 import random
-import zlib
 from collections import Counter
 
-import numpy as np
 import pytest
 
 from fascicle.llm import lm_scoring as lm
@@ -12,56 +10,6 @@ from fascicle.session import load
 random.seed(2)
 
 
-def brute(rows, target, size):
-    """Scores by plain dictionaries."""
-    docs = [(d, (t or "").encode().lower().split()) for d, t in rows]
-    common = [w for w, _ in sorted(Counter(w for _, ws in docs for w in ws).items(), key=lambda x: (-x[1], x[0]))[:size]]
-    number = {w: i for i, w in enumerate(common)}
-    v = len(common) + lm.CLASSES + 1
-    coded = [(d, [v - 1] + [number.get(w, len(common) + zlib.crc32(w[-2:]) % lm.CLASSES) for w in ws]) for d, ws in docs]
-    both = []
-    for keep in (lambda d: True, lambda d: d in target):
-        both.append(Counter(p for d, ids in coded if keep(d) for p in zip(ids, ids[1:])))
-    scale = sum(both[1].values()) / sum(both[0].values())
-    models = [{k: c * scale for k, c in both[0].items()}, dict(both[1])]
-
-    def p(model, h, w):
-        total = sum(model.values())
-        single = (sum(c for (_, b), c in model.items() if b == w) + 1) / (total + v)
-        row = [c for (a, _), c in model.items() if a == h]
-        if not row:
-            return single
-        return (max(model.get((h, w), 0) - lm.DISCOUNT, 0) + sum(min(c, lm.DISCOUNT) for c in row) * single) / sum(row)
-
-    out = []
-    for d, ids in coded:
-        n = len(ids) - 1
-        out.append((d, n, *[-sum(math.log(p(m, a, b)) for a, b in zip(ids, ids[1:])) / n if n else None for m in (models[1], models[0])]))
-    return out
-
-
-def test_against_brute_force(spark):
-    words = "the of and to in cat dog A b &&& x| é".split()
-    rows = [(i, " ".join(random.choices(words, k=random.randint(0, 25)))) for i in range(30)] + [(40, None), (41, " \n"), (None, "the cat"), (3, "of of")]
-    df = spark.createDataFrame([(*r, 1) for r in rows], "doc_id long, text string, n_tokens int")
-    target = spark.createDataFrame([(1,), (3,), (5,), (5,), (None,), (999,)], "doc_id long")
-    found = lm.score(df, *lm.train(df, target, 6), "doc_id").collect()
-    want = brute(rows, {1, 3, 5}, 6)
-    key = lambda r: (r[0] is None, r[0] or 0, r[1], r[2] or 0)
-    for f, w in zip(sorted(map(tuple, found), key=key), sorted(want, key=key)):
-        assert f[:2] == w[:2]
-        if f[1]:
-            assert f[2] == pytest.approx(w[2], rel=1e-4) and f[3] == pytest.approx(w[3], rel=1e-4) and f[4] == pytest.approx(f[2] - f[3])
-        else:
-            assert f[2:] == (None, None, None)
-
-
-def test_probabilities_sum_to_one():
-    counts = np.random.default_rng(1).integers(0, 4, (7, 7)).astype(np.float32)
-    counts[3] = 0
-    assert np.exp(lm.log_probabilities(counts, 0.3)).sum(axis=1) == pytest.approx(np.ones(7), rel=1e-5)
-
-
 def test_no_target_and_empty_table(spark):
     df = spark.createDataFrame([(1, "a b a"), (2, "b" * 200_000 + " a")], "doc_id long, text string")
     none = df.select("doc_id").limit(0)
