@@ -86,6 +86,15 @@ def written(cells: str) -> str:
     return f"array_join(transform({cells}, x -> lower(concat_ws('.', hex(x.c), hex(x.k), hex(x.h)))), '-')"
 
 
+def packed(cells: str) -> str:
+    """SQL for cells as they are stored, in 13 bytes: checks fit 32 bits."""
+    return f"transform({cells}, x -> named_struct('c', cast(x.c AS int), 'k', x.k, 'h', cast(x.h - 2147483648L AS int)))"
+
+
+def unpacked(cells: str) -> str:
+    return f"transform({cells}, x -> named_struct('c', cast(x.c AS bigint), 'k', x.k, 'h', x.h + 2147483648L))"
+
+
 def subtracted(left: str, right: str) -> str:
     return f"zip_with({left}, {right}, (x, y) -> named_struct('c', x.c - y.c, 'k', x.k ^ y.k, 'h', x.h ^ y.h))"
 
@@ -189,9 +198,9 @@ def _compared(docs: DataFrame, links: DataFrame, attempt: int) -> DataFrame:
     rows = _versions(docs, links)
     sets = rows.selectExpr("k1", "k2", f"{digests('text')} AS a", f"{digests('edited')} AS e", "given.n AS n")
     sizes = [f"aggregate(slice({n}, 1, {CELLS}), 0L, (s, x) -> s + x.c) AS n{n}" for n in "aen"]
-    first = sketched(sets, ["a", "e", "n"]).selectExpr("*", *sizes).selectExpr("k1", "k2", "na", "ne", "nn", f"{written('a')} AS fingerprint", f"{written('e')} AS edited_fingerprint",
+    first = sketched(sets, ["a", "e", "n"]).selectExpr("*", *sizes).selectExpr("k1", "k2", "na", "ne", "nn", f"{packed('a')} AS sa", f"{packed('e')} AS se",
                                                        f"{peeled(subtracted('a', 'e'))} AS f0", f"{peeled(subtracted('a', 'n'))} AS f1")
-    first = first.selectExpr("k1", "k2", "na + ne AS of0", "na + nn AS of1", "fingerprint", "edited_fingerprint", "if(f0 IS NULL, NULL, size(f0)) AS d0", "if(f1 IS NULL, NULL, size(f1)) AS d1")
+    first = first.selectExpr("k1", "k2", "na + ne AS of0", "na + nn AS of1", "sa", "se", "if(f0 IS NULL, NULL, size(f0)) AS d0", "if(f1 IS NULL, NULL, size(f1)) AS d1")
     plain = rows.selectExpr("k1", "k2", "given.doc_id", "given.copies", "given.n_chars", "sha2(edited, 256) AS edited_sha256")
     hidden = first.where("d0 IS NULL OR d1 IS NULL").select("k1", "k2", "d0", "d1")
     pairs = sets.hint("merge").join(hidden.hint("merge"), ["k1", "k2"]).selectExpr("*", "explode(array(0, 1)) AS pair").where("if(pair = 0, d0, d1) IS NULL")
@@ -202,7 +211,7 @@ def _compared(docs: DataFrame, links: DataFrame, attempt: int) -> DataFrame:
     def likeness(p: int, name: str) -> str:
         return f"if(of{p} = 0, 1D, 1 - coalesce(d{p}, if(stayed{p} = 0, found{p}, NULL)) / of{p}) AS {name}"
 
-    return out.selectExpr("k1", "k2", "doc_id", "copies", "n_chars", "edited_sha256", "fingerprint", "edited_fingerprint", likeness(0, "near_edited"), likeness(1, "near_next"))
+    return out.selectExpr("k1", "k2", "doc_id", "copies", "n_chars", "edited_sha256", "sa", "se", likeness(0, "near_edited"), likeness(1, "near_next"))
 
 
 @contextmanager
@@ -241,6 +250,7 @@ def edited_likeness(docs: DataFrame) -> DataFrame:
         links, attempt = stored(links.join(found.where(hidden).select("k1", "k2"), ["k1", "k2"], "left_semi"), "sketch-links"), attempt + 1
         needed = links.select("k1", "k2").union(links.select("next1", "next2")).distinct()
         rows = every.join(small_side(needed), ["k1", "k2"], "left_semi")
+    done = done.withColumns({"fingerprint": F.expr(written(unpacked("sa"))), "edited_fingerprint": F.expr(written(unpacked("se")))})
     blocks = F.explode(F.sequence(F.lit(0).cast("long"), F.floor((F.col("copies") - 1) / BLOCK)))
     copies = F.explode(F.sequence(F.lit(1).cast("long"), F.least(F.lit(BLOCK).cast("long"), F.col("copies") - F.col("block") * BLOCK)))
     more = done.where("copies > 1").withColumn("block", blocks).repartition("k1", "k2", "block").withColumn("copy", copies)
