@@ -8,6 +8,7 @@ from ..functions import jsonops
 from ..operators import prompts, retrieval
 from ..plans import requests as request_flow
 from ..session import load, scratch_path
+from ..sources import files
 from .registry import query, sha_int
 
 
@@ -214,7 +215,9 @@ def _answered(spark, sf):
         F.when(F.col("role") == "system", F.lit(" ")).otherwise(F.col("text")).alias("description"),
     ).withColumn("sources", F.when(given, '{"search_docs":[1],"search_nc":[2]}'))
     embed = retrieval.hashing_embedder()
-    index = retrieval.embed_texts(load(spark, sf, "documents").select("doc_id", "lang", "text"), "text", embed)
+    vectors = retrieval.embed_texts(load(spark, sf, "documents").select("doc_id", "lang", "text"), "text", embed)
+    # stored: the texts are embedded once, not by every scan of the two searches
+    index = files.save_table(vectors.drop("text"), scratch_path(spark, "bank"))
     templates = {"query": "{{role}}: {{user_message}} {{description}}", "propose": PROPOSE}
     out = request_flow.answer_requests(requests, "rid", {"search_docs": (index, "doc_id", ["lang"]), "search_nc": (index, "doc_id", ["lang"])},
                                        embed, templates, k=5, sources="sources")

@@ -56,12 +56,16 @@ class _Running:
             self._add(queries, ids[at:at + SLICE_ROWS], vectors[at:at + SLICE_ROWS])
 
     def _add(self, queries: np.ndarray, ids: np.ndarray, vectors: np.ndarray) -> None:
-        block = np.round(queries @ vectors.T, SCORE_DIGITS) + 0.0
-        hits = block >= self.floor[:, None]
+        block = queries @ vectors.T
+        hits = ~(block < self.floor[:, None] - 10.0 ** -SCORE_DIGITS)  # rounding moves a score by half of that
         for q in np.flatnonzero(hits.any(axis=1)):
             new = np.flatnonzero(hits[q])
+            rounded = np.round(block[q][new], SCORE_DIGITS) + 0.0
+            new, rounded = new[rounded >= self.floor[q]], rounded[rounded >= self.floor[q]]
+            if not len(new):
+                continue
             all_ids = np.concatenate([self.ids[q], ids[new]]) if len(self.ids[q]) else ids[new]
-            all_scores = np.concatenate([self.scores[q], block[q][new]])
+            all_scores = np.concatenate([self.scores[q], rounded])
             keep = _best(all_ids, all_scores, self.k)
             self.ids[q], self.scores[q] = all_ids[keep], all_scores[keep]
             if len(keep) == self.k:
@@ -77,32 +81,38 @@ def top_k(index: DataFrame, queries: DataFrame, k: int, id_column: str = "vec_id
           query_id: str = "query_id", query_vector: str = "embedding", exclude_self: bool = False) -> DataFrame:
     """The ``k`` most similar index rows of every query by cosine: (query_id, id, score, rank).
 
-    Queries are stored once and dealt into blocks of about ``BLOCK_QUERIES`` by a hash. A block's
-    vectors are shared with all tasks; each task keeps its own best ``k`` per query while it
+    Queries are stored once, and equal vectors are searched once. The distinct ones are dealt into
+    blocks of about ``BLOCK_QUERIES`` by a hash. A block's vectors are shared with all tasks; each task keeps its own best ``k`` per query while it
     streams its part of the index, so the index never moves and is read once for each block.
     Partial results, tasks x queries x k rows, are cut to k in parts of each query before they
     meet. Exact; ties go to the smaller id. The result is stored, so that what is built on it
     does not scan the index again.
     """
     id_type = index.schema[id_column].dataType.simpleString()
-    q_type = queries.schema[query_id].dataType.simpleString()
-    schema = f"query_id {q_type}, id {id_type}, score double"
+    schema = f"query_id bigint, id {id_type}, score double"
     want = k + 1 if exclude_self else k
     items = index.select(col(id_column).alias("id"), col(vector).alias("vector")).filter("vector is not null")
     # stored: an embedder behind the queries runs once, and every pass sees the same vectors
     asked = materialise(queries.select(col(query_id).alias("query_id"), col(query_vector).alias("vector")).filter("vector is not null"))
-    blocks = max(1, math.ceil(asked.count() / BLOCK_QUERIES))
-    block = F.pmod(F.xxhash64("query_id"), F.lit(blocks))
-    partial = _scan(items, asked.filter(block == 0).toPandas(), want, schema)
+    vectors = materialise(asked.select("vector").distinct().withColumn("_v", F.monotonically_increasing_id()))
+    blocks = max(1, math.ceil(vectors.count() / BLOCK_QUERIES))
+    block = F.pmod(F.xxhash64("_v"), F.lit(blocks))
+    shared = vectors.select(F.col("_v").alias("query_id"), "vector")
+    partial = _scan(items, shared.filter(block == 0).toPandas(), want, schema)
     for b in range(1, blocks):
-        partial = partial.unionByName(_scan(items, asked.filter(block == b).toPandas(), want, schema))
-    if exclude_self:
-        partial = partial.filter(F.col("id") != F.col("query_id"))
+        partial = partial.unionByName(_scan(items, shared.filter(block == b).toPandas(), want, schema))
     best = F.col("score").desc(), F.col("id")
-    merged = partial.withColumn("_part", F.pmod(F.xxhash64("id"), F.lit(MERGE_PARTS)))
-    for keys in (("query_id", "_part"), ("query_id",)):
-        merged = merged.withColumn("rank", F.row_number().over(W.partitionBy(*keys).orderBy(*best)).cast("bigint")).filter(F.col("rank") <= k)
-    return materialise(merged.drop("_part"))
+
+    def ranked(rows: DataFrame, n: int, *keys: str) -> DataFrame:
+        return rows.withColumn("rank", F.row_number().over(W.partitionBy(*keys).orderBy(*best)).cast("bigint")).filter(F.col("rank") <= n)
+
+    parts = partial.withColumnRenamed("query_id", "_v").withColumn("_part", F.pmod(F.xxhash64("id"), F.lit(MERGE_PARTS)))
+    found = materialise(ranked(ranked(parts, want, "_v", "_part"), want, "_v").select("_v", "id", "score"))
+    # a query takes the results of its vector, want of them at most
+    results = asked.join(vectors, "vector").select("query_id", "_v").join(found, "_v").drop("_v")
+    if exclude_self:
+        results = results.filter(F.col("id") != F.col("query_id"))
+    return materialise(ranked(results, k, "query_id").select("query_id", "id", "score", "rank"))
 
 
 def _scan(items: DataFrame, shared: pd.DataFrame, k: int, schema: str) -> DataFrame:
