@@ -9,7 +9,7 @@ Strunk's unsupervised statistic).
 After an abbreviation a sentence may still end. The next word decides: written with a capital here,
 in lower case elsewhere and never with a capital inside a sentence, it starts a new one.
 
-All statistics are sums by word, combined in the reading task. Only periods that follow an
+All statistics are sums by word, combined in the reading task; equal tokens are counted before they are described. Only periods that follow an
 abbreviation look the next word up; the tables are joined, and Spark sends them to the tasks if they are
 measured as small.
 """
@@ -19,7 +19,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.scalars import bound, col
+from ..functions.scalars import col
 from ..session import materialise, small_side
 
 THRESHOLD = 0.3
@@ -31,24 +31,39 @@ OPENING, CLOSING = "\"'([{«“‘", "\"')]}»”’"
 
 
 def tokens(text: Column) -> Column:
-    """Tokens between white space as (raw, word, end): end is the last mark of .!? or empty, word has no final period."""
-    def described(raw: Column) -> Column:
-        bare = F.rtrim(F.ltrim(raw, F.lit(OPENING)), F.lit(CLOSING))
-        last = F.right(bare, F.lit(1))
-        word = F.when(last == ".", F.substr(bare, F.lit(1), F.length(bare) - 1)).otherwise(bare)
-        return F.struct(raw.alias("raw"), word.alias("word"), F.when(last.isin(".", "!", "?"), last).otherwise("").alias("end"))
+    """Tokens between white space."""
+    return F.regexp_extract_all(F.coalesce(text, F.lit("")), F.lit(TOKEN), F.lit(0))
 
-    return F.transform(F.regexp_extract_all(F.coalesce(text, F.lit("")), F.lit(TOKEN), F.lit(0)), lambda raw: bound(raw, described))
+
+def end_of(raw: Column) -> Column:
+    """The last mark of .!? of a token, or empty."""
+    last = F.right(F.rtrim(raw, F.lit(CLOSING)), F.lit(1))
+    return F.when(last.isin(".", "!", "?"), last).otherwise("")
+
+
+def word_of(raw: Column) -> Column:
+    """A token without quotes, brackets and its final period."""
+    bare = F.rtrim(F.ltrim(raw, F.lit(OPENING)), F.lit(CLOSING))
+    return F.when(F.right(bare, F.lit(1)) == ".", F.substr(bare, F.lit(1), F.length(bare) - 1)).otherwise(bare)
+
+
+def _followed(df: DataFrame, text: str, *keep: Column) -> DataFrame:
+    """(at, raw, after) of every token, places from 0, with the token behind it or NULL."""
+    rows = df.select(*keep, tokens(col(text)).alias("_w"))
+    placed = rows.select(*[c for c in rows.columns if c != "_w"], F.posexplode(F.arrays_zip(F.col("_w").alias("raw"), F.slice("_w", 2, F.size("_w")).alias("after"))).alias("at", "_t"))
+    return placed.select(*[c for c in rows.columns if c != "_w"], "at", F.col("_t.raw").alias("raw"), F.col("_t.after").alias("after"))
 
 
 def period_counts(df: DataFrame, text: str) -> DataFrame:
-    """(type, n, with_period) of every lower-case word with a letter."""
-    rows = df.select(F.explode(tokens(col(text))).alias("t")).select(F.lower("t.word").alias("type"), (F.col("t.end") == ".").alias("period"))
-    return rows.filter(F.col("type").rlike(r"\p{L}")).groupBy("type").agg(F.count("*").alias("n"), F.count_if("period").alias("with_period"))
+    """(type, n, with_period) of every lower-case word with a letter; tokens are counted as they are, and described once each."""
+    counted = df.select(F.explode(tokens(col(text))).alias("raw")).groupBy("raw").agg(F.count("*").alias("n"))
+    rows = counted.select(F.lower(word_of(F.col("raw"))).alias("type"), "n", F.when(end_of(F.col("raw")) == ".", F.col("n")).otherwise(0).alias("period"))
+    return rows.filter(F.col("type").rlike(r"\p{L}")).groupBy("type").agg(F.sum("n").alias("n"), F.sum("period").alias("with_period"))
 
 
 def abbreviation_scores(counts: DataFrame) -> DataFrame:
     """(type, n, with_period, score) of the words seen with a period."""
+    counts = materialise(counts)  # read for the totals and for the scores
     total = counts.agg(F.sum("n").alias("n"), F.sum("with_period").alias("p")).first()
     chance = min(max((total["p"] or 0) / (total["n"] or 1), 1e-9), 1 - 1e-9)
     n, p = F.col("n"), F.col("with_period")
@@ -65,29 +80,23 @@ def abbreviation_scores(counts: DataFrame) -> DataFrame:
 
 def starter_counts(df: DataFrame, text: str) -> DataFrame:
     """(type, lower, inside): how often a word is in lower case, and with a capital after a token that closes nothing."""
-    def neighbours(ts: Column) -> Column:
-        return F.zip_with(F.slice(ts, 2, F.greatest(F.size(ts) - 1, F.lit(0))), F.slice(ts, 1, F.greatest(F.size(ts) - 1, F.lit(0))),
-                          lambda t, before: F.struct(t["word"].alias("word"), before["end"].alias("before")))
-
-    rows = df.select(F.explode(bound(tokens(col(text)), neighbours)).alias("t")).select("t.word", "t.before")
+    rows = _followed(df, text).filter("after IS NOT NULL")
+    counted = rows.groupBy("after", (end_of(F.col("raw")) == "").alias("open")).agg(F.count("*").alias("n"))
+    words = counted.select(word_of(F.col("after")).alias("word"), "open", "n").filter(F.col("word").rlike(r"^\p{L}"))
     small = F.col("word").rlike(r"^\p{Ll}")
-    return rows.filter(F.col("word").rlike(r"^\p{L}")).groupBy(F.lower("word").alias("type")).agg(
-        F.count_if(small).alias("lower"), F.count_if(~small & (F.col("before") == "")).alias("inside"))
+    return words.groupBy(F.lower("word").alias("type")).agg(
+        F.sum(F.when(small, F.col("n")).otherwise(0)).alias("lower"), F.sum(F.when(~small & F.col("open"), F.col("n")).otherwise(0)).alias("inside"))
 
 
 def _marks(df: DataFrame, id_column: str, text: str) -> DataFrame:
     """(id, at, end, type, next) of the tokens that may close a sentence and have one behind them."""
-    def candidates(ts: Column) -> Column:
-        pairs = F.zip_with(F.transform(ts, lambda t, i: F.struct((i + 1).alias("at"), t["word"].alias("word"), t["end"].alias("end"))), F.slice(ts, 2, F.size(ts)),
-                           lambda t, after: F.struct(t["at"].alias("at"), t["end"].alias("end"), F.lower(t["word"]).alias("type"), after["word"].alias("next")))
-        return F.filter(pairs, lambda t: (t["end"] != "") & t["next"].isNotNull())
-
-    return df.select(col(id_column).alias("id"), F.explode(bound(tokens(col(text)), candidates)).alias("m")).select("id", "m.*")
+    rows = _followed(df, text, col(id_column).alias("id")).withColumn("end", end_of(F.col("raw"))).filter("end != '' AND after IS NOT NULL")
+    return rows.select("id", (F.col("at") + 1).alias("at"), "end", F.lower(word_of(F.col("raw"))).alias("type"), word_of(F.col("after")).alias("next"))
 
 
 def boundaries(df: DataFrame, id_column: str, text: str, threshold: float = THRESHOLD) -> DataFrame:
     """(id, at): a sentence of the text ends after its ``at``-th token; the end of the text is not listed."""
-    known = small_side(abbreviation_scores(materialise(period_counts(df, text))).filter(F.col("score") >= threshold).select("type", F.lit(True).alias("short")))
+    known = small_side(abbreviation_scores(period_counts(df, text)).filter(F.col("score") >= threshold).select("type", F.lit(True).alias("short")))
     marks = _marks(df, id_column, text).join(known, "type", "left")
     short = F.coalesce("short", F.lit(False)) & (F.col("end") == ".")
     plain = marks.filter(~short).select("id", "at")
