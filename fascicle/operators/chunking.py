@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.scalars import ColumnOrName, bound, col, is_blank, join_text, replace_all
+from ..session import small_batches
 
 # Chunk size, overlap and separators of the document flow.
 CHUNK_SIZE = 3000
@@ -83,9 +84,12 @@ def recursive_chunks(df: DataFrame, text: str, chunk: str = "chunk", chunk_id: s
     """One row per chunk; the text column is replaced by ``chunk``, numbered from 0.
 
     The chunks are cut where their spans are found, so the time is linear in the text: cutting
-    them out by position later would scan the text from its start for each. No shuffle.
+    them out by position later would scan the text from its start for each. No shuffle. Texts and
+    chunks of one batch are in memory at once, so batches are small.
     """
 
+    small_batches(df.sparkSession)
+
     @F.pandas_udf("array<struct<a:int,b:int,body:string>>")
     def cut(texts: pd.Series) -> pd.Series:
         return texts.map(lambda t: [{"a": a, "b": b, "body": t[a:b]} for a, b in split_spans(t or "", size, overlap, separators)])

@@ -54,6 +54,18 @@ def ship_package(spark: SparkSession) -> SparkSession:
     return spark
 
 
+# Rows and bytes that Spark hands to Python at once.
+BATCH_ROWS = 1000
+BATCH_BYTES = 8 << 20
+
+
+def small_batches(spark: SparkSession) -> SparkSession:
+    """Keep Arrow batches small enough for tables of long texts."""
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
+    return spark
+
+
 def load(spark: SparkSession, folder: str, *names: str) -> DataFrame | tuple[DataFrame, ...]:
     """Read ``<folder>/<name>.parquet`` for every name; one frame for one name."""
     ship_package(spark)
