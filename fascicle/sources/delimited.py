@@ -87,9 +87,14 @@ def inline_literal(spark: SparkSession, text: str, schema: T.StructType) -> Data
     return spark.createDataFrame(rows, names).select(*[col(f.name).try_cast(f.dataType).alias(f.name) for f in schema])
 
 
-def export_csv(df: DataFrame, path: str) -> None:
-    """Comma file with a header row."""
-    df.write.mode("overwrite").option("header", "true").option("escape", '"').options(**_EXACT).csv(path)
+# Rows of an exported file: a compressed file is read by one task.
+EXPORT_ROWS = 1_000_000
+
+
+def export_csv(df: DataFrame, path: str, compression: str = "gzip", rows_per_file: int = EXPORT_ROWS) -> None:
+    """Comma files with a header row, compressed; ``compression="none"`` for plain ones."""
+    (df.write.mode("overwrite").option("header", "true").option("escape", '"').options(**_EXACT)
+     .option("compression", compression).option("maxRecordsPerFile", rows_per_file).csv(path))
 
 
 def export_json(df: DataFrame, path: str) -> None:
