@@ -294,7 +294,9 @@ def _verified(percent: int):
 
 def _members(points: DataFrame) -> DataFrame:
     """(cell, id, n, counts) of the cells with two members or more, one cell of those with the same members."""
-    at = points.where(F.size("keys") > 0).select("id", F.explode("keys").alias("cell"))
+    # dealt by cell once, for the counts and for the joins behind them: the joins' own filters are put
+    # here, so that all read the same shuffle (ids and keys are never NULL)
+    at = points.where(F.size("keys") > 0).select("id", F.explode("keys").alias("cell")).where("id IS NOT NULL AND cell IS NOT NULL").repartition("cell")
     hashed = [F.bit_xor(F.xxhash64("id", F.lit(s))).alias(f"x{s}") for s in (1, 2)]
     cells = at.groupBy("cell").agg(F.count("*").alias("size"), *hashed).where("size > 1")
     kept = cells.groupBy("size", "x1", "x2").agg(F.min("cell").alias("cell")).select("cell", "size")
