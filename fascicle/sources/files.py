@@ -3,16 +3,18 @@
 from __future__ import annotations
 
 import uuid
+import zlib
 from collections.abc import Iterator
 
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import paths
 from ..functions.scalars import col
 from ..operators.sampling import head
-from ..session import qualified
+from ..session import BATCH_BYTES, BATCH_ROWS, qualified
 
 
 def _open_folder(folder: str):
@@ -72,25 +74,47 @@ def with_extension(listing: DataFrame, ext: str, contains: str | None = None, pa
     return keep.orderBy(path)
 
 
+# Names that file scans leave out, files and folders.
+_HIDDEN = r"/\.|/_(?!common_metadata|metadata)[^/=]*(/|$)|\._COPYING_(/|$)"
+
+
+def _contents(folder: str):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        system, root = _open_folder(folder)
+        names, bodies, size = [], [], 0
+        for batch in batches:
+            for path in batch.column("path").to_pylist():
+                with system.open_input_stream(root + path, compression=None) as source:
+                    bodies.append(source.read())
+                names.append(path)
+                size += len(bodies[-1])
+                if size >= BATCH_BYTES or len(names) >= BATCH_ROWS:
+                    yield pa.RecordBatch.from_arrays([pa.array(names, pa.string()), pa.array(bodies, pa.binary())], names=["path", "content"])
+                    names, bodies, size = [], [], 0
+        if names:
+            yield pa.RecordBatch.from_arrays([pa.array(names, pa.string()), pa.array(bodies, pa.binary())], names=["path", "content"])
+
+    return run
+
+
 def read_texts(spark: SparkSession, folder: str, glob: str = "*") -> DataFrame:
     """One row per file: its path below the folder, its whole UTF-8 text and an error.
 
-    Files are read in parallel, each as one value; empty ones, which a scan leaves out, come
-    from the listing. Bytes that are not UTF-8 become replacement characters and are reported in
-    ``error``; they never fail the job.
+    Files are listed and read in tasks, each as one value: a scan would gather the status of every
+    file in the driver, give a task about thirty files however small they are, and leave empty ones
+    out. As in a scan, files with hidden names are left out unless they are empty. Bytes that are
+    not UTF-8 become replacement characters and are reported in ``error``; they never fail the job.
     """
-    import fnmatch
-    import re
-
     folder = folder.rstrip("/")
-    inside = re.sub(r"^[a-z0-9]+:/*", "/", folder)
-    scan = spark.read.format("binaryFile").option("recursiveFileLookup", "true").option("pathGlobFilter", glob).load(folder)
-    below = F.substring(F.col("path"), F.locate(inside, F.col("path")) + len(inside), F.length("path"))
+    # the file names that Spark's pathGlobFilter takes
+    pattern = spark.sparkContext._jvm.org.apache.hadoop.fs.GlobPattern(glob).compiled().pattern()
+    found = list_folder(spark, folder, f"(?s)^(?:{pattern})$").filter((F.col("size") == 0) | ~F.rlike("path", F.lit(_HIDDEN))).select("path")
+    # a number of its own, as paths are too short to tell how much is read
+    tasks = max(spark.sparkContext.defaultParallelism, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    read = found.repartition(tasks, "path").mapInArrow(_contents(qualified(spark, folder)), "path string, content binary")
     raw = F.col("content").cast("string")
     error = F.when(~F.is_valid_utf8(raw), F.lit("not UTF-8"))
-    texts = scan.select(below.alias("path"), F.make_valid_utf8(raw).alias("text"), error.alias("error"))
-    empty = list_folder(spark, folder, fnmatch.translate(glob)).filter("size = 0")
-    return texts.unionByName(empty.select("path", F.lit("").alias("text"), F.lit(None).cast("string").alias("error")))
+    return read.select("path", F.make_valid_utf8(raw).alias("text"), error.alias("error"))
 
 
 def read_lines(spark: SparkSession, path: str, column: str = "Title") -> DataFrame:
@@ -111,9 +135,11 @@ def save_table(df: DataFrame, path: str, rows_per_file: int | None = None) -> Da
     return df.sparkSession.read.parquet(path)
 
 
-def write_one_file_per_row(df: DataFrame, folder: str, name: str, text: str, suffix: str = ".md") -> DataFrame:
+def write_one_file_per_row(df: DataFrame, folder: str, name: str, text: str, suffix: str = ".md", folders: int = 0) -> DataFrame:
     """Write ``<folder>/<name><suffix>`` for every row, in parallel; returns (path, size).
 
+    A folder of millions of files is slow to write to and is listed by one task; with ``folders``
+    the files are spread over that many subfolders by a hash of their names.
     The returned frame is lazy: files appear when it is evaluated. Each file is written under
     a temporary name and moved, so a repeated or speculative task only replaces a file by an
     identical one. Names must differ, or one row would silently replace another, and stay inside the
@@ -132,16 +158,21 @@ def write_one_file_per_row(df: DataFrame, folder: str, name: str, text: str, suf
     def write(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         system, root = _open_folder(folder)
         system.create_dir(root, recursive=True)
+        made = {""}
         for batch in batches:
             out = []
             for key, body in zip(batch["name"], batch["text"]):
-                target = f"{root}/{key}{suffix}"
-                part = f"{root}/.{uuid.uuid4().hex}.part"
+                sub = f"{zlib.crc32(key.encode()) % folders:04x}/" if folders else ""
+                if sub not in made:
+                    system.create_dir(f"{root}/{sub}", recursive=True)
+                    made.add(sub)
+                target = f"{root}/{sub}{key}{suffix}"
+                part = f"{root}/{sub}.{uuid.uuid4().hex}.part"
                 data = (body or "").encode("utf-8")
                 with system.open_output_stream(part) as sink:
                     sink.write(data)
                 system.move(part, target)
-                out.append((f"{key}{suffix}", len(data)))
+                out.append((f"{sub}{key}{suffix}", len(data)))
             yield pd.DataFrame(out, columns=["path", "size"])
 
     return rows.mapInPandas(write, "path string, size bigint")
