@@ -151,9 +151,10 @@ def key_hash(key: bytes) -> tuple[int, int]:
     return wide & MASK, wide >> 96
 
 
-def _slots(hashes: np.ndarray, displacement: int, n: int) -> np.ndarray:
+def _slots(hashes: np.ndarray, displacement: int | np.ndarray, n: int) -> np.ndarray:
+    """Slots of the hashes; a row of them for each of several displacements."""
     with np.errstate(over="ignore"):
-        x = hashes + np.uint64(displacement * 0x9E3779B97F4A7C15 & MASK)
+        x = hashes + (np.array(displacement, np.uint64) * np.uint64(0x9E3779B97F4A7C15))[..., None]
         x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
         x = (x ^ (x >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
         return (x ^ (x >> np.uint64(31))) % np.uint64(n)
@@ -173,12 +174,16 @@ def displacements(hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         members = order[starts[b] : starts[b + 1]]
         if len(members) < 2:
             break
-        d = 1
-        while True:
-            at = _slots(hashes[members], d, n).astype(np.int64)
-            if free[at].all() and len(set(at.tolist())) == len(at):
-                break
-            d += 1
+        # the smallest displacement that works, looked for among ever more at once: the last buckets need thousands
+        d, many, at = 1, 8, None
+        while at is None:
+            tried = _slots(hashes[members], np.arange(d, d + many), n).astype(np.int64)
+            for i in np.flatnonzero(free[tried].all(axis=1)):
+                if len(set(tried[i].tolist())) == len(members):
+                    d, at = d + int(i), tried[i]
+                    break
+            else:
+                d, many = d + many, min(2 * many, 4096)
         table[b], slot[members] = d, at
         free[at] = False
     left = iter(np.flatnonzero(free).tolist())

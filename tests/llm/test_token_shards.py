@@ -44,6 +44,15 @@ def test_hash_is_minimal_and_perfect(n):
     assert sorted(slot.tolist()) == list(range(n))
 
 
+def test_displacements_are_tried_in_blocks(monkeypatch):
+    """The last buckets of a shard try thousands of displacements."""
+    calls, slots = [], ts._slots
+    monkeypatch.setattr(ts, "_slots", lambda *a: calls.append(1) or slots(*a))
+    table, slot = ts.displacements(np.random.default_rng(3).integers(0, 1 << 63, 2000, dtype=np.uint64))
+    assert sorted(slot.tolist()) == list(range(2000)) and table.max() > 500
+    assert len(calls) < 4000
+
+
 def test_round_trip(spark, small):
     docs = load(spark, small, "documents")
     found = ts.token_ids(docs, PATH, shard_ids=20_000).orderBy("start").collect()
