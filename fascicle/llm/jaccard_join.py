@@ -9,7 +9,10 @@ below, and a pair that survives is verified on the sets.
 
 The tree's upper level is what Spark distributes, and it is exact. Similar sets of size at most u
 differ in at most d = (u + u/0.9)/19 shingles, so of d + 1 groups at least one is the same in both.
-Documents that agree in a whole group meet in a cell, and cells with the same members are one.
+Documents that agree in a whole group meet in a cell, and cells with the same members are one. A few
+groups more are made, so that most sets have shingles in more than d groups: such a set agrees with
+every similar one in a group that is not empty and stays out of the cells of its empty groups, where
+unrelated sets would meet.
 Inside a cell points are packed into tree nodes by size and coordinates. Cells of any size are cut
 into tiles of bounded size.
 
@@ -85,6 +88,11 @@ def shingles(body: bytes, known: WordHashes, length: int = SHINGLE) -> np.ndarra
     return np.unique(out)
 
 
+def differing(n: int, m: int, percent: int) -> int:
+    """Most shingles that are in only one of two similar sets of these sizes."""
+    return (100 - percent) * (n + m) // (100 + percent)
+
+
 def size_classes(limit: int, percent: int = PERCENT) -> list[tuple[int, int, int]]:
     """(smallest size, largest size, groups) until ``limit`` is covered: pairs whose smaller set is in the class.
 
@@ -93,7 +101,8 @@ def size_classes(limit: int, percent: int = PERCENT) -> list[tuple[int, int, int
     out, low = [], -(-percent // (100 - percent))
     while not out or out[-1][1] < limit:
         high = low * 3 // 2
-        out.append((low, high, (100 - percent) * (high + high * 100 // percent) // (100 + percent) + 1))
+        most = differing(high, high * 100 // percent, percent)
+        out.append((low, high, most + 1 + most * (100 - percent) // 400))
         low = high + 1
     return out
 
@@ -119,13 +128,16 @@ def cell_keys(hashes: np.ndarray, percent: int = PERCENT) -> np.ndarray:
     for c in (own, own - 1):
         if c < 0 or c < own and n > classes[c][1] * 100 // percent:
             continue
-        groups = classes[c][2]
+        high, groups = classes[c][1:]
         at = mixed(hashes * MIX) % np.uint64(groups)
         order = np.argsort(at, kind="stable")
         content = np.zeros(groups, np.uint64)
         filled, first = np.unique(at[order], return_index=True)
         content[filled.astype(np.int64)] = np.add.reduceat(mixed(hashes ^ MIX)[order], first)
-        out.append(mixed((content + np.uint64(c)) * STEPS[1] + mixed(np.arange(1, groups + 1, dtype=np.uint64) * STEPS[2])))
+        keys = mixed((content + np.uint64(c)) * STEPS[1] + mixed(np.arange(1, groups + 1, dtype=np.uint64) * STEPS[2]))
+        # with shingles in more groups than can differ, one of these is the same in every similar set
+        most = differing(n, n * 100 // percent if c == own else high, percent)
+        out.append(keys[filled.astype(np.int64)] if len(filled) > most else keys)
     return np.concatenate(out).view(np.int64) if out else np.zeros(0, np.int64)
 
 
@@ -134,13 +146,13 @@ def digest_of(hashes: np.ndarray) -> bytes:
 
 
 def counts_of(hashes: np.ndarray) -> np.ndarray:
-    """The set's point: how many of its hashes are in each group, 16 bits wide if that holds them."""
+    """The set's point: how many of its hashes are in each group, as narrow as holds them."""
     counts = np.bincount((hashes >> np.uint64(64 - GROUPS.bit_length() + 1)).astype(np.int64), minlength=GROUPS)
-    return counts.astype("<u2" if len(hashes) < 1 << 16 else "<u4")
+    return counts.astype("u1" if counts.max() < 1 << 8 else "<u2" if counts.max() < 1 << 16 else "<u4")
 
 
 def point_of(packed: bytes) -> np.ndarray:
-    return np.frombuffer(packed, "<u2" if len(packed) == 2 * GROUPS else "<u4").astype(np.int32)
+    return np.frombuffer(packed, f"<u{len(packed) // GROUPS}").astype(np.int32)
 
 
 def _points(length: int, percent: int):
@@ -238,7 +250,10 @@ def proposals(ids: np.ndarray, comp: np.ndarray, n: np.ndarray, counts: np.ndarr
     i, j = Tree(n, comp, counts, percent).pairs()
     if not len(i):
         return ids[i], ids[j], False
-    bound = np.minimum(counts[i], counts[j]).sum(axis=1)
+    bound = np.zeros(len(i), np.int64)
+    for start in range(0, len(i), 1 << 14):
+        s = slice(start, start + (1 << 14))
+        bound[s] = np.minimum(counts[i[s]], counts[j[s]]).sum(axis=1)
     near = bound / (n[i] + n[j] - bound)
     point, other, near = np.concatenate([i, j]), np.concatenate([j, i]), np.concatenate([near, near])
     order = np.lexsort((ids[other], -near, point))
@@ -293,18 +308,17 @@ def _verified(percent: int):
 
 
 def _members(points: DataFrame) -> DataFrame:
-    """(cell, id, n, counts) of the cells with two members or more, one cell of those with the same members."""
+    """(id, cell, size) of the cells with two members or more, one cell of those with the same members."""
     # dealt by cell once, for the counts and for the joins behind them: the joins' own filters are put
     # here, so that all read the same shuffle (ids and keys are never NULL)
     at = points.where(F.size("keys") > 0).select("id", F.explode("keys").alias("cell")).where("id IS NOT NULL AND cell IS NOT NULL").repartition("cell")
     hashed = [F.bit_xor(F.xxhash64("id", F.lit(s))).alias(f"x{s}") for s in (1, 2)]
     cells = at.groupBy("cell").agg(F.count("*").alias("size"), *hashed).where("size > 1")
     kept = cells.groupBy("size", "x1", "x2").agg(F.min("cell").alias("cell")).select("cell", "size")
-    found = at.join(kept.hint("shuffle_hash"), "cell")
-    return stored(found.join(points.select("id", "n", "counts"), "id"), "jaccard-members")
+    return stored(at.join(kept.hint("shuffle_hash"), "cell").select("id", "cell", "size"), "jaccard-members")
 
 
-def _candidates(members: DataFrame, labels: DataFrame, nearest: int, seed: int | None, percent: int) -> DataFrame:
+def _candidates(members: DataFrame, points: DataFrame, labels: DataFrame, nearest: int, seed: int | None, percent: int) -> DataFrame:
     """Proposed pairs of all cells that hold more than one component.
 
     With a seed, a cell is dealt into tiles by a hash and pairs are proposed inside tiles. Without
@@ -315,7 +329,7 @@ def _candidates(members: DataFrame, labels: DataFrame, nearest: int, seed: int |
     cells = by_comp.groupBy("cell").agg(F.count("*").alias("comps"), F.sum("k").alias("size"), F.max(F.struct("k", "comp")).alias("main")).where("comps > 1")
     rows = labelled.drop("size").join(cells, "cell")
     tiles = F.ceil(F.col("size") / TILE).cast("int")
-    columns = ("cell", "part", "against", "id", "comp", "n", "counts")
+    columns = ("cell", "part", "against", "id", "comp")
     if seed is not None:
         rows = rows.withColumn("part", F.pmod(F.xxhash64("id", F.lit(seed)), tiles).cast("int")).withColumn("against", F.lit(0)).select(*columns)
     else:
@@ -327,6 +341,8 @@ def _candidates(members: DataFrame, labels: DataFrame, nearest: int, seed: int |
         others = others.withColumn("part", F.explode(F.sequence(F.lit(0), tiles - 1))).withColumn("against", F.pmod(hashed, outside).cast("int"))
         rows = spread.select(*columns).unionByName(others.select(*columns))
     order = ("cell", "part", "against")
+    # the points themselves are shuffled last, and once
+    rows = rows.join(points.select("id", "n", "counts"), "id")
     return rows.repartition(*order).sortWithinPartitions(*order, "id").mapInArrow(_proposer(nearest, percent), CANDIDATES)
 
 
@@ -354,15 +370,17 @@ def similar_groups(docs: DataFrame, length: int = SHINGLE, percent: int = PERCEN
     rows = stored(texts(docs, "doc_id").mapInArrow(_points(length, percent), POINTS).withColumn("uid", F.monotonically_increasing_id()), "jaccard-points")
     first = rows.where("n > 0").groupBy("digest").agg(F.min("uid").alias("id"), F.min("doc_id").alias("class_id"))
     classes = stored(first, "jaccard-classes")
-    joined = rows.where("n > 0").join(classes, "digest").where("uid = id")
-    points = stored(joined.select("id", "doc_id", "digest", "n", "counts", "keys"), "jaccard-tree")
-    members = _members(points)
+    single = classes.select("id")
+    own = rows.where("n > 0").withColumnRenamed("uid", "id")
+    points = stored(own.select("id", "doc_id", "digest", "n", "counts").join(single, "id"), "jaccard-tree")
+    # shuffled at any size: sending the ids to every executor would only suit small tables
+    members = _members(own.select("id", "keys").where(F.size("keys") > 0).join(single.hint("shuffle_hash"), "id"))
     labels = spark.createDataFrame([], "id long, comp long")
     tested = links = None
     cells, nearest, seeds = members, NEAREST, [2, 1]
     while True:
         seed = seeds.pop() if seeds else None
-        proposed = stored(_candidates(cells, labels, nearest, seed, percent), "jaccard-proposed")
+        proposed = stored(_candidates(cells, points, labels, nearest, seed, percent), "jaccard-proposed")
         pairs = proposed.select("a", "b").distinct()
         if tested is not None:
             pairs = pairs.join(tested, ["a", "b"], "left_anti")

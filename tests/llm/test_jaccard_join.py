@@ -102,6 +102,29 @@ def test_cells_lose_no_similar_pair():
                 assert set(jj.cell_keys(x).tolist()) & set(jj.cell_keys(y).tolist())
 
 
+@pytest.mark.parametrize("percent", [67, 80, 90])
+def test_empty_groups_lose_no_similar_pair(percent):
+    """Sets at the limit share a cell, whether both, one or none of them have cells of empty groups."""
+    rng = np.random.default_rng(percent)
+    for n in [*range(5, 80), 150, 400, 1000]:
+        for _ in range(6):
+            x = np.unique(rng.integers(0, 1 << 63, n, dtype=np.uint64))
+            out = rng.integers(0, jj.differing(n, n, percent) + 1)
+            kept = np.delete(x, rng.choice(len(x), min(out, len(x) - 1), replace=False))
+            more = len(kept) * 100 // percent - len(x)
+            y = np.unique(np.concatenate([kept, rng.integers(0, 1 << 63, max(more, 0), dtype=np.uint64)]))
+            common = len(np.intersect1d(x, y))
+            if 100 * common >= percent * (len(x) + len(y) - common) and len(x) + len(y) > 2 * common:
+                assert set(jj.cell_keys(x, percent).tolist()) & set(jj.cell_keys(y, percent).tolist())
+
+
+def test_unrelated_sets_meet_in_no_cell():
+    rng = np.random.default_rng(7)
+    keys = [jj.cell_keys(np.unique(rng.integers(0, 1 << 63, 1000 + i, dtype=np.uint64)), 80) for i in range(60)]
+    met = np.unique(np.concatenate(keys), return_counts=True)[1]
+    assert (met > 1).sum() < 10
+
+
 @pytest.mark.parametrize("m", [1, 2, 17, 300])
 def test_tree_admits_what_the_bound_admits(m):
     rng = np.random.default_rng(m)
