@@ -41,7 +41,7 @@ SHARD_KEYS = 100_000
 MAGIC = b"FASCIDX1"
 KEYS_PER_BUCKET = 4
 # Segments in each of an encoder's two generations of memory.
-REMEMBERED = 500_000
+REMEMBERED = 250_000
 # Segments that need no normalization but lower case, and what the tokenizer cuts them into.
 PLAIN = re.compile(r"[!-~\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u00ff]+")
 PIECES = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[a-z\u00df-\u00f6\u00f8-\u00ff]+|[0-9]|[^a-z0-9\u00df-\u00f6\u00f8-\u00ff]+")
