@@ -16,8 +16,9 @@ from pyspark.sql import functions as F
 
 from ..session import scratch_path, ship_package
 
-# Rows that Spark hands to Python at once; with it a batch of long documents stays in memory.
+# Rows and bytes that Spark hands to Python at once; with both a batch of long documents or large sets stays in memory.
 BATCH_ROWS = 1000
+BATCH_BYTES = 4 << 20
 # Bytes of a text that are cut into words at once.
 PART = 4 << 20
 GAP = re.compile(rb"[ \t\n\x0b\x0c\r]")
@@ -27,6 +28,7 @@ def prepare(spark: SparkSession) -> SparkSession:
     """Ship the package and keep Arrow batches small enough for tables of long texts."""
     ship_package(spark)
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
     return spark
 
 

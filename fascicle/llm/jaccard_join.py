@@ -5,7 +5,7 @@ Jaccard similarity is at least ``PERCENT`` per cent. Both are parameters; the nu
 the default, 3 words and 90 per cent. A set's shingles are hashed into ``GROUPS`` groups and
 their counts are a point. The sum of the smaller coordinates of two points bounds the overlap of
 the sets from above, the same sum over the upper corners of two tree nodes bounds it for all pairs
-below, and a pair that survives is verified on the sets.
+below, and a pair that survives is verified on the sets, large ones by finer points first.
 
 The tree's upper level is what Spark distributes, and it is exact. Similar sets of size at most u
 differ in at most d = (u + u/0.9)/19 shingles, so of d + 1 groups at least one is the same in both.
@@ -44,6 +44,8 @@ from .components import connected_components
 PERCENT = 90
 SHINGLE = 3
 GROUPS = 128
+# Groups of the finer points of sets of more than half as many shingles.
+FINE = 1024
 NEAREST = 4
 TILE = 512
 LEAF = 16
@@ -52,7 +54,8 @@ FANOUT = 8
 REMEMBERED = 150_000
 
 POINTS = "doc_id long, n long, digest binary, counts binary, keys array<long>"
-SETS = "digest binary, hashes binary"
+SETS = "digest binary, fine binary, hashes binary"
+PAIRS = "a long, b long, dx binary, dy binary"
 CANDIDATES = "cell long, a long, b long, more boolean"
 MIX = np.uint64(0x9E3779B97F4A7C15)
 STEPS = [np.uint64(x) for x in (0xBF58476D1CE4E5B9, 0x94D049BB133111EB, 0xD6E8FEB86659FD93)]
@@ -145,14 +148,19 @@ def digest_of(hashes: np.ndarray) -> bytes:
     return hashlib.sha256(hashes.astype("<u8").tobytes()).digest()[:16]
 
 
-def counts_of(hashes: np.ndarray) -> np.ndarray:
+def counts_of(hashes: np.ndarray, groups: int = GROUPS) -> np.ndarray:
     """The set's point: how many of its hashes are in each group, as narrow as holds them."""
-    counts = np.bincount((hashes >> np.uint64(64 - GROUPS.bit_length() + 1)).astype(np.int64), minlength=GROUPS)
+    counts = np.bincount((hashes >> np.uint64(64 - groups.bit_length() + 1)).astype(np.int64), minlength=groups)
     return counts.astype("u1" if counts.max() < 1 << 8 else "<u2" if counts.max() < 1 << 16 else "<u4")
 
 
-def point_of(packed: bytes) -> np.ndarray:
-    return np.frombuffer(packed, f"<u{len(packed) // GROUPS}").astype(np.int32)
+def point_of(packed: bytes, groups: int = GROUPS) -> np.ndarray:
+    return np.frombuffer(packed, f"<u{len(packed) // groups}").astype(np.int32)
+
+
+def fine_of(hashes: np.ndarray) -> bytes:
+    """The point of a large set in ``FINE`` groups; of a smaller one nothing, its hashes are few."""
+    return counts_of(hashes, FINE).tobytes() if len(hashes) > FINE // 2 else b""
 
 
 def _points(length: int, percent: int):
@@ -178,7 +186,8 @@ def _sets(length: int):
         with np.errstate(over="ignore"):
             for batch in batches:
                 found = [shingles(body, known, length) for body in byte_texts(batch.column("text"))]
-                yield pa.RecordBatch.from_arrays([pa.array([digest_of(h) for h in found], pa.binary()), pa.array([h.astype("<u8").tobytes() for h in found], pa.binary())], names=["digest", "hashes"])
+                columns = ([of(h) for h in found] for of in (digest_of, fine_of, lambda h: h.astype("<u8").tobytes()))
+                yield pa.RecordBatch.from_arrays([pa.array(c, pa.binary()) for c in columns], names=["digest", "fine", "hashes"])
 
     return run
 
@@ -291,6 +300,23 @@ def _proposer(nearest: int, percent: int):
     return run
 
 
+def may_be_similar(x: bytes, y: bytes, percent: int) -> bool:
+    """Whether the fine points admit the pair; a set without one always does."""
+    if not x or not y:
+        return True
+    x, y = point_of(x, FINE), point_of(y, FINE)
+    return bool(np.minimum(x, y).sum() >= needed(x.sum(), y.sum(), percent))
+
+
+def _close(percent: int):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            close = [may_be_similar(x.as_py(), y.as_py(), percent) for x, y in zip(batch.column("fx"), batch.column("fy"))]
+            yield batch.select(["a", "b", "dx", "dy"]).filter(pa.array(close, pa.bool_()))
+
+    return run
+
+
 def _verified(percent: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -318,6 +344,11 @@ def _members(points: DataFrame) -> DataFrame:
     return stored(at.join(kept.hint("shuffle_hash"), "cell").select("id", "cell", "size"), "jaccard-members")
 
 
+def _met(points: DataFrame, cells: DataFrame) -> DataFrame:
+    """The points that are in a cell; no round needs the others."""
+    return stored(points.join(cells.select("id").distinct(), "id", "left_semi"), "jaccard-tree")
+
+
 def _candidates(members: DataFrame, points: DataFrame, labels: DataFrame, nearest: int, seed: int | None, percent: int) -> DataFrame:
     """Proposed pairs of all cells that hold more than one component.
 
@@ -353,9 +384,16 @@ def _links(pairs: DataFrame, points: DataFrame, docs: DataFrame, length: int, pe
     # stored, so that the join is planned with its real size
     ids = stored(wanted.select(F.col("doc_id").alias("_id")).distinct(), "jaccard-ids")
     rows = texts(docs, "doc_id").join(ids, F.col("doc_id").eqNullSafe(F.col("_id")), "left_semi")
-    sets = stored(rows.mapInArrow(_sets(length), SETS).join(wanted.select("id", "digest"), "digest").select("id", "hashes"), "jaccard-sets")
-    x, y = (sets.select(F.col("id").alias(c), F.col("hashes").alias(h)) for c, h in (("a", "x"), ("b", "y")))
-    return stored(pairs.join(x, "a").join(y, "b").mapInArrow(_verified(percent), "a long, b long").distinct(), "jaccard-links")
+    sets = stored(rows.mapInArrow(_sets(length), SETS), "jaccard-sets")
+    # sets are large and shuffled by digest only, to the pairs that their finer points admit
+    for c, d in (("a", "dx"), ("b", "dy")):
+        pairs = pairs.join(wanted.select(F.col("id").alias(c), F.col("digest").alias(d)), c)
+    for d, f in (("dx", "fx"), ("dy", "fy")):
+        pairs = pairs.join(sets.select(F.col("digest").alias(d), F.col("fine").alias(f)), d)
+    pairs = stored(pairs.select("a", "b", "dx", "dy", "fx", "fy").mapInArrow(_close(percent), PAIRS).distinct(), "jaccard-close")
+    for d, h in (("dx", "x"), ("dy", "y")):
+        pairs = pairs.join(sets.select(F.col("digest").alias(d), F.col("hashes").alias(h)), d)
+    return stored(pairs.select("a", "b", "x", "y").mapInArrow(_verified(percent), "a long, b long").distinct(), "jaccard-links")
 
 
 def similar_groups(docs: DataFrame, length: int = SHINGLE, percent: int = PERCENT) -> DataFrame:
@@ -376,6 +414,7 @@ def similar_groups(docs: DataFrame, length: int = SHINGLE, percent: int = PERCEN
     # shuffled at any size: sending the ids to every executor would only suit small tables
     members = _members(own.select("id", "keys").where(F.size("keys") > 0).join(single.hint("shuffle_hash"), "id"))
     labels = spark.createDataFrame([], "id long, comp long")
+    points = _met(points, members)
     tested = links = None
     cells, nearest, seeds = members, NEAREST, [2, 1]
     while True:
@@ -397,6 +436,7 @@ def similar_groups(docs: DataFrame, length: int = SHINGLE, percent: int = PERCEN
         if unfinished.isEmpty():
             break
         cells = stored(cells.join(unfinished, "cell", "left_semi"), "jaccard-members")
+        points = _met(points, cells)
         if not seeds:
             nearest *= 8
     grouped = classes.join(labels, "id", "left").withColumn("comp", F.coalesce("comp", "id"))

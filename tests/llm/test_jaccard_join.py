@@ -185,3 +185,48 @@ def test_pipeline_drops_near_copies_of_four_fifths(spark):
     df = spark.createDataFrame(rows, "doc_id long, text string")
     assert sorted(r.doc_id for r in jj.one_of_each(df).collect()) == [1, 2, 3]
     assert sorted(r.doc_id for r in corpus_pipeline.drop_near_copies(spark, df, "").collect()) == [1, 3]
+
+
+@pytest.mark.parametrize("percent", [80, 90])
+def test_finer_points_lose_no_similar_pair(percent):
+    rng = np.random.default_rng(7)
+    admitted = 0
+    for n in (400, 513, 700, 3000, 300_000):
+        for share in (0.5, 0.7, 0.8, 0.88, 0.9, 0.95, 0.99, 1):
+            x = np.unique(rng.integers(0, 1 << 64, n, np.uint64))
+            y = np.unique(np.append(x[: int(share * len(x))], rng.integers(0, 1 << 64, len(x) - int(share * len(x)), np.uint64)))
+            common = len(np.intersect1d(x, y))
+            similar = 100 * common >= percent * (len(x) + len(y) - common)
+            may = jj.may_be_similar(jj.fine_of(x), jj.fine_of(y), percent)
+            assert may or not similar
+            # sets this far apart are told apart unless they are small, or too large for the groups
+            if n in (700, 3000) and share == 0.5:
+                assert not may
+            admitted += may
+    assert admitted < 40
+
+
+def test_large_unrelated_pairs_are_not_verified_on_sets(spark):
+    """Only pairs that the finer points admit get whole sets, and the answer stays the same."""
+    words = [f"w{i}" for i in range(2000)]
+    # half of a text is another one's: their points of few groups are close, the sets are not
+    texts = [" ".join(words[:1000]), " ".join(words[:1000] + ["x"]), " ".join(words[:500] + words[1500:]), " ".join(words[1000:])]
+    sets = [(bytes([i]), jj.fine_of(jj.shingles(t.encode(), jj.WordHashes(), 3))) for i, t in enumerate(texts)]
+    pairs = [(i, j, sets[i][0], sets[j][0], sets[i][1], sets[j][1]) for i, j in itertools.combinations(range(4), 2)]
+    rows = spark.createDataFrame(pairs, "a long, b long, dx binary, dy binary, fx binary, fy binary")
+    with np.errstate(over="ignore"):
+        assert [(r.a, r.b) for r in rows.mapInArrow(jj._close(90), jj.PAIRS).collect()] == [(0, 1)]
+    rows = rows_of(texts)
+    assert found(spark, rows) == brute(rows)
+
+
+def test_sets_go_to_python_in_small_batches(spark):
+    spark.conf.unset("spark.sql.execution.arrow.maxBytesPerBatch")
+    jj.prepare(spark)
+    assert int(spark.conf.get("spark.sql.execution.arrow.maxBytesPerBatch")) <= 8 << 20
+
+
+def test_rounds_keep_only_points_in_cells(spark):
+    points = spark.createDataFrame([(1,), (2,), (3,)], "id long")
+    cells = spark.createDataFrame([(1, 7), (1, 8), (3, 7)], "id long, cell long")
+    assert sorted(r.id for r in jj._met(points, cells).collect()) == [1, 3]
